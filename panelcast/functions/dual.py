@@ -33,7 +33,8 @@ class SparkRel:
         return SparkRel(self.df.filter(F.expr(cond)))
 
     def select(self, cols: Sequence[tuple[str, str]]) -> "SparkRel":
-        return SparkRel(self.df.select(*[F.expr(e).alias(n) for n, e in cols]))
+        from panelcast.plans.sqlbits import rewrite_round
+        return SparkRel(self.df.select(*[F.expr(rewrite_round(e)).alias(n) for n, e in cols]))
 
     def group(self, keys: Sequence[str], aggs: Sequence[tuple[str, str]]) -> "SparkRel":
         return SparkRel(self.df.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in aggs]))
@@ -58,7 +59,8 @@ class SqlRel:
         return SqlRel(f"SELECT * FROM ({self.sql}) WHERE {cond}")
 
     def select(self, cols: Sequence[tuple[str, str]]) -> "SqlRel":
-        return SqlRel(f"SELECT {', '.join(f'{e} AS {n}' for n, e in cols)} FROM ({self.sql})")
+        from panelcast.plans.sqlbits import rewrite_round
+        return SqlRel(f"SELECT {', '.join(f'{rewrite_round(e)} AS {n}' for n, e in cols)} FROM ({self.sql})")
 
     def group(self, keys: Sequence[str], aggs: Sequence[tuple[str, str]]) -> "SqlRel":
         sel = ", ".join(list(keys) + [f"{e} AS {n}" for n, e in aggs])

@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from panelcast.functions.dual import SparkRel, div, win
 from panelcast.functions.linalg import cholesky_stages, inverse_stages, solve_stages
+from panelcast.plans.sqlbits import round_text
 
 P = "_o"  # prefix of internal columns
 
@@ -278,8 +279,8 @@ def coefficient_table(rel, keys: Sequence[str], xs: Sequence[str], dp: int = 6):
     for i, (name, cb, cs) in enumerate(terms):
         p = f"{P}p_{i}"
         parts.append([(kk, kk) for kk in keys] + [
-            ("term", f"'{name}'"), ("coef", f"round({cb}, {dp})"), ("std_err", f"round({cs}, {dp})"),
-            ("z_stat", f"round({P}zs_{i}, {dp - 2})"), ("p_value", f"round({p}, {dp})"),
+            ("term", f"'{name}'"), ("coef", round_text(cb, dp)), ("std_err", round_text(cs, dp)),
+            ("z_stat", f"round({P}zs_{i}, {dp - 2})"), ("p_value", round_text(p, dp)),
             ("stars", f"CASE WHEN {p} < 0.01 THEN '***' WHEN {p} < 0.05 THEN '**' WHEN {p} < 0.1 THEN '*' ELSE '' END")])
     return union_selects(rel, parts)
 
@@ -293,7 +294,8 @@ def union_selects(rel, parts):
     if isinstance(rel, SparkRel):
         from pyspark.sql import functions as F
         names = [n for n, _ in parts[0]]
-        structs = [F.struct(*[F.expr(e).alias(n) for n, e in cols]) for cols in parts]
+        from panelcast.plans.sqlbits import rewrite_round
+        structs = [F.struct(*[F.expr(rewrite_round(e)).alias(n) for n, e in cols]) for cols in parts]
         out = rel.df.select(F.explode(F.array(*structs)).alias("_r")).select(*[F.col(f"_r.{n}").alias(n) for n in names])
         return SparkRel(out)
     from panelcast.functions.dual import SqlRel

@@ -28,7 +28,8 @@ def register(name: str, sql: str | None = None, ids: tuple[str, ...] = ()):
     def deco(fn):
         if name in REGISTRY:
             raise ValueError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql, ids)
+        from panelcast.plans.sqlbits import rewrite_round
+        REGISTRY[name] = Query(name, fn, rewrite_round(sql) if sql else None, ids)
         return fn
     return deco
 

@@ -9,6 +9,7 @@ from panelcast.functions.dual import SparkRel, SqlRel
 from panelcast.operators import ols
 from panelcast.operators.evaluate import fold_rows, fold_summary, folds, metrics, select_best
 from panelcast.plans.catalog import register
+from panelcast.plans.sqlbits import rnd
 from panelcast.plans.featuresets import KD, OLS_XS, TARGET_D, feature_columns_d, features_d, sql_features_d
 
 K_FOLDS, H = 5, 6
@@ -73,8 +74,8 @@ FROM ({PRED_SQL}) p
 """)
 def q_backtest_predictions(spark, sf):
     p = predictions(spark, sf)
-    return p.select(*KD, "model", "fold_idx", "period", F.round("y_true", DP).alias("y_true"),
-                    F.round("y_pred", DP).alias("y_pred"))
+    return p.select(*KD, "model", "fold_idx", "period", rnd("y_true", DP).alias("y_true"),
+                    rnd("y_pred", DP).alias("y_pred"))
 
 
 def fold_metrics(spark, sf):
@@ -87,7 +88,7 @@ FROM ({FOLD_METRICS_SQL}) m
 """)
 def q_fold_metrics(spark, sf):
     m = fold_metrics(spark, sf)
-    return m.select(*KD, "model", "fold_idx", *[F.round(c, DP).alias(c) for c in ("mae", "rmse", "mape")])
+    return m.select(*KD, "model", "fold_idx", *[rnd(c, DP).alias(c) for c in ("mae", "rmse", "mape")])
 
 
 SUMMARY_SQL = f"""SELECT {KEYS_SQL}, model,
@@ -102,7 +103,7 @@ SELECT {KEYS_SQL}, model, {', '.join(f'round({c}, {DP}) AS {c}' for c in _SUM_CO
 """)
 def q_fold_summary(spark, sf):
     s = fold_summary(fold_metrics(spark, sf), [*KD, "model"])
-    return s.select(*KD, "model", *[F.round(c, DP).alias(c) for c in _SUM_COLS], "n_folds")
+    return s.select(*KD, "model", *[rnd(c, DP).alias(c) for c in _SUM_COLS], "n_folds")
 
 
 @register("best_model", ids=("T1", "F13", "Q8"), sql=f"""
@@ -115,7 +116,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS_SQL} ORDER BY rmse_mean AS
 def q_best_model(spark, sf):
     s = fold_summary(fold_metrics(spark, sf), [*KD, "model"])
     b = select_best(s, KD, list_order=None)
-    return b.select(*KD, F.col("model").alias("best_model"), F.round("rmse_mean", DP).alias("best_rmse"))
+    return b.select(*KD, F.col("model").alias("best_model"), rnd("rmse_mean", DP).alias("best_rmse"))
 
 
 # ---- full-sample OLS --------------------------------------------------------

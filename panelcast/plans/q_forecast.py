@@ -15,6 +15,7 @@ from panelcast.operators.forecast import (
     recursive_linear_forecast,
 )
 from panelcast.plans.catalog import register
+from panelcast.plans.sqlbits import rnd
 from panelcast.plans.featuresets import KD, OLS_XS, TARGET_D, features_d, sql_features_d
 from panelcast.plans.q_evaluate import ols_fit
 
@@ -45,7 +46,7 @@ FROM (SELECT {KEYS_SQL}, max(period) AS last_period, arg_max({TARGET_D}, period)
 """)
 def q_naive_forecast(spark, sf):
     n = naive_forecast(features_d(spark, sf), KD, TARGET_D, H_FINAL)
-    return n.select(*KD, "step", "period", F.round("yhat", DP).alias("yhat"))
+    return n.select(*KD, "step", "period", rnd("yhat", DP).alias("yhat"))
 
 
 def forecast_state(spark, sf):
@@ -95,4 +96,4 @@ JOIN (SELECT {KEYS_SQL}, {hist} FROM (SELECT *, row_number() OVER (PARTITION BY
 @register("recursive_forecast", ids=("R1", "W11", "W12", "F7", "Q1", "Q2", "B5"), sql=_recursive_sql())
 def q_recursive_forecast(spark, sf):
     f = recursive_ols(spark, sf)
-    return f.select(*KD, F.col("step").cast("int").alias("step"), "period", F.round("yhat", DP).alias("yhat"))
+    return f.select(*KD, F.col("step").cast("int").alias("step"), "period", rnd("yhat", DP).alias("yhat"))
