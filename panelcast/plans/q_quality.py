@@ -27,25 +27,40 @@ KC = P.PANEL_KEYS["C"]
 INTERP_DP = 4
 W_SQL = "PARTITION BY n_name, o_orderpriority ORDER BY period"
 
-# interpolation pieces in SQL (same definition as operators.quality.interp_time)
-_INTERP_SQL = f"""
-WITH s AS ({P.SQL_C_SPINE}),
+def impute_sql(src: str, keys: list[str], col: str = "v", threshold: float = 5.0) -> str:
+    """The imputation policy of ``operators.quality.impute`` as DuckDB SQL.
+
+    Yields columns ``vi`` (interpolated), ``pct`` (missing %), ``v_out``.
+    """
+    w = f"PARTITION BY {', '.join(keys)} ORDER BY period"
+    pre = f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    fol = f"ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING"
+    return f"""
+WITH s AS ({src}),
 x AS (
   SELECT *,
-    last_value(CASE WHEN v IS NOT NULL THEN v END IGNORE NULLS) OVER ({W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pv,
-    last_value(CASE WHEN v IS NOT NULL THEN period END IGNORE NULLS) OVER ({W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pt,
-    first_value(CASE WHEN v IS NOT NULL THEN v END IGNORE NULLS) OVER ({W_SQL} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nv,
-    first_value(CASE WHEN v IS NOT NULL THEN period END IGNORE NULLS) OVER ({W_SQL} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nt
+    last_value(CASE WHEN {col} IS NOT NULL THEN {col} END IGNORE NULLS) OVER ({w} {pre}) AS pv,
+    last_value(CASE WHEN {col} IS NOT NULL THEN period END IGNORE NULLS) OVER ({w} {pre}) AS pt,
+    first_value(CASE WHEN {col} IS NOT NULL THEN {col} END IGNORE NULLS) OVER ({w} {fol}) AS nv,
+    first_value(CASE WHEN {col} IS NOT NULL THEN period END IGNORE NULLS) OVER ({w} {fol}) AS nt,
+    round(avg(CASE WHEN {col} IS NULL THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY {', '.join(keys)}) * 100.0, 2) AS pct
   FROM s),
 i AS (
-  SELECT *, CASE WHEN v IS NOT NULL THEN v
+  SELECT *, CASE WHEN {col} IS NOT NULL THEN {col}
                  WHEN nv IS NULL THEN pv
                  WHEN pv IS NOT NULL THEN pv + (nv - pv) * (CAST(date_diff('day', pt, period) AS DOUBLE) / CAST(date_diff('day', pt, nt) AS DOUBLE))
             END AS vi
-  FROM x)
+  FROM x),
+q AS (SELECT *, CASE WHEN pct > {threshold} THEN vi ELSE {col} END AS v0 FROM i),
+r AS (SELECT *, last_value(v0 IGNORE NULLS) OVER ({w} {pre}) AS v1 FROM q),
+t AS (SELECT *, first_value(v1 IGNORE NULLS) OVER ({w} {fol}) AS v2 FROM r),
+u AS (SELECT *, CASE WHEN pct = 0 THEN {col} ELSE v2 END AS v_out FROM t)
 """
 
 
+_INTERP_SQL = impute_sql(P.SQL_C_SPINE, KC)
+
+
 @register("missing_pct", ids=("A2", "F6"), sql=f"""
 SELECT n_name, o_orderpriority, 'v' AS "column",
        round(avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) * 100.0, 2) AS missing_pct
@@ -70,40 +85,35 @@ def q_ffill_bfill(spark, sf):
 
 
 @register("interp_time", ids=("P13",), sql=_INTERP_SQL + f"""
-SELECT n_name, o_orderpriority, period, round(vi, {INTERP_DP}) AS v_interp FROM i
+SELECT n_name, o_orderpriority, period, round(vi, {INTERP_DP}) AS v_interp FROM u
 """)
 def q_interp_time(spark, sf):
     c = P.panel_c(spark, sf, spine=True)
     return c.select(*KC, "period", rnd(interp_time("v", KC), INTERP_DP).alias("v_interp"))
 
 
-@register("impute_policy", ids=("P14", "P6", "P10", "P11", "P13", "Q13"), sql=_INTERP_SQL + f""",
-p AS (SELECT *, round(avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY n_name, o_orderpriority) * 100.0, 2) AS pct FROM i),
-q AS (SELECT *, CASE WHEN pct > 5.0 THEN vi ELSE v END AS v0 FROM p),
-r AS (SELECT *, last_value(v0 IGNORE NULLS) OVER ({W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v1 FROM q),
-t AS (SELECT *, first_value(v1 IGNORE NULLS) OVER ({W_SQL} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v2 FROM r)
-SELECT n_name, o_orderpriority, period, round(CASE WHEN pct = 0 THEN v ELSE v2 END, {INTERP_DP}) AS v
-FROM t WHERE (CASE WHEN pct = 0 THEN v ELSE v2 END) IS NOT NULL
+@register("impute_policy", ids=("P14", "P6", "P10", "P11", "P13", "Q13"), sql=_INTERP_SQL + f"""
+SELECT n_name, o_orderpriority, period, round(v_out, {INTERP_DP}) AS v FROM u WHERE v_out IS NOT NULL
 """)
 def q_impute_policy(spark, sf):
     c = impute(P.panel_c(spark, sf, spine=True), KC, ["v"], threshold_pct=5.0)
     return c.select(*KC, "period", rnd("v", INTERP_DP).alias("v"))
 
 
-@register("low_gap_fill", ids=("P14", "P10", "P11"), sql=f"""
-WITH s AS (
-  SELECT c.c_nationkey, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS period,
-         sum(o.o_totalprice) AS v
+_B_GAP = """
+  SELECT c.c_nationkey, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS period, sum(o.o_totalprice) AS v
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   WHERE NOT (c.c_nationkey = 3 AND date_trunc('month', o.o_orderdate) = TIMESTAMP '1998-05-01')
-  GROUP BY 1, 2),
-g AS (SELECT c_nationkey, CAST(unnest(generate_series(CAST(min(period) AS TIMESTAMP), CAST(max(period) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS period
-      FROM s GROUP BY 1),
-j AS (SELECT g.c_nationkey, g.period, s.v FROM g LEFT JOIN s USING (c_nationkey, period)),
-p AS (SELECT *, round(avg(CASE WHEN v IS NULL THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY c_nationkey) * 100.0, 2) AS pct FROM j),
-r AS (SELECT *, last_value(v IGNORE NULLS) OVER (PARTITION BY c_nationkey ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v1 FROM p),
-t AS (SELECT *, first_value(v1 IGNORE NULLS) OVER (PARTITION BY c_nationkey ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v2 FROM r)
-SELECT c_nationkey, period, round(CASE WHEN pct = 0 THEN v ELSE v2 END, {MONEY_DP}) AS v, pct AS missing_pct FROM t
+  GROUP BY 1, 2"""
+_B_SPINE = f"""
+SELECT g.c_nationkey, g.period, s.v FROM
+ (SELECT c_nationkey, CAST(unnest(generate_series(CAST(min(period) AS TIMESTAMP), CAST(max(period) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS period
+  FROM ({_B_GAP}) s0 GROUP BY 1) g
+LEFT JOIN ({_B_GAP}) s USING (c_nationkey, period)"""
+
+
+@register("low_gap_fill", ids=("P14", "P10", "P11"), sql=impute_sql(_B_SPINE, ["c_nationkey"]) + f"""
+SELECT c_nationkey, period, round(v_out, {INTERP_DP}) AS v, pct AS missing_pct FROM u
 """)
 def q_low_gap_fill(spark, sf):
     """Panel B with one month of one nation blanked: the <=5 % branch (ffill)."""
@@ -114,7 +124,7 @@ def q_low_gap_fill(spark, sf):
     b = fill_spine(b, ["c_nationkey"])
     b = b.withColumn("missing_pct", missing_pct_window("v", ["c_nationkey"]))
     out = impute(b, ["c_nationkey"], ["v"], drop_all_missing=False)
-    return out.select("c_nationkey", "period", rnd("v", MONEY_DP).alias("v"), "missing_pct")
+    return out.select("c_nationkey", "period", rnd("v", INTERP_DP).alias("v"), "missing_pct")
 
 
 @register("quality_report", ids=("A3", "U3", "A14"), sql="""
