@@ -42,6 +42,13 @@ class SparkRel:
     def explode(self, name: str, array_expr: str) -> "SparkRel":
         return SparkRel(self.df.withColumn(name, F.explode(F.expr(array_expr))))
 
+    def join(self, other: "SparkRel", on: Sequence[str], how: str = "inner") -> "SparkRel":
+        return SparkRel(self.df.join(other.df, on=list(on), how=how))
+
+    def int_range(self, lo: int, hi: int) -> str:
+        """Array literal lo..hi inclusive."""
+        return f"sequence({int(lo)}, {int(hi)})"
+
 
 class SqlRel:
     dialect = "duckdb"
@@ -70,6 +77,13 @@ class SqlRel:
     def explode(self, name: str, array_expr: str) -> "SqlRel":
         return SqlRel(f"SELECT *, unnest({array_expr}) AS {name} FROM ({self.sql})")
 
+    def join(self, other: "SqlRel", on: Sequence[str], how: str = "inner") -> "SqlRel":
+        kind = {"inner": "JOIN", "left": "LEFT JOIN", "full": "FULL OUTER JOIN"}[how]
+        return SqlRel(f"SELECT * FROM ({self.sql}) {kind} ({other.sql}) USING ({', '.join(on)})")
+
+    def int_range(self, lo: int, hi: int) -> str:
+        return f"range({int(lo)}, {int(hi) + 1})"
+
 
 def div(a: str, b: str, dialect: str) -> str:
     if dialect == "spark":

@@ -35,21 +35,30 @@ def ok_expr(y: str, cols: Sequence[str]) -> str:
     return " AND ".join(f"({p})" for p in parts)
 
 
-def prepare(rel, keys: Sequence[str], y: str, xs: Sequence[str], complete_cols: Sequence[str] = ()):
-    """Flag complete rows and standardise regressors per series."""
+def prepare(rel, keys: Sequence[str], y: str, xs: Sequence[str], complete_cols: Sequence[str] = (),
+            center: bool = True):
+    """Flag complete rows and standardise regressors per series.
+
+    ``center=False`` (models without intercept) only rescales by the root
+    mean square, so the origin is kept.
+    """
     d = rel.dialect
-    k = len(xs)
     okc = ok_expr(y, list(xs) + [c for c in complete_cols if c not in xs and c != y])
     st1 = [(f"{P}ok", f"({okc})")]
     w = win(keys)
-    st2 = [(f"{P}my", f"avg(CASE WHEN {P}ok THEN {y} END) {w}")]
-    for j, x in enumerate(xs):
-        st2.append((f"{P}mx{j}", f"avg(CASE WHEN {P}ok THEN {x} END) {w}"))
-        st2.append((f"{P}sx{j}", f"stddev_pop(CASE WHEN {P}ok THEN {x} END) {w}"))
+    if center:
+        st2 = [(f"{P}my", f"avg(CASE WHEN {P}ok THEN {y} END) {w}")]
+        for j, x in enumerate(xs):
+            st2.append((f"{P}mx{j}", f"avg(CASE WHEN {P}ok THEN {x} END) {w}"))
+            st2.append((f"{P}sx{j}", f"stddev_pop(CASE WHEN {P}ok THEN {x} END) {w}"))
+    else:
+        st2 = [(f"{P}my", "0.0")]
+        for j, x in enumerate(xs):
+            st2.append((f"{P}mx{j}", "0.0"))
+            st2.append((f"{P}sx{j}", f"sqrt(avg(CASE WHEN {P}ok THEN {x} * {x} END) {w})"))
     st3 = [(f"{P}ty", f"CASE WHEN {P}ok THEN {y} - {P}my END")]
     for j, x in enumerate(xs):
         st3.append((f"{P}t{j}", f"CASE WHEN {P}ok THEN {div(f'{x} - {P}mx{j}', f'{P}sx{j}', d)} END"))
-    _ = k
     return rel.stages([st1, st2, st3])
 
 
@@ -66,26 +75,51 @@ def sum_exprs(k: int, over: str = "") -> list[tuple[str, str]]:
     return out
 
 
-def solve_from_sums(k: int, dialect: str, with_inverse: bool = False):
+def solve_from_sums(k: int, dialect: str, with_inverse: bool = False, active: Sequence[str] | None = None,
+                    intercept: bool | str = True):
     """Stages: centred C, c -> coefficients ``_ob{j}`` and intercept ``_oalpha``
-    of ``ty = alpha + sum b_j (t_j - tbar_j)``; optional ``_oCi{i}_{j}``."""
+    of ``ty = alpha + sum b_j (t_j - tbar_j)``; optional ``_oCi{i}_{j}``.
+
+    ``active[j]`` (SQL boolean) switches regressor j off: its row/column of
+    C become the identity and ``c_j = 0``, so ``b_j = 0`` and the others
+    solve the reduced system exactly -- many nested models from one set of
+    sums. ``intercept=False`` uses the uncentred moments.
+    """
     n = f"{P}n"
+    on = (lambda j: f"({active[j]})") if active is not None else (lambda j: "TRUE")
+    ic = _icpt(intercept)
     cen = []
     for i in range(k):
-        cen.append((f"{P}tb{i}", div(f"{P}S{i}", n, dialect)))
-        cen.append((f"{P}c{i}", f"{P}Qy{i} - {div(f'{P}S{i} * {P}Sy', n, dialect)}"))
+        cen.append((f"{P}tb{i}", f"CASE WHEN {ic} THEN {div(f'{P}S{i}', n, dialect)} ELSE 0.0 END"))
+        ci = f"{P}Qy{i} - CASE WHEN {ic} THEN {div(f'{P}S{i} * {P}Sy', n, dialect)} ELSE 0.0 END"
+        cen.append((f"{P}c{i}", f"CASE WHEN {on(i)} THEN {ci} ELSE 0.0 END"))
         for j in range(i + 1):
-            cen.append((f"{P}C{i}_{j}", f"{P}Q{i}_{j} - {div(f'{P}S{i} * {P}S{j}', n, dialect)}"))
+            cij = f"{P}Q{i}_{j} - CASE WHEN {ic} THEN {div(f'{P}S{i} * {P}S{j}', n, dialect)} ELSE 0.0 END"
+            other = "1.0" if i == j else "0.0"
+            cen.append((f"{P}C{i}_{j}", f"CASE WHEN {on(i)} AND {on(j)} THEN {cij} ELSE {other} END"))
     C = lambda i, j: f"{P}C{max(i, j)}_{min(i, j)}"
     stages = [cen]
     stages += cholesky_stages(C, k, P, dialect)
     stages += solve_stages(k, P, lambda i: f"{P}c{i}", lambda i: f"{P}b{i}", dialect)
-    stages.append([(f"{P}alpha", div(f"{P}Sy", n, dialect))])
+    stages.append([(f"{P}alpha", f"CASE WHEN {ic} THEN {div(f'{P}Sy', n, dialect)} ELSE 0.0 END")])
     if with_inverse:
         stages += inverse_stages(k, P, lambda i, j: f"{P}Ci{i}_{j}", dialect)
     return stages
 
 
+def _icpt(intercept: bool | str) -> str:
+    if isinstance(intercept, str):
+        return f"({intercept})"
+    return "TRUE" if intercept else "FALSE"
+
+
+def ssr_from_sums(k: int, dialect: str, intercept: bool | str = True) -> list:
+    """Residual sum of squares of the solved system: ``Syy - b'c``."""
+    syy = f"{P}Qyy - CASE WHEN {_icpt(intercept)} THEN {div(f'{P}Sy * {P}Sy', f'{P}n', dialect)} ELSE 0.0 END"
+    bc = " + ".join(f"{P}b{j} * {P}c{j}" for j in range(k)) or "0.0"
+    return [[(f"{P}ssr", f"greatest(({syy}) - ({bc}), 0.0)")]]
+
+
 def fitted_expr(k: int) -> str:
     """Prediction in original units from the standardised solution."""
     terms = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(k)) or "0.0"
