@@ -1,10 +1,14 @@
 """One expression text, two engines.
 
-Numeric kernels (normal equations, Cholesky, HAC sums) are written once as
-SQL expression strings. ``SparkRel`` applies them to a DataFrame with
-``F.expr`` (so they run as ordinary Catalyst expressions and windows);
-``SqlRel`` nests them as DuckDB sub-selects for the oracle. Only the few
-spellings that differ between the engines go through ``dialect``.
+Numeric kernels (normal equations, Cholesky, HAC sums, ARMA recursions)
+are written once as SQL expression text over a relation:
+
+* ``SparkRel`` applies them to a DataFrame with ``F.expr`` (ordinary
+  Catalyst expressions and windows, one projection per stage);
+* ``SqlRel`` nests the same text for DuckDB, which is the correctness oracle.
+
+Only the few spellings that differ between the engines go through
+``dialect``.
 """
 
 from __future__ import annotations
@@ -17,24 +21,74 @@ from pyspark.sql import functions as F
 from panelcast.functions.linalg import Stage
 
 
+
+class _TextRel:
+    dialect = ""
+
+    def _new(self, sql: str):
+        raise NotImplementedError
+
+    def stages(self, stages: Sequence[Stage]):
+        q = self.sql
+        for st in stages:
+            q = f"SELECT *, {', '.join(f'{e} AS {n}' for n, e in st)} FROM ({q})"
+        return self._new(q)
+
+    def filter(self, cond: str):
+        return self._new(f"SELECT * FROM ({self.sql}) WHERE {cond}")
+
+    def select(self, cols: Sequence[tuple[str, str]]):
+        from panelcast.plans.sqlbits import rewrite_round
+        return self._new(f"SELECT {', '.join(f'{rewrite_round(e)} AS {n}' for n, e in cols)} FROM ({self.sql})")
+
+    def group(self, keys: Sequence[str], aggs: Sequence[tuple[str, str]]):
+        sel = ", ".join(list(keys) + [f"{e} AS {n}" for n, e in aggs])
+        gb = f" GROUP BY {', '.join(keys)}" if keys else ""
+        return self._new(f"SELECT {sel} FROM ({self.sql}){gb}")
+
+    def join(self, other, on: Sequence[str], how: str = "inner"):
+        kind = {"inner": "JOIN", "left": "LEFT JOIN", "full": "FULL OUTER JOIN"}[how]
+        return self._new(f"SELECT * FROM ({self.sql}) {kind} ({other.sql}) USING ({', '.join(on)})", other)
+
+    def union_all(self, others: Sequence):
+        q = " UNION ALL ".join(f"SELECT * FROM ({r.sql})" for r in [self, *others])
+        out = self
+        for o in others:
+            out = out._new(out.sql, o)
+        return out._new(q)
+
+
 class SparkRel:
+    """Applies expression text to a DataFrame, one projection per stage.
+
+    (Building one nested ``spark.sql`` text instead was measured slower:
+    the parser and analyzer struggle with hundreds of nested sub-selects.)
+    """
     dialect = "spark"
 
     def __init__(self, df: DataFrame):
         self.df = df
 
     def stages(self, stages: Sequence[Stage]) -> "SparkRel":
+        # one selectExpr per stage: the JVM parses all expressions of the
+        # stage in one call (F.expr per expression costs a Py4J round trip)
         df = self.df
         for st in stages:
-            df = df.withColumns({n: F.expr(e) for n, e in st})
+            new = {n for n, _ in st}
+            keep = [f"`{c}`" for c in df.columns if c not in new]
+            df = df.selectExpr(*keep, *[f"{e} AS `{n}`" for n, e in st])
         return SparkRel(df)
 
     def filter(self, cond: str) -> "SparkRel":
-        return SparkRel(self.df.filter(F.expr(cond)))
+        return SparkRel(self.df.filter(cond))
+
+    def drop(self, names: Sequence[str]) -> "SparkRel":
+        gone = set(names)
+        return SparkRel(self.df.select(*[f"`{c}`" for c in self.df.columns if c not in gone]))
 
     def select(self, cols: Sequence[tuple[str, str]]) -> "SparkRel":
         from panelcast.plans.sqlbits import rewrite_round
-        return SparkRel(self.df.select(*[F.expr(rewrite_round(e)).alias(n) for n, e in cols]))
+        return SparkRel(self.df.selectExpr(*[f"{rewrite_round(e)} AS `{n}`" for n, e in cols]))
 
     def group(self, keys: Sequence[str], aggs: Sequence[tuple[str, str]]) -> "SparkRel":
         return SparkRel(self.df.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in aggs]))
@@ -45,41 +99,39 @@ class SparkRel:
     def join(self, other: "SparkRel", on: Sequence[str], how: str = "inner") -> "SparkRel":
         return SparkRel(self.df.join(other.df, on=list(on), how=how))
 
+    def union_all(self, others: Sequence["SparkRel"]) -> "SparkRel":
+        out = self.df
+        for o in others:
+            out = out.unionByName(o.df)
+        return SparkRel(out)
+
     def int_range(self, lo: int, hi: int) -> str:
         """Array literal lo..hi inclusive."""
         return f"sequence({int(lo)}, {int(hi)})"
 
 
-class SqlRel:
+def _raise_limit(spark, key: str, value: int) -> None:
+    """Nested stage queries need more fixed-point iterations than the
+    default 100; raise the limit, never lower one set by the cluster."""
+    cur = spark.conf.get(key, None)
+    if cur is None or int(cur) < value:
+        spark.conf.set(key, str(value))
+
+
+class SqlRel(_TextRel):
     dialect = "duckdb"
 
     def __init__(self, sql: str):
         self.sql = sql
 
-    def stages(self, stages: Sequence[Stage]) -> "SqlRel":
-        q = self.sql
-        for st in stages:
-            q = f"SELECT *, {', '.join(f'{e} AS {n}' for n, e in st)} FROM ({q})"
-        return SqlRel(q)
-
-    def filter(self, cond: str) -> "SqlRel":
-        return SqlRel(f"SELECT * FROM ({self.sql}) WHERE {cond}")
-
-    def select(self, cols: Sequence[tuple[str, str]]) -> "SqlRel":
-        from panelcast.plans.sqlbits import rewrite_round
-        return SqlRel(f"SELECT {', '.join(f'{rewrite_round(e)} AS {n}' for n, e in cols)} FROM ({self.sql})")
-
-    def group(self, keys: Sequence[str], aggs: Sequence[tuple[str, str]]) -> "SqlRel":
-        sel = ", ".join(list(keys) + [f"{e} AS {n}" for n, e in aggs])
-        gb = f" GROUP BY {', '.join(keys)}" if keys else ""
-        return SqlRel(f"SELECT {sel} FROM ({self.sql}){gb}")
+    def _new(self, sql: str, other=None) -> "SqlRel":
+        return SqlRel(sql)
 
     def explode(self, name: str, array_expr: str) -> "SqlRel":
         return SqlRel(f"SELECT *, unnest({array_expr}) AS {name} FROM ({self.sql})")
 
-    def join(self, other: "SqlRel", on: Sequence[str], how: str = "inner") -> "SqlRel":
-        kind = {"inner": "JOIN", "left": "LEFT JOIN", "full": "FULL OUTER JOIN"}[how]
-        return SqlRel(f"SELECT * FROM ({self.sql}) {kind} ({other.sql}) USING ({', '.join(on)})")
+    def drop(self, names: Sequence[str]) -> "SqlRel":
+        return SqlRel(f"SELECT * EXCLUDE ({', '.join(names)}) FROM ({self.sql})")
 
     def int_range(self, lo: int, hi: int) -> str:
         return f"range({int(lo)}, {int(hi) + 1})"

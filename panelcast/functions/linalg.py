@@ -1,18 +1,21 @@
 """Small dense linear algebra as staged column expressions.
 
 A k x k symmetric positive-definite system (k = number of regressors, a
-handful) is solved with an unrolled Cholesky factorisation. Each stage is a
-list of ``(name, sql_expression)`` assignments that reads only names from
-earlier stages; applied as successive projections the work stays inside
-whole-stage codegen, one solve per row, no Python worker.
-
-The same stages render for DuckDB, which is how the oracle SQL is built.
-Near-singular systems (non-positive pivot) give NULL, not an error.
+handful) is solved with an unrolled Cholesky factorisation ``C = L L'``.
+Each stage is a list of ``(name, sql_expression)`` assignments that reads
+only names from earlier stages; applied as successive projections the
+work stays inside whole-stage codegen, one solve per row, no Python.
+
+Stage j computes, with its pivot written inline, column j of L, the
+forward-substitution value ``z_j`` and row j of ``M = L^-1``; one last
+stage forms ``b = M' z`` and, if wanted, ``C^-1 = M' M``. That is k + 1
+projections per solve. The same stages render for DuckDB (the oracle).
+Non-positive pivots (singular or near-singular systems) give NULL.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,52 +33,33 @@ def _sum(terms: Sequence[str]) -> str:
     return " + ".join(f"({t})" for t in terms) if terms else "0.0"
 
 
-def cholesky_stages(C, k: int, p: str, dialect: str) -> list[Stage]:
-    """Lower factor ``{p}L_i_j`` of the matrix named ``C(i, j)`` (i >= j)."""
+def cholesky_solve_stages(C: Callable[[int, int], str], rhs: Callable[[int], str], k: int, p: str,
+                          out: Callable[[int], str], dialect: str,
+                          inv_out: Callable[[int, int], str] | None = None) -> list[Stage]:
+    """Solve ``C b = rhs``; ``b_i`` named ``out(i)``, ``(C^-1)_ij`` (i <= j)
+    named ``inv_out(i, j)`` when given."""
     L = lambda i, j: f"{p}L_{i}_{j}"
+    M = lambda i, j: f"{p}M_{i}_{j}"
+    z = lambda i: f"{p}z_{i}"
     stages: list[Stage] = []
     for j in range(k):
-        d = f"{C(j, j)} - ({_sum([f'{L(j, m)} * {L(j, m)}' for m in range(j)])})"
-        stages.append([(L(j, j), f"CASE WHEN ({d}) > 0 THEN sqrt({d}) END")])
-        below = []
+        piv = f"{C(j, j)} - ({_sum([f'{L(j, m)} * {L(j, m)}' for m in range(j)])})"
+        ljj = f"(CASE WHEN ({piv}) > 0 THEN sqrt({piv}) END)"
+        st = [(L(j, j), ljj)]
         for i in range(j + 1, k):
             num = f"{C(i, j)} - ({_sum([f'{L(i, m)} * {L(j, m)}' for m in range(j)])})"
-            below.append((L(i, j), div(num, L(j, j), dialect)))
-        if below:
-            stages.append(below)
-    return stages
-
-
-def solve_stages(k: int, p: str, rhs, out, dialect: str) -> list[Stage]:
-    """Solve L L' b = rhs given the factor ``{p}L_i_j``; results named ``out(i)``."""
-    L = lambda i, j: f"{p}L_{i}_{j}"
-    z = lambda i: f"{p}z_{i}"
-    stages: list[Stage] = []
-    for i in range(k):
-        num = f"{rhs(i)} - ({_sum([f'{L(i, m)} * {z(m)}' for m in range(i)])})"
-        stages.append([(z(i), div(num, L(i, i), dialect))])
-    for i in reversed(range(k)):
-        num = f"{z(i)} - ({_sum([f'{L(m, i)} * {out(m)}' for m in range(i + 1, k)])})"
-        stages.append([(out(i), div(num, L(i, i), dialect))])
-    return stages
-
-
-def inverse_stages(k: int, p: str, out, dialect: str) -> list[Stage]:
-    """Inverse of L L' from the factor: ``out(i, j)`` for i <= j."""
-    L = lambda i, j: f"{p}L_{i}_{j}"
-    M = lambda i, j: f"{p}M_{i}_{j}"  # noqa: E731  (M = L^-1, lower)
-    stages: list[Stage] = []
-    for i in range(k):
-        st = [(M(i, i), div("1.0", L(i, i), dialect))]
-        for j in range(i):
-            num = f"-({_sum([f'{L(i, m)} * {M(m, j)}' for m in range(j, i)])})"
-            st.append((M(i, j), div(num, L(i, i), dialect)))
+            st.append((L(i, j), div(num, ljj, dialect)))
+        st.append((z(j), div(f"{rhs(j)} - ({_sum([f'{L(j, m)} * {z(m)}' for m in range(j)])})", ljj, dialect)))
+        st.append((M(j, j), div("1.0", ljj, dialect)))
+        for m in range(j):
+            st.append((M(j, m), div(f"-({_sum([f'{L(j, r)} * {M(r, m)}' for r in range(m, j)])})", ljj, dialect)))
         stages.append(st)
-    inv = []
-    for i in range(k):
-        for j in range(i, k):
-            inv.append((out(i, j), _sum([f"{M(m, i)} * {M(m, j)}" for m in range(j, k)])))
-    stages.append(inv)
+    last = [(out(i), _sum([f"{M(m, i)} * {z(m)}" for m in range(i, k)])) for i in range(k)]
+    if inv_out is not None:
+        for i in range(k):
+            for j in range(i, k):
+                last.append((inv_out(i, j), _sum([f"{M(m, i)} * {M(m, j)}" for m in range(j, k)])))
+    stages.append(last)
     return stages
 
 

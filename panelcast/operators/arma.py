@@ -68,7 +68,7 @@ def adf(rel, G: Sequence[str], y: str, max_lag: int = 4, order: str = "period"):
     rel = rel.explode("adf_lag", rel.int_range(0, K))
     active = ["TRUE"] + [f"adf_lag >= {i}" for i in range(1, K + 1)]
     rel = rel.stages(solve_from_sums(k, d, with_inverse=True, active=active))
-    rel = rel.stages(ssr_from_sums(k, d))
+    rel = rel.stages(ssr_from_sums(k, d)).drop(ols.solve_scratch(k, True))
     n = f"{P}n"
     rel = rel.stages([[("_a_llf", f"-{n} / 2.0 * ({LN_2PI} + ln({div(f'{P}ssr', n, d)}) + 1.0)"),
                        ("_a_s2", div(f"{P}ssr", f"{n} - (adf_lag + 2)", d))],
@@ -98,7 +98,7 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
     # step 1: long autoregression -> innovation estimates e_t
     lx = [f"_h_wl{i}" for i in range(1, m + 1)]
     r1 = prepare(rel, G, "_h_w", lx)
-    r1 = r1.stages([sum_exprs(m, win(G))]).stages(solve_from_sums(m, dl))
+    r1 = r1.stages([sum_exprs(m, win(G))]).stages(solve_from_sums(m, dl)).drop(ols.solve_scratch(m))
     fit1 = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(m))
     r1 = r1.stages([[("_h_e", f"CASE WHEN {P}ok THEN {P}ty - ({P}alpha + {fit1}) END")]])
     keep = list(G) + [order, y, "d", "_h_w", "_h_e"] + [f"_h_wl{i}" for i in range(1, max_p + 1)]
@@ -121,7 +121,7 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
     active = [f"p >= {i}" for i in range(1, max_p + 1)] + [f"q >= {j}" for j in range(1, max_q + 1)]
     icpt = "d = 0"
     g = g.stages(solve_from_sums(k, dl, active=active, intercept=icpt))
-    g = g.stages(ssr_from_sums(k, dl, intercept=icpt))
+    g = g.stages(ssr_from_sums(k, dl, intercept=icpt)).drop(ols.solve_scratch(k))
     n = f"{P}n"
     npar = "(p + q + CASE WHEN d = 0 THEN 1 ELSE 0 END + 1)"
     g = g.stages([[("sigma2", div(f"{P}ssr", n, dl))],
@@ -144,10 +144,12 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
 
 
 def forecast_sql_stages(h: int, max_p: int = 3, max_q: int = 2, z: float = 1.96) -> list:
-    """Unrolled ARIMA forecast + psi-weight band as stages (both engines).
+    """Unrolled ARIMA forecast + psi-weight band as h + 1 stages (both engines).
 
-    Columns produced: ``f{s}`` (level forecast), ``lo{s}``, ``hi{s}`` for
-    s = 1..h. Used for the oracle and for short horizons.
+    Stage s computes the differenced forecast ``_f_w{s}``, the level
+    ``f{s}`` (integrated when d = 1), the psi-weight ``_f_psi{s}``, its
+    running sum ``_f_cum{s}`` and the running forecast-error variance
+    factor ``_f_v{s}``; the last stage forms ``lo{s}``/``hi{s}``.
     """
     def W(t):   # w at step t (t <= 0: observed; t >= 1: forecast)
         return f"_f_w{t}" if t >= 1 else f"w_t{-t}"
@@ -155,27 +157,30 @@ def forecast_sql_stages(h: int, max_p: int = 3, max_q: int = 2, z: float = 1.96)
     def E(t):
         return "0.0" if t >= 1 else f"e_t{-t}"
 
+    def psi(j):
+        return "1.0" if j == 0 else f"_f_psi{j}"
+
+    def cum(j):
+        return "1.0" if j == 0 else f"_f_cum{j}"
+
     stages = []
     for s in range(1, h + 1):
         terms = ["c"] + [f"phi{i} * {W(s - i)}" for i in range(1, max_p + 1)]
         terms += [f"theta{j} * {E(s - j)}" for j in range(1, max_q + 1)]
-        lvl = f"CASE WHEN d = 1 THEN {('last_y' if s == 1 else f'f{s - 1}')} + _f_w{s} ELSE _f_w{s} END"
-        stages.append([(f"_f_w{s}", " + ".join(terms))])
-        stages.append([(f"f{s}", lvl)])
-    # psi weights of the ARMA part, then of the level (cumulative when d = 1)
-    stages.append([("_f_psi0", "1.0"), ("_f_cum0", "1.0")])
-    for j in range(1, h):
-        t = [f"theta{j}"] if j <= max_q else []
-        t += [f"phi{i} * _f_psi{j - i}" for i in range(1, min(j, max_p) + 1)]
-        stages.append([(f"_f_psi{j}", " + ".join(t) if t else "0.0")])
-        stages.append([(f"_f_cum{j}", f"_f_cum{j - 1} + _f_psi{j}")])
-    acc = []
-    for s in range(1, h + 1):
-        ss = " + ".join(f"power(CASE WHEN d = 1 THEN _f_cum{j} ELSE _f_psi{j} END, 2)" for j in range(s))
-        acc.append((f"_f_se{s}", f"sqrt(sigma2 * ({ss}))"))
-    stages.append(acc)
-    stages.append([(f"lo{s}", f"f{s} - {z!r} * _f_se{s}") for s in range(1, h + 1)]
-                  + [(f"hi{s}", f"f{s} + {z!r} * _f_se{s}") for s in range(1, h + 1)])
+        w_s = " + ".join(terms)
+        prev = "last_y" if s == 1 else f"f{s - 1}"
+        t = [f"theta{s}"] if s <= max_q else []
+        t += [f"phi{i} * {psi(s - i)}" for i in range(1, min(s, max_p) + 1)]
+        psi_s = " + ".join(t) if t else "0.0"
+        v_prev = "0.0" if s == 1 else f"_f_v{s - 1}"
+        last = f"CASE WHEN d = 1 THEN {cum(s - 1)} ELSE {psi(s - 1)} END"
+        stages.append([(f"_f_w{s}", w_s),
+                       (f"f{s}", f"CASE WHEN d = 1 THEN {prev} + ({w_s}) ELSE ({w_s}) END"),
+                       (f"_f_psi{s}", psi_s),
+                       (f"_f_cum{s}", f"{cum(s - 1)} + ({psi_s})"),
+                       (f"_f_v{s}", f"{v_prev} + ({last}) * ({last})")])
+    stages.append([(f"lo{s}", f"f{s} - {z!r} * sqrt(sigma2 * _f_v{s})") for s in range(1, h + 1)]
+                  + [(f"hi{s}", f"f{s} + {z!r} * sqrt(sigma2 * _f_v{s})") for s in range(1, h + 1)])
     return stages
 
 
@@ -189,3 +194,37 @@ def forecast_rows(rel, G: Sequence[str], h: int, max_p: int = 3, max_q: int = 2,
         parts.append([(g, g) for g in G] + [("step", f"CAST({s} AS INT)"), ("period", per),
                                             ("yhat", f"f{s}"), ("lo", f"lo{s}"), ("hi", f"hi{s}")])
     return ols.union_selects(rel, parts)
+
+
+def backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int = 5, horizon: int = 6,
+                         complete_cols: Sequence[str] = (), min_train: int = 10, model: str = "ARIMA",
+                         max_p: int = 3, max_q: int = 2, adf_lags: int = 4, order: str = "period"):
+    """Rolling-origin ARIMA: refit per (series, fold) on that fold's complete
+    training rows, forecast ``horizon`` steps, pair the k-th step with the
+    k-th complete test row.
+
+    The (row, fold) pairs are generated in place by exploding fold indices
+    (K copies of the *resampled* series, never of raw data); grouping by
+    ``keys + fold_idx`` reuses the hash partitioning on ``keys``.
+    """
+    K, h = int(n_folds), int(horizon)
+    G = list(keys) + ["fold_idx"]
+    r = ols.positions(rel, keys, K, h, order)
+    r = r.explode("fold_idx", r.int_range(0, K - 1))
+    r = r.filter(f"pos < n_rows - ({K} - fold_idx - 1) * {h}")
+    okc = ols.ok_expr(y, [c for c in complete_cols if c != y])
+    r = r.stages([[("_b_ok", f"({okc})"),
+                   ("_b_test", f"pos >= n_rows - ({K} - fold_idx) * {h}")]])
+    r = _keep(r, G + [order, y, "_b_ok", "_b_test"])
+    train = r.filter("_b_ok AND NOT _b_test")
+    train = train.stages([[("_b_ntr", f"count(*) {win(G)}")]]).filter(f"_b_ntr >= {int(min_train)}")
+    train = _keep(train, G + [order, y])
+    d = adf(train, G, y, max_lag=adf_lags, order=order)
+    fit = hannan_rissanen(train, G, y, d, max_p=max_p, max_q=max_q, order=order)
+    fc = forecast_rows(fit, G, h, max_p, max_q)
+    fc = fc.select([(g, g) for g in G] + [("step", "step"), ("y_pred", "yhat")])
+    test = r.filter("_b_ok AND _b_test").stages([[("step", f"CAST(row_number() {win(G, order)} AS INT)")]])
+    test = test.select([(g, g) for g in G] + [("step", "step"), (order, order), ("y_true", y)])
+    j = test.join(fc, G + ["step"])
+    return j.select([(k, k) for k in keys] + [("model", f"'{model}'"), ("fold_idx", "CAST(fold_idx AS INT)"),
+                                               ("period", order), ("y_true", "y_true"), ("y_pred", "y_pred")])

@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from panelcast.functions.dual import SparkRel, div, win
-from panelcast.functions.linalg import cholesky_stages, inverse_stages, solve_stages
+from panelcast.functions.linalg import cholesky_solve_stages
 from panelcast.plans.sqlbits import round_text
 
 P = "_o"  # prefix of internal columns
@@ -97,16 +97,25 @@ def solve_from_sums(k: int, dialect: str, with_inverse: bool = False, active: Se
             cij = f"{P}Q{i}_{j} - CASE WHEN {ic} THEN {div(f'{P}S{i} * {P}S{j}', n, dialect)} ELSE 0.0 END"
             other = "1.0" if i == j else "0.0"
             cen.append((f"{P}C{i}_{j}", f"CASE WHEN {on(i)} AND {on(j)} THEN {cij} ELSE {other} END"))
+    cen.append((f"{P}alpha", f"CASE WHEN {ic} THEN {div(f'{P}Sy', n, dialect)} ELSE 0.0 END"))
     C = lambda i, j: f"{P}C{max(i, j)}_{min(i, j)}"
     stages = [cen]
-    stages += cholesky_stages(C, k, P, dialect)
-    stages += solve_stages(k, P, lambda i: f"{P}c{i}", lambda i: f"{P}b{i}", dialect)
-    stages.append([(f"{P}alpha", f"CASE WHEN {ic} THEN {div(f'{P}Sy', n, dialect)} ELSE 0.0 END")])
-    if with_inverse:
-        stages += inverse_stages(k, P, lambda i, j: f"{P}Ci{i}_{j}", dialect)
+    stages += cholesky_solve_stages(C, lambda i: f"{P}c{i}", k, P, lambda i: f"{P}b{i}", dialect,
+                                    (lambda i, j: f"{P}Ci{i}_{j}") if with_inverse else None)
     return stages
 
 
+def solve_scratch(k: int, with_inverse: bool = False, sums: bool = True) -> list[str]:
+    """Names a solve leaves behind that later steps never read."""
+    names = [f"{P}L_{i}_{j}" for i in range(k) for j in range(i + 1)]
+    names += [f"{P}M_{i}_{j}" for i in range(k) for j in range(i + 1)]
+    names += [f"{P}z_{i}" for i in range(k)]
+    names += [f"{P}C{i}_{j}" for i in range(k) for j in range(i + 1)]
+    if sums:
+        names += [f"{P}Q{i}_{j}" for i in range(k) for j in range(i + 1)] + [f"{P}Qy{i}" for i in range(k)]
+    return names
+
+
 def _icpt(intercept: bool | str) -> str:
     if isinstance(intercept, str):
         return f"({intercept})"
@@ -161,7 +170,7 @@ def backtest_predictions(rel, keys: Sequence[str], y: str, xs: Sequence[str], n_
     frame = win(keys, "seg", "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     r = r.stages([sum_exprs(k, frame)])
     r = r.filter(f"seg >= 0 AND {P}ok AND {P}n >= {int(min_train)}")
-    r = r.stages(solve_from_sums(k, d))
+    r = r.stages(solve_from_sums(k, d)).drop(solve_scratch(k))
     cols = [(c, c) for c in keys] + [("model", f"'{model}'"), ("fold_idx", "CAST(seg AS INT)"),
                                       ("period", "period"), ("y_true", y), ("y_pred", fitted_expr(k))]
     return r.select(cols)
@@ -197,7 +206,8 @@ def fit(rel, keys: Sequence[str], y: str, xs: Sequence[str], hac_lags: int = 6,
     r = prepare(rel, keys, y, xs, complete_cols).filter(f"{P}ok")
     # per-row solve from whole-series window sums -> residuals
     r = r.stages([sum_exprs(k, win(keys))])
-    r = r.stages(solve_from_sums(k, d))
+    r = r.stages(solve_from_sums(k, d)).drop(solve_scratch(k) + [f"{P}c{j}" for j in range(k)]
+                                              + [f"{P}S{j}" for j in range(k)] + [f"{P}Sy", f"{P}Qyy", f"{P}n"])
     resid = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(k)) or "0.0"
     r = r.stages([[(f"{P}g0", f"{P}ty - ({P}alpha + {resid})")]])
     r = r.stages([[(f"{P}g{j + 1}", f"{P}g0 * ({P}t{j} - {P}tb{j})") for j in range(k)]])
@@ -223,7 +233,7 @@ def fit(rel, keys: Sequence[str], y: str, xs: Sequence[str], hac_lags: int = 6,
         for nm in ("mx", "sx"):
             aggs.append((f"{P}{nm}{j}", f"first({P}{nm}{j})" if d == "spark" else f"any_value({P}{nm}{j})"))
     r = r.group(list(keys), aggs)
-    r = r.stages(solve_from_sums(k, d, with_inverse=True))
+    r = r.stages(solve_from_sums(k, d, with_inverse=True)).drop(solve_scratch(k, True, sums=False))
     r = r.stages([coef_exprs(k, d)])
     r = r.stages(_sandwich_stages(k, d, robust=L > 0))
     r = r.stages(_fit_stat_stages(k, d))
@@ -322,13 +332,13 @@ def coefficient_table(rel, keys: Sequence[str], xs: Sequence[str], dp: int = 6):
 def union_selects(rel, parts):
     """Several projections of one relation stacked as rows.
 
-    Spark: one ``explode(array(struct...))`` so the fit is computed once;
-    DuckDB: UNION ALL.
+    Spark: one ``explode(array(named_struct...))`` so the relation is
+    computed once; DuckDB: UNION ALL of the projections.
     """
+    from panelcast.plans.sqlbits import rewrite_round
     if isinstance(rel, SparkRel):
         from pyspark.sql import functions as F
         names = [n for n, _ in parts[0]]
-        from panelcast.plans.sqlbits import rewrite_round
         structs = [F.struct(*[F.expr(rewrite_round(e)).alias(n) for n, e in cols]) for cols in parts]
         out = rel.df.select(F.explode(F.array(*structs)).alias("_r")).select(*[F.col(f"_r.{n}").alias(n) for n in names])
         return SparkRel(out)

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from panelcast.functions.dual import SparkRel, SqlRel
-from panelcast.operators import ols
+from panelcast.operators import arma, ols
 from panelcast.operators.evaluate import fold_rows, fold_summary, folds, metrics, select_best
 from panelcast.plans.catalog import register
 from panelcast.plans.sqlbits import rnd
@@ -49,10 +49,10 @@ def q_fold_rows(spark, sf):
 def _pred_rel(rel):
     feats = feature_columns_d()
     o = ols.backtest_predictions(rel, KD, TARGET_D, OLS_XS, K_FOLDS, H, complete_cols=feats, model="OLS")
+    a = arma.backtest_predictions(rel, KD, TARGET_D, K_FOLDS, H, complete_cols=feats, model="ARIMA")
     n = ols.naive_backtest_predictions(rel, KD, TARGET_D, K_FOLDS, H, complete_cols=feats, model="naive")
-    if isinstance(rel, SparkRel):
-        return o.df.unionByName(n.df)
-    return f"({o.sql}) UNION ALL ({n.sql})"
+    u = o.union_all([a, n])
+    return u.df if isinstance(rel, SparkRel) else u.sql
 
 
 def predictions(spark, sf):
