@@ -1 +1,107 @@
-"""Queries (filled in as operators land)."""
+"""Stage 7 queries: sequence windows, scaling, chronological split, tree
+ensembles and the window regressor (model fits: rows-only checks)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelcast.operators import sequence as S
+from panelcast.operators import trees as T
+from panelcast.plans.catalog import register
+from panelcast.plans.featuresets import KD, TARGET_D, feature_columns_d, features_d, sql_features_d
+from panelcast.plans.sqlbits import rnd
+
+KEYS_SQL = ", ".join(KD)
+L = 3
+DP = 6
+W_SQL = f"PARTITION BY {KEYS_SQL} ORDER BY period"
+
+# tree settings used by the registered queries (the reference's grid is
+# sampled; iterations capped so a check at sf0.01 takes seconds, not hours)
+TREE_KW = dict(n_folds=5, horizon=6, n_trials=2, cv_splits=2, seed=42, max_iter_cap=20)
+
+
+@register("seq_windows", ids=("W7",), sql=f"""
+SELECT {KEYS_SQL}, period, {', '.join(f'round(lag({TARGET_D}, {i}) OVER ({W_SQL}), {DP}) AS x_l{i}' for i in range(L, 0, -1))},
+       round({TARGET_D}, {DP}) AS label
+FROM ({sql_features_d()}) f QUALIFY row_number() OVER ({W_SQL}) > {L}
+""")
+def q_seq_windows(spark, sf):
+    w = S.sequence_windows(features_d(spark, sf), KD, [TARGET_D], TARGET_D, L)
+    return w.select(*KD, "period", *[rnd(F.col("window")[L - i][TARGET_D], DP).alias(f"x_l{i}") for i in range(L, 0, -1)],
+                    rnd("label", DP).alias("label"))
+
+
+@register("scoring_windows", ids=("W8",), sql=f"""
+SELECT {KEYS_SQL}, period, {', '.join(f'round(coalesce(lag({TARGET_D}, {i}) OVER ({W_SQL}), 0.0), {DP}) AS x_l{i}' for i in range(L - 1, -1, -1))}
+FROM ({sql_features_d()}) f
+""")
+def q_scoring_windows(spark, sf):
+    w = S.scoring_windows(features_d(spark, sf), KD, [TARGET_D], L)
+    return w.select(*KD, "period", *[rnd(F.col("window")[L - 1 - i][TARGET_D], DP).alias(f"x_l{i}") for i in range(L - 1, -1, -1)])
+
+
+_MM = ["rate1", "rate2"]
+
+
+@register("minmax_scale", ids=("E15",), sql=f"""
+SELECT {KEYS_SQL}, period, {', '.join(f"round(CASE WHEN mx_{c} > mn_{c} THEN ({c} - mn_{c}) / (mx_{c} - mn_{c}) ELSE 0.0 END, {DP}) AS {c}_scaled" for c in _MM)}
+FROM ({sql_features_d()}) f
+LEFT JOIN (SELECT {KEYS_SQL}, {', '.join(f'min({c}) AS mn_{c}, max({c}) AS mx_{c}' for c in _MM)}
+           FROM ({sql_features_d()}) g WHERE period < DATE '2000-01-01' GROUP BY {KEYS_SQL}) s USING ({KEYS_SQL})
+""")
+def q_minmax(spark, sf):
+    f = features_d(spark, sf)
+    st = S.minmax_fit(f, KD, _MM, F.col("period") < F.to_date(F.lit("2000-01-01")))
+    out = S.minmax_apply(f, st, KD, _MM)
+    return out.select(*KD, "period", *[rnd(f"{c}_scaled", DP).alias(f"{c}_scaled") for c in _MM])
+
+
+@register("time_split", ids=("E17",), sql=f"""
+SELECT {KEYS_SQL}, period,
+       row_number() OVER ({W_SQL}) > count(*) OVER (PARTITION BY {KEYS_SQL}) - greatest(1, floor(count(*) OVER (PARTITION BY {KEYS_SQL}) * 0.15)) AS is_validation
+FROM ({sql_features_d()}) f
+""")
+def q_time_split(spark, sf):
+    return S.time_split(features_d(spark, sf), KD, 0.15).select(*KD, "period", "is_validation")
+
+
+def _tree_preds(spark, sf, variant, name):
+    p, params = T.fit_predict_folds(features_d(spark, sf), KD, TARGET_D, feature_columns_d(),
+                                    variant=variant, model_name=name, **TREE_KW)
+    return p.select(*KD, "model", "fold_idx", "period", rnd("y_true", DP).alias("y_true"),
+                    rnd("y_pred", DP).alias("y_pred"))
+
+
+@register("gbt_backtest", ids=("E10", "E12", "T6", "B2"))
+def q_gbt_backtest(spark, sf):
+    return _tree_preds(spark, sf, "gbt", "GradientBoosting")
+
+
+@register("rf_backtest", ids=("E11", "E12", "B2"))
+def q_rf_backtest(spark, sf):
+    return _tree_preds(spark, sf, "rf", "RandomForest")
+
+
+@register("tree_importances", ids=("E14", "T2"))
+def q_importances(spark, sf):
+    feats = features_d(spark, sf)
+    params = T.sample_trials("gbt", 1, 42)[0]
+    model = T.fit_full(feats, KD, TARGET_D, feature_columns_d(), params, "gbt", 42, TREE_KW["max_iter_cap"])
+    return T.importances(spark, model, feature_columns_d())
+
+
+@register("tree_scoring_fill", ids=("E13", "P10", "P12"), sql=f"""
+SELECT {KEYS_SQL}, period, round(coalesce(last_value(level_yoy_roll_std_3 IGNORE NULLS) OVER ({W_SQL} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0), {DP}) AS level_yoy_roll_std_3
+FROM ({sql_features_d()}) f
+""")
+def q_scoring_fill(spark, sf):
+    f = T.scoring_fill(features_d(spark, sf), KD, ["level_yoy_roll_std_3"])
+    return f.select(*KD, "period", rnd("level_yoy_roll_std_3", DP).alias("level_yoy_roll_std_3"))
+
+
+@register("sequence_backtest", ids=("E16", "E18", "W7", "E15", "E17"))
+def q_sequence_backtest(spark, sf):
+    p = S.sequence_backtest(features_d(spark, sf), KD, TARGET_D, ["rate1", "rate2"], lookback=12, max_iter=20)
+    return p.select(*KD, "model", "fold_idx", "period", rnd("y_true", DP).alias("y_true"),
+                    rnd("y_pred", DP).alias("y_pred"))
