@@ -1 +1,183 @@
-"""Queries (filled in as operators land)."""
+"""Stage 8 queries: descriptive statistics, report tables and text, chart
+data, evidence JSON, the end-to-end run."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from panelcast.operators import report as R
+from panelcast.operators.evaluate import fold_summary
+from panelcast.plans import panels as P
+from panelcast.plans.catalog import register
+from panelcast.plans.featuresets import FEAT_D, KD, OLS_XS, TARGET_D, features_d, sql_features_d
+from panelcast.plans.q_evaluate import SUMMARY_SQL, fold_metrics, ols_fit
+from panelcast.plans.q_forecast import _recursive_sql, recursive_ols
+from panelcast.plans.sqlbits import rnd
+
+KEYS_SQL = ", ".join(KD)
+DP = 6
+_STATS = ("n", "mean", "std", "min", "max", "latest")
+
+
+def _desc_sql(src: str, col: str) -> str:
+    return f"""SELECT {KEYS_SQL}, '{col}' AS "column", count({col}) AS n, round(avg({col}), {DP}) AS mean,
+       round(stddev_samp({col}), {DP}) AS std, round(min({col}), {DP}) AS min, round(max({col}), {DP}) AS max,
+       round(arg_max({col}, period) FILTER (WHERE {col} IS NOT NULL), {DP}) AS latest
+FROM ({src}) s GROUP BY {KEYS_SQL}"""
+
+
+@register("describe_series", ids=("A4", "A5"), sql=" UNION ALL ".join(
+    [_desc_sql(sql_features_d(), TARGET_D)] + [_desc_sql(P.SQL_D, c) for c in FEAT_D["exog"]]))
+def q_describe(spark, sf):
+    a = R.describe(features_d(spark, sf), KD, [TARGET_D])
+    b = R.describe(P.panel_d(spark, sf), KD, FEAT_D["exog"])
+    out = a.unionByName(b)
+    return out.select(*KD, "column", "n", *[rnd(s, DP).alias(s) for s in _STATS if s != "n"])
+
+
+@register("series_span", ids=("A5", "F4"), sql=f"""
+SELECT {KEYS_SQL}, strftime(min(period), '%Y-%m') AS start_date, strftime(max(period), '%Y-%m') AS end_date,
+       count(*) AS n_obs
+FROM ({sql_features_d()}) f GROUP BY {KEYS_SQL}
+""")
+def q_span(spark, sf):
+    return R.span(features_d(spark, sf), KD)
+
+
+def _fx(x: str, d: int) -> str:
+    return f"CASE WHEN {x} IS NULL OR isnan({x}) THEN 'N/A' ELSE printf('%.{d}f', {x}) END"
+
+
+_PREF = ("CASE WHEN model LIKE '%OLS%' THEN 0 WHEN model LIKE '%ARIMA%' THEN 1 "
+         "WHEN model LIKE '%GradientBoosting%' THEN 2 WHEN model LIKE '%LSTM%' THEN 3 ELSE 4 END")
+
+
+@register("comparison_md", ids=("K3", "F11", "F12"), sql=f"""
+SELECT {KEYS_SQL}, '| Model | MAE | RMSE | MAPE (%) |' || chr(10) || '|-------|-----|------|----------|' || chr(10) ||
+       string_agg('| ' || model || ' | ' || {_fx('mae_mean', 4)} || ' | ' || {_fx('rmse_mean', 4)} || ' | ' || {_fx('mape_mean', 2)} || ' |',
+                  chr(10) ORDER BY {_PREF}, model) AS comparison_md
+FROM ({SUMMARY_SQL}) s GROUP BY {KEYS_SQL}
+""")
+def q_comparison_md(spark, sf):
+    return R.comparison_table(fold_summary(fold_metrics(spark, sf), [*KD, "model"]), KD)
+
+
+def _coef_sql():
+    from panelcast.functions.dual import SqlRel
+    from panelcast.operators import ols
+    from panelcast.plans.q_evaluate import _ols_sql
+    return ols.coefficient_table(_ols_sql(), KD, OLS_XS, dp=10).sql
+
+
+_TERMS = ["const", *OLS_XS]
+_TERM_ORDER = "CASE " + " ".join(f"WHEN term = '{t}' THEN {i}" for i, t in enumerate(_TERMS)) + f" ELSE {len(_TERMS)} END"
+_STARS = "CASE WHEN p_value < 0.01 THEN '***' WHEN p_value < 0.05 THEN '**' WHEN p_value < 0.1 THEN '*' ELSE '' END"
+
+
+@register("ols_table_md", ids=("K2", "F8", "F11", "F12"), sql=f"""
+SELECT {KEYS_SQL}, string_agg('| ' || term || ' | ' || {_fx('coef', 4)} || {_STARS} || ' | ' || {_fx('std_err', 4)} || ' | '
+                              || {_fx('z_stat', 2)} || ' | ' || {_fx('p_value', 4)} || ' |', chr(10) ORDER BY {_TERM_ORDER}) AS coeff_table
+FROM ({_coef_sql()}) c GROUP BY {KEYS_SQL}
+""")
+def q_ols_table_md(spark, sf):
+    from panelcast.functions.dual import SparkRel
+    from panelcast.operators import ols
+    coef = ols.coefficient_table(SparkRel(ols_fit(spark, sf).df), KD, OLS_XS, dp=10).df
+    return R.coefficient_lines(coef, KD, _TERMS)
+
+
+@register("interpretation", ids=("F10",), sql=f"""
+SELECT {KEYS_SQL},
+  printf('A one-unit increase in rate1 is associated with a **%.4f** %s in the target (all else equal).', c1,
+         CASE WHEN c1 < 0 THEN 'decrease' ELSE 'increase' END) || ' ' ||
+  printf('A one-unit increase in rate2 is associated with a **%.4f** %s in the target.', c2,
+         CASE WHEN c2 < 0 THEN 'decline' ELSE 'increase' END) AS interpretation
+FROM (SELECT {KEYS_SQL}, coalesce(max(CASE WHEN term = 'rate1' THEN coef END), 0.0) AS c1,
+             coalesce(max(CASE WHEN term = 'rate2' THEN coef END), 0.0) AS c2
+      FROM ({_coef_sql()}) c GROUP BY {KEYS_SQL}) x
+""")
+def q_interpretation(spark, sf):
+    from panelcast.functions.dual import SparkRel
+    from panelcast.operators import ols
+    coef = ols.coefficient_table(SparkRel(ols_fit(spark, sf).df), KD, OLS_XS, dp=10).df
+    return R.interpretation(coef, KD, "rate1", "rate2")
+
+
+@register("forecast_md", ids=("T3", "F9", "F12", "K4"), sql=f"""
+WITH f AS ({_recursive_sql()})
+SELECT {KEYS_SQL},
+  string_agg(CASE WHEN step <= 12 THEN '| ' || strftime(period, '%Y-%m') || ' | ' || {_fx('yhat', 2)} || ' |' END, chr(10) ORDER BY step) AS forecast_table,
+  strftime(min(period), '%Y-%m') AS forecast_start,
+  CASE WHEN count(*) < 2 THEN '{R.TREND_SHORT}'
+       WHEN arg_max(yhat, step) > arg_min(yhat, step) + {R.TREND_BAND} THEN '{R.TREND_UP}'
+       WHEN arg_max(yhat, step) < arg_min(yhat, step) - {R.TREND_BAND} THEN '{R.TREND_DOWN}'
+       ELSE '{R.TREND_FLAT}' END AS trend_description,
+  count(*) AS forecast_horizon
+FROM f GROUP BY {KEYS_SQL}
+""")
+def q_forecast_md(spark, sf):
+    f = recursive_ols(spark, sf).withColumn("yhat", rnd("yhat", DP))
+    return R.forecast_table(f, KD)
+
+
+@register("chart_tail36", ids=("W9", "K6"), sql=f"""
+WITH h AS (SELECT {KEYS_SQL}, period, {TARGET_D} AS y FROM ({sql_features_d()}) f
+           QUALIFY row_number() OVER (PARTITION BY {KEYS_SQL} ORDER BY period DESC) <= 36),
+fc AS ({_recursive_sql()}),
+u AS (SELECT {KEYS_SQL}, 'forecast' AS chart, 'history' AS series, period AS x, round(y, {DP}) AS y FROM h
+      UNION ALL SELECT {KEYS_SQL}, 'forecast', 'forecast', period, yhat FROM fc)
+SELECT * FROM u UNION ALL
+SELECT DISTINCT {KEYS_SQL}, 'forecast', 'reference', x, 2.0 FROM u
+""")
+def q_chart_tail36(spark, sf):
+    hist = features_d(spark, sf).withColumn(TARGET_D, rnd(TARGET_D, DP))
+    fc = recursive_ols(spark, sf).withColumn("yhat", rnd("yhat", DP))
+    c = R.chart_data(hist, fc, KD, TARGET_D, 36, 2.0)
+    return c.select(*KD, "chart", "series", "x", "y")
+
+
+@register("metric_bars", ids=("K6",), sql=f"""
+SELECT {KEYS_SQL}, 'model_comparison' AS chart, m AS series, model, round(v, {DP}) AS value
+FROM (SELECT {KEYS_SQL}, model, 'mae' AS m, mae_mean AS v FROM ({SUMMARY_SQL}) a
+      UNION ALL SELECT {KEYS_SQL}, model, 'rmse', rmse_mean FROM ({SUMMARY_SQL}) b
+      UNION ALL SELECT {KEYS_SQL}, model, 'mape', mape_mean FROM ({SUMMARY_SQL}) c) t
+""")
+def q_metric_bars(spark, sf):
+    b = R.metric_bars(fold_summary(fold_metrics(spark, sf), [*KD, "model"]), KD)
+    return b.withColumn("value", rnd("value", DP))
+
+
+# ---- end-to-end --------------------------------------------------------------
+def run_cfg():
+    from panelcast.plans.pipeline import RunConfig
+    return RunConfig(keys=KD, level_col="level", target=TARGET_D, exog=["rate1", "rate2"], regressors=OLS_XS,
+                     max_lag=3, windows=[3], models=["OLS", "ARIMA", "naive"], data_source="lineitem panel")
+
+
+def run_panel_d(spark, sf):
+    from panelcast.plans.pipeline import run
+    return run(spark, P.panel_d(spark, sf), run_cfg())
+
+
+@register("pipeline_forecast", ids=("B3", "B5", "R1", "R2", "T1"))
+def q_pipeline_forecast(spark, sf):
+    return run_panel_d(spark, sf)["forecast"]
+
+
+@register("evidence_json", ids=("K1", "K2", "S5", "F14", "F15", "F16", "F17", "Q7"))
+def q_evidence_json(spark, sf):
+    return R.to_json_rows(run_panel_d(spark, sf)["evidence"], KD)
+
+
+@register("report_markdown", ids=("K4", "K5", "S7", "F11", "F12"))
+def q_report_markdown(spark, sf):
+    return run_panel_d(spark, sf)["markdown"]
+
+
+@register("evaluate_leaderboard", ids=("B4", "A10", "U2"))
+def q_evaluate(spark, sf):
+    from panelcast.plans.pipeline import evaluate
+    return evaluate(spark, P.panel_d(spark, sf), run_cfg())
+
+
+_ = F
