@@ -1,0 +1,80 @@
+"""Distribution functions that Spark SQL lacks, as vectorised pandas UDFs.
+
+Used only on post-aggregation rows (one per series and coefficient), never
+on raw rows.
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
+
+
+def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 300) -> np.ndarray:
+    """Continued fraction of the incomplete beta (modified Lentz), vectorised."""
+    tiny = 1e-300
+    qab, qap, qam = a + b, a + 1.0, a - 1.0
+    c = np.ones_like(x)
+    d = 1.0 - qab * x / qap
+    d = np.where(np.abs(d) < tiny, tiny, d)
+    d = 1.0 / d
+    h = d.copy()
+    for m in range(1, iters + 1):
+        m2 = 2 * m
+        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
+        d = 1.0 + aa * d
+        d = np.where(np.abs(d) < tiny, tiny, d)
+        c = 1.0 + aa / c
+        c = np.where(np.abs(c) < tiny, tiny, c)
+        d = 1.0 / d
+        h *= d * c
+        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
+        d = 1.0 + aa * d
+        d = np.where(np.abs(d) < tiny, tiny, d)
+        c = 1.0 + aa / c
+        c = np.where(np.abs(c) < tiny, tiny, c)
+        d = 1.0 / d
+        delta = d * c
+        h *= delta
+        if np.all(np.abs(delta - 1.0) < 1e-15):
+            break
+    return h
+
+
+def betainc(a, b, x) -> np.ndarray:
+    """Regularised incomplete beta I_x(a, b) for arrays."""
+    a, b, x = (np.asarray(v, dtype=float) for v in (a, b, x))
+    lg = np.vectorize(math.lgamma)
+    out = np.full(np.broadcast(a, b, x).shape, np.nan)
+    ok = (x >= 0) & (x <= 1) & (a > 0) & (b > 0)
+    front = np.exp(lg(a + b) - lg(a) - lg(b) + a * np.log(np.where(x > 0, x, 1.0)) + b * np.log(np.where(x < 1, 1 - x, 1.0)))
+    left = x < (a + 1.0) / (a + b + 2.0)
+    with np.errstate(all="ignore"):
+        r_left = front * _betacf(a, b, x) / a
+        r_right = 1.0 - front * _betacf(b, a, 1.0 - x) / b
+    res = np.where(left, r_left, r_right)
+    res = np.where(x == 0, 0.0, np.where(x == 1, 1.0, res))
+    out[ok] = res[ok] if res.shape else res
+    return out
+
+
+def t_two_sided_p_np(t, dof) -> np.ndarray:
+    """Two-sided Student-t p-value: I_{dof/(dof+t^2)}(dof/2, 1/2)."""
+    t = np.asarray(t, dtype=float)
+    dof = np.asarray(dof, dtype=float)
+    return betainc(dof / 2.0, 0.5, dof / (dof + t * t))
+
+
+@F.pandas_udf(DoubleType())
+def _t_p_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
+    return pd.Series(t_two_sided_p_np(t.to_numpy(), dof.to_numpy()))
+
+
+def t_two_sided_p(t: Column, dof: Column) -> Column:
+    """Column: two-sided p-value of a t statistic with ``dof`` degrees of freedom."""
+    return F.when(t.isNotNull() & dof.isNotNull() & (dof > 0), _t_p_udf(t.cast("double"), dof.cast("double")))

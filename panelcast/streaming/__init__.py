@@ -1,0 +1,8 @@
+"""Streaming.
+
+The surveyed project has no streaming operator (no watermarks, event-time
+windows, state or late data), so none is built here. Every operator in
+``panelcast.operators`` is a batch DataFrame transformation; the resample
+operators can be reused unchanged inside ``foreachBatch`` of a Structured
+Streaming query if incremental loading is ever needed.
+"""

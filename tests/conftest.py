@@ -22,3 +22,7 @@ def spark():
 
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
+
+
+def pytest_configure(config):
+    config.addinivalue_line("markers", "slow: end-to-end runs (a minute or more)")
