@@ -108,3 +108,37 @@ def recursive_linear_forecast(state: DataFrame, keys, target: str, xs: Sequence[
     out = out.select(*k, "last_period", F.posexplode("_out").alias("_i", "yhat"))
     return out.select(*k, (F.col("_i") + 1).alias("step"),
                       add_periods(F.col("last_period"), F.col("_i") + 1, freq).alias(PERIOD), "yhat")
+
+
+def recursive_model_forecast(state: DataFrame, keys, target: str, feature_cols: Sequence[str], model,
+                             h: int, freq: str = "month", history_col: str = "history",
+                             checkpoint_every: int = 4) -> DataFrame:
+    """Roll a fitted Spark ML regressor forward ``h`` steps per series.
+
+    ``state``: one row per series with the last feature values, ``history``
+    (last target values, oldest first) and ``last_period``. Each step
+    assembles the features, predicts, appends the prediction to the buffer
+    and refreshes the ``{target}_lag_{n}`` features from it; other features
+    are held at their last values. Step 1 uses the last row unchanged. The
+    loop runs on the small per-series table; every ``checkpoint_every``
+    steps its lineage is cut with a reliable ``checkpoint()`` (written to
+    ``spark.checkpoint.dir``) so a lost executor does not replay all steps.
+    """
+    from pyspark.ml.feature import VectorAssembler
+    k = _keys(keys)
+    lagged = {c: lag_index(c, target) for c in feature_cols}
+    va = VectorAssembler(inputCols=list(feature_cols), outputCol="_features", handleInvalid="keep")
+    cur = state.withColumn("_buf", F.col(history_col).cast("array<double>")) \
+               .withColumn("_out", F.array().cast("array<double>"))
+    for step in range(1, int(h) + 1):
+        pred = model.transform(va.transform(cur).withColumnRenamed("_features", model.getFeaturesCol()))
+        pred = pred.drop(model.getFeaturesCol())
+        cur = pred.withColumns({"_buf": F.concat("_buf", F.array(F.col(model.getPredictionCol()))),
+                                "_out": F.concat("_out", F.array(F.col(model.getPredictionCol())))})
+        cur = cur.drop(model.getPredictionCol())
+        cur = cur.withColumns({c: F.element_at("_buf", -n) for c, n in lagged.items() if n is not None})
+        if checkpoint_every and step % checkpoint_every == 0 and step < h:
+            cur = cur.checkpoint(eager=True)
+    out = cur.select(*k, "last_period", F.posexplode("_out").alias("_i", "yhat"))
+    return out.select(*k, (F.col("_i") + 1).alias("step"),
+                      add_periods(F.col("last_period"), F.col("_i") + 1, freq).alias(PERIOD), "yhat")

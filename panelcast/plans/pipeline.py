@@ -130,6 +130,15 @@ def final_forecasts(feats: DataFrame, best: DataFrame, cfg: RunConfig) -> tuple[
         af = arma.forecast_rows(arma.hannan_rissanen(base, k, cfg.target, arma.adf(base, k, cfg.target, 4)),
                                 k, cfg.final_horizon).df
         parts.append(af.select(*k, "step", "period", "yhat", "lo", "hi", F.lit("ARIMA").alias("source")))
+    if "GradientBoosting" in cfg.models:
+        from panelcast.operators.forecast import recursive_model_forecast
+        from panelcast.operators.trees import fit_full, sample_trials
+        fcols = cfg.feature_columns()
+        model = fit_full(feats, k, cfg.target, fcols, sample_trials("gbt", 1, 42)[0], "gbt", 42, 20)
+        tstate = last_rows(feats, k, fcols).join(last_values(feats, k, cfg.target, cfg.max_lag), k)
+        tf = recursive_model_forecast(tstate, k, cfg.target, fcols, model, cfg.final_horizon, cfg.freq)
+        parts.append(tf.withColumns({"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double"),
+                                     "source": F.lit("GradientBoosting")}))
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
@@ -249,7 +258,12 @@ def run(spark: SparkSession, panel: DataFrame, cfg: RunConfig, strict: bool = Fa
         from panelcast.operators.quality import validate_strict
         validate_strict(report)
     clean, feats = prepare(panel, cfg)
-    feats = feats.persist()
+    # the feature table is small next to the raw data; a reliable checkpoint
+    # (spark.checkpoint.dir, a shared folder on a cluster) cuts the lineage
+    # so the backtests restart from it, not from the raw scan, after a loss
+    from panelcast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    feats = feats.checkpoint(eager=True)
     # per-series results are small (series x models x folds); persisting them
     # keeps each backtest from being recomputed by every consumer below
     preds = backtest(feats, cfg).persist()

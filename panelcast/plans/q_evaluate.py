@@ -68,7 +68,7 @@ FOLD_METRICS_SQL = f"""SELECT {KEYS_SQL}, model, fold_idx, {_METRICS_SQL}
 FROM ({PRED_SQL}) p WHERE isfinite(y_true) AND isfinite(y_pred) GROUP BY {KEYS_SQL}, model, fold_idx"""
 
 
-@register("backtest_predictions", ids=("B2", "B3", "U2", "J5", "E4", "O4"), sql=f"""
+@register("backtest_predictions", ids=("B2", "B3", "U2", "J5", "E4", "O4", "Q3", "Q12"), sql=f"""
 SELECT {KEYS_SQL}, model, fold_idx, period, round(y_true, {DP}) AS y_true, round(y_pred, {DP}) AS y_pred
 FROM ({PRED_SQL}) p
 """)

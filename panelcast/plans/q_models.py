@@ -100,7 +100,7 @@ def q_scoring_fill(spark, sf):
     return f.select(*KD, "period", rnd("level_yoy_roll_std_3", DP).alias("level_yoy_roll_std_3"))
 
 
-@register("sequence_backtest", ids=("E16", "E18", "W7", "E15", "E17"))
+@register("sequence_backtest", ids=("E16", "E18", "W7", "E15", "E17", "Q4", "Q5"))
 def q_sequence_backtest(spark, sf):
     p = S.sequence_backtest(features_d(spark, sf), KD, TARGET_D, ["rate1", "rate2"], lookback=12, max_iter=20)
     return p.select(*KD, "model", "fold_idx", "period", rnd("y_true", DP).alias("y_true"),

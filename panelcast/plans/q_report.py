@@ -52,7 +52,7 @@ _PREF = ("CASE WHEN model LIKE '%OLS%' THEN 0 WHEN model LIKE '%ARIMA%' THEN 1 "
          "WHEN model LIKE '%GradientBoosting%' THEN 2 WHEN model LIKE '%LSTM%' THEN 3 ELSE 4 END")
 
 
-@register("comparison_md", ids=("K3", "F11", "F12"), sql=f"""
+@register("comparison_md", ids=("K3", "F11", "F12", "Q6"), sql=f"""
 SELECT {KEYS_SQL}, '| Model | MAE | RMSE | MAPE (%) |' || chr(10) || '|-------|-----|------|----------|' || chr(10) ||
        string_agg('| ' || model || ' | ' || {_fx('mae_mean', 4)} || ' | ' || {_fx('rmse_mean', 4)} || ' | ' || {_fx('mape_mean', 2)} || ' |',
                   chr(10) ORDER BY {_PREF}, model) AS comparison_md
