@@ -72,3 +72,9 @@ def test_build_features_required_subset(spark):
     # target starts at row 12, its lag 1 at row 13
     assert len(pdf) == 60 - 13
     assert {"t_lag_3", "x1_lag_1", "t_roll_std_3", "x1_alias"} <= set(pdf.columns)
+
+
+def test_unknown_columns_are_skipped(spark):
+    df = add_lags(monthly(spark, range(10)), ["key"], ["v", "not_there"], 2)
+    df = add_rolling(df, ["key"], ["not_there"], [3])
+    assert "v_lag_2" in df.columns and not any(c.startswith("not_there") for c in df.columns)
