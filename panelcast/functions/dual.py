@@ -109,6 +109,15 @@ class SparkRel:
         """Array literal lo..hi inclusive."""
         return f"sequence({int(lo)}, {int(hi)})"
 
+    def materialize(self) -> "SparkRel":
+        """Reliable checkpoint of a small intermediate result (one row per
+        series or per series and fold): cuts the lineage, so later stages
+        plan against a short scan and a lost executor does not replay the
+        chain. Written to the session's ``spark.checkpoint.dir``."""
+        from panelcast.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(self.df.sparkSession)
+        return SparkRel(self.df.checkpoint(eager=True))
+
 
 def _raise_limit(spark, key: str, value: int) -> None:
     """Nested stage queries need more fixed-point iterations than the
@@ -136,6 +145,9 @@ class SqlRel(_TextRel):
     def int_range(self, lo: int, hi: int) -> str:
         return f"range({int(lo)}, {int(hi) + 1})"
 
+    def materialize(self) -> "SqlRel":
+        return self
+
 
 def div(a: str, b: str, dialect: str) -> str:
     if dialect == "spark":

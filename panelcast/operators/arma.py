@@ -219,8 +219,8 @@ def backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int = 5, hor
     train = r.filter("_b_ok AND NOT _b_test")
     train = train.stages([[("_b_ntr", f"count(*) {win(G)}")]]).filter(f"_b_ntr >= {int(min_train)}")
     train = _keep(train, G + [order, y])
-    d = adf(train, G, y, max_lag=adf_lags, order=order)
-    fit = hannan_rissanen(train, G, y, d, max_p=max_p, max_q=max_q, order=order)
+    d = adf(train, G, y, max_lag=adf_lags, order=order).materialize()
+    fit = hannan_rissanen(train, G, y, d, max_p=max_p, max_q=max_q, order=order).materialize()
     fc = forecast_rows(fit, G, h, max_p, max_q)
     fc = fc.select([(g, g) for g in G] + [("step", "step"), ("y_pred", "yhat")])
     test = r.filter("_b_ok AND _b_test").stages([[("step", f"CAST(row_number() {win(G, order)} AS INT)")]])

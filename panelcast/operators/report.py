@@ -32,6 +32,7 @@ NO_METRICS = "_No model metrics available._"
 EMPTY_ROW_5 = "| — | — | — | — | — |"
 EMPTY_ROW_2 = "| — | — |"
 MISSING = "N/A"
+COMPARISON_HEADER = "| Model | MAE | RMSE | MAPE (%) |\n|-------|-----|------|----------|\n"
 
 
 def describe(df: DataFrame, keys, cols: Sequence[str], period_col: str = PERIOD) -> DataFrame:
@@ -77,7 +78,7 @@ def comparison_table(summary: DataFrame, keys, model_col: str = "model") -> Data
     line = F.format_string("| %s | %s | %s | %s |", F.col(model_col), fmt_fixed("mae_mean", 4),
                            fmt_fixed("rmse_mean", 4), fmt_fixed("mape_mean", 2))
     order = F.struct(preference_rank(model_col, MODEL_PREFERENCE), F.col(model_col))
-    header = "| Model | MAE | RMSE | MAPE (%) |\n|-------|-----|------|----------|\n"
+    header = COMPARISON_HEADER
     g = summary.groupBy(*k).agg(_ordered_lines(line, order).alias("_rows"), F.count(F.lit(1)).alias("_n"))
     return g.select(*k, F.when(F.col("_n") == 0, F.lit(NO_METRICS))
                          .otherwise(F.concat(F.lit(header), F.col("_rows"))).alias("comparison_md"))

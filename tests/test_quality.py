@@ -61,4 +61,4 @@ def test_validate_errors(spark):
     with pytest.raises(DataQualityError):
         validate_strict(rep)
     with pytest.raises(DataQualityError, match="Missing required columns"):
-        validate(short, ["key"], required=["UNRATE"])
+        validate(short, ["key"], required=["rate_missing"])
