@@ -50,15 +50,35 @@ def date_range_filter_raw(df: DataFrame, time_col: str, start=None, end=None,
     with literal bounds (pushed to Parquet), not on ``trunc(time_col)``.
     """
     lo, hi = period_bounds(start, end, freq)
+    lit = _time_literal(df, time_col)
     cond = None
     if lo is not None:
-        cond = F.col(time_col) >= F.lit(lo)
+        cond = F.col(time_col) >= lit(lo)
     if hi is not None:
-        c2 = F.col(time_col) < F.lit(hi)
+        c2 = F.col(time_col) < lit(hi)
         cond = c2 if cond is None else cond & c2
     return df if cond is None else df.filter(cond)
 
 
+def _time_literal(df: DataFrame, time_col: str):
+    """Literal builder in the column's own type, parsed from text.
+
+    A Python ``datetime`` literal is a session-zone TIMESTAMP; against a
+    TIMESTAMP_NTZ column that comparison would move with the session time
+    zone. Parsing the wall-clock text into the column's type is zone-free and
+    still constant-folds into a literal that reaches the Parquet scan.
+    """
+    dtype = df.schema[time_col].dataType.typeName()
+    def lit(x):
+        txt = F.lit(x.strftime("%Y-%m-%d %H:%M:%S"))
+        if dtype == "timestamp_ntz":
+            return F.to_timestamp_ntz(txt)
+        if dtype == "date":
+            return F.to_date(txt)
+        return F.to_timestamp(txt)
+    return lit
+
+
 def date_range_filter(df: DataFrame, start=None, end=None, period_col: str = PERIOD) -> DataFrame:
     """Inclusive filter on an already-resampled period column."""
     cond = F.lit(True)
