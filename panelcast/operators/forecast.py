@@ -49,11 +49,11 @@ def last_values(df: DataFrame, keys, col: str, n: int, period_col: str = PERIOD,
 
 
 def future_calendar(last: DataFrame, keys, h: int, freq: str = "month",
-                    last_col: str = "last_period") -> DataFrame:
-    """``(keys, step, period)`` for steps 1..h after ``last_col``."""
+                    last_col: str = "last_period", carry: Sequence[str] = ()) -> DataFrame:
+    """``(keys, step, period, carry...)`` for steps 1..h after ``last_col``."""
     k = _keys(keys)
-    out = last.select(*k, last_col, F.explode(F.sequence(F.lit(1), F.lit(int(h)))).alias("step"))
-    return out.select(*k, "step", add_periods(F.col(last_col), F.col("step"), freq).alias(PERIOD))
+    out = last.select(*k, last_col, *carry, F.explode(F.sequence(F.lit(1), F.lit(int(h)))).alias("step"))
+    return out.select(*k, "step", add_periods(F.col(last_col), F.col("step"), freq).alias(PERIOD), *carry)
 
 
 def naive_forecast(df: DataFrame, keys, y: str, h: int, freq: str = "month",
@@ -62,8 +62,7 @@ def naive_forecast(df: DataFrame, keys, y: str, h: int, freq: str = "month",
     k = _keys(keys)
     last = (df.filter(F.col(y).isNotNull()).groupBy(*k)
               .agg(F.max(period_col).alias("last_period"), F.max_by(F.col(y), F.col(period_col)).alias("yhat")))
-    cal = future_calendar(last, k, h, freq)
-    return cal.join(last.select(*k, "yhat"), on=k, how="inner") if k else cal.crossJoin(last.select("yhat"))
+    return future_calendar(last, k, h, freq, carry=["yhat"])
 
 
 def lag_index(col: str, target: str) -> int | None:

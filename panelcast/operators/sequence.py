@@ -71,7 +71,10 @@ def minmax_apply(df: DataFrame, stats: DataFrame, keys, cols: Sequence[str], suf
     """``(x - min) / (max - min)``; 0 when the range is 0. Joined on keys
     (co-partitioned with a keyed table; AQE may broadcast a small one)."""
     k = _keys(keys)
-    j = df.join(stats, on=k, how="left") if k else df.crossJoin(stats)
+    if k:
+        j = df.join(stats, on=k, how="left")
+    else:  # one series: the stats are one global row, a proven broadcast bound
+        j = df.withColumn("_all", F.lit(0)).join(F.broadcast(stats.withColumn("_all", F.lit(0))), "_all", "left").drop("_all")
     out = j.withColumns({f"{c}{suffix}": F.when(F.col(f"{c}__max") > F.col(f"{c}__min"),
                                                 (F.col(c) - F.col(f"{c}__min")) / (F.col(f"{c}__max") - F.col(f"{c}__min")))
                                           .otherwise(F.lit(0.0)) for c in cols})
