@@ -198,7 +198,8 @@ def forecast_rows(rel, G: Sequence[str], h: int, max_p: int = 3, max_q: int = 2,
 
 def backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int = 5, horizon: int = 6,
                          complete_cols: Sequence[str] = (), min_train: int = 10, model: str = "ARIMA",
-                         max_p: int = 3, max_q: int = 2, adf_lags: int = 4, order: str = "period"):
+                         max_p: int = 3, max_q: int = 2, adf_lags: int = 4, order: str = "period",
+                         long_ar: int | None = None):
     """Rolling-origin ARIMA: refit per (series, fold) on that fold's complete
     training rows, forecast ``horizon`` steps, pair the k-th step with the
     k-th complete test row.
@@ -220,7 +221,7 @@ def backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int = 5, hor
     train = train.stages([[("_b_ntr", f"count(*) {win(G)}")]]).filter(f"_b_ntr >= {int(min_train)}")
     train = _keep(train, G + [order, y])
     d = adf(train, G, y, max_lag=adf_lags, order=order).materialize()
-    fit = hannan_rissanen(train, G, y, d, max_p=max_p, max_q=max_q, order=order).materialize()
+    fit = hannan_rissanen(train, G, y, d, max_p=max_p, max_q=max_q, long_ar=long_ar, order=order).materialize()
     fc = forecast_rows(fit, G, h, max_p, max_q)
     fc = fc.select([(g, g) for g in G] + [("step", "step"), ("y_pred", "yhat")])
     test = r.filter("_b_ok AND _b_test").stages([[("step", f"CAST(row_number() {win(G, order)} AS INT)")]])

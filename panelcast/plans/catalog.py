@@ -46,4 +46,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all():
     # importing the modules fills REGISTRY
-    from panelcast.plans import q_arima, q_calendar, q_evaluate, q_features, q_forecast, q_models, q_quality, q_misc, q_report, q_sources  # noqa: F401
+    from panelcast.plans import q_arima, q_calendar, q_evaluate, q_features, q_forecast, q_models, q_quality, q_misc, q_panels, q_report, q_sources  # noqa: F401

@@ -34,23 +34,40 @@ def features_d(spark: SparkSession, sf: str) -> DataFrame:
     return build_features(P.panel_d(spark, sf), KD, **FEAT_D)
 
 
-def _w(frame: str = "") -> str:
-    return f"PARTITION BY {', '.join(KD)} ORDER BY period {frame}".strip()
+def sql_features(src: str, keys, level_col: str, target: str, exog=(), max_lag: int = 3, windows=(3,),
+                 change_periods: int = 12) -> str:
+    """``build_features`` (without differencing) as DuckDB SQL over ``src``."""
+    ex = list(exog)
 
-
-def sql_features_d() -> str:
-    t, ex = FEAT_D["target"], FEAT_D["exog"]
+    def w(frame: str = "") -> str:
+        return f"PARTITION BY {', '.join(keys)} ORDER BY period {frame}".strip()
     body = []
-    for c in [t] + ex:
-        for k in range(1, FEAT_D["max_lag"] + 1):
-            body.append(f"lag({c}, {k}) OVER ({_w()}) AS {c}_lag_{k}")
-    for c in [t] + ex:
-        for w in FEAT_D["windows"]:
-            fr = f"ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING"
-            body.append(f"avg({c}) OVER ({_w(fr)}) AS {c}_roll_mean_{w}")
-            body.append(f"stddev_samp({c}) OVER ({_w(fr)}) AS {c}_roll_std_{w}")
-    req = " AND ".join(f"{c} IS NOT NULL" for c in [t] + ex + [f"{t}_lag_1"])
+    for c in [target] + ex:
+        for k in range(1, max_lag + 1):
+            body.append(f"lag({c}, {k}) OVER ({w()}) AS {c}_lag_{k}")
+    for c in [target] + ex:
+        for n in windows:
+            fr = f"ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING"
+            body.append(f"avg({c}) OVER ({w(fr)}) AS {c}_roll_mean_{n}")
+            body.append(f"stddev_samp({c}) OVER ({w(fr)}) AS {c}_roll_std_{n}")
+    req = " AND ".join(f"{c} IS NOT NULL" for c in [target] + ex + [f"{target}_lag_1"])
+    chg = f"(({level_col} / nullif(lag({level_col}, {change_periods}) OVER ({w()}), 0)) - 1.0) * 100.0"
     return f"""SELECT * FROM (
 SELECT *, {', '.join(body)} FROM (
-SELECT *, ((level / nullif(lag(level, 12) OVER ({_w()}), 0)) - 1.0) * 100.0 AS {t} FROM ({P.SQL_D}) d0) d1) d2
+SELECT *, {chg} AS {target} FROM ({src}) d0) d1) d2
 WHERE {req}"""
+
+
+def feature_columns(level_col: str, target: str, exog=(), max_lag: int = 3, windows=(3,)) -> list[str]:
+    ex = list(exog)
+    cols = list(ex)
+    for c in [target] + ex:
+        cols += [f"{c}_lag_{k}" for k in range(1, max_lag + 1)]
+    for c in [target] + ex:
+        for n in windows:
+            cols += [f"{c}_roll_mean_{n}", f"{c}_roll_std_{n}"]
+    return [level_col] + cols
+
+
+def sql_features_d() -> str:
+    return sql_features(P.SQL_D, KD, "level", FEAT_D["target"], FEAT_D["exog"], FEAT_D["max_lag"], FEAT_D["windows"])
