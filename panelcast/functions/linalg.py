@@ -10,7 +10,8 @@ Stage j computes, with its pivot written inline, column j of L, the
 forward-substitution value ``z_j`` and row j of ``M = L^-1``; one last
 stage forms ``b = M' z`` and, if wanted, ``C^-1 = M' M``. That is k + 1
 projections per solve. The same stages render for DuckDB (the oracle).
-Non-positive pivots (singular or near-singular systems) give NULL.
+Pivots below ``PIVOT_TOL`` times their diagonal (singular or near-singular
+systems) give NULL.
 """
 
 from __future__ import annotations
@@ -22,6 +23,11 @@ from pyspark.sql import functions as F
 
 Stage = list[tuple[str, str]]
 
+# A pivot below this fraction of its diagonal entry means the regressors
+# are (numerically) collinear: the solve returns NULL instead of amplifying
+# rounding noise, the same way in Spark and in the oracle.
+PIVOT_TOL = 1e-10
+
 
 def div(a: str, b: str, dialect: str) -> str:
     if dialect == "spark":
@@ -44,7 +50,7 @@ def cholesky_solve_stages(C: Callable[[int, int], str], rhs: Callable[[int], str
     stages: list[Stage] = []
     for j in range(k):
         piv = f"{C(j, j)} - ({_sum([f'{L(j, m)} * {L(j, m)}' for m in range(j)])})"
-        ljj = f"(CASE WHEN ({piv}) > 0 THEN sqrt({piv}) END)"
+        ljj = f"(CASE WHEN ({piv}) > {PIVOT_TOL!r} * abs({C(j, j)}) THEN sqrt({piv}) END)"
         st = [(L(j, j), ljj)]
         for i in range(j + 1, k):
             num = f"{C(i, j)} - ({_sum([f'{L(i, m)} * {L(j, m)}' for m in range(j)])})"
