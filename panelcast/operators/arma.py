@@ -216,7 +216,9 @@ def backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int = 5, hor
     okc = ols.ok_expr(y, [c for c in complete_cols if c != y])
     r = r.stages([[("_b_ok", f"({okc})"),
                    ("_b_test", f"pos >= n_rows - ({K} - fold_idx) * {h}")]])
-    r = _keep(r, G + [order, y, "_b_ok", "_b_test"])
+    # read by three jobs (ADF, Hannan-Rissanen, the test-row join): cut the
+    # lineage once here (reliable checkpoint) instead of rescanning three times
+    r = _keep(r, G + [order, y, "_b_ok", "_b_test"]).materialize()
     train = r.filter("_b_ok AND NOT _b_test")
     train = train.stages([[("_b_ntr", f"count(*) {win(G)}")]]).filter(f"_b_ntr >= {int(min_train)}")
     train = _keep(train, G + [order, y])
