@@ -105,3 +105,18 @@ def q_sequence_backtest(spark, sf):
     p = S.sequence_backtest(features_d(spark, sf), KD, TARGET_D, ["rate1", "rate2"], lookback=12, max_iter=20)
     return p.select(*KD, "model", "fold_idx", "period", rnd("y_true", DP).alias("y_true"),
                     rnd("y_pred", DP).alias("y_pred"))
+
+
+@register("tree_recursive_forecast", ids=("R1", "E13", "W11", "W12"))
+def q_tree_recursive_forecast(spark, sf):
+    """Final GBT model rolled forward 12 months per series (target lags
+    refreshed from the prediction buffer, other features held)."""
+    from panelcast.operators.forecast import last_rows, last_values, recursive_model_forecast
+    from panelcast.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    feats = features_d(spark, sf)
+    cols = feature_columns_d()
+    model = T.fit_full(feats, KD, TARGET_D, cols, T.sample_trials("gbt", 1, 42)[0], "gbt", 42, TREE_KW["max_iter_cap"])
+    state = last_rows(feats, KD, cols).join(last_values(feats, KD, TARGET_D, 3), KD)
+    f = recursive_model_forecast(state, KD, TARGET_D, cols, model, 12)
+    return f.select(*KD, "step", "period", rnd("yhat", DP).alias("yhat"))
