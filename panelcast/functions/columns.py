@@ -104,12 +104,6 @@ def is_finite(col) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
 
 
-def nan_to_null(col) -> Column:
-    """Map NaN (a value in Spark) to SQL NULL (missing)."""
-    c = _c(col)
-    return F.when(F.isnan(c), F.lit(None).cast("double")).otherwise(c)
-
-
 def normal_cdf(z) -> Column:
     """Standard normal CDF from the Abramowitz-Stegun 7.1.26 erf approximation.
 

@@ -109,11 +109,6 @@ class SparkRel:
         """Array literal lo..hi inclusive."""
         return f"sequence({int(lo)}, {int(hi)})"
 
-    def persist(self) -> "SparkRel":
-        """Keep a small intermediate that several jobs read (recomputed
-        from lineage if an executor is lost)."""
-        return SparkRel(self.df.persist())
-
     def materialize(self) -> "SparkRel":
         """Reliable checkpoint of a small intermediate result (one row per
         series or per series and fold): cuts the lineage, so later stages
@@ -153,9 +148,6 @@ class SqlRel(_TextRel):
     def materialize(self) -> "SqlRel":
         return self
 
-    def persist(self) -> "SqlRel":
-        return self
-
 
 def div(a: str, b: str, dialect: str) -> str:
     if dialect == "spark":

@@ -18,9 +18,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
 Stage = list[tuple[str, str]]
 
 # A pivot below this fraction of its diagonal entry means the regressors
@@ -67,19 +64,3 @@ def cholesky_solve_stages(C: Callable[[int, int], str], rhs: Callable[[int], str
                 last.append((inv_out(i, j), _sum([f"{M(m, i)} * {M(m, j)}" for m in range(j, k)])))
     stages.append(last)
     return stages
-
-
-def apply_stages(df: DataFrame, stages: Sequence[Stage]) -> DataFrame:
-    """Apply stages as successive projections (Spark)."""
-    for st in stages:
-        df = df.withColumns({n: F.expr(e) for n, e in st})
-    return df
-
-
-def sql_stages(source_sql: str, stages: Sequence[Stage]) -> str:
-    """Nest stages as sub-selects (DuckDB)."""
-    q = source_sql
-    for st in stages:
-        cols = ", ".join(f"{e} AS {n}" for n, e in st)
-        q = f"SELECT *, {cols} FROM ({q})"
-    return q

@@ -67,11 +67,6 @@ def interp_time(col: str, keys, period_col: str = PERIOD) -> Column:
              .when(prev.isNotNull(), between))
 
 
-def fill_forward_backward(df: DataFrame, keys, cols: Sequence[str], period_col: str = PERIOD) -> DataFrame:
-    out = df.withColumns({c: ffill(c, keys, period_col) for c in cols})
-    return out.withColumns({c: bfill(c, keys, period_col) for c in cols})
-
-
 def impute(df: DataFrame, keys, value_cols: Sequence[str], threshold_pct: float = 5.0,
            period_col: str = PERIOD, drop_all_missing: bool = True) -> DataFrame:
     """Per (series, column) policy: 0 % missing -> unchanged; <= threshold ->

@@ -174,10 +174,6 @@ def run_metadata(params: Mapping) -> dict:
             "config_hash": hashlib.sha256(blob.encode()).hexdigest()[:8]}
 
 
-def config_hash_col(params_json: Column) -> Column:
-    return F.substring(F.sha2(params_json, 256), 1, 8)
-
-
 def nan_safe(col: Column) -> Column:
     """NaN -> NULL before JSON, so no bare NaN token is written."""
     return F.when(F.isnan(col), F.lit(None).cast("double")).otherwise(col)

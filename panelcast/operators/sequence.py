@@ -81,10 +81,6 @@ def minmax_apply(df: DataFrame, stats: DataFrame, keys, cols: Sequence[str], suf
     return out.drop(*[f"{c}__{s}" for c in cols for s in ("min", "max")])
 
 
-def minmax_inverse(col: str, lo: str, hi: str) -> Column:
-    return F.col(col) * (F.col(hi) - F.col(lo)) + F.col(lo)
-
-
 def time_split(df: DataFrame, keys, fraction: float = 0.15, period_col: str = PERIOD,
                name: str = "is_validation") -> DataFrame:
     """Chronological split per series: the last ``max(1, floor(n * fraction))``

@@ -252,7 +252,12 @@ def markdown(ev: DataFrame, coef: DataFrame, fc: DataFrame, board: DataFrame, cf
 
 
 def run(spark: SparkSession, panel: DataFrame, cfg: RunConfig, strict: bool = False) -> dict[str, DataFrame]:
-    """Full pipeline; returns the named result tables (lazy, feature table persisted)."""
+    """Full pipeline; returns the named result tables.
+
+    The feature table is checkpointed; the small per-series results
+    (predictions, leaderboard, best, forecast, fit) are persisted because
+    several outputs read them -- the caller owns them and may ``unpersist()``.
+    """
     report = validate(panel, cfg.keys, required=[cfg.level_col, *cfg.exog], min_obs=cfg.min_obs)
     if strict:
         from panelcast.operators.quality import validate_strict

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelcast.operators.calendar import date_range_filter, date_range_filter_raw, fill_spine, resample_last
+from panelcast.operators.calendar import date_range_filter, date_range_filter_raw, resample_last
 from panelcast.operators.align import outer_align, pivot_align
 from panelcast.plans import panels as P
 from panelcast.plans.catalog import register

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from panelcast.operators.quality import (
     bfill,
     ffill,
-    fill_forward_backward,
     impute,
     interp_time,
     missing_pct,
@@ -160,5 +159,3 @@ def q_fill_scoring(spark, sf):
     c = P.panel_c(spark, sf, spine=True)
     return c.select(*KC, "period", rnd(F.coalesce(ffill("v", KC), F.lit(0.0)), MONEY_DP).alias("v_scoring"))
 
-
-_ = fill_forward_backward  # re-exported helper used by the pipeline
