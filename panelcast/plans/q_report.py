@@ -174,10 +174,20 @@ def q_report_markdown(spark, sf):
     return run_panel_d(spark, sf)["markdown"]
 
 
-@register("evaluate_leaderboard", ids=("B4", "A10", "U2"))
+_BOARD_COLS = [f"{m}_{st}" for m in ("mae", "rmse", "mape") for st in ("mean", "std", "min", "max")]
+
+
+@register("evaluate_leaderboard", ids=("B4", "A10", "U2"), sql=f"""
+SELECT {KEYS_SQL}, model, {', '.join(f'round({c}, {DP}) AS {c}' for c in _BOARD_COLS)}, n_folds,
+       CASE model WHEN 'OLS' THEN 0 WHEN 'ARIMA' THEN 1 WHEN 'naive' THEN 2 END AS model_order
+FROM ({SUMMARY_SQL}) s
+""")
 def q_evaluate(spark, sf):
+    """The evaluate entry: impute, features, backtest OLS / ARIMA / naive,
+    summary per model (no refit, no report)."""
     from panelcast.plans.pipeline import evaluate
-    return evaluate(spark, P.panel_d(spark, sf), run_cfg())
+    b = evaluate(spark, P.panel_d(spark, sf), run_cfg())
+    return b.select(*KD, "model", *[rnd(c, DP).alias(c) for c in _BOARD_COLS], "n_folds", "model_order")
 
 
 _ = F
