@@ -106,13 +106,16 @@ def q_fold_summary(spark, sf):
     return s.select(*KD, "model", *[rnd(c, DP).alias(c) for c in _SUM_COLS], "n_folds")
 
 
-@register("best_model", ids=("T1", "F13", "Q8"), sql=f"""
+BEST_SQL = f"""
 SELECT {KEYS_SQL}, model AS best_model, round(rmse_mean, {DP}) AS best_rmse
 FROM (SELECT *, row_number() OVER (PARTITION BY {KEYS_SQL} ORDER BY rmse_mean ASC NULLS LAST, mae_mean, mape_mean,
              CASE WHEN model LIKE '%OLS%' THEN 0 WHEN model LIKE '%ARIMA%' THEN 1
                   WHEN model LIKE '%GradientBoosting%' THEN 2 WHEN model LIKE '%LSTM%' THEN 3 ELSE 4 END, model) AS rk
       FROM ({SUMMARY_SQL}) s) r WHERE rk = 1
-""")
+"""
+
+
+@register("best_model", ids=("T1", "F13", "Q8"), sql=BEST_SQL)
 def q_best_model(spark, sf):
     s = fold_summary(fold_metrics(spark, sf), [*KD, "model"])
     b = select_best(s, KD, list_order=None)

@@ -159,9 +159,35 @@ def run_panel_d(spark, sf):
     return run(spark, P.panel_d(spark, sf), run_cfg())
 
 
-@register("pipeline_forecast", ids=("B3", "B5", "R1", "R2", "T1"))
+def _pipeline_forecast_sql() -> str:
+    from panelcast.functions.dual import SqlRel
+    from panelcast.operators import arma
+    from panelcast.plans.q_arima import arima_fit
+    from panelcast.plans.q_evaluate import BEST_SQL
+    from panelcast.plans.q_forecast import H_FINAL
+    arima = arma.forecast_rows(arima_fit(SqlRel(sql_features_d())), KD, H_FINAL).sql
+    naive = f"""SELECT {KEYS_SQL}, CAST(s AS INT) AS step, CAST(last_period + to_months(CAST(s AS INTEGER)) AS DATE) AS period,
+       yhat FROM (SELECT {KEYS_SQL}, max(period) AS last_period, arg_max({TARGET_D}, period) AS yhat
+       FROM ({sql_features_d()}) f WHERE {TARGET_D} IS NOT NULL GROUP BY {KEYS_SQL}) l, generate_series(1, {H_FINAL}) AS g(s)"""
+    out = "round(yhat, 4) AS yhat, round(lo, 4) AS lo, round(hi, 4) AS hi"
+    return f"""WITH b AS ({BEST_SQL}),
+o AS ({_recursive_sql()}),
+a AS ({arima}),
+n AS ({naive})
+SELECT {KEYS_SQL}, step, period, round(yhat, 4) AS yhat, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, 'OLS' AS source
+FROM o JOIN b USING ({KEYS_SQL}) WHERE b.best_model = 'OLS'
+UNION ALL
+SELECT {KEYS_SQL}, step, period, {out}, 'ARIMA' FROM a JOIN b USING ({KEYS_SQL}) WHERE b.best_model = 'ARIMA'
+UNION ALL
+SELECT {KEYS_SQL}, step, period, round(yhat, 4), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 'last_value'
+FROM n JOIN b USING ({KEYS_SQL}) WHERE b.best_model NOT IN ('OLS', 'ARIMA')"""
+
+
+@register("pipeline_forecast", ids=("B3", "B5", "R1", "R2", "T1"), sql=_pipeline_forecast_sql())
 def q_pipeline_forecast(spark, sf):
-    return run_panel_d(spark, sf)["forecast"]
+    f = run_panel_d(spark, sf)["forecast"]
+    return f.select(*KD, F.col("step").cast("int").alias("step"), "period", rnd("yhat", 4).alias("yhat"),
+                    rnd("lo", 4).alias("lo"), rnd("hi", 4).alias("hi"), "source")
 
 
 @register("evidence_json", ids=("K1", "K2", "S5", "F14", "F15", "F16", "F17", "Q7"))
