@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,6 +75,26 @@ def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` with this subpackage at hand on every executor."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors once per application, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_llm_shipped", False):
+        return
+    here = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="llm-ship-")) / f"{here.parent.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(here.parent.rglob("*.py")):
+            z.write(f, f.relative_to(here.parent.parent))
+    sc.addPyFile(str(target))
+    sc._llm_shipped = True
+
+
 def map_slices(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list] | None]],
                schema: str) -> DataFrame:
     """``mapInArrow`` over slices of at most SLICE rows as column lists.
@@ -92,7 +114,7 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dic
                 if out is not None:
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def _struct(spark: SparkSession, schema: str):

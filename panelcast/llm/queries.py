@@ -10,6 +10,29 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm import token_output as T
+
+    path = T.scratch_files(spark)
+    T.write_token_files(_table(spark, sf_dir, "documents"), path, tokenizer=_tokenizer("word_bpe_49k.json"),
+                        cut="space_free", end_id=1)
+    return T.read_back(spark, path)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm.packing import pack_documents
+
+    packed = pack_documents(_table(spark, sf_dir, "documents"), tokenizer=_tokenizer("byte_bpe_50k.json"),
+                            cut="space_led", end_id=0)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.llm.simhash_dedup import near_duplicates
 
@@ -30,6 +53,8 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_output": op1_token_output,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
     "op9_quality_rules": op9_quality_rules,
 }

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import LOWER_AZ, map_slices, written
+from panelcast.llm.common import LOWER_AZ, map_arrow, map_slices, written
 from panelcast.llm.components import components
 
 BLOCK = 4096
@@ -195,7 +195,7 @@ def candidate_links(nodes: DataFrame, *, radius: int = 2, blocks: int = 4) -> Da
         if held:
             yield batch_of(emit(columns(rest), True)[0])
 
-    return spread.mapInArrow(compare, "a long, b long").distinct()
+    return map_arrow(spread, compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 2, blocks: int = 4) -> DataFrame:
