@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import quality_rules
+from panelcast.llm import decontaminate, pii, quality_rules
 from panelcast.llm.common import written
+from panelcast.llm.packing import pack_documents
 from panelcast.llm.simhash_dedup import keep_one
 
 
@@ -28,7 +30,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return keep_one(docs, shingle=3, radius=2)
 
 
-STAGES = [("quality_rules", quality), ("simhash_near_dedup", near_duplicates)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked."""
+    return pii.redact(docs, pii.train(docs))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all documents' pieces in training sequences."""
+    return pack_documents(docs, tokenizer=public_tokenizers.path("byte_bpe_50k.json"), cut="space_led", end_id=0)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontaminated),
+    ("pii", personal_data),
+    ("best_fit_packing", packed),
+]
 
 #: Not expressible in SQL: fingerprints, tokenizers and trained models take part.
 ORACLE_SQL = None

@@ -25,6 +25,12 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.read_back(spark, path)
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm.decontaminate import contaminations
+
+    return contaminations(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.llm.packing import pack_documents
 
@@ -40,6 +46,19 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm import pii
+
+    docs = _table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+
+    def listed(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.llm import quality_rules as Q
     from panelcast.llm.common import written
@@ -54,8 +73,10 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_output": op1_token_output,
+    "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
 }
 
