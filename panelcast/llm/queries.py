@@ -46,6 +46,27 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm import quality_classifier as C
+    from panelcast.llm.common import doc_crc
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(doc_crc(F.col("doc_id")) % 3 == 1, F.lit(False))
+    weights = C.train(docs.where(~held_out), _table(spark, sf_dir, "labels"))
+    return C.score(docs, weights).select("doc_id", held_out.alias("held_out"), "score",
+                                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm import language_id as L
+    from panelcast.llm.common import doc_crc
+
+    docs = _table(spark, sf_dir, "documents")
+    held_out = F.coalesce(doc_crc(F.col("doc_id")) % 4 == 2, F.lit(False))
+    model = L.train(docs.where(~held_out))
+    return L.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.llm import pii
 
@@ -79,6 +100,8 @@ QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_language_id": op7_language_id,
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
 }
