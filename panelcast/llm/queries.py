@@ -95,6 +95,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op10_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm.common import doc_crc
+    from panelcast.llm.hmm_lm import score
+
+    training = F.coalesce(doc_crc(F.col("doc_id")) % 5 != 1, F.lit(True))
+    scored = score(_table(spark, sf_dir, "documents"), training)
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score")
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -104,6 +114,7 @@ QUERIES = {
     "op7_language_id": op7_language_id,
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
+    "op10_hmm_scoring": op10_hmm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {}
