@@ -46,6 +46,13 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm.substring_dedup import deduplicate
+
+    found = deduplicate(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.llm import quality_classifier as C
     from panelcast.llm.common import doc_crc
@@ -110,6 +117,7 @@ QUERIES = {
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_simhash_near_dedup": op4_simhash_near_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_language_id": op7_language_id,
     "op8_pii": op8_pii,
