@@ -274,8 +274,8 @@ def baum_welch(chunks: DataFrame, classes: np.ndarray, *, states: int, rounds: i
         for r in sums:
             flat[r.k] = r.v
         shared.unpersist()
-        if not flat.any():
-            return model
+        if not flat.any():  # nothing to learn from: every state emits the classes as counted
+            return Hmm(model.start, model.moves, np.tile(classes, (states, 1)))
         model = Hmm.of_counts(flat, states, classes, weight)
     return model
 

@@ -125,4 +125,73 @@ QUERIES = {
     "op10_hmm_scoring": op10_hmm_scoring,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+def _op5_sql() -> str:
+    return f"""
+WITH w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM (
+       SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents)),
+runs AS (SELECT doc_id, i, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS run,
+       count(*) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS n FROM w),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS k FROM runs WHERE n = 20) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, i + j AS i FROM again, (SELECT unnest(range(20)) AS j)),
+kept AS (SELECT w.doc_id, w.i, w.word, g.i IS NOT NULL AS gone FROM w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.i = g.i),
+per AS (SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+       string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS kept FROM kept GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN per ON d.doc_id = per.doc_id"""
+
+
+def _op9_sql() -> str:
+    from panelcast.llm import quality_rules as Q
+
+    risk, level = 0.05, 0.05
+    grid = ", ".join(map(str, Q.GRID))
+    share = {
+        "symbol_share": "n_symbols / nullif(word_chars, 0)", "bang_share": "n_bangs / nullif(n_words, 0)",
+        "capital_share": "n_capitals / nullif(word_chars, 0)", "dup_line_share": "n_dup_lines / nullif(n_lines, 0)",
+        "repeat_share": "n_repeat_words / nullif(n_words, 0)",
+    }
+    tested = " UNION ALL ".join(f"SELECT doc_id, stratum, '{r}' AS rule, coalesce({v}, 0.0) AS v FROM m WHERE NOT base_failed"
+                                for r, v in share.items())
+    p = risk / len(Q.RULES)
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(lang, 'und') AS stratum, coalesce(text, '') AS text FROM documents),
+t AS (SELECT doc_id, stratum, text, regexp_extract_all(text, '{_WORD}') AS ws,
+       list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS ls FROM d),
+w AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM t),
+g AS (SELECT doc_id, i, [word, lead(word, 1) OVER o, lead(word, 2) OVER o] AS gram, lead(word, 2) OVER o AS last FROM w
+       WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+many AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS n FROM g WHERE last IS NOT NULL) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n_repeat_words FROM many, (SELECT unnest([0, 1, 2]) AS j) GROUP BY doc_id),
+m0 AS (SELECT t.doc_id, stratum, CAST(len(ws) AS BIGINT) AS n_words,
+       CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+       CAST(length(text) - length(regexp_replace(text, '[{Q.SYMBOLS}]', '', 'g')) AS BIGINT) AS n_symbols,
+       CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+       len(ls) AS n_lines, length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) AS n_capitals,
+       length(text) - length(replace(text, '!', '')) AS n_bangs
+     FROM t LEFT JOIN rep ON t.doc_id = rep.doc_id),
+m AS (SELECT *, n_words < {Q.MIN_WORDS} OR 100 * n_repeat_words > {Q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m0),
+l AS (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+tested AS ({tested}),
+c AS (SELECT stratum, rule, cutoff, count(*) FILTER (WHERE quality = 1) AS n,
+       count(*) FILTER (WHERE quality = 1 AND v > cutoff) AS k, count(*) FILTER (WHERE quality = 0 AND v > cutoff) AS caught
+     FROM tested JOIN l USING (doc_id), (SELECT unnest([{grid}]) AS cutoff) GROUP BY ALL),
+tails AS (SELECT stratum, rule, cutoff, caught, CASE WHEN k >= n * {p} THEN 1.0 ELSE
+       list_sum(list_transform(range(k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+                + j * ln({p}) + (n - j) * ln(1 - {p})))) END AS p FROM c WHERE caught > 0 AND n > 0),
+best AS (SELECT stratum, rule, cutoff FROM tails
+       WHERE p <= {level} / (greatest(1, (SELECT count(DISTINCT stratum) FROM c)) * {len(Q.RULES)})
+       QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught DESC, cutoff DESC) = 1),
+fails AS (SELECT DISTINCT doc_id FROM tested JOIN best USING (stratum, rule) WHERE v > cutoff)
+SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND f.doc_id IS NULL AS kept
+FROM m LEFT JOIN fails f ON m.doc_id = f.doc_id"""
+
+
+#: The other operators hash with XXH64, run a tokenizer or train a model: tests hold them against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op5_substring_dedup": _op5_sql(),
+    "op9_quality_rules": _op9_sql(),
+}
