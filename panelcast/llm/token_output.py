@@ -105,16 +105,16 @@ class TokenFile:
             raise ValueError("no seek table at the end of the file")
         file.seek(size - len(SEPARATOR) - FOOTER_SIZE - count * ENTRY.itemsize)
         self.table = np.frombuffer(file.read(count * ENTRY.itemsize), dtype=ENTRY)
+        self._places = [self.table[k].tolist() for k in ("offset", "packed", "ids", "crc")]
         self._unpack = zstandard.ZstdDecompressor()
 
     def ids(self, k: int) -> np.ndarray:
         """Ids of the k-th document, as unsigned 32-bit integers; only its frame is read."""
-        entry = self.table[k]
-        self.file.seek(int(entry["offset"]))
-        frame = self.file.read(int(entry["packed"]))
-        ids = np.frombuffer(self._unpack.decompress(frame), dtype=f"<u{self.id_bytes}").astype("<u4")
-        if len(ids) != entry["ids"] or zlib.crc32(ids.tobytes()) != entry["crc"]:
-            raise ValueError(f"checksum of document {entry['doc_id']} does not match")
+        offset, packed, count, crc = (column[k] for column in self._places)
+        self.file.seek(offset)
+        ids = np.frombuffer(self._unpack.decompress(self.file.read(packed)), dtype=f"<u{self.id_bytes}").astype("<u4")
+        if len(ids) != count or zlib.crc32(ids) != crc:
+            raise ValueError(f"checksum of document {self.table['doc_id'][k]} does not match")
         return ids
 
 
@@ -132,14 +132,13 @@ def read_token_files(spark: SparkSession, path: str, doc_ids: list[int] | None =
             for i in range(batch.num_rows):
                 name = batch.column(0)[i].as_py()
                 file = TokenFile(pa.BufferReader(batch.column(1)[i].as_buffer()))
-                starts = np.cumsum(file.table["ids"], dtype=np.int64) - file.table["ids"]
-                chosen = [k for k in range(len(file.table)) if wanted is None or
-                          (not file.table["flag"][k] and int(file.table["doc_id"][k]) in wanted)]
+                starts = (np.cumsum(file.table["ids"], dtype=np.int64) - file.table["ids"]).tolist()
+                missing, ids, counts = (file.table[k].tolist() for k in ("flag", "doc_id", "ids"))
+                chosen = [k for k in range(len(ids)) if wanted is None or (not missing[k] and ids[k] in wanted)]
                 for at in range(0, len(chosen), SLICE):
                     ks = chosen[at:at + SLICE]
-                    cols = [[name] * len(ks), ks, [None if file.table["flag"][k] else int(file.table["doc_id"][k]) for k in ks],
-                            [int(starts[k]) for k in ks], [int(file.table["ids"][k]) for k in ks],
-                            [file.ids(k).tobytes() for k in ks]]
+                    cols = [[name] * len(ks), ks, [None if missing[k] else ids[k] for k in ks], [starts[k] for k in ks],
+                            [counts[k] for k in ks], [file.ids(k).tobytes() for k in ks]]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
 
     return map_arrow(files, unpack, schema)

@@ -22,9 +22,10 @@ import re
 
 import numpy as np
 
-CACHE_LIMIT = 400_000
-ODD_SPACE = re.compile("[^\\S \\n]|[\\x85\\u180e\\u200b-\\u200d\\u2060\\ufeff]")
-BEYOND_LATIN = re.compile(r"[^\x00-\xff]")
+CACHE_LIMIT = 1_000_000
+#: White space (and marks that some libraries take for it) other than U+0020 and line feed.
+ODD_SPACES = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u180e\u2028\u2029\u202f\u205f\u2060\u3000\ufeff" + "".join(
+    map(chr, range(0x2000, 0x200E)))
 RUNS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: ASCII marks that neither tokenizer joins to letters (the apostrophe may be).
 MARKS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
@@ -48,6 +49,14 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)}
 
 
+def latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class Encoder(dict):
     """Maps a piece to its ids as bytes, learning pieces as they are asked for."""
 
@@ -61,6 +70,7 @@ class Encoder(dict):
         self.merges = self.tokenizer.model.tokenize
         self.width = "<u2" if self.tokenizer.get_vocab_size(True) <= 1 << 16 else "<u4"
         self.size = int(self.width[2])
+        self.raw = [i.to_bytes(self.size, "little") for i in range(max(self.tokenizer.get_vocab(True).values()) + 1)]
         self.cut = cut
         self.letters = byte_letters()
         self.lead = self.letters[32] if cut == "space_led" else ""
@@ -71,21 +81,22 @@ class Encoder(dict):
             return np.zeros(0, dtype=self.width)
         if len(self) > CACHE_LIMIT:
             self.clear()
-        if self.cut is None or ODD_SPACE.search(text):
+        if self.cut is None or any([c in text for c in ODD_SPACES]):
             found = self._whole(text)
         elif self.cut == "space_free":
             # the vocabulary is lower case; beyond Latin-1 lowering may depend on the neighbours
-            found = b"".join(map(self.__getitem__, (text if BEYOND_LATIN.search(text) else text.lower()).split()))
+            found = b"".join(map(self.__getitem__, (text.lower() if latin(text) else text).split()))
         elif "  " in text:
             found = b"".join([self[p[1:]] if p[0] == " " else self._whole(p) for p in RUNS.findall(text)])
         else:
             first, *rest = text.split(" ")
-            found = self._whole(first) + b"".join(map(self.__getitem__, rest))
+            plain = first.isascii() and first.isalpha()
+            found = (self._word(first) if plain else self._whole(first)) + b"".join(map(self.__getitem__, rest))
         return np.frombuffer(found, dtype=self.width)
 
     def __missing__(self, piece: str) -> bytes:
         letters = piece.rstrip(MARKS)
-        if LETTERS.fullmatch(letters):
+        if letters.isalpha() if letters.isascii() else LETTERS.fullmatch(letters):
             if len(letters) < len(piece):
                 found = self[letters] + self._word(piece[len(letters):])
             else:
@@ -98,8 +109,8 @@ class Encoder(dict):
 
     def _word(self, word: str) -> bytes:
         """Of one word in byte letters."""
-        size = self.size
-        return b"".join([t.id.to_bytes(size, "little") for t in self.merges(word)])
+        raw = self.raw
+        return b"".join([raw[t.id] for t in self.merges(word)])
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.width).tobytes()
