@@ -13,12 +13,13 @@ Only the few spellings that differ between the engines go through
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.linalg import Stage
+from panelcast.functions.linalg import Stage, div  # noqa: F401  (div: for the operators)
 
 
 
@@ -29,32 +30,32 @@ class _TextRel:
         raise NotImplementedError
 
     def stages(self, stages: Sequence[Stage]):
-        q = self.sql
+        q = self.body
         for st in stages:
             q = f"SELECT *, {', '.join(f'{e} AS {n}' for n, e in st)} FROM ({q})"
         return self._new(q)
 
     def filter(self, cond: str):
-        return self._new(f"SELECT * FROM ({self.sql}) WHERE {cond}")
+        return self._new(f"SELECT * FROM ({self.body}) WHERE {cond}")
 
     def select(self, cols: Sequence[tuple[str, str]]):
         from panelcast.plans.sqlbits import rewrite_round
-        return self._new(f"SELECT {', '.join(f'{rewrite_round(e)} AS {n}' for n, e in cols)} FROM ({self.sql})")
+        return self._new(f"SELECT {', '.join(f'{rewrite_round(e)} AS {n}' for n, e in cols)} FROM ({self.body})")
 
     def group(self, keys: Sequence[str], aggs: Sequence[tuple[str, str]]):
         sel = ", ".join(list(keys) + [f"{e} AS {n}" for n, e in aggs])
         gb = f" GROUP BY {', '.join(keys)}" if keys else ""
-        return self._new(f"SELECT {sel} FROM ({self.sql}){gb}")
+        return self._new(f"SELECT {sel} FROM ({self.body}){gb}")
 
     def join(self, other, on: Sequence[str], how: str = "inner"):
         kind = {"inner": "JOIN", "left": "LEFT JOIN", "full": "FULL OUTER JOIN"}[how]
-        return self._new(f"SELECT * FROM ({self.sql}) {kind} ({other.sql}) USING ({', '.join(on)})", other)
+        return self._new(f"SELECT * FROM ({self.body}) {kind} ({other.body}) USING ({', '.join(on)})", other)
 
     def union_all(self, others: Sequence):
-        q = " UNION ALL ".join(f"SELECT * FROM ({r.sql})" for r in [self, *others])
+        q = " UNION ALL ".join(f"SELECT * FROM ({r.body})" for r in [self, *others])
         out = self
         for o in others:
-            out = out._new(out.sql, o)
+            out = out._new(out.body, o)
         return out._new(q)
 
 
@@ -109,51 +110,41 @@ class SparkRel:
         """Array literal lo..hi inclusive."""
         return f"sequence({int(lo)}, {int(hi)})"
 
-    def materialize(self) -> "SparkRel":
-        """Reliable checkpoint of a small intermediate result (one row per
-        series or per series and fold): cuts the lineage, so later stages
-        plan against a short scan and a lost executor does not replay the
-        chain. Written to the session's ``spark.checkpoint.dir``."""
-        from panelcast.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(self.df.sparkSession)
-        return SparkRel(self.df.checkpoint(eager=True))
-
-
-def _raise_limit(spark, key: str, value: int) -> None:
-    """Nested stage queries need more fixed-point iterations than the
-    default 100; raise the limit, never lower one set by the cluster."""
-    cur = spark.conf.get(key, None)
-    if cur is None or int(cur) < value:
-        spark.conf.set(key, str(value))
+    def share(self) -> "SparkRel":
+        """A relation that is read twice: Spark reuses its exchange."""
+        return self
 
 
 class SqlRel(_TextRel):
+    """Nested SELECT text; relations that are read twice are named once (``share``)."""
     dialect = "duckdb"
+    _names = itertools.count()
 
-    def __init__(self, sql: str):
-        self.sql = sql
+    def __init__(self, body: str, shared: tuple[tuple[str, str], ...] = ()):
+        self.body, self.shared = body, shared
+
+    @property
+    def sql(self) -> str:
+        named = ", ".join(f"{n} AS MATERIALIZED ({q})" for n, q in self.shared)
+        return f"WITH {named} {self.body}" if named else self.body
 
     def _new(self, sql: str, other=None) -> "SqlRel":
-        return SqlRel(sql)
+        more = other.shared if other is not None else ()
+        return SqlRel(sql, tuple(dict([*self.shared, *more]).items()))
+
+    def share(self) -> "SqlRel":
+        name = f"shared_{next(self._names)}"
+        return SqlRel(f"SELECT * FROM {name}", (*self.shared, (name, self.body)))
 
     def explode(self, name: str, array_expr: str) -> "SqlRel":
-        return SqlRel(f"SELECT *, unnest({array_expr}) AS {name} FROM ({self.sql})")
+        return self._new(f"SELECT *, unnest({array_expr}) AS {name} FROM ({self.body})")
 
     def drop(self, names: Sequence[str]) -> "SqlRel":
-        return SqlRel(f"SELECT * EXCLUDE ({', '.join(names)}) FROM ({self.sql})")
+        return self._new(f"SELECT * EXCLUDE ({', '.join(names)}) FROM ({self.body})")
 
     def int_range(self, lo: int, hi: int) -> str:
         return f"range({int(lo)}, {int(hi) + 1})"
 
-    def materialize(self) -> "SqlRel":
-        return self
-
-
-def div(a: str, b: str, dialect: str) -> str:
-    if dialect == "spark":
-        return f"try_divide(({a}), ({b}))"
-    return f"(({a}) / nullif(({b}), 0))"
-
 
 def win(keys: Sequence[str], order: str | None = None, frame: str = "") -> str:
     part = f"PARTITION BY {', '.join(keys)}" if keys else ""

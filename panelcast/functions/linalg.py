@@ -10,8 +10,9 @@ Stage j computes, with its pivot written inline, column j of L, the
 forward-substitution value ``z_j`` and row j of ``M = L^-1``; one last
 stage forms ``b = M' z`` and, if wanted, ``C^-1 = M' M``. That is k + 1
 projections per solve. The same stages render for DuckDB (the oracle).
-Pivots below ``PIVOT_TOL`` times their diagonal (singular or near-singular
-systems) give NULL.
+A pivot below ``PIVOT_TOL`` times its diagonal (a constant regressor, or one that
+others explain) drops its regressor: its solution is 0 and the others solve the
+reduced system, instead of amplifying rounding noise.
 """
 
 from __future__ import annotations
@@ -21,8 +22,7 @@ from collections.abc import Callable, Sequence
 Stage = list[tuple[str, str]]
 
 # A pivot below this fraction of its diagonal entry means the regressors
-# are (numerically) collinear: the solve returns NULL instead of amplifying
-# rounding noise, the same way in Spark and in the oracle.
+# are (numerically) collinear; the same in Spark and in the oracle.
 PIVOT_TOL = 1e-10
 
 
@@ -38,29 +38,33 @@ def _sum(terms: Sequence[str]) -> str:
 
 def cholesky_solve_stages(C: Callable[[int, int], str], rhs: Callable[[int], str], k: int, p: str,
                           out: Callable[[int], str], dialect: str,
-                          inv_out: Callable[[int, int], str] | None = None) -> list[Stage]:
-    """Solve ``C b = rhs``; ``b_i`` named ``out(i)``, ``(C^-1)_ij`` (i <= j)
-    named ``inv_out(i, j)`` when given."""
+                          inv_out: Callable[[int, int], str] | None = None,
+                          inv_pairs: Sequence[tuple[int, int]] | None = None) -> list[Stage]:
+    """Solve ``C b = rhs``; ``b_i`` named ``out(i)``, ``(C^-1)_ij`` (i <= j, or
+    only ``inv_pairs``) named ``inv_out(i, j)`` when given."""
     L = lambda i, j: f"{p}L_{i}_{j}"
     M = lambda i, j: f"{p}M_{i}_{j}"
     z = lambda i: f"{p}z_{i}"
     stages: list[Stage] = []
+
+    def per(a: str, b: str) -> str:
+        return f"coalesce({div(a, b, dialect)}, 0.0)"  # 0 where the pivot was dropped
+
     for j in range(k):
         piv = f"{C(j, j)} - ({_sum([f'{L(j, m)} * {L(j, m)}' for m in range(j)])})"
         ljj = f"(CASE WHEN ({piv}) > {PIVOT_TOL!r} * abs({C(j, j)}) THEN sqrt({piv}) END)"
         st = [(L(j, j), ljj)]
         for i in range(j + 1, k):
             num = f"{C(i, j)} - ({_sum([f'{L(i, m)} * {L(j, m)}' for m in range(j)])})"
-            st.append((L(i, j), div(num, ljj, dialect)))
-        st.append((z(j), div(f"{rhs(j)} - ({_sum([f'{L(j, m)} * {z(m)}' for m in range(j)])})", ljj, dialect)))
-        st.append((M(j, j), div("1.0", ljj, dialect)))
+            st.append((L(i, j), per(num, ljj)))
+        st.append((z(j), per(f"{rhs(j)} - ({_sum([f'{L(j, m)} * {z(m)}' for m in range(j)])})", ljj)))
+        st.append((M(j, j), per("1.0", ljj)))
         for m in range(j):
-            st.append((M(j, m), div(f"-({_sum([f'{L(j, r)} * {M(r, m)}' for r in range(m, j)])})", ljj, dialect)))
+            st.append((M(j, m), per(f"-({_sum([f'{L(j, r)} * {M(r, m)}' for r in range(m, j)])})", ljj)))
         stages.append(st)
     last = [(out(i), _sum([f"{M(m, i)} * {z(m)}" for m in range(i, k)])) for i in range(k)]
     if inv_out is not None:
-        for i in range(k):
-            for j in range(i, k):
-                last.append((inv_out(i, j), _sum([f"{M(m, i)} * {M(m, j)}" for m in range(j, k)])))
+        for i, j in inv_pairs or [(i, j) for i in range(k) for j in range(i, k)]:
+            last.append((inv_out(i, j), _sum([f"{M(m, i)} * {M(m, j)}" for m in range(j, k)])))
     stages.append(last)
     return stages

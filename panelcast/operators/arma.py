@@ -1,9 +1,11 @@
 """ARIMA per series, re-aimed for Spark.
 
 * ``adf``: augmented Dickey-Fuller regression ``dy_t = a + g*y_{t-1} +
-  sum_i c_i dy_{t-i}`` for every lag count 0..K on one common sample; the
+  sum_i c_i dy_{t-i}`` for every lag count 0..K on one common sample, K
+  growing with the series' length (``lag_bound``); the
   lag count with the lowest AIC is kept and ``d = 0`` when the t-statistic
-  of ``g`` is below the 5 % critical value, else ``d = 1``.
+  of ``g`` is below the 5 % critical value, else ``d = 1``. A series too
+  short or too regular for the regression gets ``d = 1``.
 * ``hannan_rissanen``: ARMA(p, q) on the d-times differenced series by the
   two-regression method of Hannan & Rissanen (1982): a long AR gives
   innovation estimates, then ``w_t`` is regressed on its own lags and the
@@ -24,6 +26,7 @@ runs on Spark and, for the oracle, in DuckDB.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from panelcast.functions.dual import div, win
@@ -52,35 +55,64 @@ def _case_index(idx: str, values: Sequence) -> str:
     return "CASE " + " ".join(f"WHEN {idx} = {i} THEN {v}" for i, v in enumerate(values)) + " END"
 
 
-def adf(rel, G: Sequence[str], y: str, max_lag: int = 4, order: str = "period"):
-    """Per group: ``adf_lag, adf_stat, adf_n, d``."""
+def lag_bound(n: int) -> int:
+    """Largest ADF lag count for ``n`` observations: ceil(12 (n/100)^(1/4)),
+    at most n // 2 - 2 (one constant)."""
+    return max(-1, min(math.ceil(12.0 * (n / 100.0) ** 0.25), n // 2 - 2))
+
+
+def longest(rel, G: Sequence[str], y: str) -> int:
+    """Observations of the longest series (one small job)."""
+    found = rel.filter(f"{y} IS NOT NULL").group(list(G), [("_n", "count(*)")]).df.agg({"_n": "max"}).first()
+    return int(found[0] or 0)
+
+
+def adf(rel, G: Sequence[str], y: str, max_lag: int | None = None, order: str = "period"):
+    """Per group: ``adf_lag, adf_stat, adf_n, d``; every group of ``rel`` has a row.
+
+    ``max_lag`` is the number of lag columns: the bound of the longest
+    series (computed when not given). Each series uses the lags up to its own bound."""
     d = rel.dialect
-    K = int(max_lag)
+    if max_lag is None:
+        max_lag = lag_bound(longest(rel, G, y))
+    K = max(0, int(max_lag))
     w = win(G, order)
-    rel = _keep(rel, list(G) + [order, y])
-    rel = rel.stages([[("_a_ylag", f"lag({y}, 1) {w}")], [("_a_dy", f"{y} - _a_ylag")],
-                      [(f"_a_dl{i}", f"lag(_a_dy, {i}) {w}") for i in range(1, K + 1)]])
+    rel = _keep(rel, list(G) + [order, y]).share()
+    groups = rel.group(list(G), [("_a_rows", "count(*)")])
+    rel = rel.stages([[("_a_ylag", f"lag({y}, 1) {w}"),
+                       ("_a_cnt", f"count({y}) {win(G)}")],
+                      [("_a_dy", f"{y} - _a_ylag"),
+                       ("_a_bound", "CAST(least(ceil(12.0 * pow(_a_cnt / 100.0, 0.25)), floor(_a_cnt / 2.0) - 2) AS INT)")],
+                      [(f"_a_dl{i}", f"CASE WHEN {i} <= _a_bound THEN lag(_a_dy, {i}) {w} ELSE 0.0 END") for i in range(1, K + 1)]])
     xs = ["_a_ylag"] + [f"_a_dl{i}" for i in range(1, K + 1)]
     k = len(xs)
-    rel = prepare(rel, G, "_a_dy", xs).filter(f"{P}ok")
+    rel = prepare(rel, G, "_a_dy", xs).filter(f"{P}ok AND _a_bound >= 0")
     carry = [(f"{P}{nm}{j}", _carry(f"{P}{nm}{j}", d)) for j in range(k) for nm in ("mx", "sx")]
-    rel = rel.group(list(G), sum_exprs(k) + carry)
-    rel = rel.explode("adf_lag", rel.int_range(0, K))
+    rel = rel.group(list(G), sum_exprs(k) + carry + [("_a_bound", _carry("_a_bound", d))])
+    rel = rel.explode("adf_lag", rel.int_range(0, K)).filter("adf_lag <= _a_bound")
     active = ["TRUE"] + [f"adf_lag >= {i}" for i in range(1, K + 1)]
-    rel = rel.stages(solve_from_sums(k, d, with_inverse=True, active=active))
-    rel = rel.stages(ssr_from_sums(k, d)).drop(ols.solve_scratch(k, True))
+    rel = rel.stages(solve_from_sums(k, d, active=active, inverse_of=0))
+    rel = rel.stages(ssr_from_sums(k, d)).drop(ols.solve_scratch(k))
     n = f"{P}n"
-    rel = rel.stages([[("_a_llf", f"-{n} / 2.0 * ({LN_2PI} + ln({div(f'{P}ssr', n, d)}) + 1.0)"),
-                       ("_a_s2", div(f"{P}ssr", f"{n} - (adf_lag + 2)", d))],
+    rel = rel.stages([[("_a_llf", f"-{n} / 2.0 * ({LN_2PI} + {_ln(div(f'{P}ssr', n, d))} + 1.0)"),
+                       ("_a_s2", f"CASE WHEN {n} > adf_lag + 2 THEN {div(f'{P}ssr', f'{n} - (adf_lag + 2)', d)} END")],
                       [("_a_aic", "-2.0 * _a_llf + 2.0 * (adf_lag + 2)"),
-                       ("adf_stat", div(f"{P}b0", f"sqrt(_a_s2 * {P}Ci0_0)", d))],
-                      [("_a_rk", f"row_number() {win(G, '_a_aic, adf_lag')}")]])
-    rel = rel.filter("_a_rk = 1")
-    return rel.select([(g, g) for g in G] + [
-        ("adf_lag", "CAST(adf_lag AS INT)"), ("adf_stat", "adf_stat"), ("adf_n", f"CAST({n} AS BIGINT)"),
+                       ("adf_stat", div(f"{P}b0", f"sqrt(CASE WHEN _a_s2 * {P}Ci0_0 >= 0 THEN _a_s2 * {P}Ci0_0 END)", d))]])
+    # failed regressions rank last; they are not filtered out, as a filter on staged columns would be inlined into every stage
+    rank = "CASE WHEN _a_aic IS NULL OR adf_stat IS NULL THEN 1 ELSE 0 END, _a_aic, adf_lag"
+    rel = rel.stages([[("_a_rk", f"row_number() {win(G, rank)}")]]).filter("_a_rk = 1")
+    rel = rel.select([(g, g) for g in G] + [("adf_lag", "adf_lag"), ("adf_stat", "adf_stat"), ("adf_n", n)])
+    out = groups.join(rel, list(G), "left")
+    return out.select([(g, g) for g in G] + [
+        ("adf_lag", "CAST(adf_lag AS INT)"), ("adf_stat", "adf_stat"), ("adf_n", "CAST(adf_n AS BIGINT)"),
         ("d", f"CAST(CASE WHEN adf_stat < {ADF_CRIT_5PCT!r} THEN 0 ELSE 1 END AS INT)")])
 
 
+def _ln(x: str) -> str:
+    """Logarithm, NULL where there is none."""
+    return f"ln(CASE WHEN ({x}) > 0 THEN ({x}) END)"
+
+
 def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q: int = 2,
                     long_ar: int | None = None, order: str = "period"):
     """Best ARMA order per group on the differenced series (see module doc).
@@ -97,8 +129,9 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
                       [(f"_h_wl{i}", f"lag(_h_w, {i}) {w}") for i in range(1, max(m, max_p) + 1)]])
     # step 1: long autoregression -> innovation estimates e_t
     lx = [f"_h_wl{i}" for i in range(1, m + 1)]
-    r1 = prepare(rel, G, "_h_w", lx)
-    r1 = r1.stages([sum_exprs(m, win(G))]).stages(solve_from_sums(m, dl)).drop(ols.solve_scratch(m))
+    r1 = prepare(rel, G, "_h_w", lx).share()
+    long_fit = r1.filter(f"{P}ok").group(list(G), sum_exprs(m)).stages(solve_from_sums(m, dl))
+    r1 = r1.join(_keep(long_fit, list(G) + ols.solution_columns(m)), G, "left")
     fit1 = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(m))
     r1 = r1.stages([[("_h_e", f"CASE WHEN {P}ok THEN {P}ty - ({P}alpha + {fit1}) END")]])
     keep = list(G) + [order, y, "d", "_h_w", "_h_e"] + [f"_h_wl{i}" for i in range(1, max_p + 1)]
@@ -125,9 +158,10 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
     n = f"{P}n"
     npar = "(p + q + CASE WHEN d = 0 THEN 1 ELSE 0 END + 1)"
     g = g.stages([[("sigma2", div(f"{P}ssr", n, dl))],
-                  [("_h_llf", f"-{n} / 2.0 * ({LN_2PI} + ln(sigma2) + 1.0)")],
+                  [("_h_llf", f"-{n} / 2.0 * ({LN_2PI} + {_ln('sigma2')} + 1.0)")],
                   [("aic", f"-2.0 * _h_llf + 2.0 * {npar}"), ("bic", f"-2.0 * _h_llf + {npar} * ln({n})")],
-                  [("_h_rk", f"row_number() {win(G, 'aic, _h_idx')}")]])
+                  # failed orders (NULL) come last; without any AIC (a perfect fit) the order is (1, d, 1)
+                  [("_h_rk", f"row_number() {win(G, 'aic NULLS LAST, CASE WHEN p = 1 AND q = 1 THEN 0 ELSE 1 END, _h_idx')}")]])
     g = g.filter("_h_rk = 1")
     coefs = [(f"phi{i + 1}", div(f"{P}b{i}", f"{P}sx{i}", dl)) for i in range(max_p)]
     coefs += [(f"theta{j + 1}", div(f"{P}b{max_p + j}", f"{P}sx{max_p + j}", dl)) for j in range(max_q)]
@@ -184,13 +218,21 @@ def forecast_sql_stages(h: int, max_p: int = 3, max_q: int = 2, z: float = 1.96)
     return stages
 
 
-def forecast_rows(rel, G: Sequence[str], h: int, max_p: int = 3, max_q: int = 2, step_months: bool = True):
+def period_text(col: str, steps: int, freq: str, dialect: str) -> str:
+    """``col`` moved by ``steps`` periods, as expression text."""
+    if dialect == "spark":
+        return {"month": f"add_months({col}, {steps})", "day": f"date_add({col}, {steps})",
+                "hour": f"CAST({col} + make_dt_interval(0, {steps}) AS TIMESTAMP_NTZ)"}[freq]
+    return {"month": f"CAST({col} + to_months({steps}) AS DATE)", "day": f"CAST({col} + to_days({steps}) AS DATE)",
+            "hour": f"{col} + to_hours({steps})"}[freq]
+
+
+def forecast_rows(rel, G: Sequence[str], h: int, max_p: int = 3, max_q: int = 2, freq: str = "month"):
     """``(G, step, period, yhat, lo, hi)`` from a ``hannan_rissanen`` result."""
     rel = rel.stages(forecast_sql_stages(h, max_p, max_q))
     parts = []
     for s in range(1, h + 1):
-        per = (f"add_months(last_period, {s})" if rel.dialect == "spark"
-               else f"CAST(last_period + to_months({s}) AS DATE)")
+        per = period_text("last_period", s, freq, rel.dialect)
         parts.append([(g, g) for g in G] + [("step", f"CAST({s} AS INT)"), ("period", per),
                                             ("yhat", f"f{s}"), ("lo", f"lo{s}"), ("hi", f"hi{s}")])
     return ols.union_selects(rel, parts)
@@ -198,7 +240,7 @@ def forecast_rows(rel, G: Sequence[str], h: int, max_p: int = 3, max_q: int = 2,
 
 def backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int = 5, horizon: int = 6,
                          complete_cols: Sequence[str] = (), min_train: int = 10, model: str = "ARIMA",
-                         max_p: int = 3, max_q: int = 2, adf_lags: int = 4, order: str = "period",
+                         max_p: int = 3, max_q: int = 2, adf_lags: int | None = None, order: str = "period",
                          long_ar: int | None = None):
     """Rolling-origin ARIMA: refit per (series, fold) on that fold's complete
     training rows, forecast ``horizon`` steps, pair the k-th step with the
@@ -216,14 +258,12 @@ def backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int = 5, hor
     okc = ols.ok_expr(y, [c for c in complete_cols if c != y])
     r = r.stages([[("_b_ok", f"({okc})"),
                    ("_b_test", f"pos >= n_rows - ({K} - fold_idx) * {h}")]])
-    # read by three jobs (ADF, Hannan-Rissanen, the test-row join): cut the
-    # lineage once here (reliable checkpoint) instead of rescanning three times
-    r = _keep(r, G + [order, y, "_b_ok", "_b_test"]).materialize()
+    r = _keep(r, G + [order, y, "_b_ok", "_b_test"]).share()
     train = r.filter("_b_ok AND NOT _b_test")
     train = train.stages([[("_b_ntr", f"count(*) {win(G)}")]]).filter(f"_b_ntr >= {int(min_train)}")
-    train = _keep(train, G + [order, y])
-    d = adf(train, G, y, max_lag=adf_lags, order=order).materialize()
-    fit = hannan_rissanen(train, G, y, d, max_p=max_p, max_q=max_q, long_ar=long_ar, order=order).materialize()
+    train = _keep(train, G + [order, y]).share()
+    d = adf(train, G, y, max_lag=adf_lags, order=order)
+    fit = hannan_rissanen(train, G, y, d, max_p=max_p, max_q=max_q, long_ar=long_ar, order=order)
     fc = forecast_rows(fit, G, h, max_p, max_q)
     fc = fc.select([(g, g) for g in G] + [("step", "step"), ("y_pred", "yhat")])
     test = r.filter("_b_ok AND _b_test").stages([[("step", f"CAST(row_number() {win(G, order)} AS INT)")]])

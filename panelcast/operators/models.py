@@ -33,11 +33,12 @@ class OlsModel:
     regressor is missing."""
 
     def __init__(self, keys: Sequence[str], y: str, regressors: Sequence[str], hac_lags: int = 6,
-                 name: str = "OLS"):
+                 name: str = "OLS", complete_cols: Sequence[str] = ()):
         self.keys, self.y, self.xs, self.hac_lags, self.name = list(keys), y, list(regressors), hac_lags, name
+        self.complete_cols = list(complete_cols)
 
     def fit(self, df: DataFrame) -> DataFrame:
-        f = ols.fit(SparkRel(df), self.keys, self.y, self.xs, self.hac_lags).df
+        f = ols.fit(SparkRel(df), self.keys, self.y, self.xs, self.hac_lags, self.complete_cols).df
         return f.select(*self.keys, F.col("_obeta_const").alias("coef_const"),
                         *[F.col(f"_obeta{j}").alias(f"coef_{x}") for j, x in enumerate(self.xs)])
 

@@ -58,7 +58,8 @@ def prepare(rel, keys: Sequence[str], y: str, xs: Sequence[str], complete_cols:
             st2.append((f"{P}sx{j}", f"sqrt(avg(CASE WHEN {P}ok THEN {x} * {x} END) {w})"))
     st3 = [(f"{P}ty", f"CASE WHEN {P}ok THEN {y} - {P}my END")]
     for j, x in enumerate(xs):
-        st3.append((f"{P}t{j}", f"CASE WHEN {P}ok THEN {div(f'{x} - {P}mx{j}', f'{P}sx{j}', d)} END"))
+        # a constant column has no spread: 0, and the solve drops it
+        st3.append((f"{P}t{j}", f"CASE WHEN {P}ok THEN coalesce({div(f'{x} - {P}mx{j}', f'{P}sx{j}', d)}, 0.0) END"))
     return rel.stages([st1, st2, st3])
 
 
@@ -76,14 +77,15 @@ def sum_exprs(k: int, over: str = "") -> list[tuple[str, str]]:
 
 
 def solve_from_sums(k: int, dialect: str, with_inverse: bool = False, active: Sequence[str] | None = None,
-                    intercept: bool | str = True):
+                    intercept: bool | str = True, inverse_of: int | None = None):
     """Stages: centred C, c -> coefficients ``_ob{j}`` and intercept ``_oalpha``
     of ``ty = alpha + sum b_j (t_j - tbar_j)``; optional ``_oCi{i}_{j}``.
 
     ``active[j]`` (SQL boolean) switches regressor j off: its row/column of
     C become the identity and ``c_j = 0``, so ``b_j = 0`` and the others
     solve the reduced system exactly -- many nested models from one set of
-    sums. ``intercept=False`` uses the uncentred moments.
+    sums. ``intercept=False`` uses the uncentred moments. ``inverse_of``
+    gives only that diagonal entry of the inverse.
     """
     n = f"{P}n"
     on = (lambda j: f"({active[j]})") if active is not None else (lambda j: "TRUE")
@@ -101,7 +103,8 @@ def solve_from_sums(k: int, dialect: str, with_inverse: bool = False, active: Se
     C = lambda i, j: f"{P}C{max(i, j)}_{min(i, j)}"
     stages = [cen]
     stages += cholesky_solve_stages(C, lambda i: f"{P}c{i}", k, P, lambda i: f"{P}b{i}", dialect,
-                                    (lambda i, j: f"{P}Ci{i}_{j}") if with_inverse else None)
+                                    (lambda i, j: f"{P}Ci{i}_{j}") if with_inverse or inverse_of is not None else None,
+                                    None if inverse_of is None else [(inverse_of, inverse_of)])
     return stages
 
 
@@ -129,17 +132,27 @@ def ssr_from_sums(k: int, dialect: str, intercept: bool | str = True) -> list:
     return [[(f"{P}ssr", f"greatest(({syy}) - ({bc}), 0.0)")]]
 
 
+def solution_columns(k: int) -> list[str]:
+    """Columns of a solved system that a prediction needs."""
+    return [f"{P}alpha"] + [f"{P}{nm}{j}" for j in range(k) for nm in ("b", "tb")]
+
+
 def fitted_expr(k: int) -> str:
     """Prediction in original units from the standardised solution."""
     terms = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(k)) or "0.0"
     return f"{P}my + {P}alpha + {terms}"
 
 
+def _shift(j: int, dialect: str) -> str:
+    """mx_j / sx_j; 0 for a constant column, whose coefficient is 0."""
+    return f"coalesce({div(f'{P}mx{j}', f'{P}sx{j}', dialect)}, 0.0)"
+
+
 def coef_exprs(k: int, dialect: str) -> list[tuple[str, str]]:
     """Original-unit coefficients: b_j / sx_j and the intercept."""
-    out = [(f"{P}beta{j}", div(f"{P}b{j}", f"{P}sx{j}", dialect)) for j in range(k)]
+    out = [(f"{P}beta{j}", f"coalesce({div(f'{P}b{j}', f'{P}sx{j}', dialect)}, 0.0)") for j in range(k)]
     # intercept: my + alpha - sum b_j * (tbar_j + mx_j / sx_j)
-    r = " + ".join(f"{P}b{j} * ({P}tb{j} + {div(f'{P}mx{j}', f'{P}sx{j}', dialect)})" for j in range(k)) or "0.0"
+    r = " + ".join(f"{P}b{j} * ({P}tb{j} + {_shift(j, dialect)})" for j in range(k)) or "0.0"
     out.append((f"{P}beta_const", f"{P}my + {P}alpha - ({r})"))
     return out
 
@@ -159,18 +172,22 @@ def backtest_predictions(rel, keys: Sequence[str], y: str, xs: Sequence[str], n_
                          model: str = "OLS"):
     """Test-row predictions ``(keys, model, fold_idx, period, y_true, y_pred)``.
 
-    Fold f trains on complete rows with segment < f; a RANGE frame on the
-    segment yields those sums for every test row of fold f directly.
+    Fold f trains on complete rows with segment < f: the sums are grouped per
+    (series, segment), a RANGE frame over the segments adds up those before
+    f, the system is solved once per fold and joined to the fold's test rows.
     Folds with fewer than ``min_train`` complete training rows are skipped.
     """
     d = rel.dialect
     k = len(xs)
     r = positions(rel, keys, n_folds, horizon)
-    r = prepare(r, keys, y, xs, complete_cols)
+    r = prepare(r, keys, y, xs, complete_cols).filter(f"{P}ok").share()
+    g = r.group(list(keys) + ["seg"], sum_exprs(k))
     frame = win(keys, "seg", "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
-    r = r.stages([sum_exprs(k, frame)])
-    r = r.filter(f"seg >= 0 AND {P}ok AND {P}n >= {int(min_train)}")
-    r = r.stages(solve_from_sums(k, d)).drop(solve_scratch(k))
+    g = g.select([(c, c) for c in keys] + [("seg", "seg")] + [(n, f"sum({n}) {frame}") for n, _ in sum_exprs(k)])
+    g = g.filter(f"seg >= 0 AND {P}n >= {int(min_train)}")
+    g = g.stages(solve_from_sums(k, d))
+    g = g.select([(c, c) for c in keys] + [("seg", "seg")] + [(c, c) for c in solution_columns(k)])
+    r = r.filter("seg >= 0").join(g, list(keys) + ["seg"])
     cols = [(c, c) for c in keys] + [("model", f"'{model}'"), ("fold_idx", "CAST(seg AS INT)"),
                                       ("period", "period"), ("y_true", y), ("y_pred", fitted_expr(k))]
     return r.select(cols)
@@ -191,6 +208,10 @@ def naive_backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int =
     return r.select(cols)
 
 
+def _pick(rel, cols: Sequence[str]):
+    return rel.select([(c, c) for c in cols])
+
+
 # ---------------------------------------------------------------- full fit
 def fit(rel, keys: Sequence[str], y: str, xs: Sequence[str], hac_lags: int = 6,
         complete_cols: Sequence[str] = ()):
@@ -203,11 +224,14 @@ def fit(rel, keys: Sequence[str], y: str, xs: Sequence[str], hac_lags: int = 6,
     d = rel.dialect
     k = len(xs)
     L = int(hac_lags)
-    r = prepare(rel, keys, y, xs, complete_cols).filter(f"{P}ok")
-    # per-row solve from whole-series window sums -> residuals
-    r = r.stages([sum_exprs(k, win(keys))])
-    r = r.stages(solve_from_sums(k, d)).drop(solve_scratch(k) + [f"{P}c{j}" for j in range(k)]
-                                              + [f"{P}S{j}" for j in range(k)] + [f"{P}Sy", f"{P}Qyy", f"{P}n"])
+    r = prepare(rel, keys, y, xs, complete_cols).filter(f"{P}ok").share()
+    # sums and one solve per series, then back to the rows on the same partitioning
+    first = "first" if d == "spark" else "any_value"
+    scale = [f"{P}my"] + [f"{P}{nm}{j}" for j in range(k) for nm in ("mx", "sx")]
+    solved = r.group(list(keys), sum_exprs(k) + [(c, f"{first}({c})") for c in scale])
+    solved = solved.stages(solve_from_sums(k, d, with_inverse=True)).drop(solve_scratch(k, True, sums=False)).share()
+    r = _pick(r, list(keys) + ["period", f"{P}ty"] + [f"{P}t{j}" for j in range(k)]).join(
+        _pick(solved, list(keys) + solution_columns(k)), list(keys))
     resid = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(k)) or "0.0"
     r = r.stages([[(f"{P}g0", f"{P}ty - ({P}alpha + {resid})")]])
     r = r.stages([[(f"{P}g{j + 1}", f"{P}g0 * ({P}t{j} - {P}tb{j})") for j in range(k)]])
@@ -225,15 +249,8 @@ def fit(rel, keys: Sequence[str], y: str, xs: Sequence[str], hac_lags: int = 6,
                 wl = 1.0 - l / (L + 1.0)
                 terms.append(f"{wl!r} * (coalesce({P}g{a} * {P}g{b}_l{l}, 0.0) + coalesce({P}g{a}_l{l} * {P}g{b}, 0.0))")
             meat.append((f"{P}H{a}_{b}", f"sum({' + '.join(terms)})"))
-    aggs = sum_exprs(k) + meat + [
-        (f"{P}ssr", f"sum({P}g0 * {P}g0)"), (f"{P}dwn", f"sum({P}du * {P}du)"),
-        (f"{P}my", f"first({P}my)" if d == "spark" else f"any_value({P}my)"),
-    ]
-    for j in range(k):
-        for nm in ("mx", "sx"):
-            aggs.append((f"{P}{nm}{j}", f"first({P}{nm}{j})" if d == "spark" else f"any_value({P}{nm}{j})"))
-    r = r.group(list(keys), aggs)
-    r = r.stages(solve_from_sums(k, d, with_inverse=True)).drop(solve_scratch(k, True, sums=False))
+    aggs = meat + [(f"{P}ssr", f"sum({P}g0 * {P}g0)"), (f"{P}dwn", f"sum({P}du * {P}du)")]
+    r = r.group(list(keys), aggs).join(solved, list(keys))
     r = r.stages([coef_exprs(k, d)])
     r = r.stages(_sandwich_stages(k, d, robust=L > 0))
     r = r.stages(_fit_stat_stages(k, d))
@@ -251,17 +268,19 @@ def _H(a, b):
 def _sandwich_stages(k: int, d: str, robust: bool):
     """Variances of (alpha, b~) then of the original-unit coefficients."""
     n = f"{P}n"
-    st = []
+    st, half = [], []
     if robust:
         # theta = (alpha, b~); B^-1 = diag(1/n, Ci); S = H (index 0 = constant)
         st.append((f"{P}V0_0", div(_H(0, 0), f"{n} * {n}", d)))
         for j in range(k):
             s = " + ".join(f"{_H(0, m + 1)} * {_Ci(m, j)}" for m in range(k))
             st.append((f"{P}V0_{j + 1}", div(s, n, d)))
+        # Ci H Ci as two products, so the text grows with k^3
+        half = [(f"{P}W{i}_{b}", " + ".join(f"{_Ci(i, a)} * {_H(a + 1, b + 1)}" for a in range(k)))
+                for i in range(k) for b in range(k)]
         for i in range(k):
             for j in range(i, k):
-                s = " + ".join(f"{_Ci(i, a)} * {_H(a + 1, b + 1)} * {_Ci(b, j)}" for a in range(k) for b in range(k))
-                st.append((f"{P}V{i + 1}_{j + 1}", s))
+                st.append((f"{P}V{i + 1}_{j + 1}", " + ".join(f"{P}W{i}_{b} * {_Ci(b, j)}" for b in range(k))))
     else:
         s2 = div(f"{P}ssr", f"{n} - {k + 1}", d)
         st.append((f"{P}V0_0", div(s2, n, d)))
@@ -271,7 +290,7 @@ def _sandwich_stages(k: int, d: str, robust: bool):
             for j in range(i, k):
                 st.append((f"{P}V{i + 1}_{j + 1}", f"({s2}) * {_Ci(i, j)}"))
     V = lambda a, b: f"{P}V{min(a, b)}_{max(a, b)}"
-    rj = [f"({P}tb{j} + {div(f'{P}mx{j}', f'{P}sx{j}', d)})" for j in range(k)]
+    rj = [f"({P}tb{j} + {_shift(j, d)})" for j in range(k)]
     var_c = [V(0, 0)]
     for j in range(k):
         var_c.append(f"- 2.0 * {rj[j]} * {V(0, j + 1)}")
@@ -281,14 +300,14 @@ def _sandwich_stages(k: int, d: str, robust: bool):
     se = [(f"{P}se_const", f"CASE WHEN ({' '.join(var_c)}) >= 0 THEN sqrt({' '.join(var_c)}) END")]
     for j in range(k):
         se.append((f"{P}se{j}", div(f"CASE WHEN {V(j + 1, j + 1)} >= 0 THEN sqrt({V(j + 1, j + 1)}) END", f"{P}sx{j}", d)))
-    return [st, se]
+    return ([half] if half else []) + [st, se]
 
 
 def _fit_stat_stages(k: int, d: str):
     n = f"{P}n"
     sst = f"({P}Qyy - {div(f'{P}Sy * {P}Sy', n, d)})"
     st = [(f"{P}r2", f"1.0 - {div(f'{P}ssr', sst, d)}"),
-          (f"{P}llf", f"-{n} / 2.0 * (ln(2.0 * pi()) + ln({div(f'{P}ssr', n, d)}) + 1.0)"),
+          (f"{P}llf", f"-{n} / 2.0 * (ln(2.0 * pi()) + ln(CASE WHEN {P}ssr > 0 THEN {div(f'{P}ssr', n, d)} END) + 1.0)"),
           (f"{P}dw", div(f"{P}dwn", f"{P}ssr", d))]
     st2 = [(f"{P}adj_r2", f"1.0 - (1.0 - {P}r2) * {div(f'{n} - 1.0', f'{n} - {k + 1}.0', d)}"),
            (f"{P}aic", f"-2.0 * {P}llf + 2.0 * {k + 1}"),
@@ -309,15 +328,44 @@ def normal_p_stages(z: str, p: str) -> list:
             [(p, f"{poly} * exp(-{x} * {x})")]]
 
 
-def coefficient_table(rel, keys: Sequence[str], xs: Sequence[str], dp: int = 6):
-    """Long ``(keys, term, coef, std_err, z_stat, p_value, stars)``."""
+def student_p(t: str, df: str, dialect: str) -> str:
+    """Two-sided Student-t p-value for whole degrees of freedom, by the finite
+    series in the angle (Abramowitz & Stegun 26.7.3 and 26.7.4).
+
+    Spark adds the terms up with their ratio, DuckDB takes each from gamma functions."""
+    cos2 = f"({df} / ({df} + ({t}) * ({t})))"
+    sine = f"sqrt(1.0 - {cos2})"
+    angle = f"atan(abs({t}) / sqrt({df}))"
+    odd = f"({df} % 2 = 1)"
+    last = f"CAST(CASE WHEN {odd} THEN ({df} - 3) / 2 ELSE ({df} - 2) / 2 END AS INT)"
+    if dialect == "spark":
+        ratio = f"(CASE WHEN {odd} THEN 2D * k / (2D * k + 1D) ELSE (2D * k - 1D) / (2D * k) END) * {cos2}"
+        total = (f"aggregate(CASE WHEN {last} < 1 THEN CAST(array() AS ARRAY<INT>) ELSE sequence(1, {last}) END, "
+                 f"named_struct('u', 1D, 's', 1D), (a, k) -> named_struct('u', a.u * {ratio}, 's', a.s + a.u * {ratio}), a -> a.s)")
+    else:
+        term = (f"exp((CASE WHEN {odd} THEN lgamma(k + 1) + lgamma(1.5) - lgamma(k + 1.5) "
+                f"ELSE lgamma(k + 0.5) - lgamma(0.5) - lgamma(k + 1) END) + k * ln({cos2}))")
+        total = f"list_sum(list_transform(range(0, {last} + 1), lambda k: {term}))"
+    inside = (f"CASE WHEN {df} = 1 THEN 2.0 * {angle} / pi() "
+              f"WHEN {odd} THEN 2.0 / pi() * ({angle} + {sine} * sqrt({cos2}) * {total}) ELSE {sine} * {total} END")
+    return f"CASE WHEN ({t}) IS NOT NULL AND {df} >= 1 THEN greatest(0.0, 1.0 - ({inside})) END"
+
+
+def coefficient_table(rel, keys: Sequence[str], xs: Sequence[str], dp: int = 6, robust: bool = True):
+    """Long ``(keys, term, coef, std_err, z_stat, p_value, stars)``.
+
+    Robust (HAC) errors take normal p-values; a fit without them
+    (``hac_lags=0``, ``robust=False``) the Student-t ones."""
     d = rel.dialect
     terms = [("const", f"{P}beta_const", f"{P}se_const")] + [(x, f"{P}beta{j}", f"{P}se{j}") for j, x in enumerate(xs)]
     zst = [[(f"{P}zs_{i}", div(cb, cs, d)) for i, (_, cb, cs) in enumerate(terms)]]
-    pst = [[], [], []]
+    pst = [[], [], []] if robust else [[(f"{P}df", f"CAST({P}n - {len(xs) + 1} AS DOUBLE)")], []]
     for i in range(len(terms)):
-        for lvl, st in enumerate(normal_p_stages(f"{P}zs_{i}", f"{P}p_{i}")):
-            pst[lvl] += st
+        if robust:
+            for lvl, st in enumerate(normal_p_stages(f"{P}zs_{i}", f"{P}p_{i}")):
+                pst[lvl] += st
+        else:
+            pst[1].append((f"{P}p_{i}", student_p(f"{P}zs_{i}", f"{P}df", d)))
     rel = rel.stages(zst + pst)
     parts = []
     for i, (name, cb, cs) in enumerate(terms):
@@ -342,8 +390,8 @@ def union_selects(rel, parts):
         structs = [F.struct(*[F.expr(rewrite_round(e)).alias(n) for n, e in cols]) for cols in parts]
         out = rel.df.select(F.explode(F.array(*structs)).alias("_r")).select(*[F.col(f"_r.{n}").alias(n) for n in names])
         return SparkRel(out)
-    from panelcast.functions.dual import SqlRel
-    return SqlRel(" UNION ALL ".join(f"({rel.select(cols).sql})" for cols in parts))
+    rel = rel.share()
+    return rel._new(" UNION ALL ".join(f"({rel.select(cols).body})" for cols in parts))
 
 
 def fit_stats_table(rel, keys: Sequence[str], dp: int = 6):

@@ -121,9 +121,12 @@ def validate(df: DataFrame, keys, required: Sequence[str] = (), min_obs: int = 3
                 .select(*k, "check", "severity", "n_bad"))
 
 
-def validate_strict(report: DataFrame, max_lines: int = 20) -> None:
-    """Raise ``DataQualityError`` if the report has error rows (message only)."""
-    errs = report.filter(F.col("severity") == "error").limit(max_lines).collect()
-    if errs:
-        lines = [", ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in errs]
-        raise DataQualityError("Data quality validation failed:\n" + "\n".join(lines))
+def validate_strict(report: DataFrame, shown: int = 20) -> None:
+    """Raise ``DataQualityError`` if the report has error rows; the message
+    gives their number and lists the first ``shown``."""
+    errors = report.filter(F.col("severity") == "error")
+    total = errors.count()
+    if total:
+        first = errors.sort(*errors.columns).limit(shown).collect()
+        lines = [", ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in first]
+        raise DataQualityError(f"Data quality validation failed ({total} errors, {len(first)} listed):\n" + "\n".join(lines))

@@ -97,32 +97,32 @@ def coefficient_lines(coefs: DataFrame, keys, term_order: Sequence[str]) -> Data
     return g.select(*k, F.coalesce(F.col("coeff_table"), F.lit(EMPTY_ROW_5)).alias("coeff_table"))
 
 
-def forecast_table(fc: DataFrame, keys, value_col: str = "yhat", max_rows: int = 12) -> DataFrame:
+def forecast_table(fc: DataFrame, keys, value_col: str = "yhat", max_rows: int = 12, label: str = "yyyy-MM") -> DataFrame:
     """Forecast rows ``| yyyy-MM | v.2f |`` (first ``max_rows`` steps), the
     first forecast month and the trend phrase (last vs first forecast)."""
     k = _keys(keys)
     first = F.min_by(F.col(value_col), F.col("step"))
     last = F.max_by(F.col(value_col), F.col("step"))
-    line = F.format_string("| %s | %s |", F.date_format(PERIOD, "yyyy-MM"), fmt_fixed(value_col, 2))
+    line = F.format_string("| %s | %s |", F.date_format(PERIOD, label), fmt_fixed(value_col, 2))
     shown = F.when(F.col("step") <= max_rows, line)
     g = fc.groupBy(*k).agg(_ordered_lines(shown, F.col("step")).alias("forecast_table"),
-                           F.date_format(F.min(PERIOD), "yyyy-MM").alias("forecast_start"),
+                           F.date_format(F.min(PERIOD), label).alias("forecast_start"),
                            trend_phrase(first, last, F.count(F.lit(1))).alias("trend_description"),
                            F.count(F.lit(1)).cast("bigint").alias("forecast_horizon"))
     return g
 
 
-def interpretation(coefs: DataFrame, keys, x1: str, x2: str) -> DataFrame:
-    """Sign-based sentences for two regressors (direction words fixed)."""
+def interpretation(coefs: DataFrame, keys, *names: str) -> DataFrame:
+    """One sign-based sentence per regressor (direction words fixed)."""
     k = _keys(keys)
-    c1 = F.max(F.when(F.col("term") == x1, F.col("coef")))
-    c2 = F.max(F.when(F.col("term") == x2, F.col("coef")))
-    g = coefs.groupBy(*k).agg(F.coalesce(c1, F.lit(0.0)).alias("_c1"), F.coalesce(c2, F.lit(0.0)).alias("_c2"))
-    s1 = F.format_string(f"A one-unit increase in {x1} is associated with a **%.4f** %s in the target (all else equal).",
-                         F.col("_c1"), F.when(F.col("_c1") < 0, "decrease").otherwise("increase"))
-    s2 = F.format_string(f"A one-unit increase in {x2} is associated with a **%.4f** %s in the target.",
-                         F.col("_c2"), F.when(F.col("_c2") < 0, "decline").otherwise("increase"))
-    return g.select(*k, F.concat_ws(" ", s1, s2).alias("interpretation"))
+    g = coefs.groupBy(*k).agg(*[F.coalesce(F.max(F.when(F.col("term") == x, F.col("coef"))), F.lit(0.0)).alias(f"_c{i}")
+                                for i, x in enumerate(names)])
+    lines = []
+    for i, x in enumerate(names):
+        down, tail = ("decrease", " (all else equal).") if i == 0 else ("decline", ".")
+        lines.append(F.format_string(f"A one-unit increase in {x} is associated with a **%.4f** %s in the target{tail}",
+                                     F.col(f"_c{i}"), F.when(F.col(f"_c{i}") < 0, down).otherwise("increase")))
+    return g.select(*k, F.concat_ws(" ", *lines).alias("interpretation"))
 
 
 def tail_rows(df: DataFrame, keys, n: int = 36, period_col: str = PERIOD) -> DataFrame:
@@ -200,8 +200,5 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType | str) -> Dat
 
 
 def write_markdown(df: DataFrame, keys, path: str, text_col: str = "markdown", mode: str = "overwrite") -> None:
-    """One text file per series, partitioned by the key columns."""
-    k = _keys(keys)
-    out = df.select(*k, F.col(text_col).alias("value"))
-    w = out.write.mode(mode)
-    (w.partitionBy(*k) if k else w).text(path)
+    """Report texts as JSON lines with their keys: a bounded number of files whatever the number of series."""
+    df.select(*_keys(keys), F.col(text_col).alias("markdown")).write.mode(mode).json(path)

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
@@ -94,7 +93,7 @@ def time_split(df: DataFrame, keys, fraction: float = 0.15, period_col: str = PE
 
 
 def sequence_backtest(df: DataFrame, keys, target: str, feature_cols: Sequence[str], n_folds: int = 5,
-                      horizon: int = 6, lookback: int = 12, val_fraction: float = 0.15, max_iter: int = 50,
+                      horizon: int = 6, lookback: int = 12, val_fraction: float = 0.15, max_iter: int = 200,
                       tol: float = 1e-6, seed: int = 42, model_name: str = "sequence",
                       period_col: str = PERIOD) -> DataFrame:
     """Rolling-origin backtest of the window regressor (pooled over series).
@@ -142,4 +141,40 @@ def sequence_backtest(df: DataFrame, keys, target: str, feature_cols: Sequence[s
     return res
 
 
-_ = VectorAssembler
+def sequence_forecast(df: DataFrame, keys, target: str, feature_cols: Sequence[str], h: int = 12, freq: str = "month",
+                      lookback: int = 12, val_fraction: float = 0.15, max_iter: int = 200, tol: float = 1e-6,
+                      seed: int = 42, period_col: str = PERIOD, checkpoint_every: int = 4) -> DataFrame:
+    """Final fit on all rows and a recursive forecast: the window moves on by the
+    prediction, the other features are held at their last values.
+
+    Series with fewer than ``lookback + 2`` rows get no forecast."""
+    from panelcast.functions.columns import add_periods
+
+    k = _keys(keys)
+    cols = [target, *feature_cols]
+    scols = [f"{c}_scaled" for c in cols]
+    clean = df.na.drop(subset=cols)
+    stats = minmax_fit(clean, k, cols)
+    sc = minmax_apply(clean, stats, k, cols)
+    win = sc.select(*k, period_col, flatten_window(lag_window(scols, k, lookback), scols).alias("x"),
+                    F.col(f"{target}_scaled").alias("label")).filter(F.size("x") == lookback * len(scols))
+    train = time_split(win, k, val_fraction).withColumn("features", array_to_vector("x"))
+    model = GBTRegressor(maxIter=max_iter, maxDepth=3, stepSize=0.1, seed=seed, validationIndicatorCol="is_validation",
+                         validationTol=tol).fit(train.select("features", "label", "is_validation"))
+    w = series_window(k, period_col)
+    last = (sc.withColumn("x", flatten_window(lag_window(scols, k, lookback, True, period_col), scols))
+            .withColumn("_n", F.row_number().over(w)).groupBy(*k)
+            .agg(F.max(period_col).alias("last_period"), F.max_by("x", period_col).alias("x"), F.max("_n").alias("_n"))
+            .filter(F.col("_n") >= lookback + 2).withColumn("_out", F.array().cast("array<double>")))
+    width = len(scols)
+    for step in range(1, h + 1):
+        last = model.transform(last.withColumn("features", array_to_vector("x")))
+        held = F.slice("x", width * (lookback - 1) + 2, width - 1) if width > 1 else F.array().cast("array<double>")
+        last = last.select(*k, "last_period", F.concat(F.slice("x", width + 1, width * (lookback - 1)), F.array("prediction"), held).alias("x"),
+                           F.concat("_out", F.array("prediction")).alias("_out"))
+        if step % checkpoint_every == 0 and step < h:
+            last = last.checkpoint(eager=True)
+    out = last.select(*k, "last_period", F.posexplode("_out").alias("_i", "_s")).join(
+        stats.select(*k, F.col(f"{target}__min").alias("_lo"), F.col(f"{target}__max").alias("_hi")), on=k)
+    return out.select(*k, (F.col("_i") + 1).alias("step"), add_periods(F.col("last_period"), F.col("_i") + 1, freq).alias(PERIOD),
+                      (F.col("_s") * (F.col("_hi") - F.col("_lo")) + F.col("_lo")).alias("yhat"))

@@ -7,7 +7,7 @@ the same rolling-origin positions as for the linear models.
 
 * ``gbt`` -> ``GBTRegressor``; ``rf`` -> ``RandomForestRegressor``.
 * Hyper-parameters: trials drawn with a seeded generator from the
-  reference's search space, scored by mean squared error on expanding
+  reference's search space (or the caller's), scored by mean squared error on expanding
   time-series splits *inside* the training window (per-series positions;
   ``CrossValidator.foldCol`` is not used because it would train on later
   data), then the best is refit on the whole window.
@@ -40,12 +40,13 @@ RF_SPACE = {
     "min_samples_leaf": [1, 2, 4, 8],
     "max_features": [0.5, 0.7, "sqrt"],
 }
-SPARK_MAX_DEPTH = 30  # Spark's tree depth limit stands in for "unlimited"
+SPARK_MAX_DEPTH = 30  # fixed value: Spark's tree depth limit stands in for "unlimited"
 
 
-def sample_trials(variant: str, n_trials: int, seed: int = 42) -> list[dict]:
-    """``n_trials`` distinct parameter sets drawn from the search space."""
-    space = GBT_SPACE if variant == "gbt" else RF_SPACE
+def sample_trials(variant: str, n_trials: int, seed: int = 42, space: Mapping | None = None) -> list[dict]:
+    """``n_trials`` distinct parameter sets drawn from the search space (the
+    reference's, unless the caller gives one)."""
+    space = {**(GBT_SPACE if variant == "gbt" else RF_SPACE), **(space or {})}
     names = sorted(space)
     grid = [[]]
     for n in names:
@@ -55,12 +56,10 @@ def sample_trials(variant: str, n_trials: int, seed: int = 42) -> list[dict]:
     return [dict(zip(names, grid[i])) for i in picks]
 
 
-def make_estimator(variant: str, params: Mapping, seed: int = 42, max_iter_cap: int | None = None,
+def make_estimator(variant: str, params: Mapping, seed: int = 42,
                    features: str = "features", label: str = "label"):
     """Spark ML estimator for one parameter set (names mapped to Spark's)."""
     trees = int(params["n_estimators"])
-    if max_iter_cap:
-        trees = min(trees, int(max_iter_cap))
     depth = params.get("max_depth")
     depth = SPARK_MAX_DEPTH if depth is None else int(depth)
     leaf = int(params.get("min_samples_leaf", 1))
@@ -102,8 +101,7 @@ def positioned(df: DataFrame, keys, target: str, feature_cols: Sequence[str], n_
                .filter(F.col("n_rows") >= (K + 1) * h))
 
 
-def _search(train: DataFrame, keys, variant: str, trials: list[dict], cv_splits: int, seed: int,
-            max_iter_cap: int | None) -> dict:
+def _search(train: DataFrame, keys, variant: str, trials: list[dict], cv_splits: int, seed: int) -> dict:
     """Best trial by mean MSE over expanding splits of the training rows.
 
     Split i of ``cv_splits`` (per series, by complete-row position ``r`` of
@@ -122,7 +120,7 @@ def _search(train: DataFrame, keys, variant: str, trials: list[dict], cv_splits:
             edge = F.col("_m") - F.lit(cv_splits - i) * F.col("_sz")
             tr = t.filter(F.col("_r") < edge)
             te = t.filter((F.col("_r") >= edge) & (F.col("_r") < edge + F.col("_sz")))
-            model = make_estimator(variant, params, seed, max_iter_cap).fit(tr)
+            model = make_estimator(variant, params, seed).fit(tr)
             mse = model.transform(te).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
             if mse is not None:
                 mses.append(mse)
@@ -133,39 +131,46 @@ def _search(train: DataFrame, keys, variant: str, trials: list[dict], cv_splits:
     return best
 
 
+SERIES_LEVEL = "series_level"
+
+
+def with_series_level(rows: DataFrame, train: DataFrame, keys, label: str) -> DataFrame:
+    """Adds the series' mean label over the training rows: how a pooled model knows the series."""
+    k = _keys(keys)
+    return rows.join(train.groupBy(*k).agg(F.avg(label).alias(SERIES_LEVEL)), on=k, how="left")
+
+
 def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[str], n_folds: int = 5,
-                      horizon: int = 6, variant: str = "gbt", n_trials: int = 4, cv_splits: int = 3,
-                      seed: int = 42, max_iter_cap: int | None = 50, min_train: int = 10,
-                      model_name: str = "GradientBoosting", search_once: bool = True,
-                      period_col: str = PERIOD):
-    """Rolling-origin backtest of a tree ensemble.
-
-    Returns ``(predictions, chosen_params)``; predictions are
-    ``(keys, model, fold_idx, period, y_true, y_pred)``. The search runs on
-    the earliest fold's training window when ``search_once`` (else per fold).
+                      horizon: int = 6, variant: str = "gbt", n_trials: int = 20, cv_splits: int = 3,
+                      seed: int = 42, min_train: int = 10, model_name: str = "GradientBoosting",
+                      space: Mapping | None = None, period_col: str = PERIOD):
+    """Rolling-origin backtest of a tree ensemble, searched anew in every fold.
+
+    Returns ``(predictions, params)``; predictions are ``(keys, model,
+    fold_idx, period, y_true, y_pred)``, ``params`` the last fold's winner
+    (the refit's parameters). ``n_trials``, ``cv_splits`` and ``space`` size the search.
     """
     k = _keys(keys)
     K = int(n_folds)
+    cols = [*feature_cols, SERIES_LEVEL]
     rows = positioned(df, k, target, feature_cols, K, horizon, period_col)
-    va = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="keep")
-    rows = va.transform(rows.withColumn("label", F.col(target).cast("double")))
-    rows = rows.select(*k, period_col, "seg", "ok", "features", "label").filter(F.col("ok")).cache()
-    trials = sample_trials(variant, n_trials, seed)
-    params = None
-    preds = []
+    rows = rows.withColumn("label", F.col(target).cast("double")).filter(F.col("ok"))
+    rows = rows.select(*dict.fromkeys([*k, period_col, "seg", "label", *feature_cols])).persist()
+    va = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
+    trials = sample_trials(variant, n_trials, seed, space)
+    params, preds = trials[0], []
     for f in range(K):
         train = rows.filter(F.col("seg") < f)
         cnt = train.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_train).select(*k)
-        train = train.join(cnt, on=k, how="left_semi") if k else train
-        if params is None or not search_once:
-            params = _search(train, k, variant, trials, cv_splits, seed, max_iter_cap) if len(trials) > 1 else trials[0]
-        model = make_estimator(variant, params, seed, max_iter_cap).fit(train)
-        test = rows.filter(F.col("seg") == f)
-        test = test.join(cnt, on=k, how="left_semi") if k else test
-        p = model.transform(test).select(*k, F.lit(model_name).alias("model"), F.lit(f).alias("fold_idx"),
-                                         period_col, F.col("label").alias("y_true"),
-                                         F.col("prediction").alias("y_pred"))
-        preds.append(p)
+        train = train.join(cnt, on=k, how="left_semi")
+        both = va.transform(with_series_level(rows.filter(F.col("seg") <= f).join(cnt, on=k, how="left_semi"), train, k, "label"))
+        both = both.select(*k, period_col, "seg", "features", "label")
+        fit_on = both.filter(F.col("seg") < f)
+        params = _search(fit_on, k, variant, trials, cv_splits, seed) if len(trials) > 1 else trials[0]
+        model = make_estimator(variant, params, seed).fit(fit_on)
+        preds.append(model.transform(both.filter(F.col("seg") == f)).select(
+            *k, F.lit(model_name).alias("model"), F.lit(f).alias("fold_idx"), period_col, F.col("label").alias("y_true"),
+            F.col("prediction").alias("y_pred")))
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)
@@ -173,12 +178,22 @@ def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[s
 
 
 def fit_full(df: DataFrame, keys, target: str, feature_cols: Sequence[str], params: Mapping,
-             variant: str = "gbt", seed: int = 42, max_iter_cap: int | None = 50):
-    """Fit on every complete row (final model). Returns the fitted model."""
-    ok = _complete([target, *feature_cols])
-    va = VectorAssembler(inputCols=list(feature_cols), outputCol="features")
-    data = va.transform(df.filter(ok).withColumn("label", F.col(target).cast("double")))
-    return make_estimator(variant, params, seed, max_iter_cap).fit(data.select("features", "label"))
+             variant: str = "gbt", seed: int = 42):
+    """Fit on every complete row (final model). Returns the fitted model; its
+    features are ``feature_cols`` and the series' level."""
+    rows = df.filter(_complete([target, *feature_cols])).withColumn("label", F.col(target).cast("double"))
+    va = VectorAssembler(inputCols=[*feature_cols, SERIES_LEVEL], outputCol="features")
+    return make_estimator(variant, params, seed).fit(va.transform(with_series_level(rows, rows, keys, "label")).select("features", "label"))
+
+
+def forecast_state(df: DataFrame, keys, target: str, feature_cols: Sequence[str], max_lag: int) -> DataFrame:
+    """Per series the filled last feature row, the level and the target's history."""
+    from panelcast.operators.forecast import last_rows, last_values
+
+    k = _keys(keys)
+    last = last_rows(scoring_fill(df, k, list(feature_cols)), k, feature_cols)
+    return with_series_level(last, df.filter(_complete([target, *feature_cols])), k, target).fillna(
+        0.0, [SERIES_LEVEL]).join(last_values(df, k, target, max_lag), k)
 
 
 def importances(spark, model, feature_cols: Sequence[str]) -> DataFrame:

@@ -9,13 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from panelcast.operators.arma import lag_bound
 from panelcast.operators.features import build_features
 from panelcast.plans import panels as P
 
 KD = P.PANEL_KEYS["D"]
-FEAT_D = dict(level_col="level", target="level_yoy", exog=["rate1", "rate2"], max_lag=3, windows=[3],
+FEAT_D = dict(level_col="level", target="level_yoy", exog=["rate1", "rate2"], max_lag=6, windows=[3, 6, 12],
               use_differencing=False)
 TARGET_D = "level_yoy"
+# The tables cover at most 83 months, so a series has at most 70 rows with a change and its lag: the
+# ADF bound of the longest series, as a number for the SQL twins.
+ADF_LAGS = lag_bound(70)
 OLS_XS = ["rate1", "rate2", "level_yoy_lag_1", "level_yoy_lag_3"]
 
 
@@ -34,7 +38,7 @@ def features_d(spark: SparkSession, sf: str) -> DataFrame:
     return build_features(P.panel_d(spark, sf), KD, **FEAT_D)
 
 
-def sql_features(src: str, keys, level_col: str, target: str, exog=(), max_lag: int = 3, windows=(3,),
+def sql_features(src: str, keys, level_col: str, target: str, exog=(), max_lag: int = 6, windows=(3, 6, 12),
                  change_periods: int = 12) -> str:
     """``build_features`` (without differencing) as DuckDB SQL over ``src``."""
     ex = list(exog)
@@ -58,7 +62,7 @@ SELECT *, {chg} AS {target} FROM ({src}) d0) d1) d2
 WHERE {req}"""
 
 
-def feature_columns(level_col: str, target: str, exog=(), max_lag: int = 3, windows=(3,)) -> list[str]:
+def feature_columns(level_col: str, target: str, exog=(), max_lag: int = 6, windows=(3, 6, 12)) -> list[str]:
     ex = list(exog)
     cols = list(ex)
     for c in [target] + ex:

@@ -1,9 +1,9 @@
 """Panels built from the driver tables (many series keyed by columns).
 
 Each builder returns ``(keys..., period, values...)`` at one row per
-(key, period). Joins to dimensions happen *after* a partial aggregate on
-the fact table's own join key, so a customer that owns a third of all
-orders contributes at most one row per month to the join.
+(key, period). The small dimension columns are joined first (Spark broadcasts
+them by size, and splits a skewed shuffle join); the partial aggregate on
+the series keys then collapses the fact table before its only shuffle.
 
 ``SQL_*`` strings are the same panels in DuckDB SQL for the oracle.
 """
@@ -23,6 +23,7 @@ PANEL_KEYS = {
     "C": ["n_name", "o_orderpriority"],
     "D": ["l_returnflag", "l_linestatus"],
     "E": ["event_type"],
+    "S": ["l_suppkey"],
 }
 
 
@@ -37,28 +38,25 @@ def panel_a(spark: SparkSession, sf_dir: str, start=None, end=None) -> DataFrame
     })
 
 
-def _orders_by_customer_month(spark, sf_dir, extra_keys=()):
+def _orders(spark, sf_dir, *columns):
     o = read_table(spark, sf_dir, "orders")
-    return (o.groupBy("o_custkey", *extra_keys, period_of("o_orderdate").alias("period"))
-             .agg(F.sum("o_totalprice").alias("_v")))
+    return o.select("o_custkey", *columns, period_of("o_orderdate").alias("period"), "o_totalprice")
 
 
 def panel_b(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders joined to customer, by nation and month (sum of price)."""
-    pre = _orders_by_customer_month(spark, sf_dir)
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = pre.join(c, pre.o_custkey == c.c_custkey, "inner")
-    return j.groupBy("c_nationkey", "period").agg(F.sum("_v").alias("v"))
+    j = _orders(spark, sf_dir).join(c, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    return j.groupBy("c_nationkey", "period").agg(F.sum("o_totalprice").alias("v"))
 
 
 def panel_c(spark: SparkSession, sf_dir: str, spine: bool = False) -> DataFrame:
     """orders x customer x nation by (nation name, priority) and month."""
-    pre = _orders_by_customer_month(spark, sf_dir, ["o_orderpriority"])
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = (pre.join(c, pre.o_custkey == c.c_custkey, "inner")
-            .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "inner"))
-    out = j.groupBy("n_name", "o_orderpriority", "period").agg(F.sum("_v").alias("v"))
+    named = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "inner").select("c_custkey", "n_name")
+    j = _orders(spark, sf_dir, "o_orderpriority").join(named, F.col("o_custkey") == F.col("c_custkey"), "inner")
+    out = j.groupBy("n_name", "o_orderpriority", "period").agg(F.sum("o_totalprice").alias("v"))
     return fill_spine(out, PANEL_KEYS["C"]) if spine else out
 
 
@@ -81,6 +79,12 @@ def panel_e(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample_agg(ev, ["event_type"], "ts", {"v": F.sum("value")}, freq="day")
 
 
+def panel_s(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem by supplier and ship month: as many series as suppliers, with gaps."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return resample_agg(li, PANEL_KEYS["S"], "l_shipdate", {"v": F.sum("l_extendedprice")})
+
+
 # ---- the same panels in DuckDB SQL (oracle side) -------------------------
 
 SQL_A = """
@@ -116,6 +120,11 @@ SELECT event_type, CAST(ts AS DATE) AS period, sum(value) AS v
 FROM events GROUP BY 1, 2
 """
 
+SQL_S = """
+SELECT l_suppkey, CAST(date_trunc('month', l_shipdate) AS DATE) AS period, sum(l_extendedprice) AS v
+FROM lineitem GROUP BY 1, 2
+"""
+
 # panel C with the per-series calendar filled (NULL v in empty months)
 SQL_C_SPINE = f"""
 WITH c AS ({SQL_C}),

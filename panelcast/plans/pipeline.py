@@ -1,20 +1,23 @@
 """End-to-end run over a panel: the reference's ``run`` / ``evaluate`` /
 ``report`` commands as Spark jobs, one result row per series.
 
-    panel -> impute -> validate -> features -> backtest every model
-          -> leaderboard -> best model per series -> final forecast
-          -> evidence row per series -> markdown text per series
-
-The final forecast is chosen per series by joining on its best model:
-ARIMA series use the ARIMA forecast with its band, OLS series the
-recursive linear forecast, series whose forecast is missing fall back to
-the last observed value. Only the small per-series tables are joined; the
-feature table is built once and persisted for the backtests.
+    panel -> numeric values -> date range -> regular calendar -> impute -> validate
+          -> features -> backtest every model -> leaderboard -> best model per series
+          -> final forecast -> evidence row per series -> markdown text per series
+
+A panel without keys is one series: it gets a constant key on entry, which is
+dropped again on exit. The final forecast is chosen per series by joining on its
+best model; a series whose forecast is missing or NULL falls back to the last
+observed value. A model that fails is left out (with a warning); the run fails
+only when none is left. Only the small per-series tables are joined; the
+feature table is built once and checkpointed.
 """
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, field
+import logging
+from collections.abc import Callable, Mapping
+from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +25,19 @@ from pyspark.sql import functions as F
 from panelcast.functions.dual import SparkRel
 from panelcast.operators import arma, ols
 from panelcast.operators import report as R
+from panelcast.operators.calendar import date_range_filter, fill_spine
 from panelcast.operators.evaluate import fold_summary, metrics, select_best
 from panelcast.operators.features import build_features
 from panelcast.operators.forecast import lag_index, last_rows, last_values, naive_forecast, recursive_linear_forecast
 from panelcast.operators.quality import impute, validate
+from panelcast.sources.io import coerce_numeric
+
+log = logging.getLogger(__name__)
+
+#: Key of a panel without keys.
+ONE_SERIES = "series"
+#: Label of a period in reports and evidence.
+LABEL_FORMAT = {"month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd HH:00"}
 
 
 @dataclass
@@ -35,8 +47,8 @@ class RunConfig:
     target: str
     exog: list[str]
     regressors: list[str]
-    max_lag: int = 3
-    windows: list[int] = field(default_factory=lambda: [3])
+    max_lag: int = 6
+    windows: list[int] = field(default_factory=lambda: [3, 6, 12])
     change_periods: int = 12
     use_differencing: bool = False
     n_folds: int = 5
@@ -48,6 +60,18 @@ class RunConfig:
     min_obs: int = 36
     data_source: str = "parquet"
     freq: str = "month"
+    start: str | None = None
+    end: str | None = None
+    positive: list[str] | None = None  # default: the level
+    ranges: dict[str, tuple[float, float]] = field(default_factory=dict)
+    nonnegative: list[str] = field(default_factory=list)
+    n_trials: int = 20
+    cv_splits: int = 3
+    search_space: dict = field(default_factory=dict)  # overrides parts of the reference's space
+    lookback: int = 12
+    sequence_rounds: int = 200
+    seed: int = 42
+    min_train: int = 10
 
     def feature_columns(self) -> list[str]:
         cols = [self.level_col, *self.exog]
@@ -61,45 +85,143 @@ class RunConfig:
         return cols
 
 
+def load(panel: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Numeric values, date range, regular calendar, imputation."""
+    values = [cfg.level_col, *cfg.exog]
+    out = coerce_numeric(panel.select(*cfg.keys, "period", *values), values)
+    out = date_range_filter(out, cfg.start, cfg.end)
+    out = fill_spine(out, cfg.keys, cfg.freq)
+    return impute(out, cfg.keys, values, cfg.missing_threshold_pct)
+
+
 def prepare(panel: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """Imputed panel and feature table (the latter persisted)."""
-    clean = impute(panel, cfg.keys, [cfg.level_col, *cfg.exog], cfg.missing_threshold_pct)
+    """Cleaned panel and feature table."""
+    clean = load(panel, cfg)
     feats = build_features(clean, cfg.keys, cfg.level_col, cfg.target, cfg.exog, max_lag=cfg.max_lag,
                            windows=cfg.windows, use_differencing=cfg.use_differencing,
                            change_periods=cfg.change_periods)
     return clean, feats
 
 
-def backtest(feats: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Predictions of every configured model (linear models in one pass)."""
-    rel = SparkRel(feats)
-    fc = cfg.feature_columns()
-    parts = []
+def row_counts(panel: DataFrame, clean: DataFrame, feats: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Per series: rows given, on the calendar, with features, complete; and what the features dropped."""
+    k = cfg.keys
+    complete = F.count_if(F.expr(ols.ok_expr(cfg.target, [c for c in cfg.feature_columns() if c != cfg.target])))
+    out = (panel.groupBy(*k).agg(F.count("*").alias("rows_given"))
+           .join(clean.groupBy(*k).agg(F.count("*").alias("rows_on_calendar")), k, "left")
+           .join(feats.groupBy(*k).agg(F.count("*").alias("rows_with_features"), complete.alias("rows_complete")), k, "left"))
+    filled = {c: F.coalesce(c, F.lit(0)).cast("bigint") for c in ("rows_on_calendar", "rows_with_features", "rows_complete")}
+    return out.withColumns(filled).withColumn("rows_dropped", F.col("rows_on_calendar") - F.col("rows_with_features"))
+
+
+# --- models: name -> how to backtest, and how to forecast with what the backtest found -----------
+
+
+def _ols_backtest(feats, cfg):
+    return ols.backtest_predictions(SparkRel(feats), cfg.keys, cfg.target, cfg.regressors, cfg.n_folds, cfg.horizon,
+                                    complete_cols=cfg.feature_columns(), min_train=cfg.min_train, model="OLS").df, None
+
+
+def _arima_backtest(feats, cfg):
+    return arma.backtest_predictions(SparkRel(feats), cfg.keys, cfg.target, cfg.n_folds, cfg.horizon,
+                                     complete_cols=cfg.feature_columns(), min_train=cfg.min_train, model="ARIMA").df, None
+
+
+def _naive_backtest(feats, cfg):
+    return ols.naive_backtest_predictions(SparkRel(feats), cfg.keys, cfg.target, cfg.n_folds, cfg.horizon,
+                                          complete_cols=cfg.feature_columns(), min_train=cfg.min_train).df, None
+
+
+def _tree_backtest(feats, cfg):
+    from panelcast.operators.trees import fit_predict_folds
+
+    return fit_predict_folds(feats, cfg.keys, cfg.target, cfg.feature_columns(), cfg.n_folds, cfg.horizon, "gbt",
+                             n_trials=cfg.n_trials, cv_splits=cfg.cv_splits, seed=cfg.seed, min_train=cfg.min_train,
+                             model_name="GradientBoosting", space=cfg.search_space)
+
+
+def _sequence_backtest(feats, cfg):
+    from panelcast.operators.sequence import sequence_backtest
+
+    return sequence_backtest(feats, cfg.keys, cfg.target, cfg.feature_columns(), cfg.n_folds, cfg.horizon, cfg.lookback,
+                             max_iter=cfg.sequence_rounds, seed=cfg.seed), None
+
+
+def _ols_forecast(feats, cfg, found):
+    k = cfg.keys
+    coefs = ols_fit(feats, cfg).select(*k, F.col("_obeta_const").alias("coef_const"),
+                                       *[F.col(f"_obeta{j}").alias(f"coef_{j}") for j in range(len(cfg.regressors))])
+    max_lag = max([lag_index(x, cfg.target) or 0 for x in cfg.regressors] + [1])
+    state = coefs.join(last_rows(feats, k, cfg.regressors), k).join(last_values(feats, k, cfg.target, max_lag), k)
+    return recursive_linear_forecast(state, k, cfg.target, cfg.regressors, [f"coef_{j}" for j in range(len(cfg.regressors))],
+                                     "coef_const", cfg.final_horizon, cfg.freq)
+
+
+def _arima_forecast(feats, cfg, found):
+    base = SparkRel(feats).filter(f"{cfg.target} IS NOT NULL")
+    fit = arma.hannan_rissanen(base, cfg.keys, cfg.target, arma.adf(base, cfg.keys, cfg.target))
+    return arma.forecast_rows(fit, cfg.keys, cfg.final_horizon, freq=cfg.freq).df
+
+
+def _naive_forecast(feats, cfg, found):
+    return naive_forecast(feats, cfg.keys, cfg.target, cfg.final_horizon, cfg.freq)
+
+
+def _tree_forecast(feats, cfg, params):
+    from panelcast.operators import trees
+    from panelcast.operators.forecast import recursive_model_forecast
+
+    cols = cfg.feature_columns()
+    model = trees.fit_full(feats, cfg.keys, cfg.target, cols, params, "gbt", cfg.seed)
+    state = trees.forecast_state(feats, cfg.keys, cfg.target, cols, cfg.max_lag)
+    return recursive_model_forecast(state, cfg.keys, cfg.target, [*cols, trees.SERIES_LEVEL], model, cfg.final_horizon, cfg.freq)
+
+
+def _sequence_forecast(feats, cfg, found):
+    from panelcast.operators.sequence import sequence_forecast
+
+    return sequence_forecast(feats, cfg.keys, cfg.target, cfg.feature_columns(), cfg.final_horizon, cfg.freq, cfg.lookback,
+                             max_iter=cfg.sequence_rounds, seed=cfg.seed)
+
+
+MODELS: dict[str, tuple[Callable, Callable]] = {
+    "OLS": (_ols_backtest, _ols_forecast),
+    "ARIMA": (_arima_backtest, _arima_forecast),
+    "GradientBoosting": (_tree_backtest, _tree_forecast),
+    "sequence": (_sequence_backtest, _sequence_forecast),
+    "naive": (_naive_backtest, _naive_forecast),
+}
+
+
+def ols_fit(feats: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Full-sample OLS on the rows with every feature present."""
+    return ols.fit(SparkRel(feats), cfg.keys, cfg.target, cfg.regressors, hac_lags=cfg.hac_lags,
+                   complete_cols=cfg.feature_columns()).df
+
+
+def backtest(feats: DataFrame, cfg: RunConfig, models: Mapping | None = None) -> tuple[DataFrame, dict]:
+    """Predictions of every configured model, and what each needs for its refit.
+
+    ``models`` adds to or replaces ``MODELS``: name -> (backtest, forecast)."""
+    known = {**MODELS, **(models or {})}
+    parts, found = [], {}
     for m in cfg.models:
-        if m == "OLS":
-            parts.append(ols.backtest_predictions(rel, cfg.keys, cfg.target, cfg.regressors, cfg.n_folds,
-                                                  cfg.horizon, complete_cols=fc, model="OLS").df)
-        elif m == "ARIMA":
-            parts.append(arma.backtest_predictions(rel, cfg.keys, cfg.target, cfg.n_folds, cfg.horizon,
-                                                   complete_cols=fc, model="ARIMA").df)
-        elif m == "GradientBoosting":
-            from panelcast.operators.trees import fit_predict_folds
-            p, _ = fit_predict_folds(feats, cfg.keys, cfg.target, fc, cfg.n_folds, cfg.horizon, "gbt",
-                                     n_trials=2, cv_splits=2, max_iter_cap=20, model_name="GradientBoosting")
-            parts.append(p)
-        elif m == "sequence":
-            from panelcast.operators.sequence import sequence_backtest
-            parts.append(sequence_backtest(feats, cfg.keys, cfg.target, cfg.exog, cfg.n_folds, cfg.horizon,
-                                           max_iter=20))
-        elif m == "naive":
-            parts.append(ols.naive_backtest_predictions(rel, cfg.keys, cfg.target, cfg.n_folds, cfg.horizon,
-                                                        complete_cols=fc).df)
-        else:
+        if m not in known:
             raise ValueError(f"unknown model {m}")
+        try:
+            preds, found[m] = known[m][0](feats, cfg)
+            preds = preds.select(*cfg.keys, "model", "fold_idx", "period", "y_true", "y_pred").persist()
+            preds.count()
+            parts.append(preds)
+        except Exception as exc:  # noqa: BLE001  (one model's failure must not end the run)
+            found.pop(m, None)
+            log.warning("model %s failed in the backtest: %s", m, str(exc).splitlines()[0] if str(exc) else exc)
+    if not parts:
+        raise RuntimeError("every model failed")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    return out, found
 
 
 def leaderboard(preds: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -109,49 +231,34 @@ def leaderboard(preds: DataFrame, cfg: RunConfig) -> DataFrame:
     return s.withColumn("model_order", order[F.col("model")])
 
 
-def final_forecasts(feats: DataFrame, best: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
-    """Forecast per series from its best model; returns (forecast, ols_fit)."""
+def final_forecasts(feats: DataFrame, best: DataFrame, cfg: RunConfig, found: Mapping,
+                    models: Mapping | None = None) -> DataFrame:
+    """Forecast per series from its best model; only that model's series are forecast by it."""
+    known = {**MODELS, **(models or {})}
     k = cfg.keys
-    rel = SparkRel(feats)
-    fit = ols.fit(rel, k, cfg.target, cfg.regressors, hac_lags=cfg.hac_lags).df
-    coefs = fit.select(*k, F.col("_obeta_const").alias("coef_const"),
-                       *[F.col(f"_obeta{j}").alias(f"coef_{j}") for j in range(len(cfg.regressors))])
-    max_lag = max([lag_index(x, cfg.target) or 0 for x in cfg.regressors] + [1])
-    state = (coefs.join(last_rows(feats, k, cfg.regressors), k)
-                  .join(last_values(feats, k, cfg.target, max_lag), k))
-    lin = recursive_linear_forecast(state, k, cfg.target, cfg.regressors,
-                                    [f"coef_{j}" for j in range(len(cfg.regressors))], "coef_const",
-                                    cfg.final_horizon, cfg.freq)
-    lin = lin.withColumns({"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double"),
-                           "source": F.lit("OLS")})
-    parts = [lin]
-    if "ARIMA" in cfg.models:
-        base = rel.filter(f"{cfg.target} IS NOT NULL")
-        af = arma.forecast_rows(arma.hannan_rissanen(base, k, cfg.target, arma.adf(base, k, cfg.target, 4)),
-                                k, cfg.final_horizon).df
-        parts.append(af.select(*k, "step", "period", "yhat", "lo", "hi", F.lit("ARIMA").alias("source")))
-    if "GradientBoosting" in cfg.models:
-        from panelcast.operators.forecast import recursive_model_forecast
-        from panelcast.operators.trees import fit_full, sample_trials
-        fcols = cfg.feature_columns()
-        model = fit_full(feats, k, cfg.target, fcols, sample_trials("gbt", 1, 42)[0], "gbt", 42, 20)
-        tstate = last_rows(feats, k, fcols).join(last_values(feats, k, cfg.target, cfg.max_lag), k)
-        tf = recursive_model_forecast(tstate, k, cfg.target, fcols, model, cfg.final_horizon, cfg.freq)
-        parts.append(tf.withColumns({"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double"),
-                                     "source": F.lit("GradientBoosting")}))
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
-    chosen = best.select(*k, F.col("model").alias("source"))
-    picked = cand.join(chosen, on=[*k, "source"], how="inner")
-    naive = naive_forecast(feats, k, cfg.target, cfg.final_horizon, cfg.freq)
-    # fallback: series whose best model produced no forecast repeat the last value
-    have = picked.select(*k).distinct()
-    fb = naive.join(have, on=k, how="left_anti").withColumns(
-        {"lo": F.lit(None).cast("double"), "hi": F.lit(None).cast("double"), "source": F.lit("last_value")})
-    out = picked.select(*k, "step", "period", "yhat", "lo", "hi", "source").unionByName(
-        fb.select(*k, "step", "period", "yhat", "lo", "hi", "source"))
-    return out, fit
+    none = F.lit(None).cast("double")
+    picked = None
+    for m in found:
+        mine = best.filter(F.col("model") == m).select(*k)
+        own = feats.join(mine, on=k, how="left_semi") if m in ("OLS", "ARIMA", "naive") else feats  # pooled models fit on all
+        try:
+            part = known[m][1](own, cfg, found[m])
+            part = part.select(*k, "step", "period", "yhat", *[(F.col(c) if c in part.columns else none).alias(c) for c in ("lo", "hi")],
+                               F.lit(m if m != "naive" else "last_value").alias("source")).join(mine, on=k, how="left_semi")
+        except Exception as exc:  # noqa: BLE001
+            log.warning("model %s failed in the final forecast: %s", m, exc)
+            continue
+        picked = part if picked is None else picked.unionByName(part)
+    naive = naive_forecast(feats, k, cfg.target, cfg.final_horizon, cfg.freq).select(
+        *k, "step", "period", "yhat", none.alias("lo"), none.alias("hi"), F.lit("last_value").alias("source"))
+    if picked is None:
+        return naive
+    # series x horizon rows that are read three times below: cut the models' long plans here
+    picked = picked.checkpoint(eager=True)
+    # a series with a missing or NULL (or infinite) step repeats its last value instead
+    usable = F.col("yhat").isNotNull() & ~F.isnan("yhat") & (F.abs("yhat") < float("inf"))
+    whole = picked.groupBy(*k).agg(F.count_if(usable).alias("_n")).filter(F.col("_n") == cfg.final_horizon).select(*k)
+    return picked.join(whole, on=k, how="left_semi").unionByName(naive.join(whole, on=k, how="left_anti"))
 
 
 def evidence(spark: SparkSession, panel: DataFrame, feats: DataFrame, board: DataFrame, best: DataFrame,
@@ -159,13 +266,14 @@ def evidence(spark: SparkSession, panel: DataFrame, feats: DataFrame, board: Dat
     """One row per series with every number the report prints."""
     k = cfg.keys
     t = cfg.target
+    label = LABEL_FORMAT[cfg.freq]
     tstats = feats.groupBy(*k).agg(
-        F.date_format(F.min("period"), "yyyy-MM").alias("start_date"),
-        F.date_format(F.max("period"), "yyyy-MM").alias("end_date"),
+        F.date_format(F.min("period"), label).alias("start_date"),
+        F.date_format(F.max("period"), label).alias("end_date"),
         F.count(t).cast("bigint").alias("n_obs"),
         F.avg(t).alias("target_mean"), F.stddev_samp(t).alias("target_std"), F.min(t).alias("target_min"),
         F.max(t).alias("target_max"), F.max_by(F.col(t), F.col("period")).alias("target_latest"))
-    ex = panel.groupBy(*k).agg(*[a for c in cfg.exog for a in (
+    ex = panel.groupBy(*k).agg(F.count("*").alias("n_periods"), *[a for c in cfg.exog for a in (
         F.avg(c).alias(f"{c}_mean"), F.stddev_samp(c).alias(f"{c}_std"),
         F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"))])
     mm = board.groupBy(*k).agg(
@@ -182,10 +290,10 @@ def evidence(spark: SparkSession, panel: DataFrame, feats: DataFrame, board: Dat
         *k, F.col("r2").alias("r_squared"), F.col("adj_r2").alias("adj_r_squared"), F.col("n_obs").alias("nobs"),
         "durbin_watson")
     fcv = fc.groupBy(*k).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.date_format("period", "yyyy-MM"), "yhat"))).alias("forecast_values"),
-        F.map_from_entries(F.collect_list(F.struct(F.date_format("period", "yyyy-MM"), "lo"))).alias("forecast_conf_lower"),
-        F.map_from_entries(F.collect_list(F.struct(F.date_format("period", "yyyy-MM"), "hi"))).alias("forecast_conf_upper"),
-        F.date_format(F.min("period"), "yyyy-MM").alias("forecast_start"))
+        F.map_from_entries(F.collect_list(F.struct(F.date_format("period", label), "yhat"))).alias("forecast_values"),
+        F.map_from_entries(F.collect_list(F.struct(F.date_format("period", label), "lo"))).alias("forecast_conf_lower"),
+        F.map_from_entries(F.collect_list(F.struct(F.date_format("period", label), "hi"))).alias("forecast_conf_upper"),
+        F.date_format(F.min("period"), label).alias("forecast_start"), F.min("source").alias("forecast_source"))
     ev = (tstats.join(ex, k, "left").join(mm, k, "left").join(bst, k, "left").join(cm, k, "left")
                 .join(st, k, "left").join(fcv, k, "left"))
     formula = f"{t} ~ " + " + ".join(cfg.regressors)
@@ -200,23 +308,21 @@ def evidence(spark: SparkSession, panel: DataFrame, feats: DataFrame, board: Dat
 def markdown(ev: DataFrame, coef: DataFrame, fc: DataFrame, board: DataFrame, cfg: RunConfig) -> DataFrame:
     """The report text per series: seven numbered sections."""
     k = cfg.keys
-    x1, x2 = (cfg.exog + [None, None])[:2]
     parts = ev.join(R.comparison_table(board, k), k, "left") \
               .join(R.coefficient_lines(coef, k, ["const", *cfg.regressors]), k, "left") \
-              .join(R.forecast_table(fc, k).drop("forecast_start", "forecast_horizon"), k, "left")
-    if x1 and x2:
-        parts = parts.join(R.interpretation(coef, k, x1, x2), k, "left")
-    else:
-        parts = parts.withColumn("interpretation", F.lit(""))
+              .join(R.forecast_table(fc, k, label=LABEL_FORMAT[cfg.freq]).drop("forecast_start", "forecast_horizon"), k, "left")
+    named = [x for x in cfg.exog if x in cfg.regressors]
+    parts = parts.join(R.interpretation(coef, k, *named), k, "left") if named else parts.withColumn("interpretation", F.lit(""))
     from panelcast.functions.columns import fmt_fixed as fx
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(R.MISSING))
     key_txt = F.concat_ws(" / ", *[F.col(c).cast("string") for c in k]) if k else F.lit("all")
     summary = F.format_string(
         "Series %s: %s observations from %s to %s (source: %s). The target averaged %s (range %s to %s); "
         "latest %s. Of %s models compared on %s rolling-origin folds, %s had the lowest mean RMSE (%s). "
         "A %s-period forecast follows in section 4.",
-        key_txt, F.col("n_obs"), F.col("start_date"), F.col("end_date"), F.col("data_source"),
+        key_txt, text("n_obs"), text("start_date"), text("end_date"), F.col("data_source"),
         fx("target_mean", 2), fx("target_min", 2), fx("target_max", 2), fx("target_latest", 2),
-        F.col("n_models"), F.col("n_folds"), F.coalesce(F.col("best_model"), F.lit(R.MISSING)),
+        F.coalesce("n_models", F.lit(0)).cast("string"), F.col("n_folds"), F.coalesce(F.col("best_model"), F.lit(R.MISSING)),
         fx("best_rmse", 4), F.col("forecast_horizon"))
     overview_rows = [F.format_string("| %s | %s | %s | %s | %s |", F.lit(c), fx(f"{c}_mean", 2), fx(f"{c}_std", 2),
                                      fx(f"{c}_min", 2), fx(f"{c}_max", 2)) for c in cfg.exog]
@@ -229,10 +335,10 @@ def markdown(ev: DataFrame, coef: DataFrame, fc: DataFrame, board: DataFrame, cf
                        F.lit("\n| Variable | Coefficient | Std Error | z | p-value |\n|---|---|---|---|---|"),
                        F.coalesce(F.col("coeff_table"), F.lit(R.EMPTY_ROW_5)),
                        F.format_string("\nR² = %s, adjusted R² = %s, N = %s. Durbin-Watson = %s.",
-                                       fx("r_squared", 4), fx("adj_r_squared", 4), F.col("nobs"), fx("durbin_watson", 3)),
+                                       fx("r_squared", 4), fx("adj_r_squared", 4), text("nobs"), fx("durbin_watson", 3)),
                        F.col("interpretation"))
-    fcs = F.concat_ws("\n", F.format_string("Forecast from %s with %s:", F.col("forecast_start"),
-                                            F.coalesce(F.col("best_model"), F.lit(R.MISSING))),
+    fcs = F.concat_ws("\n", F.format_string("Forecast from %s with %s:", text("forecast_start"),
+                                            F.coalesce(F.col("forecast_source"), F.lit("last_value"))),
                       F.lit("\n| Period | Forecast |\n|---|---|"),
                       F.coalesce(F.col("forecast_table"), F.lit(R.EMPTY_ROW_2)),
                       F.format_string("\nThe forecast suggests the target will %s over the next %s periods.",
@@ -251,40 +357,57 @@ def markdown(ev: DataFrame, coef: DataFrame, fc: DataFrame, board: DataFrame, cf
     return parts.select(*k, doc.alias("markdown"))
 
 
-def run(spark: SparkSession, panel: DataFrame, cfg: RunConfig, strict: bool = False) -> dict[str, DataFrame]:
+def _with_key(panel: DataFrame, cfg: RunConfig) -> tuple[DataFrame, RunConfig, bool]:
+    if cfg.keys:
+        return panel, cfg, False
+    return panel.withColumn(ONE_SERIES, F.lit("all")), replace(cfg, keys=[ONE_SERIES]), True
+
+
+def run(spark: SparkSession, panel: DataFrame, cfg: RunConfig, strict: bool = False,
+        models: Mapping | None = None) -> dict[str, DataFrame]:
     """Full pipeline; returns the named result tables.
 
     The feature table is checkpointed; the small per-series results
     (predictions, leaderboard, best, forecast, fit) are persisted because
-    several outputs read them -- the caller owns them and may ``unpersist()``.
+    several outputs read them; ``release`` gives them back.
     """
-    report = validate(panel, cfg.keys, required=[cfg.level_col, *cfg.exog], min_obs=cfg.min_obs)
+    from panelcast.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    panel, cfg, single = _with_key(panel, cfg)
+    clean, feats = prepare(panel, cfg)
+    clean = clean.checkpoint(eager=True)
+    report = validate(clean, cfg.keys, required=[cfg.level_col, *cfg.exog], min_obs=cfg.min_obs,
+                      positive=[cfg.level_col] if cfg.positive is None else cfg.positive, ranges=cfg.ranges,
+                      nonnegative=cfg.nonnegative)
     if strict:
         from panelcast.operators.quality import validate_strict
         validate_strict(report)
-    clean, feats = prepare(panel, cfg)
-    # the feature table is small next to the raw data; a reliable checkpoint
-    # (spark.checkpoint.dir, a shared folder on a cluster) cuts the lineage
+    # a reliable checkpoint (spark.checkpoint.dir, a shared folder on a cluster) cuts the lineage
     # so the backtests restart from it, not from the raw scan, after a loss
-    from panelcast.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    feats = feats.checkpoint(eager=True)
-    # per-series results are small (series x models x folds); persisting them
-    # keeps each backtest from being recomputed by every consumer below
-    preds = backtest(feats, cfg).persist()
+    feats = build_features(clean, cfg.keys, cfg.level_col, cfg.target, cfg.exog, max_lag=cfg.max_lag, windows=cfg.windows,
+                           use_differencing=cfg.use_differencing, change_periods=cfg.change_periods).checkpoint(eager=True)
+    preds, found = backtest(feats, cfg, models)
     board = leaderboard(preds, cfg).persist()
-    best = select_best(board, cfg.keys).persist()
-    fc, fit_rel = final_forecasts(feats, best, cfg)
-    fc, fit_rel = fc.persist(), fit_rel.persist()
+    best = select_best(board, cfg.keys).checkpoint(eager=True)  # one row a series
+    fc = final_forecasts(feats, best, cfg, found, models).persist()
+    fit = ols_fit(feats, cfg).persist()
     meta = R.run_metadata(asdict(cfg))
-    ev = evidence(spark, clean, feats, board, best, fc, fit_rel, cfg, meta)
-    coef = ols.coefficient_table(SparkRel(fit_rel), cfg.keys, cfg.regressors, dp=10).df
-    md = markdown(ev, coef, fc, board, cfg)
-    return {"quality": report, "features": feats, "predictions": preds, "leaderboard": board, "best": best,
-            "forecast": fc, "evidence": ev, "markdown": md}
+    ev = evidence(spark, clean, feats, board, best, fc, fit, cfg, meta)
+    coef = ols.coefficient_table(SparkRel(fit), cfg.keys, cfg.regressors, dp=10, robust=cfg.hac_lags > 0).df
+    out = {"quality": report, "row_counts": row_counts(panel, clean, feats, cfg), "features": feats, "predictions": preds,
+           "leaderboard": board, "best": best, "forecast": fc, "fit": fit, "evidence": ev,
+           "markdown": markdown(ev, coef, fc, board, cfg)}
+    return {name: df.drop(ONE_SERIES) for name, df in out.items()} if single else out
+
+
+def release(spark: SparkSession) -> None:
+    """Gives back everything a run persisted."""
+    spark.catalog.clearCache()
 
 
-def evaluate(spark: SparkSession, panel: DataFrame, cfg: RunConfig) -> DataFrame:
+def evaluate(spark: SparkSession, panel: DataFrame, cfg: RunConfig, models: Mapping | None = None) -> DataFrame:
     """Backtest-only entry: the leaderboard (no refit, no report)."""
-    _, feats = prepare(panel, cfg)
-    return leaderboard(backtest(feats, cfg), cfg)
+    panel, cfg, single = _with_key(panel, cfg)
+    board = leaderboard(backtest(prepare(panel, cfg)[1], cfg, models)[0], cfg)
+    return board.drop(ONE_SERIES) if single else board

@@ -5,24 +5,24 @@ from __future__ import annotations
 from panelcast.functions.dual import SparkRel, SqlRel
 from panelcast.operators import arma
 from panelcast.plans.catalog import register
-from panelcast.plans.featuresets import KD, TARGET_D, features_d, sql_features_d
+from panelcast.plans.featuresets import ADF_LAGS, KD, TARGET_D, features_d, sql_features_d
 
 H_FINAL = 12
 DP = 6
 
 
 def _base(rel):
-    return rel.filter(f"{TARGET_D} IS NOT NULL")
+    return rel.filter(f"{TARGET_D} IS NOT NULL").share()
 
 
 def arima_fit(rel):
     base = _base(rel)
-    d = arma.adf(base, KD, TARGET_D, max_lag=4)
+    d = arma.adf(base, KD, TARGET_D, max_lag=ADF_LAGS)
     return arma.hannan_rissanen(base, KD, TARGET_D, d)
 
 
 def _adf_out(rel):
-    a = arma.adf(_base(rel), KD, TARGET_D, max_lag=4)
+    a = arma.adf(_base(rel), KD, TARGET_D, max_lag=ADF_LAGS)
     return a.select([(k, k) for k in KD] + [("adf_lag", "adf_lag"), ("adf_stat", f"round(adf_stat, {DP})"),
                                              ("adf_n", "adf_n"), ("d", "d")])
 

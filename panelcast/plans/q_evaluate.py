@@ -10,7 +10,7 @@ from panelcast.operators import arma, ols
 from panelcast.operators.evaluate import fold_rows, fold_summary, folds, metrics, select_best
 from panelcast.plans.catalog import register
 from panelcast.plans.sqlbits import rnd
-from panelcast.plans.featuresets import KD, OLS_XS, TARGET_D, feature_columns_d, features_d, sql_features_d
+from panelcast.plans.featuresets import ADF_LAGS, KD, OLS_XS, TARGET_D, feature_columns_d, features_d, sql_features_d
 
 K_FOLDS, H = 5, 6
 DP = 6
@@ -49,7 +49,8 @@ def q_fold_rows(spark, sf):
 def _pred_rel(rel):
     feats = feature_columns_d()
     o = ols.backtest_predictions(rel, KD, TARGET_D, OLS_XS, K_FOLDS, H, complete_cols=feats, model="OLS")
-    a = arma.backtest_predictions(rel, KD, TARGET_D, K_FOLDS, H, complete_cols=feats, model="ARIMA")
+    a = arma.backtest_predictions(rel, KD, TARGET_D, K_FOLDS, H, complete_cols=feats, model="ARIMA",
+                                  adf_lags=ADF_LAGS)
     n = ols.naive_backtest_predictions(rel, KD, TARGET_D, K_FOLDS, H, complete_cols=feats, model="naive")
     u = o.union_all([a, n])
     return u.df if isinstance(rel, SparkRel) else u.sql
@@ -124,11 +125,11 @@ def q_best_model(spark, sf):
 
 # ---- full-sample OLS --------------------------------------------------------
 def ols_fit(spark, sf, xs=OLS_XS, hac_lags=6):
-    return ols.fit(SparkRel(features_d(spark, sf)), KD, TARGET_D, xs, hac_lags=hac_lags)
+    return ols.fit(SparkRel(features_d(spark, sf)), KD, TARGET_D, xs, hac_lags=hac_lags, complete_cols=feature_columns_d())
 
 
 def _ols_sql(xs=OLS_XS, hac_lags=6):
-    return ols.fit(SqlRel(sql_features_d()), KD, TARGET_D, xs, hac_lags=hac_lags)
+    return ols.fit(SqlRel(sql_features_d()), KD, TARGET_D, xs, hac_lags=hac_lags, complete_cols=feature_columns_d())
 
 
 @register("ols_hac", ids=("E1", "E2", "E3", "E5", "F8", "A11"), sql=ols.coefficient_table(_ols_sql(), KD, OLS_XS).sql)
@@ -136,9 +137,9 @@ def q_ols_hac(spark, sf):
     return ols.coefficient_table(ols_fit(spark, sf), KD, OLS_XS).df
 
 
-@register("ols_classic", ids=("E1", "E5"), sql=ols.coefficient_table(_ols_sql(hac_lags=0), KD, OLS_XS).sql)
+@register("ols_classic", ids=("E1", "E3", "E5"), sql=ols.coefficient_table(_ols_sql(hac_lags=0), KD, OLS_XS, robust=False).sql)
 def q_ols_classic(spark, sf):
-    return ols.coefficient_table(ols_fit(spark, sf, hac_lags=0), KD, OLS_XS).df
+    return ols.coefficient_table(ols_fit(spark, sf, hac_lags=0), KD, OLS_XS, robust=False).df
 
 
 @register("ols_fit_stats", ids=("A12", "A13", "E5"), sql=ols.fit_stats_table(_ols_sql(), KD).sql)

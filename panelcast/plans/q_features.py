@@ -147,5 +147,3 @@ def q_daily_change(spark, sf):
     e = add_lags(e, ["event_type"], ["v"], 1)
     return e.select("event_type", "period", rnd("v_chg7").alias("v_chg7"), rnd("v_lag_1", MONEY_DP).alias("v_lag_1"))
 
-
-_ = F

@@ -16,7 +16,7 @@ from panelcast.operators.forecast import (
 )
 from panelcast.plans.catalog import register
 from panelcast.plans.sqlbits import rnd
-from panelcast.plans.featuresets import KD, OLS_XS, TARGET_D, features_d, sql_features_d
+from panelcast.plans.featuresets import KD, OLS_XS, TARGET_D, feature_columns_d, features_d, sql_features_d
 from panelcast.plans.q_evaluate import ols_fit
 
 H_FINAL = 12
@@ -67,7 +67,7 @@ def recursive_ols(spark, sf, h=H_FINAL):
 
 
 def _recursive_sql(h=H_FINAL) -> str:
-    fit = ols.fit(SqlRel(sql_features_d()), KD, TARGET_D, OLS_XS, hac_lags=6).sql
+    fit = ols.fit(SqlRel(sql_features_d()), KD, TARGET_D, OLS_XS, hac_lags=6, complete_cols=feature_columns_d()).sql
     coefs = ", ".join([f"_obeta_const AS coef_const"] + [f"_obeta{j} AS coef_{j}" for j in range(len(OLS_XS))])
     lastx = ", ".join(f"arg_max({x}, period) AS {x}" for x in OLS_XS)
     hist = ", ".join(f"max(CASE WHEN rk = {i} THEN {TARGET_D} END) AS h{i}" for i in range(1, MAX_LAG + 1))

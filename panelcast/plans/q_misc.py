@@ -9,7 +9,7 @@ from panelcast.operators.models import OlsModel, align_target, complete_rows, nu
 from panelcast.plans import panels as P
 from panelcast.plans.catalog import register
 from panelcast.plans.featuresets import KD, OLS_XS, TARGET_D, feature_columns_d, features_d, sql_features_d
-from panelcast.plans.sqlbits import MONEY_DP, rnd
+from panelcast.plans.sqlbits import rnd
 from panelcast.sources.io import coerce_numeric
 from panelcast.sources.tables import read_table
 
@@ -96,7 +96,7 @@ def q_infer_frequency(spark, sf):
 def _pred_sql():
     from panelcast.functions.dual import SqlRel
     from panelcast.operators import ols
-    fit = ols.fit(SqlRel(sql_features_d()), KD, TARGET_D, OLS_XS, hac_lags=6).sql
+    fit = ols.fit(SqlRel(sql_features_d()), KD, TARGET_D, OLS_XS, hac_lags=6, complete_cols=_FC).sql
     coefs = ", ".join(["_obeta_const AS coef_const"] + [f"_obeta{j} AS coef_{x}" for j, x in enumerate(OLS_XS)])
     yhat = " + ".join(["coef_const"] + [f"coef_{x} * {x}" for x in OLS_XS])
     return f"""SELECT {KEYS_SQL}, period, round({yhat}, {DP}) AS y_pred
@@ -105,10 +105,8 @@ FROM ({sql_features_d()}) f JOIN (SELECT {KEYS_SQL}, {coefs} FROM ({fit}) z) c U
 
 @register("ols_predict", ids=("E4", "X1", "W10", "F5"), sql=_pred_sql())
 def q_ols_predict(spark, sf):
-    m = OlsModel(KD, TARGET_D, OLS_XS, hac_lags=6)
+    m = OlsModel(KD, TARGET_D, OLS_XS, hac_lags=6, complete_cols=_FC)
     f = features_d(spark, sf)
     p = m.predict(f, m.fit(f))
     return p.select(*KD, "period", rnd("y_pred", DP).alias("y_pred"))
 
-
-_ = MONEY_DP

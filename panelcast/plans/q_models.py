@@ -16,9 +16,10 @@ L = 3
 DP = 6
 W_SQL = f"PARTITION BY {KEYS_SQL} ORDER BY period"
 
-# tree settings used by the registered queries (the reference's grid is
-# sampled; iterations capped so a check at sf0.01 takes seconds, not hours)
-TREE_KW = dict(n_folds=5, horizon=6, n_trials=2, cv_splits=2, seed=42, max_iter_cap=20)
+# Size of the registered searches, an argument of the operator (its default is
+# the reference's 20 trials x 3 splits of 100 to 500 trees); stated in the results.
+SEARCH = dict(n_trials=2, cv_splits=2, space={"n_estimators": [20, 30]})
+SEQUENCE_ROUNDS = 20
 
 
 @register("seq_windows", ids=("W7",), sql=f"""
@@ -67,10 +68,18 @@ def q_time_split(spark, sf):
 
 
 def _tree_preds(spark, sf, variant, name):
-    p, params = T.fit_predict_folds(features_d(spark, sf), KD, TARGET_D, feature_columns_d(),
-                                    variant=variant, model_name=name, **TREE_KW)
+    p, _ = T.fit_predict_folds(features_d(spark, sf), KD, TARGET_D, feature_columns_d(), variant=variant,
+                               model_name=name, **SEARCH)
     return p.select(*KD, "model", "fold_idx", "period", rnd("y_true", DP).alias("y_true"),
-                    rnd("y_pred", DP).alias("y_pred"))
+                    rnd("y_pred", DP).alias("y_pred"), F.lit(SEARCH["n_trials"]).alias("search_trials"),
+                    F.lit(SEARCH["cv_splits"]).alias("search_splits"), F.lit(max(SEARCH["space"]["n_estimators"])).alias("search_most_trees"))
+
+
+def _winner(spark, sf):
+    """Last fold's winner of the search, refitted on all rows."""
+    feats, cols = features_d(spark, sf), feature_columns_d()
+    _, params = T.fit_predict_folds(feats, KD, TARGET_D, cols, **SEARCH)
+    return feats, cols, T.fit_full(feats, KD, TARGET_D, cols, params)
 
 
 @register("gbt_backtest", ids=("E10", "E12", "T6", "B2"))
@@ -85,10 +94,8 @@ def q_rf_backtest(spark, sf):
 
 @register("tree_importances", ids=("E14", "T2"))
 def q_importances(spark, sf):
-    feats = features_d(spark, sf)
-    params = T.sample_trials("gbt", 1, 42)[0]
-    model = T.fit_full(feats, KD, TARGET_D, feature_columns_d(), params, "gbt", 42, TREE_KW["max_iter_cap"])
-    return T.importances(spark, model, feature_columns_d())
+    _, cols, model = _winner(spark, sf)
+    return T.importances(spark, model, [*cols, T.SERIES_LEVEL])
 
 
 @register("tree_scoring_fill", ids=("E13", "P10", "P12"), sql=f"""
@@ -102,21 +109,19 @@ def q_scoring_fill(spark, sf):
 
 @register("sequence_backtest", ids=("E16", "E18", "W7", "E15", "E17", "Q4", "Q5"))
 def q_sequence_backtest(spark, sf):
-    p = S.sequence_backtest(features_d(spark, sf), KD, TARGET_D, ["rate1", "rate2"], lookback=12, max_iter=20)
+    p = S.sequence_backtest(features_d(spark, sf), KD, TARGET_D, feature_columns_d(), lookback=12, max_iter=SEQUENCE_ROUNDS)
     return p.select(*KD, "model", "fold_idx", "period", rnd("y_true", DP).alias("y_true"),
-                    rnd("y_pred", DP).alias("y_pred"))
+                    rnd("y_pred", DP).alias("y_pred"), F.lit(SEQUENCE_ROUNDS).alias("most_rounds"))
 
 
 @register("tree_recursive_forecast", ids=("R1", "E13", "W11", "W12"))
 def q_tree_recursive_forecast(spark, sf):
-    """Final GBT model rolled forward 12 months per series (target lags
+    """The searched GBT rolled forward 12 months per series (target lags
     refreshed from the prediction buffer, other features held)."""
-    from panelcast.operators.forecast import last_rows, last_values, recursive_model_forecast
+    from panelcast.operators.forecast import recursive_model_forecast
     from panelcast.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
-    feats = features_d(spark, sf)
-    cols = feature_columns_d()
-    model = T.fit_full(feats, KD, TARGET_D, cols, T.sample_trials("gbt", 1, 42)[0], "gbt", 42, TREE_KW["max_iter_cap"])
-    state = last_rows(feats, KD, cols).join(last_values(feats, KD, TARGET_D, 3), KD)
-    f = recursive_model_forecast(state, KD, TARGET_D, cols, model, 12)
+    feats, cols, model = _winner(spark, sf)
+    state = T.forecast_state(feats, KD, TARGET_D, cols, 6)
+    f = recursive_model_forecast(state, KD, TARGET_D, [*cols, T.SERIES_LEVEL], model, 12)
     return f.select(*KD, "step", "period", rnd("yhat", DP).alias("yhat"))

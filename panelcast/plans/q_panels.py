@@ -3,6 +3,8 @@ panel E (daily, 7-period change, three folds of three days)."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from panelcast.functions.dual import SparkRel, SqlRel
 from panelcast.operators import arma, ols
 from panelcast.operators.features import build_features
@@ -12,7 +14,7 @@ from panelcast.plans.featuresets import feature_columns, sql_features
 
 DP = 6
 KA, KE = P.PANEL_KEYS["A"], P.PANEL_KEYS["E"]
-FA = dict(level_col="v", target="v_yoy", exog=["n", "avg_price"], max_lag=3, windows=[3])
+FA = dict(level_col="v", target="v_yoy", exog=["n", "avg_price"], max_lag=6, windows=[3, 6, 12])
 XA = ["n", "avg_price", "v_yoy_lag_1"]
 FE = dict(level_col="v", target="v_chg7", exog=[], max_lag=3, windows=[3], change_periods=7)
 XE = ["v_chg7_lag_1", "v_chg7_lag_2"]
@@ -30,7 +32,7 @@ def _a_preds(rel):
 
 
 def features_a(spark, sf):
-    a = P.panel_a(spark, sf).withColumn("n", __import__("pyspark.sql.functions", fromlist=["col"]).col("n").cast("double"))
+    a = P.panel_a(spark, sf).withColumn("n", F.col("n").cast("double"))
     return build_features(a, KA, **FA)
 
 
@@ -59,3 +61,27 @@ def features_e(spark, sf):
           sql=_e_preds(SqlRel(sql_features(P.SQL_E, KE, **FE))).sql)
 def q_panel_e_backtest(spark, sf):
     return _e_preds(SparkRel(features_e(spark, sf))).df
+
+
+# ---- many series: one per supplier --------------------------------------------------
+KS = P.PANEL_KEYS["S"]
+FS = dict(level_col="v", target="v_yoy", exog=[], max_lag=2, windows=[3])
+XS_S = ["v_yoy_lag_1", "v_yoy_lag_2"]
+
+
+def _grid_sql(src: str, keys, col: str) -> str:
+    k = ", ".join(keys)
+    return f"""SELECT g.*, s.{col} FROM (SELECT {k}, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS period
+FROM (SELECT {k}, min(period) AS lo, max(period) AS hi FROM ({src}) a GROUP BY {k}) b) g LEFT JOIN ({src}) s USING ({k}, period)"""
+
+
+def _s_preds(rel):
+    fc = feature_columns(FS["level_col"], FS["target"], [], FS["max_lag"], FS["windows"])
+    return _round_preds(ols.backtest_predictions(rel, KS, FS["target"], XS_S, 3, 6, complete_cols=fc, model="OLS"), KS)
+
+
+@register("many_series_backtest", ids=("B2", "E1", "J7"), sql=_s_preds(SqlRel(sql_features(_grid_sql(P.SQL_S, KS, "v"), KS, **FS))).sql)
+def q_many_series(spark, sf):
+    """OLS backtest of one series per supplier, on the regular calendar."""
+    from panelcast.operators.calendar import fill_spine
+    return _s_preds(SparkRel(build_features(fill_spine(P.panel_s(spark, sf), KS), KS, **FS))).df

@@ -9,7 +9,7 @@ from panelcast.operators import report as R
 from panelcast.operators.evaluate import fold_summary
 from panelcast.plans import panels as P
 from panelcast.plans.catalog import register
-from panelcast.plans.featuresets import FEAT_D, KD, OLS_XS, TARGET_D, features_d, sql_features_d
+from panelcast.plans.featuresets import FEAT_D, KD, OLS_XS, TARGET_D, features_d, sql_features, sql_features_d
 from panelcast.plans.q_evaluate import SUMMARY_SQL, fold_metrics, ols_fit
 from panelcast.plans.q_forecast import _recursive_sql, recursive_ols
 from panelcast.plans.sqlbits import rnd
@@ -151,7 +151,7 @@ def q_metric_bars(spark, sf):
 def run_cfg():
     from panelcast.plans.pipeline import RunConfig
     return RunConfig(keys=KD, level_col="level", target=TARGET_D, exog=["rate1", "rate2"], regressors=OLS_XS,
-                     max_lag=3, windows=[3], models=["OLS", "ARIMA", "naive"], data_source="lineitem panel")
+                     models=["OLS", "ARIMA", "naive"], data_source="lineitem panel")
 
 
 def run_panel_d(spark, sf):
@@ -216,4 +216,89 @@ def q_evaluate(spark, sf):
     return b.select(*KD, "model", *[rnd(c, DP).alias(c) for c in _BOARD_COLS], "n_folds", "model_order")
 
 
-_ = F
+# ---- run on other input: gaps, one series without keys, days --------------------
+KC = P.PANEL_KEYS["C"]
+KC_SQL = ", ".join(KC)
+CHANGE_C = "v_yoy"
+
+
+def gappy_cfg():
+    from panelcast.plans.pipeline import RunConfig
+    return RunConfig(keys=KC, level_col="v", target=CHANGE_C, exog=[], regressors=[f"{CHANGE_C}_lag_1"], models=["naive"],
+                     data_source="orders panel")
+
+
+def _filled_sql(src: str, keys: str, col: str, threshold: float = 5.0) -> str:
+    """The imputation policy as SQL over a gridded series."""
+    part = f"PARTITION BY {keys}"
+    past = f"OVER ({part} ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = f"OVER ({part} ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return f"""SELECT {keys}, period, CASE WHEN pct = 0 THEN {col} WHEN pct <= {threshold} THEN coalesce(pv, nv)
+  ELSE coalesce({col}, CASE WHEN nv IS NULL THEN pv WHEN pv IS NOT NULL THEN
+       pv + (nv - pv) * (CAST(date_diff('day', pt, period) AS DOUBLE) / date_diff('day', pt, nt)) END, nv) END AS {col}
+FROM (SELECT *, round(100.0 * avg(CASE WHEN {col} IS NULL THEN 1.0 ELSE 0.0 END) OVER ({part}), 2) AS pct,
+       last_value({col} IGNORE NULLS) {past} AS pv, last_value(CASE WHEN {col} IS NOT NULL THEN period END IGNORE NULLS) {past} AS pt,
+       first_value({col} IGNORE NULLS) {ahead} AS nv, first_value(CASE WHEN {col} IS NOT NULL THEN period END IGNORE NULLS) {ahead} AS nt
+     FROM ({src}) g) x"""
+
+
+@register("run_gappy_panel_c", ids=("J7", "P13", "P14", "W1"), sql=f"""
+SELECT {KC_SQL}, period, round({CHANGE_C}, {DP}) AS {CHANGE_C}, round({CHANGE_C}_lag_1, {DP}) AS {CHANGE_C}_lag_1,
+       round({CHANGE_C}_roll_mean_12, {DP}) AS {CHANGE_C}_roll_mean_12
+FROM ({sql_features(_filled_sql(P.SQL_C_SPINE, KC_SQL, 'v'), KC, 'v', CHANGE_C)}) f
+""")
+def q_run_gappy(spark, sf):
+    """The run's load stage and features on 125 series of which about a quarter of the months are empty."""
+    from panelcast.plans.pipeline import prepare
+    f = prepare(P.panel_c(spark, sf), gappy_cfg())[1]
+    return f.select(*KC, "period", *[rnd(c, DP).alias(c) for c in (
+        CHANGE_C, f"{CHANGE_C}_lag_1", f"{CHANGE_C}_roll_mean_12")])
+
+
+_ONE_SQL = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, sum(o_totalprice) AS v FROM orders GROUP BY 1"
+_ONE_FEATS = sql_features(f"SELECT 'all' AS series, o.* FROM ({_ONE_SQL}) o", ["series"], "v", CHANGE_C)
+
+
+@register("run_single_series", ids=("B5", "R2", "K1"), sql=f"""
+SELECT CAST(s AS INT) AS step, CAST(last_period + to_months(CAST(s AS INTEGER)) AS DATE) AS period, round(yhat, {DP}) AS yhat,
+       'last_value' AS source
+FROM (SELECT max(period) AS last_period, arg_max({CHANGE_C}, period) AS yhat FROM ({_ONE_FEATS}) f) l, generate_series(1, 12) AS g(s)
+""")
+def q_run_single(spark, sf):
+    """A panel without keys: all orders as one series, end to end."""
+    from panelcast.operators.calendar import resample_agg
+    from panelcast.plans.pipeline import RunConfig, run
+    from panelcast.sources.tables import read_table
+    one = resample_agg(read_table(spark, sf, "orders"), [], "o_orderdate", {"v": F.sum("o_totalprice")})
+    cfg = RunConfig(keys=[], level_col="v", target=CHANGE_C, exog=[], regressors=[f"{CHANGE_C}_lag_1"], models=["naive"])
+    f = run(spark, one, cfg)["forecast"]
+    return f.select(F.col("step").cast("int").alias("step"), "period", rnd("yhat", DP).alias("yhat"), "source")
+
+
+@register("run_daily_panel_e", ids=("F2", "F3", "K1", "B5"), sql=f"""
+SELECT event_type, CAST(s AS INT) AS step, CAST(last_period + to_days(CAST(s AS INTEGER)) AS DATE) AS period, round(yhat, {DP}) AS yhat,
+       strftime(CAST(last_period + to_days(1) AS DATE), '%Y-%m-%d') AS forecast_start
+FROM (SELECT event_type, max(period) AS last_period, arg_max(v_chg7, period) AS yhat
+      FROM ({sql_features(P.SQL_E, ['event_type'], 'v', 'v_chg7', max_lag=3, windows=(3,), change_periods=7)}) f GROUP BY 1) l,
+     generate_series(1, 5) AS g(s)
+""")
+def q_run_daily(spark, sf):
+    """Daily series end to end, evidence included."""
+    from panelcast.plans.pipeline import RunConfig, run
+    cfg = RunConfig(keys=["event_type"], level_col="v", target="v_chg7", exog=[], regressors=["v_chg7_lag_1"], max_lag=3, windows=[3],
+                    change_periods=7, n_folds=2, horizon=3, final_horizon=5, models=["naive"], freq="day", min_obs=14, positive=[])
+    out = run(spark, P.panel_e(spark, sf), cfg)
+    f = out["forecast"].join(out["evidence"].select("event_type", "forecast_start"), "event_type")
+    return f.select("event_type", F.col("step").cast("int").alias("step"), "period", rnd("yhat", DP).alias("yhat"), "forecast_start")
+
+
+@register("row_counts", ids=("A14",), sql=f"""
+SELECT g.*, CAST(coalesce(n, 0) AS BIGINT) AS rows_with_features, CAST(rows_on_calendar - coalesce(n, 0) AS BIGINT) AS rows_dropped
+FROM (SELECT {KC_SQL}, CAST(count(v) AS BIGINT) AS rows_given, CAST(count(*) AS BIGINT) AS rows_on_calendar FROM ({P.SQL_C_SPINE}) s GROUP BY {KC_SQL}) g
+LEFT JOIN (SELECT {KC_SQL}, count(*) AS n FROM ({sql_features(_filled_sql(P.SQL_C_SPINE, KC_SQL, 'v'), KC, 'v', CHANGE_C)}) f GROUP BY {KC_SQL}) f
+USING ({KC_SQL})
+""")
+def q_row_counts(spark, sf):
+    from panelcast.plans.pipeline import prepare, row_counts
+    panel, cfg = P.panel_c(spark, sf), gappy_cfg()
+    return row_counts(panel, *prepare(panel, cfg), cfg).drop("rows_complete")

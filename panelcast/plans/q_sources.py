@@ -1,5 +1,4 @@
-"""Stage 1 source queries: long-series scan with pushdown, source fallback;
-and classic OLS p-values from the Student-t distribution."""
+"""Stage 1 source queries: long-series scan with pushdown, source fallback."""
 
 from __future__ import annotations
 
@@ -7,12 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from panelcast.functions.dual import SparkRel
-from panelcast.functions.stats import t_two_sided_p
-from panelcast.operators import ols
 from panelcast.plans import panels as P
 from panelcast.plans.catalog import register
-from panelcast.plans.featuresets import KD, OLS_XS, TARGET_D, features_d
 from panelcast.plans.sqlbits import MONEY_DP, rnd
 from panelcast.sources.io import load_with_fallback, read_long_series
 from panelcast.sources.tables import table_path
@@ -38,13 +33,3 @@ def q_source_fallback(spark, sf):
     df, used = load_with_fallback(lambda: spark.read.parquet(missing), lambda: P.panel_a(spark, sf),
                                   source="auto", names=("primary_file", "orders_parquet"))
     return df.select("o_orderpriority", "period", rnd("v", MONEY_DP).alias("v"), F.lit(used).alias("source_used"))
-
-
-@register("ols_classic_t", ids=("E3", "E5"))
-def q_ols_classic_t(spark, sf):
-    fit = ols.fit(SparkRel(features_d(spark, sf)), KD, TARGET_D, OLS_XS, hac_lags=0)
-    coef = ols.coefficient_table(fit, KD, OLS_XS, dp=10).df
-    dof = fit.df.select(*KD, (F.col("_on") - len(OLS_XS) - 1).alias("df_resid"))
-    out = coef.join(dof, KD).withColumn("p_value_t", t_two_sided_p(F.col("z_stat"), F.col("df_resid")))
-    return out.select(*KD, "term", "coef", "std_err", F.col("z_stat").alias("t_stat"), "df_resid",
-                      rnd("p_value_t", 6).alias("p_value"))

@@ -3,9 +3,7 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
-from panelcast.functions.stats import t_two_sided_p_np
 from panelcast.sources.io import (
     ModelRegistry,
     coerce_numeric,
@@ -71,9 +69,3 @@ def test_registry():
     assert r.list_models() == ["OLS"]
     with pytest.raises(KeyError):
         r.get("LSTM")
-
-
-def test_student_t_p_values():
-    got = t_two_sided_p_np([2.0, 1.96, 0.5], [10, 1000, 5])
-    assert got == pytest.approx([0.073388, 0.050273, 0.638299], abs=2e-6)
-    _ = F
