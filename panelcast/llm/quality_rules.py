@@ -15,9 +15,10 @@ good documents that a rule rejects is limited *in every stratum*:
   strata the level is divided by their number (Bonferroni). With probability
   ``1 - level`` no rule exceeds its share in any stratum, hence all rules
   together reject at most ``risk`` of a stratum's good documents;
-* of the admissible cutoffs the one that rejects most bad documents is taken,
-  the most lenient one on ties. A rule without an admissible cutoff, or that
-  rejects no bad document, stays off in that stratum.
+* of the admissible cutoffs the one with the greatest gain is taken, the most
+  lenient one on ties; the gain is the number of bad documents rejected less
+  ``cost`` times that of good ones. A rule without an admissible cutoff of
+  positive gain stays off in that stratum.
 
 Edge cases: NULL and empty texts have no words and fail the base rule. A NULL
 stratum is the stratum ``'und'``. Strata without labels get no rule beyond
@@ -44,6 +45,9 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Below this many labelled strata the cutoffs are a small table that every task may hold.
 MAX_BROADCAST_STRATA = 10_000
 
+#: Bad documents that one falsely rejected good document outweighs.
+COST = 5
+
 #: rule -> grid of cutoffs from lenient to strict; a document fails above the cutoff.
 GRID = [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04, 0.02]
 RULES = ("symbol_share", "bang_share", "capital_share", "dup_line_share", "repeat_share")
@@ -132,7 +136,8 @@ def binomial_tail(n: Column, k: Column, p: Column) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(acc["s"]))
 
 
-def calibrate(measured: DataFrame, labels: DataFrame, *, risk: float = 0.05, level: float = 0.05) -> DataFrame:
+def calibrate(measured: DataFrame, labels: DataFrame, *, risk: float = 0.05, level: float = 0.05,
+              cost: int = COST) -> DataFrame:
     """Cutoffs per stratum: ``stratum, cutoffs map<rule, cutoff>``.
 
     ``measured`` has ``doc_id, stratum, m`` (the metrics struct), ``labels``
@@ -156,23 +161,39 @@ def calibrate(measured: DataFrame, labels: DataFrame, *, risk: float = 0.05, lev
     counts = written(counts, "cutoff-counts")
     tests = max(1, counts.select("stratum").distinct().count()) * len(RULES)
     allowed = (
-        counts.where((F.col("caught") > 0) & (F.col("n") > 0))
+        counts.withColumn("gain", F.col("caught") - cost * F.col("k")).where((F.col("gain") > 0) & (F.col("n") > 0))
         .withColumn("p", binomial_tail(F.col("n"), F.col("k"), F.lit(risk / len(RULES))))
         .where(F.col("p") <= level / tests))
-    best = allowed.groupBy("stratum", "rule").agg(F.max(F.struct("caught", "cutoff"))["cutoff"].alias("cutoff"))
+    best = allowed.groupBy("stratum", "rule").agg(F.max(F.struct("gain", "cutoff"))["cutoff"].alias("cutoff"))
     return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("cutoffs"))
 
 
+def passes(m: Column, cutoffs: Column) -> Column:
+    """Verdict on one metrics struct with the cutoffs of its stratum (NULL: base rules only)."""
+    fails = base_failed(m)
+    for rule, value in shares(m).items():
+        fails = fails | F.coalesce(value > cutoffs[rule], F.lit(False))
+    return ~fails
+
+
+def with_cutoffs(rows: DataFrame, cutoffs: DataFrame, stratum: Column, name: str = "cutoffs") -> DataFrame:
+    """Adds the cutoffs of each row's stratum; broadcast while there are few strata."""
+    few = cutoffs.limit(MAX_BROADCAST_STRATA + 1).count() <= MAX_BROADCAST_STRATA
+    limits = cutoffs.select(F.col("stratum").alias("__stratum"), F.col("cutoffs").alias(name))
+    return rows.join(F.broadcast(limits) if few else limits, stratum == F.col("__stratum"), "left").drop("__stratum")
+
+
 def judge(measured: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """Adds ``base_failed`` and ``kept`` to rows with ``stratum`` and ``m``."""
-    few = cutoffs.limit(MAX_BROADCAST_STRATA + 1).count() <= MAX_BROADCAST_STRATA
-    limits = cutoffs.select(F.col("stratum").alias("__stratum"), "cutoffs")
-    joined = measured.join(F.broadcast(limits) if few else limits, F.col("stratum") == F.col("__stratum"), "left")
-    fails = F.lit(False)
-    for rule, value in shares(F.col("m")).items():
-        fails = fails | F.coalesce(value > F.col("cutoffs")[rule], F.lit(False))
-    failed = base_failed(F.col("m"))
-    return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & ~fails).drop("__stratum", "cutoffs")
+    joined = with_cutoffs(measured, cutoffs, F.col("stratum"))
+    return joined.withColumn("base_failed", base_failed(F.col("m"))).withColumn(
+        "kept", passes(F.col("m"), F.col("cutoffs"))).drop("cutoffs")
+
+
+def keep(docs: DataFrame, cutoffs: DataFrame) -> DataFrame:
+    """The documents that pass, all columns; each text is measured once, in the filter itself."""
+    joined = with_cutoffs(docs, cutoffs, stratum_of(F.col("lang")), "__cutoffs")
+    return joined.where(let(metrics(F.col("text")), lambda m: passes(m, F.col("__cutoffs")))).select(*docs.columns)
 
 
 def stratum_of(lang: Column) -> Column:

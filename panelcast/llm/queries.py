@@ -178,12 +178,12 @@ tested AS ({tested}),
 c AS (SELECT stratum, rule, cutoff, count(*) FILTER (WHERE quality = 1) AS n,
        count(*) FILTER (WHERE quality = 1 AND v > cutoff) AS k, count(*) FILTER (WHERE quality = 0 AND v > cutoff) AS caught
      FROM tested JOIN l USING (doc_id), (SELECT unnest([{grid}]) AS cutoff) GROUP BY ALL),
-tails AS (SELECT stratum, rule, cutoff, caught, CASE WHEN k >= n * {p} THEN 1.0 ELSE
+tails AS (SELECT stratum, rule, cutoff, caught - {Q.COST} * k AS gain, CASE WHEN k >= n * {p} THEN 1.0 ELSE
        list_sum(list_transform(range(k + 1), lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
-                + j * ln({p}) + (n - j) * ln(1 - {p})))) END AS p FROM c WHERE caught > 0 AND n > 0),
+                + j * ln({p}) + (n - j) * ln(1 - {p})))) END AS p FROM c WHERE caught - {Q.COST} * k > 0 AND n > 0),
 best AS (SELECT stratum, rule, cutoff FROM tails
        WHERE p <= {level} / (greatest(1, (SELECT count(DISTINCT stratum) FROM c)) * {len(Q.RULES)})
-       QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught DESC, cutoff DESC) = 1),
+       QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) = 1),
 fails AS (SELECT DISTINCT doc_id FROM tested JOIN best USING (stratum, rule) WHERE v > cutoff)
 SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND f.doc_id IS NULL AS kept
