@@ -37,8 +37,11 @@ class OlsModel:
         self.keys, self.y, self.xs, self.hac_lags, self.name = list(keys), y, list(regressors), hac_lags, name
         self.complete_cols = list(complete_cols)
 
+    def fit_table(self, df: DataFrame) -> DataFrame:
+        return ols.fit(SparkRel(df), self.keys, self.y, self.xs, self.hac_lags, self.complete_cols).df
+
     def fit(self, df: DataFrame) -> DataFrame:
-        f = ols.fit(SparkRel(df), self.keys, self.y, self.xs, self.hac_lags, self.complete_cols).df
+        f = self.fit_table(df)
         return f.select(*self.keys, F.col("_obeta_const").alias("coef_const"),
                         *[F.col(f"_obeta{j}").alias(f"coef_{x}") for j, x in enumerate(self.xs)])
 

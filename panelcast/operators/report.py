@@ -156,6 +156,23 @@ def chart_data(history: DataFrame, fc: DataFrame, keys, y: str, tail: int = 36,
     return out
 
 
+def history_panels(df: DataFrame, keys, cols: Sequence[str], period_col: str = PERIOD) -> DataFrame:
+    """Long ``(keys, chart, series, x, y)``: the whole history of each column, one panel each."""
+    k = _keys(keys)
+    long = df.select(*k, period_col, *cols).unpivot([*k, period_col], list(cols), "series", "y")
+    return long.select(*k, F.lit("history").alias("chart"), "series", F.col(period_col).alias("x"), "y")
+
+
+def residuals(df: DataFrame, fitted: DataFrame, keys, y: str, xs: Sequence[str], period_col: str = PERIOD) -> DataFrame:
+    """``(keys, period, resid)``: observed less fitted, from a fit's coefficient columns."""
+    k = _keys(keys)
+    yhat = F.col("_obeta_const")
+    for j, x in enumerate(xs):
+        yhat = yhat + F.col(f"_obeta{j}") * F.col(x)
+    coefs = fitted.select(*k, "_obeta_const", *[f"_obeta{j}" for j in range(len(xs))])
+    return df.join(coefs, on=k).select(*k, period_col, (F.col(y) - yhat).alias("resid")).filter(F.col("resid").isNotNull())
+
+
 def metric_bars(summary: DataFrame, keys) -> DataFrame:
     """``(keys, chart, series, model, value)`` for the model-comparison chart."""
     k = _keys(keys)

@@ -396,7 +396,7 @@ def run(spark: SparkSession, panel: DataFrame, cfg: RunConfig, strict: bool = Fa
     ev = evidence(spark, clean, feats, board, best, fc, fit, cfg, meta)
     coef = ols.coefficient_table(SparkRel(fit), cfg.keys, cfg.regressors, dp=10, robust=cfg.hac_lags > 0).df
     out = {"quality": report, "row_counts": row_counts(panel, clean, feats, cfg), "features": feats, "predictions": preds,
-           "leaderboard": board, "best": best, "forecast": fc, "fit": fit, "evidence": ev,
+           "leaderboard": board, "best": best, "forecast": fc, "fit": fit, "residuals": R.residuals(feats, fit, cfg.keys, cfg.target, cfg.regressors), "evidence": ev,
            "markdown": markdown(ev, coef, fc, board, cfg)}
     return {name: df.drop(ONE_SERIES) for name, df in out.items()} if single else out
 

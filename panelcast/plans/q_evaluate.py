@@ -132,7 +132,7 @@ def _ols_sql(xs=OLS_XS, hac_lags=6):
     return ols.fit(SqlRel(sql_features_d()), KD, TARGET_D, xs, hac_lags=hac_lags, complete_cols=feature_columns_d())
 
 
-@register("ols_hac", ids=("E1", "E2", "E3", "E5", "F8", "A11"), sql=ols.coefficient_table(_ols_sql(), KD, OLS_XS).sql)
+@register("ols_hac", ids=("E1", "E2", "E3", "E5", "F8", "A11", "W10"), sql=ols.coefficient_table(_ols_sql(), KD, OLS_XS).sql)
 def q_ols_hac(spark, sf):
     return ols.coefficient_table(ols_fit(spark, sf), KD, OLS_XS).df
 

@@ -93,20 +93,31 @@ def q_infer_frequency(spark, sf):
     return a.unionByName(e)
 
 
-def _pred_sql():
+def _pred_sql(dp: int = DP):
     from panelcast.functions.dual import SqlRel
     from panelcast.operators import ols
     fit = ols.fit(SqlRel(sql_features_d()), KD, TARGET_D, OLS_XS, hac_lags=6, complete_cols=_FC).sql
     coefs = ", ".join(["_obeta_const AS coef_const"] + [f"_obeta{j} AS coef_{x}" for j, x in enumerate(OLS_XS)])
     yhat = " + ".join(["coef_const"] + [f"coef_{x} * {x}" for x in OLS_XS])
-    return f"""SELECT {KEYS_SQL}, period, round({yhat}, {DP}) AS y_pred
+    return f"""SELECT {KEYS_SQL}, period, round({yhat}, {dp}) AS y_pred
 FROM ({sql_features_d()}) f JOIN (SELECT {KEYS_SQL}, {coefs} FROM ({fit}) z) c USING ({KEYS_SQL})"""
 
 
-@register("ols_predict", ids=("E4", "X1", "W10", "F5"), sql=_pred_sql())
+@register("ols_predict", ids=("E4", "X1", "F5"), sql=_pred_sql())
 def q_ols_predict(spark, sf):
     m = OlsModel(KD, TARGET_D, OLS_XS, hac_lags=6, complete_cols=_FC)
     f = features_d(spark, sf)
     p = m.predict(f, m.fit(f))
     return p.select(*KD, "period", rnd("y_pred", DP).alias("y_pred"))
 
+
+@register("ols_residuals", ids=("E5",), sql=f"""
+SELECT {KEYS_SQL}, f.period, round(f.{TARGET_D} - p.y, {DP}) AS resid
+FROM ({sql_features_d()}) f JOIN (SELECT {KEYS_SQL}, period, y_pred AS y FROM ({_pred_sql(12)}) q) p USING ({KEYS_SQL}, period)
+WHERE p.y IS NOT NULL
+""")
+def q_ols_residuals(spark, sf):
+    from panelcast.operators.report import residuals
+    f = features_d(spark, sf)
+    fit = OlsModel(KD, TARGET_D, OLS_XS, hac_lags=6, complete_cols=_FC).fit_table(f)
+    return residuals(f, fit, KD, TARGET_D, OLS_XS).withColumn("resid", rnd("resid", DP))

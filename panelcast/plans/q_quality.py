@@ -91,7 +91,7 @@ def q_interp_time(spark, sf):
     return c.select(*KC, "period", rnd(interp_time("v", KC), INTERP_DP).alias("v_interp"))
 
 
-@register("impute_policy", ids=("P14", "P6", "P10", "P11", "P13", "Q13"), sql=_INTERP_SQL + f"""
+@register("impute_policy", ids=("P14", "P10", "P11", "P13", "Q13"), sql=_INTERP_SQL + f"""
 SELECT n_name, o_orderpriority, period, round(v_out, {INTERP_DP}) AS v FROM u WHERE v_out IS NOT NULL
 """)
 def q_impute_policy(spark, sf):
@@ -125,7 +125,7 @@ def q_low_gap_fill(spark, sf):
     return out.select("c_nationkey", "period", rnd("v", INTERP_DP).alias("v"), "missing_pct")
 
 
-@register("quality_report", ids=("A3", "U3", "A14"), sql="""
+@register("quality_report", ids=("A3", "U3"), sql="""
 WITH d AS (SELECT l_returnflag, l_linestatus, sum(l_extendedprice) / nullif(sum(l_quantity), 0) AS level,
                   avg(l_discount) * 100.0 AS rate1, avg(l_tax) * 100.0 AS rate2
            FROM lineitem GROUP BY l_returnflag, l_linestatus, date_trunc('month', l_shipdate)),

@@ -302,3 +302,26 @@ def q_row_counts(spark, sf):
     from panelcast.plans.pipeline import prepare, row_counts
     panel, cfg = P.panel_c(spark, sf), gappy_cfg()
     return row_counts(panel, *prepare(panel, cfg), cfg).drop("rows_complete")
+
+
+
+# ---- report rows with a SQL twin: band of the chart, history panel, fixed evidence ------------------
+def _arima_sql() -> str:
+    from panelcast.functions.dual import SqlRel
+    from panelcast.plans.q_arima import _fc_out
+    return _fc_out(SqlRel(sql_features_d())).sql
+
+
+@register("forecast_band_chart", ids=("K6", "E9"), sql=f"SELECT {KEYS_SQL}, period AS x, yhat AS y, lo, hi FROM ({_arima_sql()}) f")
+def q_forecast_band(spark, sf):
+    from panelcast.plans.q_arima import q_arima_forecast
+    c = R.chart_data(features_d(spark, sf), q_arima_forecast(spark, sf), KD, TARGET_D, 36, None)
+    return c.filter("series = 'forecast'").select(*KD, "x", "y", "lo", "hi")
+
+
+@register("history_chart", ids=("K6",), sql=" UNION ALL ".join(
+    f"SELECT {KEYS_SQL}, 'history' AS chart, '{c}' AS series, period AS x, round({c}, {DP}) AS y FROM ({sql_features_d()}) f"
+    for c in (TARGET_D, *FEAT_D["exog"])))
+def q_history_chart(spark, sf):
+    h = R.history_panels(features_d(spark, sf), KD, [TARGET_D, *FEAT_D["exog"]])
+    return h.withColumn("y", rnd("y", DP))
