@@ -248,19 +248,33 @@ def located(own: Chunk, hashes: np.ndarray, named: np.ndarray, confirmed: np.nda
     _, first = np.unique(hashes[named[confirmed]], return_index=True)
     if not len(first):
         return at
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
-    for row in own.numbers[named[confirmed][first][:, None] + np.arange(PHRASE)].tolist():
-        automaton.add_word(tuple(row))
+    text, width = spelled(own.numbers, len(own.vocabulary))
+    automaton = ahocorasick.Automaton()
+    for place in named[confirmed][first].tolist():
+        automaton.add_word(text[place * width:(place + PHRASE) * width], PHRASE)
     automaton.make_automaton()
-    begin = 0
-    for end in own.ends.tolist():
-        if end - begin >= WINDOW:
-            ends = [begin + e for e, _ in automaton.iter(tuple(own.numbers[begin:end].tolist()))]
-            at[np.array(ends, dtype=np.int64) - (PHRASE - 1)] = True
-        begin = end
+    # one stream over the chunk: a match across two documents is no window's phrase, so it marks nothing that is read
+    ends = np.fromiter((end for end, _ in automaton.iter(text)), dtype=np.int64)
+    at[(ends + 1) // width - PHRASE] = True
     return at
 
 
+def spelled(numbers: np.ndarray, vocabulary: int) -> tuple[str, int]:
+    """Word numbers as text of a fixed number of letters each.
+
+    The automaton looks through a node's children one by one, so an alphabet of
+    128 is fast where one letter per word would be slow. A word's first letter comes
+    from an alphabet of its own: matches begin at words only."""
+    width = 1
+    while 128 ** width < vocabulary:
+        width += 1
+    letters = np.empty((len(numbers), width), dtype=np.uint8)
+    for k in range(width):
+        letters[:, k] = numbers.astype(np.int64) >> 7 * (width - 1 - k) & 127
+    letters[:, 0] += 128
+    return letters.tobytes().decode("latin-1"), width
+
+
 def window_questions(chunks: DataFrame, answers: DataFrame, buckets: int) -> DataFrame:
     """``kind = 'window'``: ``chunk, bucket, hashes, docs`` of the distinct candidates;
     ``kind = 'mask'``: ``chunk`` and, in ``hashes``, one bit per window of the chunk (candidate or not)."""
