@@ -14,15 +14,10 @@ from panelcast.llm.simhash_dedup import keep_one
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    names = docs.columns
-    clashing = {c: f"__own_{c}" for c in ("m", "stratum", "base_failed", "kept") if c in names}
-    own = docs.withColumnsRenamed(clashing)
-    with_metrics = own.withColumn("stratum", quality_rules.stratum_of(F.col("lang"))).withColumn(
-        "m", quality_rules.metrics(F.col("text")))
-    measured = written(with_metrics.select("doc_id", "stratum", "m"), "metrics")
+    measured = written(docs.select("doc_id", quality_rules.stratum_of(F.col("lang")).alias("stratum"),
+                                   quality_rules.metrics(F.col("text")).alias("m")), "metrics")
     cutoffs = written(quality_rules.calibrate(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")), "cutoffs")
-    kept = quality_rules.judge(with_metrics, cutoffs).where("kept").drop("m", "stratum", "base_failed", "kept")
-    return kept.withColumnsRenamed({v: k for k, v in clashing.items()}).select(*names)
+    return quality_rules.keep(docs, cutoffs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
