@@ -177,6 +177,17 @@ def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[s
     return out, params
 
 
+def search(df: DataFrame, keys, target: str, feature_cols: Sequence[str], variant: str = "gbt", n_trials: int = 20,
+           cv_splits: int = 3, seed: int = 42, space: Mapping | None = None, period_col: str = PERIOD) -> dict:
+    """The search on every complete row: the final fit's parameters."""
+    k = _keys(keys)
+    rows = df.filter(_complete([target, *feature_cols])).withColumn("label", F.col(target).cast("double"))
+    va = VectorAssembler(inputCols=[*feature_cols, SERIES_LEVEL], outputCol="features")
+    ready = va.transform(with_series_level(rows, rows, k, "label")).select(*k, period_col, "features", "label")
+    trials = sample_trials(variant, n_trials, seed, space)
+    return _search(ready, k, variant, trials, cv_splits, seed) if len(trials) > 1 else trials[0]
+
+
 def fit_full(df: DataFrame, keys, target: str, feature_cols: Sequence[str], params: Mapping,
              variant: str = "gbt", seed: int = 42):
     """Fit on every complete row (final model). Returns the fitted model; its

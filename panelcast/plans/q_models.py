@@ -18,7 +18,7 @@ W_SQL = f"PARTITION BY {KEYS_SQL} ORDER BY period"
 
 # Size of the registered searches, an argument of the operator (its default is
 # the reference's 20 trials x 3 splits of 100 to 500 trees); stated in the results.
-SEARCH = dict(n_trials=2, cv_splits=2, space={"n_estimators": [20, 30]})
+SEARCH = dict(n_trials=2, cv_splits=2, space={"n_estimators": [10, 20]})
 SEQUENCE_ROUNDS = 20
 
 
@@ -76,9 +76,9 @@ def _tree_preds(spark, sf, variant, name):
 
 
 def _winner(spark, sf):
-    """Last fold's winner of the search, refitted on all rows."""
+    """The search's winner on all rows, fitted on them."""
     feats, cols = features_d(spark, sf), feature_columns_d()
-    _, params = T.fit_predict_folds(feats, KD, TARGET_D, cols, **SEARCH)
+    params = T.search(feats, KD, TARGET_D, cols, **SEARCH)
     return feats, cols, T.fit_full(feats, KD, TARGET_D, cols, params)
 
 

@@ -62,3 +62,12 @@ def test_validate_errors(spark):
         validate_strict(rep)
     with pytest.raises(DataQualityError, match="Missing required columns"):
         validate(short, ["key"], required=["rate_missing"])
+
+
+def test_impute_drops_rows_without_any_value(spark):
+    import datetime as dt
+
+    from panelcast.operators.quality import impute
+    rows = [("a", dt.date(2000, m, 1), None if m == 2 else float(m)) for m in range(1, 5)] + [("b", dt.date(2000, m, 1), None) for m in (1, 2)]
+    got = impute(spark.createDataFrame(rows, "k string, period date, v double"), ["k"], ["v"]).collect()
+    assert sorted((r.k, r.period.month, r.v) for r in got) == [("a", 1, 1.0), ("a", 2, pytest.approx(2.0, abs=0.1)), ("a", 3, 3.0), ("a", 4, 4.0)]
