@@ -7,10 +7,11 @@ the longest known n-gram that ends there counts, from ``MAX_GRAM`` characters
 down to one, and the word's evidence is their mean. The evidence of all words
 and the languages' prior are summed; the score is the posterior probability of the best language.
 
-Training counts words and n-grams per language over labelled documents, at
-most about ``max_rows`` of them chosen by hash (documented bound); the table
-keeps the ``known_words`` and ``known_grams`` most frequent ones (model size,
-so the broadcast has a proven bound). Scoring reads every whole text.
+Training counts words and n-grams per language over labelled documents: all of
+a language with up to ``max_rows`` of them, else about as many chosen by a hash of id and text
+(documented bound). The tables hold about the ``known_words`` words and ``known_grams``
+n-grams most frequent in each language, with their counts in every language, so no language pushes out
+another's; the model grows with the number of languages only. The prior counts all documents. Scoring reads every whole text.
 
 Edge cases: a NULL text or one without a letter is ``'und'`` with score 0, as
 is every text when nothing was learned. A NULL language does not train. Ties go
@@ -39,6 +40,8 @@ CACHE_LIMIT = 200_000
 SMOOTH = 0.5
 #: Letters of a word that n-grams are made of; longer runs of letters are cut into such parts.
 LONGEST_WORD = 64
+#: Hash values are told apart by so many parts when a share of them is taken.
+PARTS = 1 << 40
 
 
 def words(text: str | None) -> list[str]:
@@ -51,17 +54,28 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies per language of known words and n-grams."""
+    """Log frequencies per language of known words and n-grams.
 
-    def __init__(self, langs: list[str], prior: list[float], known: dict[str, int], gram: dict[str, int], table: np.ndarray):
+    base: (0 for words or length of n-gram, language) log frequency of an entry never seen there. Entry e
+    gains gain[k] in language at[k] for k from first[e] up to first[e + 1]."""
+
+    def __init__(self, langs: list[str], prior: list[float], known: dict[str, int], gram: dict[str, int], base: np.ndarray,
+                 first: np.ndarray, at: np.ndarray, gain: np.ndarray):
         self.langs, self.prior = langs, np.array(prior)
-        self.known, self.gram, self.table = known, gram, table
+        self.known, self.gram = known, gram
+        self.base, self.first, self.at, self.gain = base, first, at, gain
+
+    def flat(self) -> tuple:
+        return self.langs, self.prior, self.known, self.gram, self.base, self.first, self.at, self.gain
 
     def evidence(self, word: str) -> np.ndarray:
         """Known word, else mean over its places of the longest known n-gram ending there."""
-        if word in self.known:
-            return self.table[self.known[word]]
-        found = []
+        e = self.known.get(word)
+        if e is not None:
+            out, own = self.base[0].copy(), slice(self.first[e], self.first[e + 1])
+            out[self.at[own]] += self.gain[own]
+            return out
+        found, sizes = [], []
         for at in range(0, len(word), LONGEST_WORD):
             marked = f"^{word[at:at + LONGEST_WORD]}$"
             for end in range(2, len(marked) + 1):
@@ -69,8 +83,13 @@ class Model:
                     g = self.gram.get(marked[end - n:end])
                     if g is not None:
                         found.append(g)
+                        sizes.append(n)
                         break
-        return self.table[found].mean(axis=0) if found else np.zeros(len(self.langs))
+        out = np.zeros(len(self.langs))
+        if found:
+            own = np.concatenate([np.arange(self.first[g], self.first[g + 1]) for g in found])
+            out = self.base[sizes].sum(axis=0) + np.bincount(self.at[own], weights=self.gain[own], minlength=len(out))
+        return out / max(1, len(found))
 
 
 class Evidence(dict):
@@ -116,10 +135,14 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, known_words: int = 60_000,
     """Learns from ``text`` and non-NULL ``lang`` of ``docs``."""
     source = docs.where("lang is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    many = source.count()
-    million = 1_000_000
-    share = million if many <= max_rows else max(1, max_rows * million // many)
-    chosen = source.where(F.pmod(F.xxhash64("doc_id"), F.lit(million)) < share)
+    documents = {r.lang: r.n for r in source.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    langs = sorted(documents)
+    if not langs:
+        none = np.zeros(0, dtype=np.int64)
+        return Model([], [], {}, {}, np.zeros((MAX_GRAM + 1, 0)), none, none, np.zeros(0))
+    shares = docs.sparkSession.createDataFrame([(x, PARTS if n <= max_rows else max_rows * PARTS // n) for x, n in documents.items()],
+                                               "lang string, share long")
+    chosen = source.join(F.broadcast(shares), "lang").where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS)) < F.col("share"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,9 +150,7 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, known_words: int = 60_000,
                 part = batch.slice(at, SLICE)
                 seen: dict[str, Counter] = {}
                 for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    own = seen.setdefault(lang, Counter())
-                    own.update(words(text))
-                    own[""] += 1  # documents
+                    seen.setdefault(lang, Counter()).update(words(text))
                 rows = [(lang, w, n) for lang, c in seen.items() for w, n in c.items()]
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in
                                                   enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
@@ -150,38 +171,49 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, known_words: int = 60_000,
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in
                                               enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "n"])
 
-    spelled = written(map_arrow(counted.where("word <> ''"), spell, "lang string, word string, n long")
+    spelled = written(map_arrow(counted, spell, "lang string, word string, n long")
                       .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-grams")
-    documents = {r.lang: r.n for r in counted.where("word = ''").collect()}  # one row a language
-    langs = sorted(documents)
-    if not langs:
-        return Model([], [], {}, {}, np.zeros((0, 0)))
     total = sum(documents.values())
     prior = [float(np.log(documents[x] / total)) for x in langs]
-    known = _table(counted.where("word <> ''"), langs, known_words)
-    gram = _table(spelled, langs, known_grams, by_size=True)
+    known, *own = _table(counted, langs, known_words)
+    gram, *more = _table(spelled, langs, known_grams, by_size=True)
+    base = np.concatenate((own[0][:1], more[0][1:]))
+    first, at, gain = (np.concatenate(x) for x in zip(own[1:], more[1:]))
     return Model(langs, prior, {w: k for k, w in enumerate(known)}, {g: k + len(known) for k, g in enumerate(gram)},
-                 np.array([*known.values(), *gram.values()]).reshape(-1, len(langs)))
+                 base, np.concatenate(([0], np.cumsum(first))), at, gain)
 
 
-def _table(counted: DataFrame, langs: list[str], most: int, *, by_size: bool = False) -> dict[str, list[float]]:
-    """Log frequencies per language of the ``most`` most frequent entries; n-grams among those of their length."""
+def _table(counted: DataFrame, langs: list[str], most: int, *, by_size: bool = False) -> tuple:
+    """(entries, base, languages per entry, their places, gains) of about the ``most`` most frequent entries of each
+    language; n-grams count among those of their length."""
     kind = F.length("word") if by_size else F.lit(0)
-    totals = {(r.kind, r.lang): (r.n, r.d) for r in counted.groupBy(kind.alias("kind"), "lang").agg(
-        F.sum("n").alias("n"), F.count("*").alias("d")).collect()}
-    rows = (counted.groupBy("word").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-            .orderBy(F.desc("all"), "word").limit(most).collect())
-    distinct = {k: sum(d for (kk, _), (_, d) in totals.items() if kk == k) for k, _ in totals}
-    out = {}
-    for r in rows:
-        k = len(r.word) if by_size else 0
-        out[r.word] = [float(np.log((r.by.get(x, 0) + SMOOTH) / (totals.get((k, x), (0, 0))[0] + SMOOTH * distinct[k]))) for x in langs]
-    return out
+    place = {x: k for k, x in enumerate(langs)}
+    sums, kinds = np.zeros((MAX_GRAM + 1, len(langs))), np.zeros(MAX_GRAM + 1)
+    for r in counted.groupBy(kind.alias("kind"), "lang").agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect():
+        sums[r.kind, place[r.lang]] = r.n
+        kinds[r.kind] += r.d
+    base = np.log(SMOOTH) - np.log(np.maximum(sums + SMOOTH * kinds[:, None], SMOOTH))
+    # as many rows as a language has different counts, at most about the root of its words
+    left, cuts = dict.fromkeys(langs, most), {}
+    for r in counted.groupBy("lang", "n").agg(F.count("*").alias("d")).orderBy(F.desc("n")).collect():
+        if left[r.lang] > 0:
+            cuts[r.lang] = (r.lang, r.n, PARTS if r.d <= left[r.lang] else left[r.lang] * PARTS // r.d)
+            left[r.lang] -= r.d
+    cut = counted.sparkSession.createDataFrame(list(cuts.values()), "lang string, cut long, share long")
+    kept = (F.col("n") > F.col("cut")) | (F.col("n") == F.col("cut")) & (F.pmod(F.xxhash64("word"), F.lit(PARTS)) < F.col("share"))
+    found = (counted.join(F.broadcast(cut), "lang").groupBy("word")
+             .agg(F.max(kept).alias("kept"), F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("by"))
+             .where("kept").select("word", "by").toArrow())
+    by = found["by"].combine_chunks()
+    each = by.flatten()
+    at = np.array([place[x] for x in each.field("lang").to_pylist()], dtype=np.int64)
+    gain = np.log1p(np.asarray(each.field("n"), dtype=float) / SMOOTH)
+    return found["word"].to_pylist(), base, np.array([len(x) for x in by], dtype=np.int64), at, gain
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.prior, model.known, model.gram, model.table))
+    shared = docs.sparkSession.sparkContext.broadcast(model.flat())
     token = uuid.uuid4().hex
 
     def make():

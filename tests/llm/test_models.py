@@ -87,6 +87,23 @@ def test_language_awkward_rows(spark):
     assert L.train(X.empty(spark)).langs == []
     assert {r.lang_pred for r in L.predict(X.documents(spark), L.train(X.empty(spark))).collect()} == {"und"}
     assert L.predict(X.empty(spark), model).count() == 0
+    digits = L.train(spark.createDataFrame([(1, "12 34", "en", "s", 5)], X.SCHEMA))
+    assert digits.langs == ["en"] and L.Evidence(digits).predict("word") == ("en", 1.0)
+
+
+def test_language_bounds_hold_per_language(spark):
+    """A small language keeps its rows, words and n-grams beside a large one; rows without an id are sampled by text."""
+    rng = random.Random(8)
+    rows = [(None, X.prose(rng, 12), "en", "s", 0) for _ in range(1500)] + [(None, X.prose(rng, 30, X.DE), "de", "s", 0) for _ in range(6)]
+    docs = spark.createDataFrame(rows, X.SCHEMA)
+    model = L.train(docs, max_rows=100, known_words=15, known_grams=60)
+    assert model.langs == ["de", "en"]
+    assert np.allclose(np.exp(model.prior), [6 / 1506, 1500 / 1506])
+    seen = L.SMOOTH / np.exp(model.base[0])  # words, and SMOOTH for each distinct one
+    assert 6 * 30 < seen[0] and 12 * 50 < seen[1] < 12 * 300
+    for lang, other in ((X.DE, X.EN), (X.EN, X.DE)):
+        assert len(set(model.known) & set(lang) - set(other)) >= 5
+    assert L.Evidence(model).predict("straße abend nicht")[0] == "de"
 
 
 def lower(text):
