@@ -9,11 +9,13 @@ corpus, a frequent token costs one entry per chunk, however hot, and nothing
 that grows with the corpus is broadcast or collected. (Two of a billion distinct tokens
 share a hash with a chance of 3 percent; they would share their count.)
 
-*Model.* Hidden states emit token classes (a hash of the token; the end has
-its own), a class emits its tokens in proportion to their smoothed counts. Baum-Welch
-runs over all training documents: every task adds up its expected
-counts, Spark sums them over the tasks, the driver normalizes a table of fixed
-size (states x classes). The likelihood of a text is exact, by the
+*Model.* Hidden states emit tokens. State s emits token t with probability base(t) * r(s, t), where
+r = (g(s, t) / share(s) + 0.5) / (c + 0.5), g are the expected counts (their sum over the states is c) and
+share(s) is the state's part of all tokens. Every state's emissions add up to one (up to the rounding of packed
+shares to 16 bits), and a token never seen has its base probability in each state. Baum-Welch runs over all training documents: a chunk adds up
+expected counts per state and distinct token, sends them packed by hash bucket like its questions, and a bucket answers every chunk
+with the sums over the corpus, so the number of emissions learned grows with the vocabulary. Only start and
+moves (states, states x states) go through the driver. The likelihood of a text is exact, by the
 forward recursion scaled at every token. Recursions advance all documents of a
 chunk together, one position at a time.
 
@@ -27,6 +29,8 @@ base model. An empty table gives an empty result. Other columns are ignored.
 
 from __future__ import annotations
 
+import gc
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,10 +39,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.common import LOWER_AZ, map_arrow, written
+from panelcast.llm.common import LOWER_AZ, map_arrow, scratch_path, written
 
 CHUNK_TOKENS = 2_000_000
-CLASSES = 1024  # and one for the end
 END = b""  # no word is empty
 LN10 = float(np.log(10.0))
 
@@ -51,22 +54,18 @@ class Numbering(dict):
         return found
 
 
-def class_of(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(40)).astype(np.int64) % CLASSES
-
-
 # --- counts ---------------------------------------------------------------------
 
 
 def encoded(docs: DataFrame, training: Column, buckets: int) -> DataFrame:
     """Chunks (``kind = 'text'``) and their questions (``kind = 'count'``) as packed rows.
 
-    text: ids, flags (1: NULL id, 2: training), lengths, token numbers and classes, documents one after the other;
+    text: ids, flags (1: NULL id, 2: training), lengths, token numbers, documents one after the other;
     count: hashes and training counts of the chunk's tokens in one bucket, ascending."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                          F.coalesce(training, F.lit(False)).alias("training"))
-    names = ["kind", "chunk", "bucket", "ids", "flags", "lengths", "tokens", "classes", "hashes", "counts"]
-    types = [pa.string(), pa.int64(), pa.int32(), *[pa.binary()] * 7]
+    names = ["kind", "chunk", "bucket", "ids", "flags", "lengths", "tokens", "hashes", "counts"]
+    types = [pa.string(), pa.int64(), pa.int32(), *[pa.binary()] * 6]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -81,20 +80,17 @@ def encoded(docs: DataFrame, training: Column, buckets: int) -> DataFrame:
             order = np.lexsort((hashes, bucket))
             place = np.empty(len(order), dtype="<u4")
             place[order] = np.arange(len(order), dtype="<u4")
-            classes = class_of(hashes).astype("<u2")
-            if END in number:
-                classes[number[END]] = CLASSES
             lengths = np.array([len(t) for t in tokens], dtype="<u4")
             flat = np.concatenate(tokens)
             is_training = np.array(flags) & 2 > 0
             counts = np.bincount(flat[np.repeat(is_training, lengths)], minlength=len(words))
             rows = [("text", chunk, -1, np.array(ids, dtype="<i8").tobytes(), np.array(flags, dtype="u1").tobytes(),
-                     lengths.tobytes(), place[flat].tobytes(), classes[flat].tobytes(), None, None)]
+                     lengths.tobytes(), place[flat].tobytes(), None, None)]
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in range(buckets):
                 part = order[edges[b]:edges[b + 1]]
                 if len(part):
-                    rows.append(("count", chunk, b, None, None, None, None, None, hashes[part].astype("<u8").tobytes(),
+                    rows.append(("count", chunk, b, None, None, None, None, hashes[part].astype("<u8").tobytes(),
                                  counts[part].astype("<u4").tobytes()))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
@@ -116,79 +112,116 @@ def encoded(docs: DataFrame, training: Column, buckets: int) -> DataFrame:
             yield flush()
 
     return map_arrow(source, run, "kind string, chunk long, bucket int, ids binary, flags binary, lengths binary, "
-                                  "tokens binary, classes binary, hashes binary, counts binary")
+                                  "tokens binary, hashes binary, counts binary")
 
 
-def answered(questions: DataFrame, buckets: int) -> DataFrame:
-    """``kind = 'answer'``: ``chunk, bucket, counts`` (u64, in the question's order);
-    ``kind = 'class'``: per bucket ``class, n`` (training tokens) and ``d`` (distinct)."""
-    dealt = questions.select("bucket", "chunk", "hashes", "counts").repartition(buckets, "bucket").sortWithinPartitions(
-        "bucket", "chunk")
-    schema = "kind string, chunk long, bucket int, counts binary, class int, n long, d long"
+def bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """Written by chunk in buckets: the passes never move the texts again."""
+    spark, name = df.sparkSession, f"llm_hmm_{uuid.uuid4().hex}"
+    (df.write.option("compression", "zstd").option("path", scratch_path(spark, "chunks")).bucketBy(buckets, "chunk")
+     .saveAsTable(name))
+    return spark.table(name)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end_hash = np.uint64(xxhash.xxh3_64_intdigest(END))
 
+def scattered(hashes: np.ndarray, states: int) -> np.ndarray:
+    """(tokens, states): first shares of a token's count, from its hash alone."""
+    odd = np.arange(1, 2 * states, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (hashes[:, None] ^ (hashes[:, None] >> np.uint64(29))) * odd[None, :]
+    out = np.exp(2.0 * (mixed >> np.uint64(11)) / float(1 << 53) - 1.0)
+    return out / out.sum(axis=1, keepdims=True)
+
+
+def answered(questions: DataFrame, buckets: int, states: int, sent: DataFrame | None = None) -> DataFrame:
+    """``kind = 'answer'``: ``chunk, bucket, counts`` (u32, or u64 if one is larger) and ``shares`` of the states (f16), in the question's order;
+    ``kind = 'total'``: per bucket ``n`` (training tokens) and ``d`` (distinct). ``sent``: the chunks' own shares, none at first."""
+    asked = questions.select("bucket", "chunk", "hashes", "counts", F.lit(None).cast("binary").alias("shares"))
+    if sent is not None:
+        none = F.lit(None).cast("binary")
+        asked = asked.unionByName(sent.select("bucket", "chunk", none.alias("hashes"), none.alias("counts"), "shares"))
+    dealt = asked.withColumn("part", F.col("hashes").isNull()).repartition(buckets, "bucket").sortWithinPartitions(
+        "bucket", "chunk", "part").drop("part")
+    first = sent is None
+    types = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def answer(bucket, rows):
-            hashes = [np.frombuffer(h, "<u8") for _, h, _ in rows]
+            hashes = [np.frombuffer(h, "<u8") for _, h, _, _ in rows]
             distinct, where = np.unique(np.concatenate(hashes), return_inverse=True)
+            own = [np.frombuffer(c, "<u4") for _, _, c, _ in rows]
             total = np.zeros(len(distinct), dtype="<u8")
-            np.add.at(total, where, np.concatenate([np.frombuffer(c, "<u4") for _, _, c in rows]).astype("<u8"))
+            np.add.at(total, where, np.concatenate(own).astype("<u8"))
             cuts = np.cumsum([len(h) for h in hashes])[:-1]
-            out = [("answer", chunk, bucket, total[w].tobytes(), None, None, None)
-                   for (chunk, _, _), w in zip(rows, np.split(where, cuts))]
-            classes = np.where(distinct == end_hash, CLASSES, class_of(distinct))
-            n = np.zeros(CLASSES + 1, dtype=np.int64)
-            np.add.at(n, classes, total.astype(np.int64))
-            d = np.bincount(classes[total > 0], minlength=CLASSES + 1)
-            out += [("class", None, bucket, None, int(k), int(n[k]), int(d[k])) for k in np.flatnonzero(n)]
-            types = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
+            places = np.split(where, cuts)
+            if first:
+                shares = scattered(distinct, states)
+            else:
+                shares = np.zeros((len(distinct), states))
+                for (_, _, _, q), c, w in zip(rows, own, places):
+                    if q is not None:  # a chunk's tokens are distinct
+                        shares[w] += c[:, None] * np.frombuffer(q, "<f2").reshape(-1, states).astype(float)
+                shares /= np.maximum(shares.sum(axis=1, keepdims=True), 1e-300)
+            shares = shares.astype("<f2")
+            packed = total if total.max() >> 32 else total.astype("<u4")
+            out = [("answer", r[0], bucket, packed[w].tobytes(), shares[w].tobytes(), None, None) for r, w in zip(rows, places)]
+            if first:
+                out.append(("total", None, bucket, None, None, int(total.sum()), int((total > 0).sum())))
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
-                                              names=["kind", "chunk", "bucket", "counts", "class", "n", "d"])
+                                              names=["kind", "chunk", "bucket", "counts", "shares", "n", "d"])
 
         now, rows = None, []
         for batch in batches:
-            for bucket, chunk, h, c in zip(*(x.to_pylist() for x in batch.columns)):
+            for bucket, chunk, h, c, q in zip(*(x.to_pylist() for x in batch.columns)):
                 if bucket != now and rows:
                     yield answer(now, rows)
                     rows = []
                 now = bucket
-                rows.append((chunk, h, c))
+                if h is None:
+                    rows[-1][3] = q
+                else:
+                    rows.append([chunk, h, c, None])
         if rows:
             yield answer(now, rows)
 
-    return map_arrow(dealt, run, schema)
+    return map_arrow(dealt, run, "kind string, chunk long, bucket int, counts binary, shares binary, n long, d long")
 
 
 # --- the model ---------------------------------------------------------------------
 
 
 class Hmm:
-    """start (states), moves (states, states), emit (states, classes + 1)."""
+    """start (states), moves (states, states), emit (states, tokens)."""
 
     def __init__(self, start: np.ndarray, moves: np.ndarray, emit: np.ndarray):
         self.start, self.moves, self.emit = start, moves, emit
 
+
+class Chain:
+    """start, moves and each state's part of all tokens: what does not grow with the vocabulary."""
+
+    def __init__(self, start: np.ndarray, moves: np.ndarray, part: np.ndarray):
+        self.start, self.moves, self.part = start, moves, part
+
     @classmethod
-    def first(cls, classes: np.ndarray, states: int, seed: int) -> "Hmm":
-        """Sticky states whose emissions scatter around the classes' frequencies."""
-        rng = np.random.default_rng(seed)
-        emit = classes[None, :] * np.exp(0.5 * rng.standard_normal((states, len(classes))))
+    def first(cls, states: int) -> "Chain":
+        """Sticky states."""
+        even = np.full(states, 1.0 / states)
         moves = np.full((states, states), 0.1 / max(1, states - 1)) if states > 1 else np.ones((1, 1))
         if states > 1:
             np.fill_diagonal(moves, 0.9)
-        return cls(np.full(states, 1.0 / states), moves, emit / emit.sum(axis=1, keepdims=True))
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate((self.start, self.moves.ravel(), self.emit.ravel()))
+        return cls(even, moves, even)
 
     @classmethod
-    def of_counts(cls, flat: np.ndarray, states: int, classes: np.ndarray, weight: float) -> "Hmm":
-        """Normalized expected counts; ``weight`` tokens of the class frequencies are added to every state."""
+    def of_counts(cls, flat: np.ndarray, states: int) -> "Chain":
         start = flat[:states] + 1e-3
-        moves = flat[states:states + states * states].reshape(states, states) + 1e-3
-        emit = flat[states + states * states:].reshape(states, -1) + weight * classes[None, :]
-        return cls(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), emit / emit.sum(axis=1, keepdims=True))
+        moves = flat[states:-states].reshape(states, states) + 1e-3
+        part = flat[-states:] + 1e-3
+        return cls(start / start.sum(), moves / moves.sum(axis=1, keepdims=True), part / part.sum())
+
+    def over(self, counts: np.ndarray, shares: np.ndarray, kind: type = float) -> Hmm:
+        """The model of a chunk's tokens, emissions relative to their base probability."""
+        c = counts.astype(float)[:, None]
+        relative = (c * shares.astype(float) / self.part + 0.5) / (c + 0.5)
+        return Hmm(self.start.astype(kind), self.moves.astype(kind), relative.astype(kind).T)
 
 
 def by_position(classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -236,7 +269,7 @@ def expected(model: Hmm, classes: np.ndarray, first: np.ndarray) -> tuple[np.nda
     after = None
     for t in range(len(first) - 2, -1, -1):
         a, b = int(first[t]), int(first[t + 1])
-        beta = np.ones((b - a, states))
+        beta = np.ones((b - a, states), dtype=emit.dtype)
         if after is not None:
             beta[:len(after)] = after @ model.moves.T
             moved += alpha[a:a + len(after)].T @ after
@@ -247,37 +280,79 @@ def expected(model: Hmm, classes: np.ndarray, first: np.ndarray) -> tuple[np.nda
     return np.concatenate((start, (moved * model.moves).ravel(), seen.ravel())), float(total.sum())
 
 
-def baum_welch(chunks: DataFrame, classes: np.ndarray, *, states: int, rounds: int, seed: int = 11,
-               weight: float = 50.0) -> Hmm:
-    """Trains on the training documents of all chunks; one pass over them a round."""
-    model = Hmm.first(classes, states, seed)
-    sequences = chunks.select("chunk", "flags", "lengths", "classes")
-    size = len(model.flat())
+def joined(chunks: DataFrame, answers: DataFrame, *columns: str) -> DataFrame:
+    """``chunk, found`` (its answers by bucket) and columns of the chunk."""
+    found = answers.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "counts", "shares"))).alias("found"))
+    return chunks.select("chunk", *columns).join(found, "chunk").select("chunk", "found", *columns)
+
+
+def unpacked(found, states: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """(counts, shares, (bucket, tokens)) of a chunk's tokens."""
+    cells = found.values
+    shares = [np.frombuffer(x.as_buffer(), "<f2").reshape(-1, states) for x in cells.field("shares")]
+    counts = [np.frombuffer(x.as_buffer(), f"<u{len(x.as_buffer()) // len(q)}") for x, q in zip(cells.field("counts"), shares)]
+    return np.concatenate(counts), np.concatenate(shares), list(zip(cells.field("bucket").to_pylist(), map(len, counts)))
+
+
+def summed(work: DataFrame, chain: Chain, states: int) -> DataFrame:
+    """One pass over the training documents. ``kind = 'share'``: a chunk's expected counts per bucket as the states' shares (f16);
+    ``kind = 'sum'``: a task's expected start, moves and state counts."""
+    start, moves, part = chain.start, chain.moves, chain.part
+    types = [pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.float64())]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, head = Chain(start, moves, part), states + states * states
+        total = np.zeros(head + states)
+
+        def packed(rows):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)],
+                                              names=["kind", "chunk", "bucket", "shares", "sums"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                flags, lengths, flat = (np.frombuffer(batch.column(k)[i].as_buffer(), t) for k, t in ((2, "u1"), (3, "<u4"), (4, "<u4")))
+                training = flags & 2 > 0
+                if not training.any():
+                    continue
+                counts, shares, sizes = unpacked(batch.column(1)[i], states)
+                flat = flat[np.repeat(training, lengths)]
+                _, ordered, first = by_position(flat, lengths[training])
+                got = expected(now.over(counts, shares, np.float32), ordered, first)[0]
+                seen = got[head:].reshape(states, -1)
+                total[:head] += got[:head]
+                total[head:] += seen.sum(axis=1)
+                own = (seen / np.maximum(seen.sum(axis=0), 1e-300)).T.astype("<f2")
+                edges = np.cumsum([0, *(n for _, n in sizes)])
+                yield packed([("share", batch.column(0)[i].as_py(), b, own[edges[k]:edges[k + 1]].tobytes(), None)
+                              for k, (b, _) in enumerate(sizes)])
+        yield packed([("sum", None, None, None, total.tolist())])
+
+    return map_arrow(work, run, "kind string, chunk long, bucket int, shares binary, sums array<double>")
+
+
+def baum_welch(chunks: DataFrame, questions: DataFrame, answers: DataFrame, buckets: int, *, states: int,
+               rounds: int) -> tuple[Chain, DataFrame]:
+    """The chain and the last answers, after one pass over the training documents and one exchange a round."""
+    spark, chain, before = chunks.sparkSession, Chain.first(states), None
+    schema = "chunk long, bucket int, shares binary, sums array<double>, kind string"
     for _ in range(rounds):
-        shared = chunks.sparkSession.sparkContext.broadcast((model.start, model.moves, model.emit))
-
-        def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            now, total = Hmm(*shared.value), np.zeros(size)
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    flags, lengths, flat = (np.frombuffer(batch.column(k)[i].as_buffer(), t) for k, t in ((1, "u1"), (2, "<u4"), (3, "<u2")))
-                    training = flags & 2 > 0
-                    if training.any():
-                        flat = flat[np.repeat(training, lengths)]
-                        _, ordered, first = by_position(flat, lengths[training])
-                        total += expected(now, ordered, first)[0]
-            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["counts"])
-
-        sums = (map_arrow(sequences, count, "counts array<double>").select(F.posexplode("counts").alias("k", "v"))
-                .groupBy("k").agg(F.sum("v").alias("v")).collect())  # as many rows as the model has numbers
-        flat = np.zeros(size)
-        for r in sums:
+        path = scratch_path(spark, "expected")
+        summed(joined(chunks, answers, "flags", "lengths", "tokens"), chain, states).write.option(
+            "compression", "zstd").partitionBy("kind").parquet(path)
+        sent = spark.read.schema(schema).parquet(path)
+        sums = sent.where("kind = 'sum'").select(F.posexplode("sums").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v"))
+        flat = np.zeros(2 * states + states * states)
+        for r in sums.collect():  # as many rows as the chain has numbers
             flat[r.k] = r.v
-        shared.unpersist()
-        if not flat.any():  # nothing to learn from: every state emits the classes as counted
-            return Hmm(model.start, model.moves, np.tile(classes, (states, 1)))
-        model = Hmm.of_counts(flat, states, classes, weight)
-    return model
+        chain = Chain.of_counts(flat, states)
+        answers = answered(questions, buckets, states, sent.where("kind = 'share'")).where("kind = 'answer'")
+        if before:
+            old = spark._jvm.org.apache.hadoop.fs.Path(before)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        before = path
+        gc.collect()
+        spark._jvm.System.gc()  # shuffle files of the round before go when the driver collects its garbage
+    return chain, answers
 
 
 def score(docs: DataFrame, training: Column, *, states: int = 8, rounds: int = 5) -> DataFrame:
@@ -286,50 +361,36 @@ def score(docs: DataFrame, training: Column, *, states: int = 8, rounds: int = 5
     ``training`` says which rows the counts and the model learn from."""
     spark = docs.sparkSession
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    table = written(encoded(docs, training, buckets), "chunks", "kind")
-    chunks = table.where("kind = 'text'")
-    answers = written(answered(table.where("kind = 'count'"), buckets), "answers", "kind")
-    n, d = np.zeros(CLASSES + 1), np.zeros(CLASSES + 1)
-    for r in answers.where("kind = 'class'").groupBy("class").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).collect():
-        n[r["class"]], d[r["class"]] = r.n, r.d
-    tokens, distinct = int(n.sum()), int(d.sum())
+    table = bucketed(encoded(docs, training, buckets), buckets)
+    chunks, questions = table.where("kind = 'text'"), table.where("kind = 'count'")
+    first = written(answered(questions, buckets, states), "answers", "kind")
+    totals = first.where("kind = 'total'").agg(F.sum("n").alias("n"), F.sum("d").alias("d")).first()
+    tokens, distinct = totals.n or 0, totals.d or 0
     norm = tokens + 0.5 * (distinct + 1)
-    classes = (n + 0.5 * d + 0.5 / (CLASSES + 1)) / norm  # the mass of the unseen is spread evenly
-    model = baum_welch(chunks, classes, states=states, rounds=rounds)
-    shared = spark.sparkContext.broadcast((model.start, model.moves, model.emit))
-
-    packed = chunks.select("chunk", F.lit(1).alias("part"), "bucket", "ids", "flags", "lengths", "tokens", "classes").unionByName(
-        answers.where("kind = 'answer'").select("chunk", F.lit(0).alias("part"), "bucket", F.col("counts").alias("tokens")),
-        allowMissingColumns=True)
-    dealt = packed.repartition("chunk").sortWithinPartitions("chunk", "part", "bucket")
+    chain, answers = baum_welch(chunks, questions, first.where("kind = 'answer'"), buckets, states=states,
+                                rounds=rounds if tokens else 0)
+    start, moves, part = chain.start, chain.moves, chain.part
     names = ["doc_id", "training", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts = Hmm(*shared.value), []
-        log_class = np.log(classes)
+        own = Chain(start, moves, part)
         for batch in batches:
             for i in range(batch.num_rows):
-                part = batch.column(1)[i].as_py()
                 cell = lambda k, t: np.frombuffer(batch.column(k)[i].as_buffer(), t)
-                if part == 0:
-                    counts.append(cell(6, "<u8"))
-                    continue
-                c = np.concatenate(counts)
-                counts = []
-                ids, flags, lengths = cell(3, "<i8"), cell(4, "u1"), cell(5, "<u4").astype(np.int64)
-                numbers, cls = cell(6, "<u4"), cell(7, "<u2")
+                c, shares, _ = unpacked(batch.column(1)[i], states)
+                ids, flags, lengths, numbers = cell(2, "<i8"), cell(3, "u1"), cell(4, "<u4").astype(np.int64), cell(5, "<u4")
                 begin = np.cumsum(lengths) - lengths
                 log_c = np.log((c + 0.5) / norm)
                 base = np.add.reduceat(log_c[numbers], begin)
                 known = np.add.reduceat((c > 0).astype(np.int64)[numbers], begin)
-                order, ordered, first = by_position(cls, lengths)
-                likelihood = np.empty(len(ids))
-                likelihood[order] = forward(own, ordered, first, False)[0]
-                full = base + likelihood - np.add.reduceat(log_class[cls], begin)
+                order, ordered, first = by_position(numbers, lengths)
+                gain = np.empty(len(ids))
+                gain[order] = forward(own.over(c, shares), ordered, first, False)[0]
+                full = base + gain
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.int64(), mask=flags & 1 > 0), pa.array(flags & 2 > 0, pa.bool_()), pa.array(lengths, pa.int64()),
                     pa.array(known, pa.int64()), pa.array(np.full(len(ids), tokens), pa.int64()),
                     pa.array(base / LN10, pa.float64()), pa.array(full / LN10, pa.float64())], names=names)
 
-    return map_arrow(dealt, run, "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, "
-                                 "base_score double, score double")
+    return map_arrow(joined(chunks, answers, "ids", "flags", "lengths", "tokens"), run,
+                     "doc_id long, training boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

@@ -166,3 +166,28 @@ def test_language_model_empty_tables(spark):
     assert H.score(X.empty(spark), F.lit(True)).count() == 0
     got = H.score(X.documents(spark).limit(3), F.lit(False)).collect()
     assert {r.train_tokens for r in got} == {0} and all(abs(r.score - r.base_score) < 1e-6 * r.n_tokens for r in got)
+
+
+def test_emissions_are_learned_per_token():
+    """A state's emissions add up to one, and tokens differ however many there are."""
+    rng = np.random.default_rng(3)
+    counts = rng.integers(1, 50, 5000).astype("<u8")
+    shares = rng.dirichlet(np.ones(4), 5000)
+    part = (counts[:, None] * shares).sum(axis=0) / counts.sum()
+    model = H.Chain(np.full(4, 0.25), np.full((4, 4), 0.25), part).over(np.append(counts, 0), np.vstack((shares, np.zeros(4))))
+    base = (np.append(counts, 0) + 0.5) / (counts.sum() + 0.5 * 5001)
+    assert model.emit.shape == (4, 5001) and np.allclose(model.emit @ base, 1.0) and np.allclose(model.emit[:, -1], 1.0)
+    assert len(np.unique(model.emit[0])) > 4500
+
+
+def test_many_tokens_with_two_contexts(spark):
+    """Two vocabularies of 3,000 words that never mix: states tell them apart, word by word."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(700):
+        side = "ab"[k % 2]
+        rows.append((k, " ".join(f"{side}{rng.randint(1, 3000)}" for _ in range(60)), "en", "s", 0))
+    docs = spark.createDataFrame(rows, X.SCHEMA)
+    got = H.score(docs, F.col("doc_id") % 5 != 1, states=2, rounds=8).where("not training").collect()
+    gain = sum(r.score - r.base_score for r in got) / sum(r.n_tokens for r in got)
+    assert gain > 0.2  # log10 2 = 0.30 is what knowing the side is worth
