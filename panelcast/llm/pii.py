@@ -3,10 +3,13 @@
 Base spans come from four fixed patterns (e-mail, IP address, card number,
 phone number) with their checks, leftmost and non-overlapping per kind. The
 model proposes further spans. It works on *regions*, runs of words that hold a
-digit or an ``@``: a segment of up to ``MAX_WORDS`` words, trimmed to letters,
-digits and brackets, is one candidate entity, and features describe the whole
-span (shape, lengths, checks, what stands before and behind). Dynamic programming over a region
-chooses boundaries and kinds jointly: single words may stay outside, entities
+digit or an ``@`` or stand behind a key name (``key = ...``). A word has pieces, cut
+behind ``= : & ; " '`` and brackets inside it. A segment is one piece, or up to ``MAX_WORDS`` words, of the first one from its
+start or last cut on and of the last one to its end or first cut, trimmed to letters,
+digits and brackets; it is one candidate entity, and features describe the whole
+span (shape, lengths, checks, what stands before and behind), those of a span over ``LONGEST_SPAN`` characters
+its two ends and length. Dynamic programming over a region
+chooses boundaries and kinds jointly: single pieces may stay outside, entities
 have a bounded number of words, so the work is linear in the region.
 
 Training maximizes the segmentations' log-likelihood on regions of a bounded
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,13 +47,19 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 KINDS = (*BASE_KINDS, "secret")
-SECRET = re.compile(r"(?i)(?<![A-Za-z0-9])(?:token|key|secret|password|passwd|pwd)[\"']?\s{0,4}[=:]\s{0,4}[\"']?([A-Za-z0-9+/_-]{16,})")
+KEYED = re.compile(r"(?i)(?<![A-Za-z0-9])(?:token|key|secret|password|passwd|pwd)[\"']?\s{0,4}[=:]\s{0,4}[\"']?")
+SECRET = re.compile(KEYED.pattern + r"([A-Za-z0-9+/_-]{16,})")
 
 MAX_WORDS = 6
 BUCKETS = 4096
-MARKED = re.compile(r"[^ \t-\r]*[0-9@][^ \t-\r]*")
-EDGE_LEFT = re.compile(r"[A-Za-z0-9+(]")
-EDGE_RIGHT = re.compile(r"[A-Za-z0-9)][^A-Za-z0-9)]*$")
+MARKED = re.compile(r"(?<![^ \t-\r])[^ \t-\r0-9@]*+[0-9@][^ \t-\r]*")
+SPACES = " \t\n\v\f\r"
+WORD_END = re.compile(r"[^ \t-\r]*")
+#: A cut is behind these, between a letter or digit and the next character that is none of them.
+CUT = re.compile(r"(?<=[A-Za-z0-9])[=:&;\"'()\[\]{}<>]++(?=[^ \t-\r])")
+LEFT = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+(")
+RIGHT = (LEFT | {")"}) - {"+", "("}
+#: Characters of a span that features look at; of a longer one, half at each end.
 LONGEST_SPAN = 256
 
 
@@ -103,35 +113,49 @@ Region = list[tuple[int, int]]
 
 
 def regions(text: str | None) -> list[Region]:
-    """Runs of neighbouring words with a digit or an ``@``, as word bounds."""
+    """Runs of neighbouring words with a digit or an ``@`` or behind a key name, as bounds of their pieces.
+
+    Pieces of one word touch."""
+    text = text or ""
+    found = [m.span() for m in MARKED.finditer(text)]
+    done = 0
+    for m in KEYED.finditer(text):
+        a = m.end()
+        if a < max(done, 1) or a == len(text) or text[a] in SPACES:
+            continue
+        done = WORD_END.match(text, a).end()
+        while a and text[a - 1] not in SPACES:
+            a -= 1
+        found.append((a, done))
     out: list[Region] = []
-    for m in MARKED.finditer(text or ""):
-        if out and not text[out[-1][-1][1]:m.start()].strip():
-            out[-1].append(m.span())
-        else:
-            out.append([m.span()])
+    end = -1
+    for a, b in sorted(set(found)):
+        if not out or text[end:a].strip():
+            out.append([])
+        cuts = [a, *(m.end() for m in CUT.finditer(text, a, b) if m.end() < b), b]
+        out[-1] += zip(cuts, cuts[1:])
+        end = b
     return out
 
 
-def trimmed(text: str, start: int, end: int) -> tuple[int, int] | None:
-    """The span without marks around it; None if nothing or too much is left."""
-    if end - start > 2 * LONGEST_SPAN:
-        return None
-    left = EDGE_LEFT.search(text, start, end)
-    if not left:
-        return None
-    right = EDGE_RIGHT.search(text[left.start():end])
-    if not right or right.start() + 1 > LONGEST_SPAN:
-        return None
-    return left.start(), left.start() + right.start() + 1
+def edges(text: str, start: int, end: int) -> tuple[int, int] | None:
+    """The piece without marks around it; None if nothing is left."""
+    while start < end and text[start] not in LEFT:
+        start += 1
+    stop = end
+    while stop > start and text[stop - 1] not in RIGHT:
+        stop -= 1
+    return (start, stop) if start < stop else None
 
 
 def features(text: str, start: int, end: int, words: int) -> list[int]:
     """Hashed whole-span features."""
-    s = text[start:end]
+    long = end - start > LONGEST_SPAN
+    s = text[start:start + LONGEST_SPAN // 2] + text[end - LONGEST_SPAN // 2:end] if long else text[start:end]
     shape = re.sub(r"[a-z]+", "a", re.sub(r"[A-Z]+", "A", re.sub(r"[0-9]+", "9", s)))[:40]
     digits, letters = digits_of(s), sum(c.isalpha() for c in s)
     before = text[max(0, start - 24):start].split()
+    keyed = any(m.end() == start for m in KEYED.finditer(text, max(0, start - 24), start))
     raw = [
         "bias", "shape=" + shape, "kinds=" + "".join(sorted(set(shape))), f"digits={min(len(digits), 20)}",
         f"letters={min(letters, 40) // 4}", f"length={min(len(s), 64) // 4}", f"words={words}", "first=" + s[0], "last=" + s[-1],
@@ -140,22 +164,39 @@ def features(text: str, start: int, end: int, words: int) -> list[int]:
         f"ip={bool(IP.fullmatch(s)) and octets_fit(s)}", f"dotted={s.count('.')}",
         f"card={bool(CARD.fullmatch(s)) and 12 <= len(digits) <= 19 and luhn(digits)}",
         f"phone={bool(PHONE.fullmatch(s)) and 9 <= len(digits) <= 15}", f"mail={list(emails(s)) == [(0, len(s))]}",
+        f"keyed={keyed}", f"run={keyed and len(s) >= 16 and not re.search('[^A-Za-z0-9+/_-]', s)}",
         f"hex={len(s) >= 16 and not re.search('[^0-9a-fA-F]', s)}",
     ]
     return [zlib.crc32(r.encode()) % BUCKETS for r in raw]
 
 
-def segments(text: str, region: Region) -> list[list[tuple[int, tuple[int, int], list[int]]]]:
-    """Per end position (words) the candidate entities that end there: (first word, span, features)."""
+def candidates(text: str, region: Region) -> list[list[tuple[int, tuple[int, int], int]]]:
+    """Per end position (pieces) the candidate entities that end there: (first piece, span, words)."""
+    bare = [edges(text, *piece) for piece in region]
+    heads = [k for k in range(len(region)) if not k or region[k - 1][1] < region[k][0]] + [len(region)]
     out = [[] for _ in range(len(region) + 1)]
-    for j in range(1, len(region) + 1):
-        for i in range(max(0, j - MAX_WORDS), j):
-            span = trimmed(text, region[i][0], region[j - 1][1])
-            if span and (i == j - 1 or span[0] < region[i][1] and span[1] > region[j - 1][0]):
-                out[j].append((i, span, features(text, *span, j - i)))
+    starts: list[list[int]] = []  # of each word: its start and its last cut
+    for word, (head, behind) in enumerate(zip(heads, heads[1:])):
+        starts.append(sorted({head, behind - 1}))
+        for j in range(head + 1, behind + 1):
+            at = {j - 1}
+            if j in (head + 1, behind):
+                at |= {i for own in starts[max(0, word + 1 - MAX_WORDS):] for i in own if i < j}
+            for i in sorted(at):
+                if bare[i] and bare[j - 1]:
+                    out[j].append((i, (bare[i][0], bare[j - 1][1]), word + 1 - _word(heads, i)))
     return out
 
 
+def _word(heads: list[int], piece: int) -> int:
+    return bisect_right(heads, piece) - 1
+
+
+def segments(text: str, region: Region) -> list[list[tuple[int, tuple[int, int], list[int]]]]:
+    """``candidates`` with their features: (first piece, span, features)."""
+    return [[(i, span, features(text, *span, words)) for i, span, words in row] for row in candidates(text, region)]
+
+
 # --- the model -----------------------------------------------------------------
 
 
@@ -238,13 +279,14 @@ def gold_of(text: str, region: Region) -> dict[tuple[int, int], int] | None:
     shift = max(0, lo - 64)
     spans = [(k, a + shift, b + shift) for k, a, b in spans if lo <= a + shift and b + shift <= hi]
     spans += [("secret", *m.span(1)) for m in SECRET.finditer(text, max(0, lo - 64), hi) if m.start(1) >= lo and m.end(1) <= hi]
+    offered = {(i, j): span for j, row in enumerate(candidates(text, region)) for i, span, _ in row}
     gold, used = {}, -1
     for kind, a, b in sorted(spans, key=lambda s: (s[1], -s[2])):
         i = next((k for k, w in enumerate(region) if w[0] <= a < w[1]), None)
         j = next((k + 1 for k, w in enumerate(region) if w[0] < b <= w[1]), None)
         if i is None or j is None or i < used:
             continue
-        if j - i > MAX_WORDS or trimmed(text, region[i][0], region[j - 1][1]) != (a, b):
+        if offered.get((i, j)) != (a, b):
             return None
         gold[i, j] = KINDS.index(kind)
         used = j
@@ -266,7 +308,7 @@ def train(docs: DataFrame, *, sample_docs: int = 4000, shards: int = 4, epochs:
             out = {"h": [], "part": [], "bounds": []}
             for h, text in zip(cols["h"], cols["text"]):
                 for region in regions(text):
-                    if len(region) <= 2 * MAX_WORDS and region[-1][1] - region[0][0] < 1024:
+                    if len(region) <= 4 * MAX_WORDS and region[-1][1] - region[0][0] < 8192:
                         lo = max(0, region[0][0] - 64)
                         out["h"].append(h)
                         out["part"].append(text[lo:region[-1][1] + 64])

@@ -144,3 +144,29 @@ def test_find_and_redact(spark, model):
 def test_without_training_rows(spark):
     m = pii.train(X.empty(spark))
     assert not m.weights.any() and pii.all_spans("token = 908038b7daaf91e730d2f908038b7d", m) == ([], [])
+
+
+def test_glued_long_and_letters_only_secrets(spark):
+    import random
+
+    rng = random.Random(9)
+    mixed, letters = "abcdefghkmpqrstuvwxyz23456789", "abcdefghkmpqrstuvwxyzABCDEFGH"
+
+    def some(n, least=24, most=40):
+        for k in range(n):
+            secret = "".join(rng.choice(letters if k % 2 else mixed) for _ in range(rng.randint(least, most)))
+            yield secret, X.prose(rng, 6) + " " + rng.choice([f"password={secret}", f'token="{secret}"', f'{{"key":"{secret}"}}',
+                                                              f"secret = {secret}"]) + " " + X.prose(rng, 6)
+
+    texts = [t for _, t in some(300)] + [t for _, t in some(60, 300, 600)] + personal(600)
+    model = pii.train(spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], X.SCHEMA), shards=2)
+    for secret, text in [*some(80), *some(20, 300, 2000)]:
+        at = text.index(secret)
+        assert pii.all_spans(text, model) == ([], [("secret", at, at + len(secret))]), text
+
+
+def test_candidates_and_regions_are_linear():
+    for text in ("x" * 200_000, "a1" * 100_000, "a:1=" * 30_000, "key=" * 30_000, "=" * 100_000 + "1"):
+        for region in pii.regions(text):
+            assert sum(map(len, pii.candidates(text, region))) <= 4 * pii.MAX_WORDS * len(region)
+    assert [text[a:b] for text in ['say key="abcdef" now'] for a, b in pii.regions(text)[0]] == ['key="', 'abcdef"']
