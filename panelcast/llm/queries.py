@@ -112,6 +112,12 @@ def op10_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_score", "score")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm.filter_audit import audit
+
+    return audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_output": op1_token_output,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -123,6 +129,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_hmm_scoring": op10_hmm_scoring,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -190,8 +197,42 @@ SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM m LEFT JOIN fails f ON m.doc_id = f.doc_id"""
 
 
+def _op13_sql() -> str:
+    fails = {
+        "A": "len(ws) < 50", "B": "100 * len(list_distinct(ws)) < 65 * len(ws)",
+        "C": "100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 5 * length(text)",
+        "D": "regexp_matches(text, '[#$%&*|]')", "E": "coalesce(min(doc_id) OVER (PARTITION BY text) < doc_id, false)",
+    }
+    letters = ", ".join(f"'{f}'" for f in fails)
+    failing = ", ".join(f"CASE WHEN {c} THEN '{f}' END" for f, c in fails.items())
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+       regexp_extract_all(coalesce(text, ''), '{_WORD}') AS ws FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT doc_id, part, concat_ws('', {failing}) AS fails FROM d),
+c AS (SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+     FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+x AS (SELECT unnest([{letters}]) AS q),
+o AS (SELECT a.q || b.q || c.q || e.q || g.q AS filter_order FROM x a JOIN x b ON b.q <> a.q JOIN x c ON c.q NOT IN (a.q, b.q)
+     JOIN x e ON e.q NOT IN (a.q, b.q, c.q) JOIN x g ON g.q NOT IN (a.q, b.q, c.q, e.q)),
+s AS (SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS letter FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+left_at AS (SELECT c.*, filter_order, coalesce(list_min(list_transform(string_split(nullif(fails, ''), ''),
+       lambda k: strpos(filter_order, k))), 6) AS gone FROM c, o),
+r AS (SELECT part, s.filter_order, s.step, letter,
+       CAST(sum(CASE WHEN gone > s.step THEN n ELSE 0 END) AS BIGINT) AS kept,
+       CAST(sum(CASE WHEN gone = s.step THEN n ELSE 0 END) AS BIGINT) AS removed,
+       CAST(sum(CASE WHEN gone < s.step AND contains(fails, letter) THEN n ELSE 0 END) AS BIGINT) AS redundant,
+       CAST(sum(CASE WHEN fails = letter THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+       CAST(sum(CASE WHEN gone = s.step THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+       CAST(sum(CASE WHEN gone = s.step THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+     FROM left_at JOIN s ON left_at.filter_order = s.filter_order GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM r"""
+
+
 #: The other operators hash with XXH64, run a tokenizer or train a model: tests hold them against brute force.
 ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": _op5_sql(),
     "op9_quality_rules": _op9_sql(),
+    "op13_filter_audit": _op13_sql(),
 }
