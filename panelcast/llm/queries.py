@@ -112,6 +112,13 @@ def op10_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_score", "score")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm.vector_codes import encode
+
+    coded = encode(_table(spark, sf_dir, "embeddings"), scale=256, parts=16, entries=64, rounds=2)
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.llm.filter_audit import audit
 
@@ -129,6 +136,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_hmm_scoring": op10_hmm_scoring,
+    "op12_vector_codes": op12_vector_codes,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -197,6 +205,37 @@ SELECT m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ba
 FROM m LEFT JOIN fails f ON m.doc_id = f.doc_id"""
 
 
+def _op12_sql() -> str:
+    def assigned(books: str) -> str:
+        gap = "list_sum(list_transform(range(1, w + 1), lambda j: (p.x[j] - c.x[j]) * (p.x[j] - c.x[j])))"
+        return f"""SELECT vec_id, label, p.part, any_value(p.x) AS x, CAST(min(CAST({gap} AS HUGEINT) * 64 + entry) AS HUGEINT) AS best
+       FROM p JOIN {books} c ON p.part = c.part GROUP BY vec_id, label, p.part"""
+
+    def updated(books: str, owned: str) -> str:
+        return f"""SELECT c.part, c.entry, coalesce(n.x, c.x) AS x FROM {books} c LEFT JOIN (
+       SELECT part, entry, list(CAST(floor(total / n) AS BIGINT) ORDER BY pos) AS x FROM (
+         SELECT part, best % 64 AS entry, pos, sum(x[pos]) AS total, count(*) AS n
+         FROM {owned}, (SELECT unnest(range(1, (SELECT max(w) FROM p) + 1)) AS pos) GROUP BY ALL) GROUP BY part, entry) n
+       ON c.part = n.part AND c.entry = n.entry"""
+
+    return f"""
+WITH k AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+     FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT vec_id, label, part, len(v) // 16 AS w, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS x
+     FROM k, (SELECT unnest(range(16)) AS part)),
+c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x FROM p
+     QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id) <= 64),
+a1 AS MATERIALIZED ({assigned("c0")}),
+c1 AS MATERIALIZED ({updated("c0", "a1")}),
+a2 AS MATERIALIZED ({assigned("c1")}),
+c2 AS MATERIALIZED ({updated("c1", "a2")}),
+a3 AS ({assigned("c2")}),
+r AS (SELECT vec_id, label, string_agg(printf('%02x', CAST(best % 64 AS INTEGER)), '' ORDER BY part) AS code,
+       CAST(sum(best // 64) AS BIGINT) AS error FROM a3 GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) FROM c2) AS codebooks_sha256 FROM r"""
+
+
 def _op13_sql() -> str:
     fails = {
         "A": "len(ws) < 50", "B": "100 * len(list_distinct(ws)) < 65 * len(ws)",
@@ -234,5 +273,6 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 ORACLE_SQL: dict[str, str] = {
     "op5_substring_dedup": _op5_sql(),
     "op9_quality_rules": _op9_sql(),
+    "op12_vector_codes": _op12_sql(),
     "op13_filter_audit": _op13_sql(),
 }

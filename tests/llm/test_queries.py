@@ -14,7 +14,10 @@ from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.test_oracle import _rows
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+OTHER_ROWS = ("op12_", "op13_")  # not one row per document: held by their SQL twins
+
+
+@pytest.mark.parametrize("name", sorted(n for n in queries.QUERIES if not n.startswith(OTHER_ROWS)))
 def test_whole_table(spark, name):
     got = queries.QUERIES[name](spark, SF_SMALL)
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
@@ -29,7 +32,7 @@ def test_whole_table(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "benchmark"):
+    for t in ("documents", "labels", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{os.path.join(SF_ORACLE, t)}.parquet')")
     got, want = queries.QUERIES[name](spark, SF_ORACLE).toPandas(), con.execute(queries.ORACLE_SQL[name]).fetchdf()
     assert sorted(got.columns) == sorted(want.columns) and _rows(got) == _rows(want)
