@@ -112,6 +112,12 @@ def op10_hmm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_score", "score")
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from panelcast.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(_table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from panelcast.llm.vector_codes import encode
 
@@ -136,6 +142,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_hmm_scoring": op10_hmm_scoring,
+    "op11_jaccard_join": op11_jaccard_join,
     "op12_vector_codes": op12_vector_codes,
     "op13_filter_audit": op13_filter_audit,
 }
