@@ -87,12 +87,20 @@ class SparkRel:
         gone = set(names)
         return SparkRel(self.df.select(*[f"`{c}`" for c in self.df.columns if c not in gone]))
 
+    def replace(self, gone: Sequence[str], new: Sequence[tuple[str, str]]) -> "SparkRel":
+        """One projection that computes columns and lets go of those they used up."""
+        gone = {*gone, *(n for n, _ in new)}
+        return SparkRel(self.df.selectExpr(*[f"`{c}`" for c in self.df.columns if c not in gone], *[f"{e} AS `{n}`" for n, e in new]))
+
     def select(self, cols: Sequence[tuple[str, str]]) -> "SparkRel":
         from panelcast.plans.sqlbits import rewrite_round
         return SparkRel(self.df.selectExpr(*[f"{rewrite_round(e)} AS `{n}`" for n, e in cols]))
 
     def group(self, keys: Sequence[str], aggs: Sequence[tuple[str, str]]) -> "SparkRel":
-        return SparkRel(self.df.groupBy(*keys).agg(*[F.expr(e).alias(n) for n, e in aggs]))
+        # all aggregates in one expression text: the JVM parses them in one call
+        fields = ", ".join(f"'{n}', {e}" for n, e in aggs)
+        grouped = self.df.groupBy(*keys).agg(F.expr(f"named_struct({fields})").alias("_g"))
+        return SparkRel(grouped.select(*keys, "_g.*"))
 
     def explode(self, name: str, array_expr: str) -> "SparkRel":
         return SparkRel(self.df.withColumn(name, F.explode(F.expr(array_expr))))

@@ -1,15 +1,16 @@
-"""Small dense linear algebra as staged column expressions.
+"""Small dense linear algebra as column expressions.
 
 A k x k symmetric positive-definite system (k = number of regressors, a
-handful) is solved with an unrolled Cholesky factorisation ``C = L L'``.
-Each stage is a list of ``(name, sql_expression)`` assignments that reads
-only names from earlier stages; applied as successive projections the
-work stays inside whole-stage codegen, one solve per row, no Python.
-
-Stage j computes, with its pivot written inline, column j of L, the
-forward-substitution value ``z_j`` and row j of ``M = L^-1``; one last
-stage forms ``b = M' z`` and, if wanted, ``C^-1 = M' M``. That is k + 1
-projections per solve. The same stages render for DuckDB (the oracle).
+dozen) is solved once per row, no Python. Two independent forms:
+
+* Spark: the system with its right-hand side is one packed ``ARRAY<DOUBLE>``
+  of (k + 1)^2 entries; ``swept`` pivots on one regressor after the other
+  (the sweep operator). After the pivots 0 .. m the array holds the solution,
+  the residual sum of squares and the inverse of the model with those
+  regressors, so one pass gives all nested models (``swept_path``).
+* DuckDB (the oracle): an unrolled Cholesky factorisation ``C = L L'``, one
+  column of L per projection, over named columns.
+
 A pivot below ``PIVOT_TOL`` times its diagonal (a constant regressor, or one that
 others explain) drops its regressor: its solution is 0 and the others solve the
 reduced system, instead of amplifying rounding noise.
@@ -36,6 +37,36 @@ def _sum(terms: Sequence[str]) -> str:
     return " + ".join(f"({t})" for t in terms) if terms else "0.0"
 
 
+def sweep(a: str, p: str, diagonal: str, n: int) -> str:
+    """Spark text: the packed symmetric n x n array ``a`` swept on pivot ``p``.
+
+    Swept: the pivot becomes -1/d, its row and column are divided by d, the rest
+    is reduced. A pivot too small against ``diagonal`` has its row and column zeroed."""
+    d = f"{a}[{p} * {n + 1}]"
+    mine = f"(i div {n} = {p} OR i % {n} = {p})"
+    return (f"transform({a}, (v, i) -> CASE WHEN NOT coalesce({d} > {PIVOT_TOL!r} * abs({diagonal}[{p} * {n + 1}]), false) "
+            f"THEN CASE WHEN {mine} THEN 0D ELSE v END "
+            f"WHEN i = {p} * {n + 1} THEN -1D / {d} WHEN {mine} THEN v / {d} "
+            f"ELSE v - {a}[(i div {n}) * {n} + {p}] * {a}[{p} * {n} + i % {n}] / {d} END)")
+
+
+def swept(a: str, pivots: int, n: int) -> str:
+    """Spark text: ``a`` swept on the pivots 0 .. pivots - 1."""
+    if not pivots:
+        return a
+    return f"aggregate(sequence(0, {pivots - 1}), {a}, (s, p) -> {sweep('s', 'p', a, n)})"
+
+
+def swept_path(a: str, pivots: int, n: int, kept: dict[str, int]) -> str:
+    """Spark text: an array with one struct per pivot count 1 .. pivots: the entries ``kept`` (name -> place
+    in the packed array) after that many pivots, all nested models from one pass."""
+    fields = ", ".join(f"'{name}', x[{at}]" for name, at in kept.items())
+    kind = f"ARRAY<STRUCT<{', '.join(f'{name}: DOUBLE' for name in kept)}>>"
+    return (f"aggregate(sequence(0, {pivots - 1}), named_struct('a', {a}, 'found', CAST(array() AS {kind})), (s, p) -> "
+            f"transform(array({sweep('s.a', 'p', a, n)}), x -> named_struct('a', x, 'found', "
+            f"concat(s.found, array(named_struct({fields})))))[0], s -> s.found)")
+
+
 def cholesky_solve_stages(C: Callable[[int, int], str], rhs: Callable[[int], str], k: int, p: str,
                           out: Callable[[int], str], dialect: str,
                           inv_out: Callable[[int, int], str] | None = None,

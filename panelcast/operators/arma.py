@@ -11,7 +11,7 @@
   innovation estimates, then ``w_t`` is regressed on its own lags and the
   lagged innovations. All (p, q) of the grid share one sample, so the
   cross-products are aggregated ONCE per series and each order is a masked
-  solve on that one row (``ols.solve_from_sums(active=...)``); minimum AIC
+  solve on that one row (``ols.solve(active=...)``); minimum AIC
   wins, ties to the earlier order (p first, then q). A constant is fitted
   only when d = 0.
 * ``forecast``: the ARMA recursion rolled forward with future innovations
@@ -30,8 +30,9 @@ import math
 from collections.abc import Sequence
 
 from panelcast.functions.dual import div, win
+from panelcast.functions.linalg import swept_path
 from panelcast.operators import ols
-from panelcast.operators.ols import P, prepare, solve_from_sums, ssr_from_sums, sum_exprs
+from panelcast.operators.ols import P, prepare, sum_exprs
 
 # Fixed value: 5 % asymptotic critical value of the ADF t-statistic with a
 # constant and no trend (MacKinnon 2010, tau_c).
@@ -89,11 +90,18 @@ def adf(rel, G: Sequence[str], y: str, max_lag: int | None = None, order: str =
     rel = prepare(rel, G, "_a_dy", xs).filter(f"{P}ok AND _a_bound >= 0")
     carry = [(f"{P}{nm}{j}", _carry(f"{P}{nm}{j}", d)) for j in range(k) for nm in ("mx", "sx")]
     rel = rel.group(list(G), sum_exprs(k) + carry + [("_a_bound", _carry("_a_bound", d))])
-    rel = rel.explode("adf_lag", rel.int_range(0, K)).filter("adf_lag <= _a_bound")
-    active = ["TRUE"] + [f"adf_lag >= {i}" for i in range(1, K + 1)]
-    rel = rel.stages(solve_from_sums(k, d, active=active, inverse_of=0))
-    rel = rel.stages(ssr_from_sums(k, d)).drop(ols.solve_scratch(k))
     n = f"{P}n"
+    if d == "spark":
+        # the lag models are nested: one pass over the packed system gives all of them
+        rel = ols.packed_system(rel, k)
+        path = swept_path(f"{P}A", k, k + 1, {"b0": k, "ci": 0, "ssr": (k + 1) ** 2 - 1})
+        rel = rel.select([(c, c) for c in [*G, n, "_a_bound"]] + [("_a_path", path)])
+        rel = rel.explode("adf_lag", f"sequence(0, least(_a_bound, {K}))")
+        rel = rel.replace(["_a_path"], [(f"{P}b0", "_a_path[adf_lag].b0"), (f"{P}Ci0_0", "-_a_path[adf_lag].ci"),
+                                        (f"{P}ssr", "greatest(_a_path[adf_lag].ssr, 0D)")])
+    else:
+        rel = rel.explode("adf_lag", rel.int_range(0, K)).filter("adf_lag <= _a_bound")
+        rel = ols.solve(rel, k, active=["TRUE"] + [f"adf_lag >= {i}" for i in range(1, K + 1)], inverse=True)
     rel = rel.stages([[("_a_llf", f"-{n} / 2.0 * ({LN_2PI} + {_ln(div(f'{P}ssr', n, d))} + 1.0)"),
                        ("_a_s2", f"CASE WHEN {n} > adf_lag + 2 THEN {div(f'{P}ssr', f'{n} - (adf_lag + 2)', d)} END")],
                       [("_a_aic", "-2.0 * _a_llf + 2.0 * (adf_lag + 2)"),
@@ -130,7 +138,7 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
     # step 1: long autoregression -> innovation estimates e_t
     lx = [f"_h_wl{i}" for i in range(1, m + 1)]
     r1 = prepare(rel, G, "_h_w", lx).share()
-    long_fit = r1.filter(f"{P}ok").group(list(G), sum_exprs(m)).stages(solve_from_sums(m, dl))
+    long_fit = ols.solve(r1.filter(f"{P}ok").group(list(G), sum_exprs(m)), m)
     r1 = r1.join(_keep(long_fit, list(G) + ols.solution_columns(m)), G, "left")
     fit1 = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(m))
     r1 = r1.stages([[("_h_e", f"CASE WHEN {P}ok THEN {P}ty - ({P}alpha + {fit1}) END")]])
@@ -153,8 +161,7 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
                    ("q", _case_index("_h_idx", [o[1] for o in orders]))]])
     active = [f"p >= {i}" for i in range(1, max_p + 1)] + [f"q >= {j}" for j in range(1, max_q + 1)]
     icpt = "d = 0"
-    g = g.stages(solve_from_sums(k, dl, active=active, intercept=icpt))
-    g = g.stages(ssr_from_sums(k, dl, intercept=icpt)).drop(ols.solve_scratch(k))
+    g = ols.solve(g, k, active=active, intercept=icpt)
     n = f"{P}n"
     npar = "(p + q + CASE WHEN d = 0 THEN 1 ELSE 0 END + 1)"
     g = g.stages([[("sigma2", div(f"{P}ssr", n, dl))],
@@ -178,7 +185,7 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
 
 
 def forecast_sql_stages(h: int, max_p: int = 3, max_q: int = 2, z: float = 1.96) -> list:
-    """Unrolled ARIMA forecast + psi-weight band as h + 1 stages (both engines).
+    """Unrolled ARIMA forecast + psi-weight band as h + 1 stages (the oracle's form).
 
     Stage s computes the differenced forecast ``_f_w{s}``, the level
     ``f{s}`` (integrated when d = 1), the psi-weight ``_f_psi{s}``, its
@@ -218,7 +225,31 @@ def forecast_sql_stages(h: int, max_p: int = 3, max_q: int = 2, z: float = 1.96)
     return stages
 
 
-def period_text(col: str, steps: int, freq: str, dialect: str) -> str:
+def forecast_path(h: int, max_p: int = 3, max_q: int = 2, z: float = 1.96) -> str:
+    """Spark text: the same forecast as one fold over the steps, an array of
+    ``step, yhat, lo, hi``; the state holds the last values, newest first."""
+    def newest(new: str, old: str, most: int) -> str:
+        return f"slice(concat(array({new}), {old}), 1, {max(1, most)})"
+
+    def rows(names: Sequence[str]) -> str:
+        return f"array({', '.join(names) or '0D'})"
+
+    w = " + ".join(["c"] + [f"phi{i} * s.w[{i - 1}]" for i in range(1, max_p + 1)] + [f"theta{j} * s.e[{j - 1}]" for j in range(1, max_q + 1)])
+    theta = f"CASE k {' '.join(f'WHEN {j} THEN theta{j}' for j in range(1, max_q + 1))} ELSE 0D END" if max_q else "0D"
+    psi = " + ".join([theta] + [f"phi{i} * s.psi[{i - 1}]" for i in range(1, max_p + 1)])
+    now = (f"named_struct('w', {w}, 'psi', {psi}, 'v', s.v + pow(CASE WHEN d = 1 THEN s.cum ELSE s.psi[0] END, 2))")
+    level = "CASE WHEN d = 1 THEN s.y + x.w ELSE x.w END"
+    band = f"{z!r}D * sqrt(sigma2 * x.v)"
+    start = ("named_struct('w', " + rows([f"w_t{i}" for i in range(max_p)]) + ", 'e', " + rows([f"e_t{j}" for j in range(max_q)])
+             + f", 'y', last_y, 'psi', {rows(['1D'] + ['0D'] * (max_p - 1))}, 'cum', 1D, 'v', 0D, "
+             "'out', CAST(array() AS ARRAY<STRUCT<step: INT, yhat: DOUBLE, lo: DOUBLE, hi: DOUBLE>>))")
+    step = (f"named_struct('w', {newest('x.w', 's.w', max_p)}, 'e', {newest('0D', 's.e', max_q)}, 'y', {level}, "
+            f"'psi', {newest('x.psi', 's.psi', max_p)}, 'cum', s.cum + x.psi, 'v', x.v, "
+            f"'out', concat(s.out, array(named_struct('step', k, 'yhat', {level}, 'lo', {level} - {band}, 'hi', {level} + {band}))))")
+    return f"aggregate(sequence(1, {int(h)}), {start}, (s, k) -> transform(array({now}), x -> {step})[0], s -> s.out)"
+
+
+def period_text(col: str, steps: int | str, freq: str, dialect: str) -> str:
     """``col`` moved by ``steps`` periods, as expression text."""
     if dialect == "spark":
         return {"month": f"add_months({col}, {steps})", "day": f"date_add({col}, {steps})",
@@ -229,6 +260,10 @@ def period_text(col: str, steps: int, freq: str, dialect: str) -> str:
 
 def forecast_rows(rel, G: Sequence[str], h: int, max_p: int = 3, max_q: int = 2, freq: str = "month"):
     """``(G, step, period, yhat, lo, hi)`` from a ``hannan_rissanen`` result."""
+    if rel.dialect == "spark":
+        rel = rel.select([(g, g) for g in G] + [("last_period", "last_period"), ("_f", forecast_path(h, max_p, max_q))]).explode("_f", "_f")
+        return rel.select([(g, g) for g in G] + [("step", "_f.step"), ("period", period_text("last_period", "_f.step", freq, "spark")),
+                                                 ("yhat", "_f.yhat"), ("lo", "_f.lo"), ("hi", "_f.hi")])
     rel = rel.stages(forecast_sql_stages(h, max_p, max_q))
     parts = []
     for s in range(1, h + 1):

@@ -9,8 +9,8 @@ Data flow (no raw row ever leaves Spark's partitioning by series key):
    the final fit (a ``groupBy(keys)``, partial + final aggregate) or, for the
    rolling-origin backtest, a RANGE window over the fold segment -- every
    fold's normal equations in one pass, no extra shuffle (SURVEY O4).
-3. Centred system ``C b = c`` solved by the staged Cholesky of
-   ``functions.linalg`` -- a few dozen flops per row, inside codegen.
+3. Centred system ``C b = c``: one packed array per row, solved by the sweep
+   operator (``functions.linalg``); the oracle uses a Cholesky over named columns.
 4. Residuals, Durbin-Watson, Newey-West (Bartlett) meat from ``lag`` windows
    over the estimation sample, sandwich ``B^-1 S B^-1`` (no small-sample
    correction, normal p-values), R^2, adjusted R^2, log-likelihood, AIC, BIC.
@@ -24,7 +24,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from panelcast.functions.dual import SparkRel, div, win
-from panelcast.functions.linalg import cholesky_solve_stages
+from panelcast.functions.linalg import cholesky_solve_stages, swept
 from panelcast.plans.sqlbits import round_text
 
 P = "_o"  # prefix of internal columns
@@ -76,62 +76,92 @@ def sum_exprs(k: int, over: str = "") -> list[tuple[str, str]]:
     return out
 
 
-def solve_from_sums(k: int, dialect: str, with_inverse: bool = False, active: Sequence[str] | None = None,
-                    intercept: bool | str = True, inverse_of: int | None = None):
-    """Stages: centred C, c -> coefficients ``_ob{j}`` and intercept ``_oalpha``
-    of ``ty = alpha + sum b_j (t_j - tbar_j)``; optional ``_oCi{i}_{j}``.
+def _icpt(intercept: bool | str) -> str:
+    if isinstance(intercept, str):
+        return f"({intercept})"
+    return "TRUE" if intercept else "FALSE"
 
-    ``active[j]`` (SQL boolean) switches regressor j off: its row/column of
-    C become the identity and ``c_j = 0``, so ``b_j = 0`` and the others
-    solve the reduced system exactly -- many nested models from one set of
-    sums. ``intercept=False`` uses the uncentred moments. ``inverse_of``
-    gives only that diagonal entry of the inverse.
-    """
-    n = f"{P}n"
+
+def _centred(k: int, dialect: str, intercept: bool | str) -> tuple[dict[tuple[int, int], str], list[str], str]:
+    """Texts of the centred cross-products (row k is y), of the regressors' means and of the mean of y."""
+    n, ic = f"{P}n", _icpt(intercept)
+    sums = [f"{P}S{i}" for i in range(k)] + [f"{P}Sy"]
+    raw = {(i, j): f"{P}Q{i}_{j}" for i in range(k) for j in range(i + 1)}
+    raw |= {(k, j): f"{P}Qy{j}" for j in range(k)} | {(k, k): f"{P}Qyy"}
+
+    def less(i, j):
+        return f"CASE WHEN {ic} THEN {div(f'{sums[i]} * {sums[j]}', n, dialect)} ELSE 0.0 END"
+
+    means = [f"CASE WHEN {ic} THEN {div(x, n, dialect)} ELSE 0.0 END" for x in sums]
+    return {ij: f"{q} - {less(*ij)}" for ij, q in raw.items()}, means[:k], means[k]
+
+
+def packed_system(rel, k: int, active: Sequence[str] | None = None, intercept: bool | str = True):
+    """Spark: the sums give way to one packed array ``_oA`` ((k + 1)^2 entries, the last row
+    is y), the regressors' means ``_otb{j}`` and ``_oalpha``; ``_on, _oSy, _oQyy`` and other columns stay.
+
+    ``active[j]`` (SQL boolean) switches regressor j off: its row and column are zero, so its pivot is dropped."""
+    entry, means, alpha = _centred(k, rel.dialect, intercept)
+    on = [f"({x})" for x in active] + ["TRUE"] if active is not None else None
+
+    def at(i, j):
+        text = f"CAST({entry[max(i, j), min(i, j)]} AS DOUBLE)"
+        return text if on is None else f"CASE WHEN {on[i]} AND {on[j]} THEN {text} ELSE 0D END"
+
+    gone = {n for n, _ in sum_exprs(k)} - {f"{P}n", f"{P}Sy", f"{P}Qyy"}
+    return rel.replace(gone, [(f"{P}A", f"array({', '.join(at(i, j) for i in range(k + 1) for j in range(k + 1))})"),
+                              *[(f"{P}tb{j}", m) for j, m in enumerate(means)], (f"{P}alpha", alpha)])
+
+
+def solve(rel, k: int, active: Sequence[str] | None = None, intercept: bool | str = True, inverse: bool = False):
+    """Sums -> coefficients ``_ob{j}``, means ``_otb{j}`` and intercept ``_oalpha`` of
+    ``ty = alpha + sum b_j (t_j - tbar_j)``, the residual sum of squares ``_ossr`` and, with
+    ``inverse``, ``_oCi{i}_{j}`` (i <= j); ``_on, _oSy, _oQyy`` and other columns stay.
+
+    ``active[j]`` (SQL boolean) switches regressor j off: ``b_j = 0`` and the others
+    solve the reduced system exactly -- many models from one set of
+    sums. ``intercept=False`` uses the uncentred moments."""
+    if rel.dialect != "spark":
+        rel = rel.stages(_staged_solve(k, rel.dialect, active, intercept, inverse))
+        return rel.stages(_staged_ssr(k, rel.dialect, intercept)).drop(_scratch(k))
+    n = k + 1
+    rel = packed_system(rel, k, active, intercept).replace([f"{P}A"], [(f"{P}W", swept(f"{P}A", k, n))])
+    found = [(f"{P}b{j}", f"{P}W[{j * n + k}]") for j in range(k)] + [(f"{P}ssr", f"greatest({P}W[{n * n - 1}], 0D)")]
+    if inverse:
+        found += [(f"{P}Ci{i}_{j}", f"-{P}W[{i * n + j}]") for i in range(k) for j in range(i, k)]
+    return rel.replace([f"{P}W"], found)
+
+
+def _staged_solve(k: int, dialect: str, active: Sequence[str] | None, intercept: bool | str, inverse: bool):
+    """Cholesky stages over named columns (the oracle's form of ``solve``)."""
+    entry, means, alpha = _centred(k, dialect, intercept)
     on = (lambda j: f"({active[j]})") if active is not None else (lambda j: "TRUE")
-    ic = _icpt(intercept)
     cen = []
     for i in range(k):
-        cen.append((f"{P}tb{i}", f"CASE WHEN {ic} THEN {div(f'{P}S{i}', n, dialect)} ELSE 0.0 END"))
-        ci = f"{P}Qy{i} - CASE WHEN {ic} THEN {div(f'{P}S{i} * {P}Sy', n, dialect)} ELSE 0.0 END"
-        cen.append((f"{P}c{i}", f"CASE WHEN {on(i)} THEN {ci} ELSE 0.0 END"))
+        cen.append((f"{P}tb{i}", means[i]))
+        cen.append((f"{P}c{i}", f"CASE WHEN {on(i)} THEN {entry[k, i]} ELSE 0.0 END"))
         for j in range(i + 1):
-            cij = f"{P}Q{i}_{j} - CASE WHEN {ic} THEN {div(f'{P}S{i} * {P}S{j}', n, dialect)} ELSE 0.0 END"
             other = "1.0" if i == j else "0.0"
-            cen.append((f"{P}C{i}_{j}", f"CASE WHEN {on(i)} AND {on(j)} THEN {cij} ELSE {other} END"))
-    cen.append((f"{P}alpha", f"CASE WHEN {ic} THEN {div(f'{P}Sy', n, dialect)} ELSE 0.0 END"))
+            cen.append((f"{P}C{i}_{j}", f"CASE WHEN {on(i)} AND {on(j)} THEN {entry[i, j]} ELSE {other} END"))
+    cen.append((f"{P}alpha", alpha))
     C = lambda i, j: f"{P}C{max(i, j)}_{min(i, j)}"
-    stages = [cen]
-    stages += cholesky_solve_stages(C, lambda i: f"{P}c{i}", k, P, lambda i: f"{P}b{i}", dialect,
-                                    (lambda i, j: f"{P}Ci{i}_{j}") if with_inverse or inverse_of is not None else None,
-                                    None if inverse_of is None else [(inverse_of, inverse_of)])
-    return stages
-
-
-def solve_scratch(k: int, with_inverse: bool = False, sums: bool = True) -> list[str]:
-    """Names a solve leaves behind that later steps never read."""
-    names = [f"{P}L_{i}_{j}" for i in range(k) for j in range(i + 1)]
-    names += [f"{P}M_{i}_{j}" for i in range(k) for j in range(i + 1)]
-    names += [f"{P}z_{i}" for i in range(k)]
-    names += [f"{P}C{i}_{j}" for i in range(k) for j in range(i + 1)]
-    if sums:
-        names += [f"{P}Q{i}_{j}" for i in range(k) for j in range(i + 1)] + [f"{P}Qy{i}" for i in range(k)]
-    return names
-
+    return [cen] + cholesky_solve_stages(C, lambda i: f"{P}c{i}", k, P, lambda i: f"{P}b{i}", dialect,
+                                         (lambda i, j: f"{P}Ci{i}_{j}") if inverse else None)
 
-def _icpt(intercept: bool | str) -> str:
-    if isinstance(intercept, str):
-        return f"({intercept})"
-    return "TRUE" if intercept else "FALSE"
 
-
-def ssr_from_sums(k: int, dialect: str, intercept: bool | str = True) -> list:
-    """Residual sum of squares of the solved system: ``Syy - b'c``."""
-    syy = f"{P}Qyy - CASE WHEN {_icpt(intercept)} THEN {div(f'{P}Sy * {P}Sy', f'{P}n', dialect)} ELSE 0.0 END"
+def _staged_ssr(k: int, dialect: str, intercept: bool | str) -> list:
+    syy = _centred(k, dialect, intercept)[0][k, k]
     bc = " + ".join(f"{P}b{j} * {P}c{j}" for j in range(k)) or "0.0"
     return [[(f"{P}ssr", f"greatest(({syy}) - ({bc}), 0.0)")]]
 
 
+def _scratch(k: int) -> list[str]:
+    """Names a staged solve leaves behind that later steps never read."""
+    names = [f"{P}{c}_{i}_{j}" for c in "LM" for i in range(k) for j in range(i + 1)]
+    names += [f"{P}{c}{i}_{j}" for c in "CQ" for i in range(k) for j in range(i + 1)]
+    return names + [f"{P}{c}{i}" for c in ("z_", "Qy", "S", "c") for i in range(k)]
+
+
 def solution_columns(k: int) -> list[str]:
     """Columns of a solved system that a prediction needs."""
     return [f"{P}alpha"] + [f"{P}{nm}{j}" for j in range(k) for nm in ("b", "tb")]
@@ -185,7 +215,7 @@ def backtest_predictions(rel, keys: Sequence[str], y: str, xs: Sequence[str], n_
     frame = win(keys, "seg", "RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
     g = g.select([(c, c) for c in keys] + [("seg", "seg")] + [(n, f"sum({n}) {frame}") for n, _ in sum_exprs(k)])
     g = g.filter(f"seg >= 0 AND {P}n >= {int(min_train)}")
-    g = g.stages(solve_from_sums(k, d))
+    g = solve(g, k)
     g = g.select([(c, c) for c in keys] + [("seg", "seg")] + [(c, c) for c in solution_columns(k)])
     r = r.filter("seg >= 0").join(g, list(keys) + ["seg"])
     cols = [(c, c) for c in keys] + [("model", f"'{model}'"), ("fold_idx", "CAST(seg AS INT)"),
@@ -229,7 +259,7 @@ def fit(rel, keys: Sequence[str], y: str, xs: Sequence[str], hac_lags: int = 6,
     first = "first" if d == "spark" else "any_value"
     scale = [f"{P}my"] + [f"{P}{nm}{j}" for j in range(k) for nm in ("mx", "sx")]
     solved = r.group(list(keys), sum_exprs(k) + [(c, f"{first}({c})") for c in scale])
-    solved = solved.stages(solve_from_sums(k, d, with_inverse=True)).drop(solve_scratch(k, True, sums=False)).share()
+    solved = solve(solved, k, inverse=True).drop([f"{P}ssr"]).share()
     r = _pick(r, list(keys) + ["period", f"{P}ty"] + [f"{P}t{j}" for j in range(k)]).join(
         _pick(solved, list(keys) + solution_columns(k)), list(keys))
     resid = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(k)) or "0.0"
