@@ -90,6 +90,20 @@ def impute(df: DataFrame, keys, value_cols: Sequence[str], threshold_pct: float
     return out
 
 
+def check_schema(df: DataFrame, required: Sequence[str], period_col: str = PERIOD) -> None:
+    """Raises one ``DataQualityError`` with everything wrong with the schema: missing columns, a period that
+    is no date or time. Runs on the plan, before any column is selected."""
+    kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    errors = []
+    if kinds.get(period_col) not in ("date", "timestamp", "timestamp_ntz"):
+        errors.append(f"Index '{period_col}' must be a date or time, found {kinds.get(period_col, 'no such column')}.")
+    missing = [c for c in required if c not in kinds]
+    if missing:
+        errors.append(f"Missing required columns: {missing}")
+    if errors:
+        raise DataQualityError("Data quality validation failed:\n" + "\n".join(errors))
+
+
 def validate(df: DataFrame, keys, required: Sequence[str] = (), min_obs: int = 36,
              positive: Sequence[str] = (), ranges: Mapping[str, tuple[float, float]] | None = None,
              nonnegative: Sequence[str] = ()) -> DataFrame:

@@ -3,9 +3,9 @@
 The reference trains a recurrent network on sliding windows. Here the
 windows are built with window functions (bounded frames of ``L`` rows, so
 an array never grows with the series), flattened to a feature vector and
-fitted by a pooled Spark ML regressor with a chronological validation
-tail (``validationIndicatorCol``) for early stopping. The neural network
-itself is not rebuilt.
+fitted by pooled boosted trees. A chronological validation tail gives an error
+per round: training stops after ``patience`` rounds without gain and keeps the best
+round. The neural network itself is not rebuilt.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.operators.calendar import PERIOD, _keys, series_window
+from panelcast.operators.parallel import side_by_side
+from panelcast.session import ensure_checkpoint_dir
 
 
 def lag_window(cols: Sequence[str], keys, L: int, include_current: bool = False,
@@ -92,59 +94,106 @@ def time_split(df: DataFrame, keys, fraction: float = 0.15, period_col: str = PE
     return df.withColumn(name, F.row_number().over(w) > n - n_val)
 
 
+def best_round(errors: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Place of the least error before ``patience`` rounds in a row brought no gain, and whether they did."""
+    best = 0
+    for at, e in enumerate(errors):
+        if e < errors[best] or errors[best] != errors[best]:
+            best = at
+        elif at - best >= patience:
+            return best, True
+    return best, False
+
+
+def boost(train: DataFrame, max_iter: int = 200, patience: int = 10, step: int = 25, seed: int = 42, depth: int = 3, rate: float = 0.1):
+    """Boosted trees on ``features, label`` where not ``is_validation``, as many rounds as serve the validation rows.
+
+    Rounds are trained in growing steps; each step's model gives the validation error after every
+    round. Rounds are deterministic, so the fit cut at the best round is that round's model."""
+    fit_on, held = train.filter(~F.col("is_validation")), train.filter("is_validation")
+
+    def fitted(rounds: int):
+        return GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=rate, seed=seed).fit(fit_on.select("features", "label"))
+
+    rounds = min(step, max_iter)
+    while True:
+        model = fitted(rounds)
+        best, stopped = best_round(model.evaluateEachIteration(held.select("features", "label"), "squared"), patience)
+        if stopped or rounds >= max_iter:
+            return model if best + 1 == rounds else fitted(best + 1)
+        rounds = min(2 * rounds, max_iter)
+
+
 def sequence_backtest(df: DataFrame, keys, target: str, feature_cols: Sequence[str], n_folds: int = 5,
                       horizon: int = 6, lookback: int = 12, val_fraction: float = 0.15, max_iter: int = 200,
-                      tol: float = 1e-6, seed: int = 42, model_name: str = "sequence",
-                      period_col: str = PERIOD) -> DataFrame:
+                      patience: int = 10, seed: int = 42, model_name: str = "sequence", min_train: int = 10,
+                      period_col: str = PERIOD, parallelism: int = 4) -> DataFrame:
     """Rolling-origin backtest of the window regressor (pooled over series).
 
     Per fold: features min-max scaled per series on the training rows;
     windows of ``lookback`` rows ending at t-1 (for training *and* scoring);
-    the last ``val_fraction`` of each series' training windows validate the
-    boosting for early stopping. Series with fewer than ``lookback + 2``
-    training rows are not fitted and predict 0.0.
+    the last ``val_fraction`` of each series' training windows tell when to stop
+    (``boost``). Series with fewer than ``min_train`` training rows are not in the fold; those with
+    fewer than ``lookback + 2`` are not fitted and predict 0.0. Folds are fitted side by side.
     """
     from panelcast.operators.trees import positioned
     k = _keys(keys)
     K = int(n_folds)
     cols = [target, *feature_cols]
-    rows = positioned(df, k, target, feature_cols, K, horizon, period_col).filter(F.col("ok")).cache()
-    preds = []
-    for f in range(K):
-        fold = rows.filter(F.col("seg") <= f)
-        stats = minmax_fit(fold, k, cols, F.col("seg") < f)
-        sc = minmax_apply(fold, stats, k, cols)
+    rows = positioned(df, k, target, feature_cols, K, horizon, period_col).filter(F.col("ok"))
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = rows.select(*dict.fromkeys([*k, period_col, "seg", *cols])).checkpoint()  # read by every fold
+    whole = Window.partitionBy(*k) if k else Window.partitionBy()
+
+    def fold(f: int) -> DataFrame:
+        mine = (rows.filter(F.col("seg") <= f).withColumn("_rows", F.count_if(F.col("seg") < f).over(whole))
+                .filter(F.col("_rows") >= min_train))
+        stats = minmax_fit(mine, k, cols, F.col("seg") < f)
+        sc = minmax_apply(mine, stats, k, cols)
         scols = [f"{c}_scaled" for c in cols]
-        win = sc.select(*k, period_col, "seg", flatten_window(lag_window(scols, k, lookback), scols).alias("x"),
+        win = sc.select(*k, period_col, "seg", "_rows", flatten_window(lag_window(scols, k, lookback), scols).alias("x"),
                         F.col(f"{target}_scaled").alias("label"))
         win = win.filter((F.size("x") == lookback * len(scols)) & F.forall("x", lambda v: v.isNotNull()))
+        win = win.withColumn("features", array_to_vector("x"))
         train = time_split(win.filter(F.col("seg") < f), k, val_fraction)
-        n_train = train.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
-        train = train.join(n_train.filter(F.col("_n") >= 2), on=k, how="left_semi")
-        train = train.withColumn("features", array_to_vector("x"))
-        test = win.filter(F.col("seg") == f).withColumn("features", array_to_vector("x"))
-        gbt = GBTRegressor(maxIter=max_iter, maxDepth=3, stepSize=0.1, seed=seed,
-                           validationIndicatorCol="is_validation", validationTol=tol)
-        model = gbt.fit(train.select("features", "label", "is_validation"))
-        p = model.transform(test).join(stats, on=k, how="left")
-        fitted = rows.filter(F.col("seg") < f).groupBy(*k).agg(F.count(F.lit(1)).alias("_rows"))
-        p = p.join(fitted, on=k, how="left")
+        train = train.withColumn("_n", F.count(F.lit(1)).over(whole)).filter(F.col("_n") >= 2)
+        model = boost(train.select("features", "label", "is_validation"), max_iter, patience, seed=seed)
+        p = model.transform(win.filter(F.col("seg") == f)).join(stats, on=k, how="left")
         yhat = F.when(F.col("_rows") >= lookback + 2,
                       F.col("prediction") * (F.col(f"{target}__max") - F.col(f"{target}__min")) + F.col(f"{target}__min"))
-        truth = rows.filter(F.col("seg") == f).select(*k, period_col, F.col(target).alias("y_true"))
+        truth = mine.filter(F.col("seg") == f).select(*k, period_col, F.col(target).alias("y_true"))
         out = truth.join(p.select(*k, period_col, yhat.alias("_yhat")), on=k + [period_col], how="left")
-        preds.append(out.select(*k, F.lit(model_name).alias("model"), F.lit(f).alias("fold_idx"), period_col,
-                                "y_true", F.coalesce(F.col("_yhat"), F.lit(0.0)).alias("y_pred")))
+        return out.select(*k, F.lit(model_name).alias("model"), F.lit(f).alias("fold_idx"), period_col,
+                          "y_true", F.coalesce(F.col("_yhat"), F.lit(0.0)).alias("y_pred"))
+
+    preds = side_by_side(df.sparkSession, [lambda f=f: fold(f) for f in range(K)], parallelism)
     res = preds[0]
     for p in preds[1:]:
         res = res.unionByName(p)
     return res
 
 
-def sequence_forecast(df: DataFrame, keys, target: str, feature_cols: Sequence[str], h: int = 12, freq: str = "month",
-                      lookback: int = 12, val_fraction: float = 0.15, max_iter: int = 200, tol: float = 1e-6,
-                      seed: int = 42, period_col: str = PERIOD, checkpoint_every: int = 4) -> DataFrame:
-    """Final fit on all rows and a recursive forecast: the window moves on by the
+def _scaled(df: DataFrame, keys, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    clean = df.na.drop(subset=list(cols))
+    stats = minmax_fit(clean, keys, cols)
+    return minmax_apply(clean, stats, keys, cols), stats
+
+
+def sequence_fit(df: DataFrame, keys, target: str, feature_cols: Sequence[str], lookback: int = 12, val_fraction: float = 0.15,
+                 max_iter: int = 200, patience: int = 10, seed: int = 42, period_col: str = PERIOD):
+    """Final fit on all complete rows; the fitted Spark ML model."""
+    k = _keys(keys)
+    cols = [target, *feature_cols]
+    scols = [f"{c}_scaled" for c in cols]
+    win = _scaled(df, k, cols)[0].select(*k, period_col, flatten_window(lag_window(scols, k, lookback), scols).alias("x"),
+                                         F.col(f"{target}_scaled").alias("label")).filter(F.size("x") == lookback * len(scols))
+    train = time_split(win, k, val_fraction, period_col).withColumn("features", array_to_vector("x"))
+    return boost(train.select("features", "label", "is_validation"), max_iter, patience, seed=seed)
+
+
+def sequence_forecast(df: DataFrame, keys, target: str, feature_cols: Sequence[str], model, h: int = 12, freq: str = "month",
+                      lookback: int = 12, period_col: str = PERIOD, checkpoint_every: int = 4) -> DataFrame:
+    """Recursive forecast of a fitted model: the window moves on by the
     prediction, the other features are held at their last values.
 
     Series with fewer than ``lookback + 2`` rows get no forecast."""
@@ -153,14 +202,7 @@ def sequence_forecast(df: DataFrame, keys, target: str, feature_cols: Sequence[s
     k = _keys(keys)
     cols = [target, *feature_cols]
     scols = [f"{c}_scaled" for c in cols]
-    clean = df.na.drop(subset=cols)
-    stats = minmax_fit(clean, k, cols)
-    sc = minmax_apply(clean, stats, k, cols)
-    win = sc.select(*k, period_col, flatten_window(lag_window(scols, k, lookback), scols).alias("x"),
-                    F.col(f"{target}_scaled").alias("label")).filter(F.size("x") == lookback * len(scols))
-    train = time_split(win, k, val_fraction).withColumn("features", array_to_vector("x"))
-    model = GBTRegressor(maxIter=max_iter, maxDepth=3, stepSize=0.1, seed=seed, validationIndicatorCol="is_validation",
-                         validationTol=tol).fit(train.select("features", "label", "is_validation"))
+    sc, stats = _scaled(df, k, cols)
     w = series_window(k, period_col)
     last = (sc.withColumn("x", flatten_window(lag_window(scols, k, lookback, True, period_col), scols))
             .withColumn("_n", F.row_number().over(w)).groupBy(*k)

@@ -10,7 +10,7 @@ the same rolling-origin positions as for the linear models.
   reference's search space (or the caller's), scored by mean squared error on expanding
   time-series splits *inside* the training window (per-series positions;
   ``CrossValidator.foldCol`` is not used because it would train on later
-  data), then the best is refit on the whole window.
+  data), then the best is refit on the whole window. Trials and splits run side by side.
 * Scoring: missing features are forward-filled within the series, then 0.
 """
 
@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.operators.calendar import PERIOD, _keys, series_window
+from panelcast.operators.parallel import side_by_side
+from panelcast.session import ensure_checkpoint_dir
 
 # The reference's search spaces.
 GBT_SPACE = {
@@ -101,73 +103,86 @@ def positioned(df: DataFrame, keys, target: str, feature_cols: Sequence[str], n_
                .filter(F.col("n_rows") >= (K + 1) * h))
 
 
-def _search(train: DataFrame, keys, variant: str, trials: list[dict], cv_splits: int, seed: int) -> dict:
+SERIES_LEVEL = "series_level"
+
+
+def with_series_level(rows: DataFrame, train: DataFrame, keys, label: str) -> DataFrame:
+    """Adds the series' mean label over the training rows: how a pooled model knows the series."""
+    k = _keys(keys)
+    return rows.join(train.groupBy(*k).agg(F.avg(label).alias(SERIES_LEVEL)), on=k, how="left")
+
+
+def _ready(rows: DataFrame, train: DataFrame, keys, feature_cols: Sequence[str], *kept: str) -> DataFrame:
+    """Feature vectors of ``rows``; the series level comes from ``train`` alone."""
+    va = VectorAssembler(inputCols=[*feature_cols, SERIES_LEVEL], outputCol="features", handleInvalid="keep")
+    return va.transform(with_series_level(rows, train, keys, "label")).select("features", "label", *kept)
+
+
+def _search(rows: DataFrame, keys, feature_cols: Sequence[str], variant: str, trials: list[dict], cv_splits: int, seed: int,
+            parallelism: int, period_col: str = PERIOD) -> dict:
     """Best trial by mean MSE over expanding splits of the training rows.
 
     Split i of ``cv_splits`` (per series, by complete-row position ``r`` of
     ``m`` rows, test size ``m // (cv_splits + 1)``) trains on
-    ``r < m - (cv_splits - i) * size`` and tests the next ``size`` rows.
-    """
+    ``r < m - (cv_splits - i) * size`` and tests the next ``size`` rows; the series
+    level is that of the split's own training rows. A split's vectors are made once and
+    shared by all trials; trials x splits fits run side by side, ``parallelism`` at a time."""
     k = _keys(keys)
-    w = series_window(k)
     whole = Window.partitionBy(*k) if k else Window.partitionBy()
-    t = train.withColumns({"_r": F.row_number().over(w) - 1, "_m": F.count(F.lit(1)).over(whole)})
-    t = t.withColumn("_sz", F.floor(F.col("_m") / (cv_splits + 1))).cache()
+    t = rows.withColumns({"_r": F.row_number().over(series_window(k, period_col)) - 1, "_m": F.count(F.lit(1)).over(whole)})
+    t = t.withColumn("_sz", F.floor(F.col("_m") / (cv_splits + 1)))
+    splits = []
+    for i in range(cv_splits):
+        edge = F.col("_m") - F.lit(cv_splits - i) * F.col("_sz")
+        part = t.filter(F.col("_r") < edge + F.col("_sz")).withColumn("_test", F.col("_r") >= edge)
+        splits.append(_ready(part, part.filter(~F.col("_test")), k, feature_cols, "_test").persist())
+
+    def score(params: dict, split: DataFrame) -> float | None:
+        model = make_estimator(variant, params, seed).fit(split.filter(~F.col("_test")))
+        return model.transform(split.filter("_test")).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
+
+    try:
+        jobs = [lambda p=p, x=x: score(p, x) for p in trials for x in splits]
+        scores = side_by_side(rows.sparkSession, jobs, parallelism)
+    finally:
+        for x in splits:
+            x.unpersist()
     best, best_mse = trials[0], float("inf")
-    for params in trials:
-        mses = []
-        for i in range(cv_splits):
-            edge = F.col("_m") - F.lit(cv_splits - i) * F.col("_sz")
-            tr = t.filter(F.col("_r") < edge)
-            te = t.filter((F.col("_r") >= edge) & (F.col("_r") < edge + F.col("_sz")))
-            model = make_estimator(variant, params, seed).fit(tr)
-            mse = model.transform(te).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
-            if mse is not None:
-                mses.append(mse)
-        score = sum(mses) / len(mses) if mses else float("inf")
-        if score < best_mse:  # strict: the earlier trial wins ties
-            best, best_mse = params, score
-    t.unpersist()
+    for n, params in enumerate(trials):
+        mses = [m for m in scores[n * cv_splits:(n + 1) * cv_splits] if m is not None]
+        mean = sum(mses) / len(mses) if mses else float("inf")
+        if mean < best_mse:  # strict: the earlier trial wins ties
+            best, best_mse = params, mean
     return best
 
 
-SERIES_LEVEL = "series_level"
-
-
-def with_series_level(rows: DataFrame, train: DataFrame, keys, label: str) -> DataFrame:
-    """Adds the series' mean label over the training rows: how a pooled model knows the series."""
-    k = _keys(keys)
-    return rows.join(train.groupBy(*k).agg(F.avg(label).alias(SERIES_LEVEL)), on=k, how="left")
-
-
 def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[str], n_folds: int = 5,
                       horizon: int = 6, variant: str = "gbt", n_trials: int = 20, cv_splits: int = 3,
                       seed: int = 42, min_train: int = 10, model_name: str = "GradientBoosting",
-                      space: Mapping | None = None, period_col: str = PERIOD):
+                      space: Mapping | None = None, period_col: str = PERIOD, parallelism: int = 4):
     """Rolling-origin backtest of a tree ensemble, searched anew in every fold.
 
     Returns ``(predictions, params)``; predictions are ``(keys, model,
-    fold_idx, period, y_true, y_pred)``, ``params`` the last fold's winner
-    (the refit's parameters). ``n_trials``, ``cv_splits`` and ``space`` size the search.
+    fold_idx, period, y_true, y_pred)``, ``params`` the last fold's winner (the refit
+    searches on all rows: ``search``). ``n_trials``, ``cv_splits`` and ``space`` size the search.
     """
     k = _keys(keys)
     K = int(n_folds)
-    cols = [*feature_cols, SERIES_LEVEL]
     rows = positioned(df, k, target, feature_cols, K, horizon, period_col)
     rows = rows.withColumn("label", F.col(target).cast("double")).filter(F.col("ok"))
-    rows = rows.select(*dict.fromkeys([*k, period_col, "seg", "label", *feature_cols])).persist()
-    va = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
+    rows = rows.select(*dict.fromkeys([*k, period_col, "seg", "label", *feature_cols]))
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = rows.checkpoint()  # read by every fit
     trials = sample_trials(variant, n_trials, seed, space)
     params, preds = trials[0], []
     for f in range(K):
         train = rows.filter(F.col("seg") < f)
         cnt = train.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_train).select(*k)
         train = train.join(cnt, on=k, how="left_semi")
-        both = va.transform(with_series_level(rows.filter(F.col("seg") <= f).join(cnt, on=k, how="left_semi"), train, k, "label"))
-        both = both.select(*k, period_col, "seg", "features", "label")
-        fit_on = both.filter(F.col("seg") < f)
-        params = _search(fit_on, k, variant, trials, cv_splits, seed) if len(trials) > 1 else trials[0]
-        model = make_estimator(variant, params, seed).fit(fit_on)
+        params = _search(train, k, feature_cols, variant, trials, cv_splits, seed, parallelism, period_col) if len(trials) > 1 else trials[0]
+        upto = rows.filter(F.col("seg") <= f).join(cnt, on=k, how="left_semi")
+        both = _ready(upto, train, k, feature_cols, *k, period_col, "seg")
+        model = make_estimator(variant, params, seed).fit(both.filter(F.col("seg") < f))
         preds.append(model.transform(both.filter(F.col("seg") == f)).select(
             *k, F.lit(model_name).alias("model"), F.lit(f).alias("fold_idx"), period_col, F.col("label").alias("y_true"),
             F.col("prediction").alias("y_pred")))
@@ -177,24 +192,29 @@ def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[s
     return out, params
 
 
+def _labelled(df: DataFrame, keys, target: str, feature_cols: Sequence[str], *kept: str) -> DataFrame:
+    """The complete rows with their label."""
+    rows = df.filter(_complete([target, *feature_cols])).withColumn("label", F.col(target).cast("double"))
+    return rows.select(*dict.fromkeys([*_keys(keys), *kept, "label", *feature_cols]))
+
+
 def search(df: DataFrame, keys, target: str, feature_cols: Sequence[str], variant: str = "gbt", n_trials: int = 20,
-           cv_splits: int = 3, seed: int = 42, space: Mapping | None = None, period_col: str = PERIOD) -> dict:
+           cv_splits: int = 3, seed: int = 42, space: Mapping | None = None, period_col: str = PERIOD, parallelism: int = 4) -> dict:
     """The search on every complete row: the final fit's parameters."""
-    k = _keys(keys)
-    rows = df.filter(_complete([target, *feature_cols])).withColumn("label", F.col(target).cast("double"))
-    va = VectorAssembler(inputCols=[*feature_cols, SERIES_LEVEL], outputCol="features")
-    ready = va.transform(with_series_level(rows, rows, k, "label")).select(*k, period_col, "features", "label")
     trials = sample_trials(variant, n_trials, seed, space)
-    return _search(ready, k, variant, trials, cv_splits, seed) if len(trials) > 1 else trials[0]
+    if len(trials) == 1:
+        return trials[0]
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = _labelled(df, keys, target, feature_cols, period_col).checkpoint()
+    return _search(rows, keys, feature_cols, variant, trials, cv_splits, seed, parallelism, period_col)
 
 
 def fit_full(df: DataFrame, keys, target: str, feature_cols: Sequence[str], params: Mapping,
              variant: str = "gbt", seed: int = 42):
     """Fit on every complete row (final model). Returns the fitted model; its
     features are ``feature_cols`` and the series' level."""
-    rows = df.filter(_complete([target, *feature_cols])).withColumn("label", F.col(target).cast("double"))
-    va = VectorAssembler(inputCols=[*feature_cols, SERIES_LEVEL], outputCol="features")
-    return make_estimator(variant, params, seed).fit(va.transform(with_series_level(rows, rows, keys, "label")).select("features", "label"))
+    rows = _labelled(df, keys, target, feature_cols)
+    return make_estimator(variant, params, seed).fit(_ready(rows, rows, keys, feature_cols))
 
 
 def forecast_state(df: DataFrame, keys, target: str, feature_cols: Sequence[str], max_lag: int) -> DataFrame:

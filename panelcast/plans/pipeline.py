@@ -8,28 +8,32 @@
 A panel without keys is one series: it gets a constant key on entry, which is
 dropped again on exit. The final forecast is chosen per series by joining on its
 best model; a series whose forecast is missing or NULL falls back to the last
-observed value. A model that fails is left out (with a warning); the run fails
-only when none is left. Only the small per-series tables are joined; the
-feature table is built once and checkpointed.
+observed value. A model that fails is left out and listed; the run fails
+only when none is left. Only the small per-series tables are joined. Every table is
+written once (``store``) and read by the later steps, by ``report`` and by the caller.
 """
 
 from __future__ import annotations
 
+import json
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
+from pyspark.errors import AnalysisException, ArithmeticException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelcast.functions.dual import SparkRel
-from panelcast.operators import arma, ols
+from panelcast.operators import ols
 from panelcast.operators import report as R
 from panelcast.operators.calendar import date_range_filter, fill_spine
 from panelcast.operators.evaluate import fold_summary, metrics, select_best
 from panelcast.operators.features import build_features
-from panelcast.operators.forecast import lag_index, last_rows, last_values, naive_forecast, recursive_linear_forecast
-from panelcast.operators.quality import impute, validate
+from panelcast.operators.forecast import naive_forecast
+from panelcast.operators.quality import check_schema, impute, validate, validate_strict
+from panelcast.plans.forecasters import FORECASTERS, Forecaster
+from panelcast.plans.store import RunStore, StoredRun
 from panelcast.sources.io import coerce_numeric
 
 log = logging.getLogger(__name__)
@@ -72,6 +76,7 @@ class RunConfig:
     sequence_rounds: int = 200
     seed: int = 42
     min_train: int = 10
+    parallelism: int = 4  # fits of a search or of the folds that run side by side
 
     def feature_columns(self) -> list[str]:
         cols = [self.level_col, *self.exog]
@@ -86,8 +91,10 @@ class RunConfig:
 
 
 def load(panel: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Numeric values, date range, regular calendar, imputation."""
+    """Numeric values, date range, regular calendar, imputation; ``DataQualityError`` if a column is missing
+    or the period is no date or time."""
     values = [cfg.level_col, *cfg.exog]
+    check_schema(panel, [*cfg.keys, *values])
     out = coerce_numeric(panel.select(*cfg.keys, "period", *values), values)
     out = date_range_filter(out, cfg.start, cfg.end)
     out = fill_spine(out, cfg.keys, cfg.freq)
@@ -97,10 +104,12 @@ def load(panel: DataFrame, cfg: RunConfig) -> DataFrame:
 def prepare(panel: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
     """Cleaned panel and feature table."""
     clean = load(panel, cfg)
-    feats = build_features(clean, cfg.keys, cfg.level_col, cfg.target, cfg.exog, max_lag=cfg.max_lag,
-                           windows=cfg.windows, use_differencing=cfg.use_differencing,
-                           change_periods=cfg.change_periods)
-    return clean, feats
+    return clean, features(clean, cfg)
+
+
+def features(clean: DataFrame, cfg: RunConfig) -> DataFrame:
+    return build_features(clean, cfg.keys, cfg.level_col, cfg.target, cfg.exog, max_lag=cfg.max_lag, windows=cfg.windows,
+                          use_differencing=cfg.use_differencing, change_periods=cfg.change_periods)
 
 
 def row_counts(panel: DataFrame, clean: DataFrame, feats: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -114,114 +123,42 @@ def row_counts(panel: DataFrame, clean: DataFrame, feats: DataFrame, cfg: RunCon
     return out.withColumns(filled).withColumn("rows_dropped", F.col("rows_on_calendar") - F.col("rows_with_features"))
 
 
-# --- models: name -> how to backtest, and how to forecast with what the backtest found -----------
-
-
-def _ols_backtest(feats, cfg):
-    return ols.backtest_predictions(SparkRel(feats), cfg.keys, cfg.target, cfg.regressors, cfg.n_folds, cfg.horizon,
-                                    complete_cols=cfg.feature_columns(), min_train=cfg.min_train, model="OLS").df, None
-
-
-def _arima_backtest(feats, cfg):
-    return arma.backtest_predictions(SparkRel(feats), cfg.keys, cfg.target, cfg.n_folds, cfg.horizon,
-                                     complete_cols=cfg.feature_columns(), min_train=cfg.min_train, model="ARIMA").df, None
-
-
-def _naive_backtest(feats, cfg):
-    return ols.naive_backtest_predictions(SparkRel(feats), cfg.keys, cfg.target, cfg.n_folds, cfg.horizon,
-                                          complete_cols=cfg.feature_columns(), min_train=cfg.min_train).df, None
-
-
-def _tree_backtest(feats, cfg):
-    from panelcast.operators.trees import fit_predict_folds
-
-    return fit_predict_folds(feats, cfg.keys, cfg.target, cfg.feature_columns(), cfg.n_folds, cfg.horizon, "gbt",
-                             n_trials=cfg.n_trials, cv_splits=cfg.cv_splits, seed=cfg.seed, min_train=cfg.min_train,
-                             model_name="GradientBoosting", space=cfg.search_space)
-
-
-def _sequence_backtest(feats, cfg):
-    from panelcast.operators.sequence import sequence_backtest
-
-    return sequence_backtest(feats, cfg.keys, cfg.target, cfg.feature_columns(), cfg.n_folds, cfg.horizon, cfg.lookback,
-                             max_iter=cfg.sequence_rounds, seed=cfg.seed), None
-
-
-def _ols_forecast(feats, cfg, found):
-    k = cfg.keys
-    coefs = ols_fit(feats, cfg).select(*k, F.col("_obeta_const").alias("coef_const"),
-                                       *[F.col(f"_obeta{j}").alias(f"coef_{j}") for j in range(len(cfg.regressors))])
-    max_lag = max([lag_index(x, cfg.target) or 0 for x in cfg.regressors] + [1])
-    state = coefs.join(last_rows(feats, k, cfg.regressors), k).join(last_values(feats, k, cfg.target, max_lag), k)
-    return recursive_linear_forecast(state, k, cfg.target, cfg.regressors, [f"coef_{j}" for j in range(len(cfg.regressors))],
-                                     "coef_const", cfg.final_horizon, cfg.freq)
-
-
-def _arima_forecast(feats, cfg, found):
-    base = SparkRel(feats).filter(f"{cfg.target} IS NOT NULL")
-    fit = arma.hannan_rissanen(base, cfg.keys, cfg.target, arma.adf(base, cfg.keys, cfg.target))
-    return arma.forecast_rows(fit, cfg.keys, cfg.final_horizon, freq=cfg.freq).df
-
-
-def _naive_forecast(feats, cfg, found):
-    return naive_forecast(feats, cfg.keys, cfg.target, cfg.final_horizon, cfg.freq)
+#: What a model itself may fail with: bad input, an analysis or arithmetic error. Lost executors, a lost connection and
+#: aborted jobs are the run's failures, not a model's, and pass through.
+MODEL_ERRORS = (ValueError, ArithmeticError, LookupError, AnalysisException, ArithmeticException, IllegalArgumentException)
+_LEFT_OUT = "model string, stage string, reason string"
 
 
-def _tree_forecast(feats, cfg, params):
-    from panelcast.operators import trees
-    from panelcast.operators.forecast import recursive_model_forecast
+def _known(cfg: RunConfig, models: Mapping[str, Forecaster] | None) -> list[Forecaster]:
+    known = {**FORECASTERS, **(models or {})}
+    unknown = [m for m in cfg.models if m not in known]
+    if unknown:
+        raise ValueError(f"unknown models {unknown}")
+    return [known[m] for m in cfg.models]
 
-    cols = cfg.feature_columns()
-    model = trees.fit_full(feats, cfg.keys, cfg.target, cols, params, "gbt", cfg.seed)
-    state = trees.forecast_state(feats, cfg.keys, cfg.target, cols, cfg.max_lag)
-    return recursive_model_forecast(state, cfg.keys, cfg.target, [*cols, trees.SERIES_LEVEL], model, cfg.final_horizon, cfg.freq)
 
-
-def _sequence_forecast(feats, cfg, found):
-    from panelcast.operators.sequence import sequence_forecast
-
-    return sequence_forecast(feats, cfg.keys, cfg.target, cfg.feature_columns(), cfg.final_horizon, cfg.freq, cfg.lookback,
-                             max_iter=cfg.sequence_rounds, seed=cfg.seed)
-
-
-MODELS: dict[str, tuple[Callable, Callable]] = {
-    "OLS": (_ols_backtest, _ols_forecast),
-    "ARIMA": (_arima_backtest, _arima_forecast),
-    "GradientBoosting": (_tree_backtest, _tree_forecast),
-    "sequence": (_sequence_backtest, _sequence_forecast),
-    "naive": (_naive_backtest, _naive_forecast),
-}
-
-
-def ols_fit(feats: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Full-sample OLS on the rows with every feature present."""
-    return ols.fit(SparkRel(feats), cfg.keys, cfg.target, cfg.regressors, hac_lags=cfg.hac_lags,
-                   complete_cols=cfg.feature_columns()).df
-
-
-def backtest(feats: DataFrame, cfg: RunConfig, models: Mapping | None = None) -> tuple[DataFrame, dict]:
-    """Predictions of every configured model, and what each needs for its refit.
-
-    ``models`` adds to or replaces ``MODELS``: name -> (backtest, forecast)."""
-    known = {**MODELS, **(models or {})}
-    parts, found = [], {}
-    for m in cfg.models:
-        if m not in known:
-            raise ValueError(f"unknown model {m}")
+def backtest(feats: DataFrame, cfg: RunConfig, models: Mapping[str, Forecaster] | None, run_: StoredRun) -> tuple[DataFrame, list]:
+    """Predictions of every configured model, written model by model, and those that failed:
+    ``(model, stage, reason)``. ``models`` adds to or replaces the known forecasters."""
+    parts, left_out = [], []
+    for f in _known(cfg, models):
         try:
-            preds, found[m] = known[m][0](feats, cfg)
-            preds = preds.select(*cfg.keys, "model", "fold_idx", "period", "y_true", "y_pred").persist()
-            preds.count()
-            parts.append(preds)
-        except Exception as exc:  # noqa: BLE001  (one model's failure must not end the run)
-            found.pop(m, None)
-            log.warning("model %s failed in the backtest: %s", m, str(exc).splitlines()[0] if str(exc) else exc)
+            preds = f.backtest(feats, cfg).select(*cfg.keys, "model", "fold_idx", "period", "y_true", "y_pred")
+            parts.append(run_.write(f"backtest-{f.name}", preds))
+        except MODEL_ERRORS as exc:
+            left_out.append(_failure(f, "backtest", exc))
     if not parts:
-        raise RuntimeError("every model failed")
+        raise RuntimeError(f"every model failed: {left_out}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out, found
+    return out, left_out
+
+
+def _failure(f: Forecaster, stage: str, exc: Exception) -> tuple[str, str, str]:
+    reason = f"{type(exc).__name__}: {str(exc).strip().splitlines()[0] if str(exc).strip() else ''}"
+    log.warning("model %s failed in the %s: %s", f.name, stage, reason)
+    return f.name, stage, reason
 
 
 def leaderboard(preds: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -231,34 +168,39 @@ def leaderboard(preds: DataFrame, cfg: RunConfig) -> DataFrame:
     return s.withColumn("model_order", order[F.col("model")])
 
 
-def final_forecasts(feats: DataFrame, best: DataFrame, cfg: RunConfig, found: Mapping,
-                    models: Mapping | None = None) -> DataFrame:
-    """Forecast per series from its best model; only that model's series are forecast by it."""
-    known = {**MODELS, **(models or {})}
+def final_forecasts(feats: DataFrame, best: DataFrame, cfg: RunConfig, models: Mapping[str, Forecaster] | None,
+                    run_: StoredRun, failed: Sequence[str] = ()) -> tuple[DataFrame, list]:
+    """Forecast per series from its best model, fitted again on all rows, and the models that failed here.
+
+    A model that wins no series is not fitted; one that is not pooled is fitted on the series it wins.
+    The fitted models are kept with the run."""
     k = cfg.keys
     none = F.lit(None).cast("double")
-    picked = None
-    for m in found:
-        mine = best.filter(F.col("model") == m).select(*k)
-        own = feats.join(mine, on=k, how="left_semi") if m in ("OLS", "ARIMA", "naive") else feats  # pooled models fit on all
+    winners = {r.model for r in best.select("model").distinct().collect()}  # at most one row a model
+    picked, left_out = None, []
+    for f in _known(cfg, models):
+        if f.name not in winners or f.name in failed:
+            continue
+        mine = best.filter(F.col("model") == f.name).select(*k)
+        own = feats if f.pooled else feats.join(mine, on=k, how="left_semi")
         try:
-            part = known[m][1](own, cfg, found[m])
+            fitted = run_.models.save(f.name, f.fit(own, cfg))
+            part = f.forecast(own, cfg, fitted)
             part = part.select(*k, "step", "period", "yhat", *[(F.col(c) if c in part.columns else none).alias(c) for c in ("lo", "hi")],
-                               F.lit(m if m != "naive" else "last_value").alias("source")).join(mine, on=k, how="left_semi")
-        except Exception as exc:  # noqa: BLE001
-            log.warning("model %s failed in the final forecast: %s", m, exc)
+                               F.lit(f.name if f.name != "naive" else "last_value").alias("source")).join(mine, on=k, how="left_semi")
+            part = run_.write(f"forecast-{f.name}", part)
+        except MODEL_ERRORS as exc:
+            left_out.append(_failure(f, "forecast", exc))
             continue
         picked = part if picked is None else picked.unionByName(part)
     naive = naive_forecast(feats, k, cfg.target, cfg.final_horizon, cfg.freq).select(
         *k, "step", "period", "yhat", none.alias("lo"), none.alias("hi"), F.lit("last_value").alias("source"))
     if picked is None:
-        return naive
-    # series x horizon rows that are read three times below: cut the models' long plans here
-    picked = picked.checkpoint(eager=True)
+        return naive, left_out
     # a series with a missing or NULL (or infinite) step repeats its last value instead
     usable = F.col("yhat").isNotNull() & ~F.isnan("yhat") & (F.abs("yhat") < float("inf"))
     whole = picked.groupBy(*k).agg(F.count_if(usable).alias("_n")).filter(F.col("_n") == cfg.final_horizon).select(*k)
-    return picked.join(whole, on=k, how="left_semi").unionByName(naive.join(whole, on=k, how="left_anti"))
+    return picked.join(whole, on=k, how="left_semi").unionByName(naive.join(whole, on=k, how="left_anti")), left_out
 
 
 def evidence(spark: SparkSession, panel: DataFrame, feats: DataFrame, board: DataFrame, best: DataFrame,
@@ -298,7 +240,7 @@ def evidence(spark: SparkSession, panel: DataFrame, feats: DataFrame, board: Dat
                 .join(st, k, "left").join(fcv, k, "left"))
     formula = f"{t} ~ " + " + ".join(cfg.regressors)
     return ev.withColumns({
-        "data_source": F.lit(cfg.data_source), "n_features": F.lit(len(feats.columns)).cast("bigint"),
+        "data_source": F.lit(cfg.data_source), "n_features": F.lit(len(cfg.feature_columns())).cast("bigint"),
         "n_folds": F.lit(cfg.n_folds).cast("bigint"), "formula": F.lit(formula),
         "hac_lags": F.lit(cfg.hac_lags).cast("bigint"), "forecast_horizon": F.lit(cfg.final_horizon).cast("bigint"),
         "run_id": F.lit(meta["run_id"]), "timestamp": F.lit(meta["timestamp"]),
@@ -363,51 +305,62 @@ def _with_key(panel: DataFrame, cfg: RunConfig) -> tuple[DataFrame, RunConfig, b
     return panel.withColumn(ONE_SERIES, F.lit("all")), replace(cfg, keys=[ONE_SERIES]), True
 
 
-def run(spark: SparkSession, panel: DataFrame, cfg: RunConfig, strict: bool = False,
-        models: Mapping | None = None) -> dict[str, DataFrame]:
-    """Full pipeline; returns the named result tables.
+def run(spark: SparkSession, panel: DataFrame, cfg: RunConfig, strict: bool = True,
+        models: Mapping[str, Forecaster] | None = None, store: str | None = None) -> dict[str, DataFrame]:
+    """Full pipeline; returns the named result tables, each read from the run's files.
 
-    The feature table is checkpointed; the small per-series results
-    (predictions, leaderboard, best, forecast, fit) are persisted because
-    several outputs read them; ``release`` gives them back.
-    """
-    from panelcast.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(spark)
+    Every table is written once under the run's id (``out["manifest"]`` has it; ``store`` is the root, by default in the
+    checkpoint directory), so nothing is cached, lineage is cut at each step, and ``report`` can read the run later.
+    ``strict``: errors of the quality report end the run (``DataQualityError``); otherwise they stand in the ``quality`` table.
+    A model that fails is left out and listed in ``left_out``."""
     panel, cfg, single = _with_key(panel, cfg)
-    clean, feats = prepare(panel, cfg)
-    clean = clean.checkpoint(eager=True)
-    report = validate(clean, cfg.keys, required=[cfg.level_col, *cfg.exog], min_obs=cfg.min_obs,
-                      positive=[cfg.level_col] if cfg.positive is None else cfg.positive, ranges=cfg.ranges,
-                      nonnegative=cfg.nonnegative)
-    if strict:
-        from panelcast.operators.quality import validate_strict
-        validate_strict(report)
-    # a reliable checkpoint (spark.checkpoint.dir, a shared folder on a cluster) cuts the lineage
-    # so the backtests restart from it, not from the raw scan, after a loss
-    feats = build_features(clean, cfg.keys, cfg.level_col, cfg.target, cfg.exog, max_lag=cfg.max_lag, windows=cfg.windows,
-                           use_differencing=cfg.use_differencing, change_periods=cfg.change_periods).checkpoint(eager=True)
-    preds, found = backtest(feats, cfg, models)
-    board = leaderboard(preds, cfg).persist()
-    best = select_best(board, cfg.keys).checkpoint(eager=True)  # one row a series
-    fc = final_forecasts(feats, best, cfg, found, models).persist()
-    fit = ols_fit(feats, cfg).persist()
     meta = R.run_metadata(asdict(cfg))
-    ev = evidence(spark, clean, feats, board, best, fc, fit, cfg, meta)
-    coef = ols.coefficient_table(SparkRel(fit), cfg.keys, cfg.regressors, dp=10, robust=cfg.hac_lags > 0).df
-    out = {"quality": report, "row_counts": row_counts(panel, clean, feats, cfg), "features": feats, "predictions": preds,
-           "leaderboard": board, "best": best, "forecast": fc, "fit": fit, "residuals": R.residuals(feats, fit, cfg.keys, cfg.target, cfg.regressors), "evidence": ev,
-           "markdown": markdown(ev, coef, fc, board, cfg)}
-    return {name: df.drop(ONE_SERIES) for name, df in out.items()} if single else out
-
-
-def release(spark: SparkSession) -> None:
-    """Gives back everything a run persisted."""
-    spark.catalog.clearCache()
-
-
-def evaluate(spark: SparkSession, panel: DataFrame, cfg: RunConfig, models: Mapping | None = None) -> DataFrame:
-    """Backtest-only entry: the leaderboard (no refit, no report)."""
+    run_ = RunStore(spark, store).begin(meta["run_id"])
+    clean = run_.write("clean", load(panel, cfg))
+    quality = run_.write("quality", validate(clean, cfg.keys, required=[cfg.level_col, *cfg.exog], min_obs=cfg.min_obs,
+                                             positive=[cfg.level_col] if cfg.positive is None else cfg.positive, ranges=cfg.ranges,
+                                             nonnegative=cfg.nonnegative))
+    if strict:
+        validate_strict(quality)
+    feats = run_.write("features", features(clean, cfg))
+    run_.write("row_counts", row_counts(panel, clean, feats, cfg))
+    preds, left_out = backtest(feats, cfg, models, run_)
+    preds = run_.write("predictions", preds)
+    board = run_.write("leaderboard", leaderboard(preds, cfg))
+    best = run_.write("best", select_best(board, cfg.keys))
+    fc, also = final_forecasts(feats, best, cfg, models, run_, [m for m, _, _ in left_out])
+    fc = run_.write("forecast", fc)
+    run_.write("left_out", spark.createDataFrame([*left_out, *also], _LEFT_OUT).coalesce(1))
+    fit = run_.write("fit", FORECASTERS["OLS"].statistics(feats, cfg))
+    run_.write("residuals", R.residuals(feats, fit, cfg.keys, cfg.target, cfg.regressors))
+    run_.write("coefficients", ols.coefficient_table(SparkRel(fit), cfg.keys, cfg.regressors, dp=10, robust=cfg.hac_lags > 0).df)
+    run_.write("evidence", evidence(spark, clean, feats, board, best, fc, fit, cfg, meta))
+    run_.write("markdown", markdown(*(run_.table(t) for t in ("evidence", "coefficients", "forecast", "leaderboard")), cfg))
+    run_.finish(meta, asdict(cfg))
+    return _tables(run_, single)
+
+
+def _tables(run_: StoredRun, single: bool) -> dict[str, DataFrame]:
+    out = {name: run_.table(name) for name in run_.manifest["tables"]}
+    out = {name: df.drop(ONE_SERIES) for name, df in out.items()} if single else out
+    row = [tuple(run_.manifest[c] for c in ("run_id", "timestamp", "config_hash", "config"))]
+    return out | {"manifest": run_.spark.createDataFrame(row, "run_id string, timestamp string, config_hash string, config string")}
+
+
+def report(spark: SparkSession, run_id: str, store: str | None = None) -> DataFrame:
+    """The report text per series, made anew from what a finished run stored."""
+    run_ = RunStore(spark, store).open(run_id)
+    given = json.loads(run_.manifest["config"])
+    cfg = RunConfig(**{k: {c: tuple(v) for c, v in x.items()} if k == "ranges" else x for k, x in given.items()})
+    made = markdown(*(run_.table(t) for t in ("evidence", "coefficients", "forecast", "leaderboard")), cfg)
+    return made.drop(ONE_SERIES) if cfg.keys == [ONE_SERIES] else made
+
+
+def evaluate(spark: SparkSession, panel: DataFrame, cfg: RunConfig, models: Mapping[str, Forecaster] | None = None,
+             store: str | None = None) -> DataFrame:
+    """Backtest-only entry: the leaderboard (no refit, no report), read from the evaluation's files."""
     panel, cfg, single = _with_key(panel, cfg)
-    board = leaderboard(backtest(prepare(panel, cfg)[1], cfg, models)[0], cfg)
+    run_ = RunStore(spark, store).begin(R.run_metadata(asdict(cfg))["run_id"])
+    feats = run_.write("features", prepare(panel, cfg)[1])
+    board = run_.write("leaderboard", leaderboard(backtest(feats, cfg, models, run_)[0], cfg))
     return board.drop(ONE_SERIES) if single else board

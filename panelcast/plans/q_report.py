@@ -3,15 +3,19 @@ data, evidence JSON, the end-to-end run."""
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from panelcast.operators import report as R
 from panelcast.operators.evaluate import fold_summary
 from panelcast.plans import panels as P
 from panelcast.plans.catalog import register
-from panelcast.plans.featuresets import FEAT_D, KD, OLS_XS, TARGET_D, features_d, sql_features, sql_features_d
-from panelcast.plans.q_evaluate import SUMMARY_SQL, fold_metrics, ols_fit
+from panelcast.plans.featuresets import ADF_LAGS, FEAT_D, KD, OLS_XS, TARGET_D, feature_columns, feature_columns_d, features_d, sql_features, sql_features_d
+from panelcast.plans.q_evaluate import BEST_SQL, SUMMARY_SQL, fold_metrics, ols_fit
 from panelcast.plans.q_forecast import _recursive_sql, recursive_ols
+from panelcast.plans.runsql import run_forecast_sql
 from panelcast.plans.sqlbits import rnd
 
 KEYS_SQL = ", ".join(KD)
@@ -154,50 +158,71 @@ def run_cfg():
                      models=["OLS", "ARIMA", "naive"], data_source="lineitem panel")
 
 
+_RUN_OF: dict[tuple[str, str], str] = {}
+
+
 def run_panel_d(spark, sf):
+    """The run on panel D, made once per application and table folder; later queries read its files."""
     from panelcast.plans.pipeline import run
-    return run(spark, P.panel_d(spark, sf), run_cfg())
+    from panelcast.plans.store import RunStore
 
+    of = (spark.sparkContext.applicationId, sf)
+    try:
+        return RunStore(spark).open(_RUN_OF[of])
+    except KeyError:
+        _RUN_OF[of] = run(spark, P.panel_d(spark, sf), run_cfg())["manifest"].first().run_id
+        return RunStore(spark).open(_RUN_OF[of])
 
-def _pipeline_forecast_sql() -> str:
-    from panelcast.functions.dual import SqlRel
-    from panelcast.operators import arma
-    from panelcast.plans.q_arima import arima_fit
-    from panelcast.plans.q_evaluate import BEST_SQL
-    from panelcast.plans.q_forecast import H_FINAL
-    arima = arma.forecast_rows(arima_fit(SqlRel(sql_features_d())), KD, H_FINAL).sql
-    naive = f"""SELECT {KEYS_SQL}, CAST(s AS INT) AS step, CAST(last_period + to_months(CAST(s AS INTEGER)) AS DATE) AS period,
-       yhat FROM (SELECT {KEYS_SQL}, max(period) AS last_period, arg_max({TARGET_D}, period) AS yhat
-       FROM ({sql_features_d()}) f WHERE {TARGET_D} IS NOT NULL GROUP BY {KEYS_SQL}) l, generate_series(1, {H_FINAL}) AS g(s)"""
-    out = "round(yhat, 4) AS yhat, round(lo, 4) AS lo, round(hi, 4) AS hi"
-    return f"""WITH b AS ({BEST_SQL}),
-o AS ({_recursive_sql()}),
-a AS ({arima}),
-n AS ({naive})
-SELECT {KEYS_SQL}, step, period, round(yhat, 4) AS yhat, CAST(NULL AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, 'OLS' AS source
-FROM o JOIN b USING ({KEYS_SQL}) WHERE b.best_model = 'OLS'
-UNION ALL
-SELECT {KEYS_SQL}, step, period, {out}, 'ARIMA' FROM a JOIN b USING ({KEYS_SQL}) WHERE b.best_model = 'ARIMA'
-UNION ALL
-SELECT {KEYS_SQL}, step, period, round(yhat, 4), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 'last_value'
-FROM n JOIN b USING ({KEYS_SQL}) WHERE b.best_model NOT IN ('OLS', 'ARIMA')"""
-
-
-@register("pipeline_forecast", ids=("B3", "B5", "R1", "R2", "T1"), sql=_pipeline_forecast_sql())
-def q_pipeline_forecast(spark, sf):
-    f = run_panel_d(spark, sf)["forecast"]
-    return f.select(*KD, F.col("step").cast("int").alias("step"), "period", rnd("yhat", 4).alias("yhat"),
+
+def _forecast_out(f, keys):
+    return f.select(*keys, F.col("step").cast("int").alias("step"), "period", rnd("yhat", 4).alias("yhat"),
                     rnd("lo", 4).alias("lo"), rnd("hi", 4).alias("hi"), "source")
 
 
+@register("pipeline_forecast", ids=("B3", "B5", "R1", "R2", "T1"), sql=run_forecast_sql(
+    sql_features_d(), KD, TARGET_D, OLS_XS, feature_columns_d(), 5, 6, 12, ADF_LAGS))
+def q_pipeline_forecast(spark, sf):
+    return _forecast_out(run_panel_d(spark, sf).table("forecast"), KD)
+
+
 @register("evidence_json", ids=("K1", "K2", "S5", "F14", "F15", "F16", "F17", "Q7"))
 def q_evidence_json(spark, sf):
-    return R.to_json_rows(run_panel_d(spark, sf)["evidence"], KD)
+    return R.to_json_rows(run_panel_d(spark, sf).table("evidence"), KD)
+
+
+@register("evidence_fields", ids=("K1", "S5", "S6", "F14", "F15"), sql=f"""
+SELECT {KEYS_SQL}, strftime(min(period), '%Y-%m') AS start_date, strftime(max(period), '%Y-%m') AS end_date, count({TARGET_D}) AS n_obs,
+       round(avg({TARGET_D}), {DP}) AS target_mean, round(stddev_samp({TARGET_D}), {DP}) AS target_std, round(min({TARGET_D}), {DP}) AS target_min,
+       round(max({TARGET_D}), {DP}) AS target_max, round(arg_max({TARGET_D}, period), {DP}) AS target_latest, any_value(best_model) AS best_model,
+       round(any_value(best_rmse), {DP}) AS best_rmse, CAST({len(feature_columns_d())} AS BIGINT) AS n_features, CAST(3 AS BIGINT) AS n_models,
+       CAST(5 AS BIGINT) AS n_folds, CAST(12 AS BIGINT) AS forecast_horizon, strftime(CAST(max(period) + to_months(1) AS DATE), '%Y-%m') AS forecast_start,
+       'lineitem panel' AS data_source, '{TARGET_D} ~ {" + ".join(OLS_XS)}' AS formula, CAST(6 AS BIGINT) AS hac_lags
+FROM ({sql_features_d()}) f LEFT JOIN ({BEST_SQL}) b USING ({KEYS_SQL}) GROUP BY {KEYS_SQL}
+""")
+def q_evidence_fields(spark, sf):
+    """The evidence's deterministic fields, written as JSON lines and read back from them."""
+    from panelcast.session import ensure_checkpoint_dir
+
+    fields = ["start_date", "end_date", "n_obs", "target_mean", "target_std", "target_min", "target_max", "target_latest", "best_model",
+              "best_rmse", "n_features", "n_models", "n_folds", "forecast_horizon", "forecast_start", "data_source", "formula", "hac_lags"]
+    ev = run_panel_d(spark, sf).table("evidence").select(*KD, *fields)
+    path = f"{ensure_checkpoint_dir(spark)}/evidence-{uuid.uuid4().hex}"
+    R.write_json(ev, path)
+    back = R.read_json(spark, path, ev.schema)
+    return back.withColumns({c: rnd(c, DP) for c in fields if c.startswith(("target_", "best_rmse"))})
 
 
 @register("report_markdown", ids=("K4", "K5", "S7", "F11", "F12"))
 def q_report_markdown(spark, sf):
-    return run_panel_d(spark, sf)["markdown"]
+    return run_panel_d(spark, sf).table("markdown")
+
+
+@register("stored_report", ids=("S6", "S7", "K5"))
+def q_stored_report(spark, sf):
+    """The report made anew from the stored evidence of a finished run."""
+    from panelcast.plans.pipeline import report
+
+    return report(spark, run_panel_d(spark, sf).manifest["run_id"])
 
 
 _BOARD_COLS = [f"{m}_{st}" for m in ("mae", "rmse", "mape") for st in ("mean", "std", "min", "max")]
@@ -255,41 +280,62 @@ def q_run_gappy(spark, sf):
         CHANGE_C, f"{CHANGE_C}_lag_1", f"{CHANGE_C}_roll_mean_12")])
 
 
+@register("run_gappy_forecast", ids=("J7", "P13", "B3", "B5"), sql=run_forecast_sql(
+    sql_features(_filled_sql(P.SQL_C_SPINE, KC_SQL, "v"), KC, "v", CHANGE_C), KC, CHANGE_C, [f"{CHANGE_C}_lag_1"],
+    feature_columns("v", CHANGE_C), 5, 6, 12, ADF_LAGS))
+def q_run_gappy_forecast(spark, sf):
+    """The whole run with OLS, ARIMA and last value on the gappy panel; short series only warn."""
+    from panelcast.plans.pipeline import run
+    cfg = replace(gappy_cfg(), models=["OLS", "ARIMA", "naive"])
+    return _forecast_out(run(spark, P.panel_c(spark, sf), cfg, strict=False)["forecast"], KC)
+
+
 _ONE_SQL = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS period, sum(o_totalprice) AS v FROM orders GROUP BY 1"
 _ONE_FEATS = sql_features(f"SELECT 'all' AS series, o.* FROM ({_ONE_SQL}) o", ["series"], "v", CHANGE_C)
 
 
-@register("run_single_series", ids=("B5", "R2", "K1"), sql=f"""
-SELECT CAST(s AS INT) AS step, CAST(last_period + to_months(CAST(s AS INTEGER)) AS DATE) AS period, round(yhat, {DP}) AS yhat,
-       'last_value' AS source
-FROM (SELECT max(period) AS last_period, arg_max({CHANGE_C}, period) AS yhat FROM ({_ONE_FEATS}) f) l, generate_series(1, 12) AS g(s)
-""")
+@register("run_single_series", ids=("B5", "R2", "K1"), sql=f"""SELECT * EXCLUDE (series) FROM ({run_forecast_sql(
+    _ONE_FEATS, ["series"], CHANGE_C, [f"{CHANGE_C}_lag_1", f"{CHANGE_C}_lag_2"], feature_columns("v", CHANGE_C), 5, 6, 12, ADF_LAGS)}) f""")
 def q_run_single(spark, sf):
-    """A panel without keys: all orders as one series, end to end."""
+    """A panel without keys: all orders as one series, end to end with OLS, ARIMA and last value."""
     from panelcast.operators.calendar import resample_agg
     from panelcast.plans.pipeline import RunConfig, run
     from panelcast.sources.tables import read_table
     one = resample_agg(read_table(spark, sf, "orders"), [], "o_orderdate", {"v": F.sum("o_totalprice")})
-    cfg = RunConfig(keys=[], level_col="v", target=CHANGE_C, exog=[], regressors=[f"{CHANGE_C}_lag_1"], models=["naive"])
-    f = run(spark, one, cfg)["forecast"]
-    return f.select(F.col("step").cast("int").alias("step"), "period", rnd("yhat", DP).alias("yhat"), "source")
+    cfg = RunConfig(keys=[], level_col="v", target=CHANGE_C, exog=[], regressors=[f"{CHANGE_C}_lag_1", f"{CHANGE_C}_lag_2"],
+                    models=["OLS", "ARIMA", "naive"])
+    return _forecast_out(run(spark, one, cfg)["forecast"], [])
 
 
 @register("run_daily_panel_e", ids=("F2", "F3", "K1", "B5"), sql=f"""
-SELECT event_type, CAST(s AS INT) AS step, CAST(last_period + to_days(CAST(s AS INTEGER)) AS DATE) AS period, round(yhat, {DP}) AS yhat,
-       strftime(CAST(last_period + to_days(1) AS DATE), '%Y-%m-%d') AS forecast_start
-FROM (SELECT event_type, max(period) AS last_period, arg_max(v_chg7, period) AS yhat
-      FROM ({sql_features(P.SQL_E, ['event_type'], 'v', 'v_chg7', max_lag=3, windows=(3,), change_periods=7)}) f GROUP BY 1) l,
-     generate_series(1, 5) AS g(s)
+SELECT f.*, strftime(min(period) OVER (PARTITION BY event_type), '%Y-%m-%d') AS forecast_start FROM ({run_forecast_sql(
+    sql_features(P.SQL_E, ['event_type'], 'v', 'v_chg7', max_lag=3, windows=(3,), change_periods=7), ['event_type'], 'v_chg7',
+    ['v_chg7_lag_1'], feature_columns('v', 'v_chg7', max_lag=3, windows=(3,)), 2, 3, 5, ADF_LAGS, freq='day')}) f
 """)
 def q_run_daily(spark, sf):
-    """Daily series end to end, evidence included."""
+    """Daily series end to end with OLS, ARIMA and last value, evidence included."""
     from panelcast.plans.pipeline import RunConfig, run
     cfg = RunConfig(keys=["event_type"], level_col="v", target="v_chg7", exog=[], regressors=["v_chg7_lag_1"], max_lag=3, windows=[3],
-                    change_periods=7, n_folds=2, horizon=3, final_horizon=5, models=["naive"], freq="day", min_obs=14, positive=[])
+                    change_periods=7, n_folds=2, horizon=3, final_horizon=5, models=["OLS", "ARIMA", "naive"], freq="day", min_obs=14, positive=[])
     out = run(spark, P.panel_e(spark, sf), cfg)
     f = out["forecast"].join(out["evidence"].select("event_type", "forecast_start"), "event_type")
-    return f.select("event_type", F.col("step").cast("int").alias("step"), "period", rnd("yhat", DP).alias("yhat"), "forecast_start")
+    return _forecast_out(f, ["event_type"]).join(f.select("event_type", "step", "forecast_start"), ["event_type", "step"])
+
+
+#: Size of the registered run with every model (an argument; the default is the reference's 20 trials x 3 splits).
+ALL_MODELS = dict(models=["OLS", "ARIMA", "GradientBoosting", "sequence", "naive"], n_folds=2, n_trials=2, cv_splits=2,
+                  search_space={"n_estimators": [20], "max_depth": [2, 3]}, sequence_rounds=50)
+
+
+@register("run_all_models", ids=("B3", "B4", "B5", "E10", "E16", "T6"))
+def q_run_all(spark, sf):
+    """Every model from the leaderboard to the final forecast; the size of the search stands in the result."""
+    from panelcast.plans.pipeline import run
+    out = run(spark, P.panel_d(spark, sf), replace(run_cfg(), **ALL_MODELS))
+    f = out["forecast"].join(out["best"].select(*KD, F.col("rmse_mean").alias("best_rmse")), KD)
+    size = {"n_folds": "n_folds", "search_trials": "n_trials", "search_splits": "cv_splits", "most_rounds": "sequence_rounds"}
+    return f.select(*KD, "step", "period", rnd("yhat", 4).alias("yhat"), "source", rnd("best_rmse", 4).alias("best_rmse"),
+                    *[F.lit(ALL_MODELS[c]).alias(n) for n, c in size.items()])
 
 
 @register("row_counts", ids=("A14",), sql=f"""

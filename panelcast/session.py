@@ -10,6 +10,7 @@ import os
 import re
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Defaults for a local run; a cluster's own configuration takes precedence.
@@ -31,14 +32,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if active is not None:
         ensure_checkpoint_dir(active)
         return active
+    memory = os.environ.get("PANELCAST_DRIVER_MEMORY")  # must be known before the JVM starts
+    if memory:
+        os.environ.setdefault("PYSPARK_SUBMIT_ARGS", f"--driver-memory {memory} pyspark-shell")
+    SparkContext._ensure_initialized()
+    given = SparkConf()  # with the JVM up: what spark-submit and spark-defaults.conf set
     builder = SparkSession.builder.appName(app_name)
-    if master:
+    named = given.get("spark.master", "local[*]")  # spark-submit itself fills in local[*] where nobody named a master
+    if master and named == "local[*]":
         builder = builder.master(master)
-    for k, v in LOCAL_DEFAULTS.items():
-        builder = builder.config(k, v)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    builder = builder.config("spark.driver.memory", os.environ.get("PANELCAST_DRIVER_MEMORY", "16g"))
+    wanted = {**LOCAL_DEFAULTS, **({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {})}
+    for k, v in wanted.items():
+        if not given.contains(k) or k == "spark.ui.showConsoleProgress" and named.startswith("local"):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

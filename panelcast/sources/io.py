@@ -1,4 +1,4 @@
-"""Sources: CSV and long-format series files, source fallback, model registry.
+"""Sources: CSV and long-format series files, source fallback, model registry and store.
 
 All scans are lazy; filters on the series id and the date range are plain
 predicates on raw columns, so Catalyst pushes them into the Parquet scan
@@ -8,10 +8,10 @@ predicates on raw columns, so Catalyst pushes them into the Parquet scan
 from __future__ import annotations
 
 import logging
-import os
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
+from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,12 +98,8 @@ def load_with_fallback(primary: Callable[[], DataFrame], fallback: Callable[[],
 
 
 class ModelRegistry:
-    """Named store of fitted models.
-
-    Linear models are rows of a coefficient DataFrame (selected by model
-    name); Spark ML models are kept as objects and saved with their writer.
-    Unknown names raise ``KeyError``.
-    """
+    """Named fitted models of one session: tables (one row per series) or Spark ML models.
+    Unknown names raise ``KeyError``."""
 
     def __init__(self):
         self._models: dict[str, object] = {}
@@ -119,12 +115,52 @@ class ModelRegistry:
     def list_models(self) -> list[str]:
         return list(self._models)
 
-    def save(self, path: str) -> None:
+    def save(self, path: str, spark: SparkSession) -> None:
+        store = ModelStore(spark, path)
         for name, m in self._models.items():
-            target = os.path.join(path, name)
-            if isinstance(m, DataFrame):
-                m.write.mode("overwrite").parquet(target)
-            elif hasattr(m, "write"):
-                m.write().overwrite().save(target)
-            else:
-                raise TypeError(f"cannot save model {name} of type {type(m).__name__}")
+            store.save(name, m)
+
+    @classmethod
+    def load(cls, path: str, spark: SparkSession) -> "ModelRegistry":
+        """The models another session saved."""
+        out, store = cls(), ModelStore(spark, path)
+        for name in store.names():
+            out.register(name, store.load(name))
+        return out
+
+
+class ModelStore:
+    """Fitted models by name in a folder that all executors reach: ``<root>/<name>/table`` (Parquet) or
+    ``<root>/<name>/ml`` (Spark ML's own format). Another session loads them by name."""
+
+    KINDS = ("table", "ml")
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _fs(self, path: str):
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop
+
+    def save(self, name: str, model: DataFrame | Model) -> DataFrame | Model:
+        """Saves a model and gives it back as loaded, so that what is used is what is kept."""
+        if isinstance(model, DataFrame):
+            model.write.mode("overwrite").parquet(f"{self.root}/{name}/table")
+        elif hasattr(model, "write"):
+            PipelineModel([model]).write().overwrite().save(f"{self.root}/{name}/ml")
+        else:
+            raise TypeError(f"cannot save model {name} of type {type(model).__name__}")
+        return self.load(name)
+
+    def load(self, name: str) -> DataFrame | Model:
+        for kind in self.KINDS:
+            fs, path = self._fs(f"{self.root}/{name}/{kind}")
+            if fs.exists(path):
+                if kind == "table":
+                    return self.spark.read.parquet(f"{self.root}/{name}/{kind}")
+                return PipelineModel.load(f"{self.root}/{name}/{kind}").stages[0]
+        raise KeyError(f"Model '{name}' not found in {self.root}. Available: {self.names()}")
+
+    def names(self) -> list[str]:
+        fs, path = self._fs(self.root)
+        return sorted(x.getPath().getName() for x in fs.listStatus(path)) if fs.exists(path) else []
