@@ -14,16 +14,17 @@ A document's set is its distinct shingles, as XXH64. Two documents link when
    key that linked sets share (``keys_of``). Up to e ranges, those with the least
    content, need no key: contents of no or one shingle, which many texts share by chance,
    almost never become keys. Only keys with two or more nodes go on.
-4. **Stars first.** Every node is compared with the smallest node of each of its keys:
-   linear in the number of keys, and a group of near copies becomes one component.
-5. **Tiles.** What still holds several components is laid out in tiles of bounded
-   bytes; a key with more members than a tile holds is cut into parts, and the
-   pairs of parts are tiles of their own, on any task. In a tile, sets of two components
+4. **Families.** Sets connected by common keys are a family. One that fits a tile (bounded
+   in sets and bytes) is a tile: every set is sent once. In a tile, sets
    are compared by *bitmaps*: every shingle sets one bit of a bitmap whose
-   width follows from the band. Each bit that one set has and the other lacks is
+   width follows from the sizes. Each bit that one set has and the other lacks is
    at least one shingle outside the intersection, so bit counts bound the intersection from
    above. Pairs that the bound leaves open are decided by intersecting the sorted
-   arrays. A tile emits a spanning forest of its links, never the pairs.
+   arrays, until they are connected. A tile emits a spanning forest of its links, never the pairs.
+5. **Larger families.** Every node is compared with the smallest node of each of its keys:
+   linear in the number of keys, and a group of near copies becomes one component. Keys that still hold
+   several components are laid out in tiles; a key with more members than a tile holds is
+   cut into parts, and the pairs of parts are tiles of their own, on any task.
 6. Connected components of all links (``components``).
 
 Step 3 loses no link and a key shared by chance costs a comparison only, so results are exact but for
@@ -55,6 +56,7 @@ SLACK_PERCENT = 12
 TILE_BYTES = 1 << 25
 SEEN = 1 << 18
 FILTER_BITS = 26
+FAMILY = 8192
 SALT = np.uint64(0x9E3779B97F4A7C15)  # odd: multiplying by it permutes the 64-bit numbers
 
 
@@ -158,24 +160,19 @@ def open_pairs(maps: np.ndarray, sizes: np.ndarray, queries: int, percent: int)
 
 def forest(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], queries: int, percent: int) -> list[tuple[int, int]]:
     """Links of the first ``queries`` sets that join the tile's components: bitmaps first, then arrays, until a pair is connected."""
-    root = {int(c): int(c) for c in comps}
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
+    comps = comps.copy()
     sizes = np.array([len(s) for s in sets])
     bits = width_for(int(sizes.max()))
     maps = np.array([bitmap(s, bits) for s in sets])
     edges = []
     for i, others in open_pairs(maps, sizes, queries, percent):
-        for j in others:
-            a, b = find(int(comps[i])), find(int(comps[j]))
-            if a != b and linked(sets[i], sets[j], percent):
-                root[max(a, b)] = min(a, b)
+        others = others[comps[others] != comps[i]]
+        while len(others):
+            j, others = others[0], others[1:]
+            if linked(sets[i], sets[j], percent):
+                comps[comps == comps[j]] = comps[i]
                 edges.append((int(nodes[i]), int(nodes[j])))
+                others = others[comps[others] != comps[i]]
     return edges
 
 
@@ -322,33 +319,58 @@ def _tiles(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     dealt = (sized.join(filled, "key").withColumn("minor", F.col("comp") != F.col("major")).withColumn("mine", mine)
              .withColumn("tile", F.explode(tile))
              .select("key", "tile.kind", "tile.p", "tile.q", "minor", "node", "comp", "shingles"))
-    order = ("key", "kind", "p", "q")
-    spread = dealt.repartition(*order).sortWithinPartitions(*order, F.desc("minor"))
+    return _compare(dealt, ("key", "kind", "p", "q"), percent)
+
+
+def _compare(rows: DataFrame, tile_of: tuple[str, ...], percent: int) -> DataFrame:
+    """Links within each tile. ``rows``: the columns of ``tile_of`` and ``minor`` (compared with all, else
+    only with those), ``node, comp, shingles``."""
+    spread = rows.repartition(*tile_of).sortWithinPartitions(*tile_of, F.desc("minor"))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, rows = None, []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, held = None, []
 
         def done():
-            if len(rows) < 2:
+            if len(held) < 2:
                 return []
-            return forest(np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), [r[2] for r in rows],
-                          sum(r[3] for r in rows), percent)
+            return forest(np.array([r[0] for r in held]), np.array([r[1] for r in held]), [r[2] for r in held],
+                          sum(r[3] for r in held), percent)
 
         def batch_of(edges):
             return pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for batch in batches:
-            cols = [batch.column(c).to_pylist() for c in (*order, "node", "comp", "shingles", "minor")]
+            cols = [batch.column(c).to_pylist() for c in (*tile_of, "node", "comp", "shingles", "minor")]
             for *here, node, comp, packed, minor in zip(*cols):
                 if here != tile:
                     if edges := done():
                         yield batch_of(edges)
-                    tile, rows = here, []
-                rows.append((node, comp, np.frombuffer(packed, "<u8"), minor))
+                    tile, held = here, []
+                held.append((node, comp, np.frombuffer(packed, "<u8"), minor))
         if edges := done():
             yield batch_of(edges)
 
-    return map_arrow(spread, compare, "a long, b long")
+    return map_arrow(spread, run, "a long, b long")
+
+
+def _links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that connect what is linked among the sets of ``shared`` (``key, node, hub``)."""
+    edges = shared.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    of = sets.select("node", F.length("shingles").alias("bytes")).join(components(edges), "node", "left")
+    families = written(of.select("node", "bytes", F.coalesce("root", "node").alias("family")), "jaccard-families")
+    total = families.groupBy("family").agg((((F.count("*") <= FAMILY) & (F.sum("bytes") <= TILE_BYTES))).alias("fits"))
+    families = written(families.join(total, "family").select("node", "family", "fits"), "jaccard-fits")
+    fitting = (families.where("fits").join(sets, "node")
+               .select("family", F.lit(True).alias("minor"), "node", F.col("node").alias("comp"), "shingles"))
+    found = written(_compare(fitting, ("family",), percent), "jaccard-links")
+    large = families.where("not fits").select("node")
+    if large.isEmpty():
+        return found
+    rest = shared.join(large, "node", "left_semi")
+    stars = written(_star_links(rest, sets, percent), "jaccard-stars")
+    near = components(stars)
+    members = written(rest.join(near, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp")), "jaccard-members")
+    return found.unionByName(stars).unionByName(written(_tiles(members, sets, percent), "jaccard-across"))
 
 
 def jaccard_components(docs: DataFrame, *, shingle: int = 4, percent: int = 85) -> DataFrame:
@@ -362,10 +384,7 @@ def jaccard_components(docs: DataFrame, *, shingle: int = 4, percent: int = 85)
     shared = written(_keyed(docs, shingle, percent, Filter(hubs, "key")).join(hubs, "key").distinct(), "jaccard-shared")
     wanted = shared.select("node").distinct()
     sets = written(_sets(docs, shingle, Filter(wanted, "node")).join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
-    near = components(written(_star_links(shared, sets, percent), "jaccard-stars"))
-    members = written(shared.join(near, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp")), "jaccard-members")
-    across = written(_tiles(members, sets, percent), "jaccard-across")
-    roots = components(near.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(across))
+    roots = components(_links(shared, sets, percent))
     filled = named.where("node is not null")
     placed = (filled.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left")
               .withColumn("root", F.coalesce("root", "node")))

@@ -102,7 +102,7 @@ def test_awkward_rows(spark):
 
 def test_large_groups_are_tiled(spark, monkeypatch):
     """Strays around one large component, and many components under one key, in tiles of 16."""
-    monkeypatch.setattr(J, "TILE_BYTES", 1)
+    monkeypatch.setattr(J, "TILE_BYTES", 1)  # no family fits: stars and cut keys
     rng = random.Random(9)
     base = [f"b{k}" for k in range(120)]
     texts = [" ".join(varied(rng, base, 1)) for _ in range(70)] + [" ".join(varied(rng, base, e)) for e in (3, 4, 4, 5, 5, 6, 7, 8, 9) for _ in range(9)]
