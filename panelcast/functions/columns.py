@@ -46,6 +46,13 @@ def step_interval(freq: str = "month") -> Column:
     raise ValueError(f"unknown freq {freq!r}")
 
 
+def elapsed_seconds(start: Column, end: Column) -> Column:
+    """Whole seconds from ``start`` to ``end`` (dates or times), whatever the session's time zone."""
+    def of_day(c):
+        return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    return (F.datediff(end, start).cast("bigint") * 86400 + of_day(end) - of_day(start)).cast("double")
+
+
 def add_periods(col, n, freq: str = "month") -> Column:
     """``col`` shifted by ``n`` periods (``n`` an int or an integer column)."""
     c = _c(col)

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.functions.columns import elapsed_seconds
 from panelcast.operators.calendar import PERIOD, _keys, series_window
 
 
@@ -59,8 +60,7 @@ def interp_time(col: str, keys, period_col: str = PERIOD) -> Column:
     point = F.when(present, F.struct(F.col(col).alias("v"), F.col(period_col).alias("t")))
     prev = F.last(point, ignorenulls=True).over(base.rowsBetween(Window.unboundedPreceding, 0))
     nxt = F.first(point, ignorenulls=True).over(base.rowsBetween(0, Window.unboundedFollowing))
-    span = F.datediff(nxt["t"], prev["t"]).cast("double")
-    frac = F.datediff(F.col(period_col), prev["t"]).cast("double") / span
+    frac = elapsed_seconds(prev["t"], F.col(period_col)) / elapsed_seconds(prev["t"], nxt["t"])
     between = prev["v"] + (nxt["v"] - prev["v"]) * frac
     return (F.when(present, F.col(col))
              .when(nxt.isNull(), prev["v"])
@@ -104,6 +104,18 @@ def check_schema(df: DataFrame, required: Sequence[str], period_col: str = PERIO
         raise DataQualityError("Data quality validation failed:\n" + "\n".join(errors))
 
 
+def gap_report(df: DataFrame, keys, freq: str = "month", max_gap: int = 1200, period_col: str = PERIOD) -> DataFrame:
+    """``(keys, check, severity, n_bad)``: series with gaps of more than ``max_gap`` periods between two present
+    ones, as one wrong timestamp makes; an error, found before anything is filled."""
+    from panelcast.operators.segments import period_index
+
+    k = _keys(keys)
+    at = period_index(period_col, freq)
+    gaps = df.select(*k, (at - F.lag(at).over(series_window(k, period_col)) - 1).alias("_gap"))
+    return (gaps.groupBy(*k).agg(F.count_if(F.col("_gap") > max_gap).alias("n_bad")).filter("n_bad > 0")
+            .select(*k, F.lit("gap_too_long").alias("check"), F.lit("error").alias("severity"), "n_bad"))
+
+
 def validate(df: DataFrame, keys, required: Sequence[str] = (), min_obs: int = 36,
              positive: Sequence[str] = (), ranges: Mapping[str, tuple[float, float]] | None = None,
              nonnegative: Sequence[str] = ()) -> DataFrame:

@@ -31,7 +31,8 @@ from panelcast.operators.calendar import date_range_filter, fill_spine
 from panelcast.operators.evaluate import fold_summary, metrics, select_best
 from panelcast.operators.features import build_features
 from panelcast.operators.forecast import naive_forecast
-from panelcast.operators.quality import check_schema, impute, validate, validate_strict
+from panelcast.operators.quality import check_schema, gap_report, impute, validate, validate_strict
+from panelcast.operators.segments import segmented_features, segmented_impute, segmented_spine
 from panelcast.plans.forecasters import FORECASTERS, Forecaster
 from panelcast.plans.store import RunStore, StoredRun
 from panelcast.sources.io import coerce_numeric
@@ -40,6 +41,8 @@ log = logging.getLogger(__name__)
 
 #: Key of a panel without keys.
 ONE_SERIES = "series"
+#: Periods a segment where gaps are too long for one task.
+LONG_SEGMENT = 4096
 #: Label of a period in reports and evidence.
 LABEL_FORMAT = {"month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd HH:00"}
 
@@ -76,6 +79,8 @@ class RunConfig:
     sequence_rounds: int = 200
     seed: int = 42
     min_train: int = 10
+    max_gap: int = 1200  # periods; a longer gap is a quality error
+    segment: int | None = None  # periods a segment: windows of very long series run segment by segment
     parallelism: int = 4  # fits of a search or of the folds that run side by side
 
     def feature_columns(self) -> list[str]:
@@ -90,13 +95,20 @@ class RunConfig:
         return cols
 
 
-def load(panel: DataFrame, cfg: RunConfig) -> DataFrame:
-    """Numeric values, date range, regular calendar, imputation; ``DataQualityError`` if a column is missing
-    or the period is no date or time."""
+def given(panel: DataFrame, cfg: RunConfig) -> DataFrame:
+    """Numeric values within the date range; ``DataQualityError`` if a column is missing or the period is no date or time."""
     values = [cfg.level_col, *cfg.exog]
     check_schema(panel, [*cfg.keys, *values])
-    out = coerce_numeric(panel.select(*cfg.keys, "period", *values), values)
-    out = date_range_filter(out, cfg.start, cfg.end)
+    return date_range_filter(coerce_numeric(panel.select(*cfg.keys, "period", *values), values), cfg.start, cfg.end)
+
+
+def load(panel: DataFrame, cfg: RunConfig) -> DataFrame:
+    """The given rows on the regular calendar, imputed."""
+    values = [cfg.level_col, *cfg.exog]
+    out = given(panel, cfg)
+    if cfg.segment:
+        out = segmented_spine(out, cfg.keys, cfg.freq, cfg.segment)
+        return segmented_impute(out, cfg.keys, values, cfg.missing_threshold_pct, cfg.freq, cfg.segment)
     out = fill_spine(out, cfg.keys, cfg.freq)
     return impute(out, cfg.keys, values, cfg.missing_threshold_pct)
 
@@ -108,6 +120,9 @@ def prepare(panel: DataFrame, cfg: RunConfig) -> tuple[DataFrame, DataFrame]:
 
 
 def features(clean: DataFrame, cfg: RunConfig) -> DataFrame:
+    if cfg.segment:
+        return segmented_features(clean, cfg.keys, cfg.level_col, cfg.target, cfg.exog, cfg.max_lag, cfg.windows, cfg.use_differencing,
+                                  cfg.change_periods, cfg.freq, cfg.segment)
     return build_features(clean, cfg.keys, cfg.level_col, cfg.target, cfg.exog, max_lag=cfg.max_lag, windows=cfg.windows,
                           use_differencing=cfg.use_differencing, change_periods=cfg.change_periods)
 
@@ -316,10 +331,15 @@ def run(spark: SparkSession, panel: DataFrame, cfg: RunConfig, strict: bool = Tr
     panel, cfg, single = _with_key(panel, cfg)
     meta = R.run_metadata(asdict(cfg))
     run_ = RunStore(spark, store).begin(meta["run_id"])
+    gaps = run_.write("gaps", gap_report(given(panel, cfg), cfg.keys, cfg.freq, cfg.max_gap))
+    if strict:
+        validate_strict(gaps)  # before a bad timestamp is filled with thousands of periods
+    elif not cfg.segment and not gaps.isEmpty():
+        cfg = replace(cfg, segment=LONG_SEGMENT)  # whoever wants them filled all the same gets them dealt over tasks
     clean = run_.write("clean", load(panel, cfg))
-    quality = run_.write("quality", validate(clean, cfg.keys, required=[cfg.level_col, *cfg.exog], min_obs=cfg.min_obs,
+    quality = run_.write("quality", gaps.unionByName(validate(clean, cfg.keys, required=[cfg.level_col, *cfg.exog], min_obs=cfg.min_obs,
                                              positive=[cfg.level_col] if cfg.positive is None else cfg.positive, ranges=cfg.ranges,
-                                             nonnegative=cfg.nonnegative))
+                                                              nonnegative=cfg.nonnegative)))
     if strict:
         validate_strict(quality)
     feats = run_.write("features", features(clean, cfg))

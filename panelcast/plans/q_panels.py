@@ -11,6 +11,7 @@ from panelcast.operators.features import build_features
 from panelcast.plans import panels as P
 from panelcast.plans.catalog import register
 from panelcast.plans.featuresets import feature_columns, sql_features
+from panelcast.plans.sqlbits import filled_sql, rnd
 
 DP = 6
 KA, KE = P.PANEL_KEYS["A"], P.PANEL_KEYS["E"]
@@ -85,3 +86,27 @@ def q_many_series(spark, sf):
     """OLS backtest of one series per supplier, on the regular calendar."""
     from panelcast.operators.calendar import fill_spine
     return _s_preds(SparkRel(build_features(fill_spine(P.panel_s(spark, sf), KS), KS, **FS))).df
+
+
+# ---- one very long series: windows run segment by segment --------------------------
+_DAYS_SQL = "SELECT CAST(date_trunc('day', o_orderdate) AS DATE) AS period, sum(o_totalprice) AS v FROM orders GROUP BY 1"
+_DAY_GRID = f"""SELECT 0 AS one, g.period, s.v FROM (SELECT CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS period
+FROM (SELECT min(period) AS lo, max(period) AS hi FROM ({_DAYS_SQL}) a) b) g LEFT JOIN ({_DAYS_SQL}) s USING (period)"""
+LONG = dict(level_col="v", target="v_chg7", max_lag=3, windows=[3, 7], change_periods=7)
+LONG_COLS = ["v", "v_chg7", "v_chg7_lag_1", "v_chg7_lag_3", "v_chg7_roll_mean_7", "v_chg7_roll_std_7"]
+
+
+@register("long_series_features", ids=("P10", "P11", "P13", "W1", "W2", "W3", "W4", "J7"), sql=f"""
+SELECT period, {', '.join(f'round({c}, {DP}) AS {c}' for c in LONG_COLS)}
+FROM ({sql_features(filled_sql(_DAY_GRID, "one", "v"), ["one"], **LONG)}) f
+""")
+def q_long_series(spark, sf):
+    """All orders as one daily series without keys: calendar, imputation, change, lags and rolling
+    windows in segments of 256 days; the SQL uses plain windows."""
+    from panelcast.operators import segments as G
+    from panelcast.operators.calendar import resample_agg
+    from panelcast.sources.tables import read_table
+    days = resample_agg(read_table(spark, sf, "orders"), [], "o_orderdate", {"v": F.sum("o_totalprice")}, "day")
+    whole = G.segmented_impute(G.segmented_spine(days, [], "day", 256), [], ["v"], freq="day", size=256)
+    f = G.segmented_features(whole, [], freq="day", size=256, **LONG)
+    return f.select("period", *[rnd(c, DP).alias(c) for c in LONG_COLS])

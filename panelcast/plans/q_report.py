@@ -16,7 +16,7 @@ from panelcast.plans.featuresets import ADF_LAGS, FEAT_D, KD, OLS_XS, TARGET_D,
 from panelcast.plans.q_evaluate import BEST_SQL, SUMMARY_SQL, fold_metrics, ols_fit
 from panelcast.plans.q_forecast import _recursive_sql, recursive_ols
 from panelcast.plans.runsql import run_forecast_sql
-from panelcast.plans.sqlbits import rnd
+from panelcast.plans.sqlbits import filled_sql, rnd
 
 KEYS_SQL = ", ".join(KD)
 DP = 6
@@ -253,24 +253,10 @@ def gappy_cfg():
                      data_source="orders panel")
 
 
-def _filled_sql(src: str, keys: str, col: str, threshold: float = 5.0) -> str:
-    """The imputation policy as SQL over a gridded series."""
-    part = f"PARTITION BY {keys}"
-    past = f"OVER ({part} ORDER BY period ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    ahead = f"OVER ({part} ORDER BY period ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
-    return f"""SELECT {keys}, period, CASE WHEN pct = 0 THEN {col} WHEN pct <= {threshold} THEN coalesce(pv, nv)
-  ELSE coalesce({col}, CASE WHEN nv IS NULL THEN pv WHEN pv IS NOT NULL THEN
-       pv + (nv - pv) * (CAST(date_diff('day', pt, period) AS DOUBLE) / date_diff('day', pt, nt)) END, nv) END AS {col}
-FROM (SELECT *, round(100.0 * avg(CASE WHEN {col} IS NULL THEN 1.0 ELSE 0.0 END) OVER ({part}), 2) AS pct,
-       last_value({col} IGNORE NULLS) {past} AS pv, last_value(CASE WHEN {col} IS NOT NULL THEN period END IGNORE NULLS) {past} AS pt,
-       first_value({col} IGNORE NULLS) {ahead} AS nv, first_value(CASE WHEN {col} IS NOT NULL THEN period END IGNORE NULLS) {ahead} AS nt
-     FROM ({src}) g) x"""
-
-
 @register("run_gappy_panel_c", ids=("J7", "P13", "P14", "W1"), sql=f"""
 SELECT {KC_SQL}, period, round({CHANGE_C}, {DP}) AS {CHANGE_C}, round({CHANGE_C}_lag_1, {DP}) AS {CHANGE_C}_lag_1,
        round({CHANGE_C}_roll_mean_12, {DP}) AS {CHANGE_C}_roll_mean_12
-FROM ({sql_features(_filled_sql(P.SQL_C_SPINE, KC_SQL, 'v'), KC, 'v', CHANGE_C)}) f
+FROM ({sql_features(filled_sql(P.SQL_C_SPINE, KC_SQL, 'v'), KC, 'v', CHANGE_C)}) f
 """)
 def q_run_gappy(spark, sf):
     """The run's load stage and features on 125 series of which about a quarter of the months are empty."""
@@ -281,7 +267,7 @@ def q_run_gappy(spark, sf):
 
 
 @register("run_gappy_forecast", ids=("J7", "P13", "B3", "B5"), sql=run_forecast_sql(
-    sql_features(_filled_sql(P.SQL_C_SPINE, KC_SQL, "v"), KC, "v", CHANGE_C), KC, CHANGE_C, [f"{CHANGE_C}_lag_1"],
+    sql_features(filled_sql(P.SQL_C_SPINE, KC_SQL, "v"), KC, "v", CHANGE_C), KC, CHANGE_C, [f"{CHANGE_C}_lag_1"],
     feature_columns("v", CHANGE_C), 5, 6, 12, ADF_LAGS))
 def q_run_gappy_forecast(spark, sf):
     """The whole run with OLS, ARIMA and last value on the gappy panel; short series only warn."""
@@ -341,7 +327,7 @@ def q_run_all(spark, sf):
 @register("row_counts", ids=("A14",), sql=f"""
 SELECT g.*, CAST(coalesce(n, 0) AS BIGINT) AS rows_with_features, CAST(rows_on_calendar - coalesce(n, 0) AS BIGINT) AS rows_dropped
 FROM (SELECT {KC_SQL}, CAST(count(v) AS BIGINT) AS rows_given, CAST(count(*) AS BIGINT) AS rows_on_calendar FROM ({P.SQL_C_SPINE}) s GROUP BY {KC_SQL}) g
-LEFT JOIN (SELECT {KC_SQL}, count(*) AS n FROM ({sql_features(_filled_sql(P.SQL_C_SPINE, KC_SQL, 'v'), KC, 'v', CHANGE_C)}) f GROUP BY {KC_SQL}) f
+LEFT JOIN (SELECT {KC_SQL}, count(*) AS n FROM ({sql_features(filled_sql(P.SQL_C_SPINE, KC_SQL, 'v'), KC, 'v', CHANGE_C)}) f GROUP BY {KC_SQL}) f
 USING ({KC_SQL})
 """)
 def q_row_counts(spark, sf):
