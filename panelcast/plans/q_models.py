@@ -125,3 +125,55 @@ def q_tree_recursive_forecast(spark, sf):
     state = T.forecast_state(feats, KD, TARGET_D, cols, 6)
     f = recursive_model_forecast(state, KD, TARGET_D, [*cols, T.SERIES_LEVEL], model, 12)
     return f.select(*KD, "step", "period", rnd("yhat", DP).alias("yhat"))
+
+
+# ---- a boosted tree that SQL can check: all values are bins, so the split search is exact ----------
+_SHAPE = ("quantity", "discount", "tax")
+_SHAPE_SQL = """SELECT floor(l_quantity / 2) AS quantity, round(l_discount * 100, 0) AS discount, round(l_tax * 100, 0) AS tax,
+       l_extendedprice AS label FROM lineitem"""
+
+
+def _level_sql(rows: str, level: int) -> str:
+    """One level of the search: a histogram per node and feature, running sums, the split with the largest fall of squared error."""
+    bins = " UNION ALL ".join(f"SELECT node, '{f}' AS f, {i} AS fi, {f} AS v, count(*) AS n, sum(label) AS s FROM {rows} GROUP BY node, {f}"
+                              for i, f in enumerate(_SHAPE))
+    past, whole = "OVER (PARTITION BY node, f ORDER BY v)", "OVER (PARTITION BY node, f)"
+    return f"""best{level} AS (SELECT node, f, v, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n AS gain FROM (
+  SELECT node, f, fi, v, sum(n) {past} AS nl, sum(s) {past} AS sl, sum(n) {whole} AS n, sum(s) {whole} AS s FROM ({bins}) b) c
+  WHERE nl < n QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, fi, v) = 1),
+rows{level} AS (SELECT r.* EXCLUDE (node), CASE WHEN b.f IS NULL THEN r.node * 2
+  WHEN CASE b.f {' '.join(f"WHEN '{f}' THEN r.{f}" for f in _SHAPE)} END > b.v THEN r.node * 2 + 1 ELSE r.node * 2 END AS node
+  FROM {rows} r LEFT JOIN best{level} b USING (node))"""
+
+
+_TREE_SQL = f"WITH rows0 AS (SELECT *, 1 AS node FROM ({_SHAPE_SQL}) l), {_level_sql('rows0', 1)}, {_level_sql('rows1', 2)}"
+
+
+def _shape_tree(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+
+    from panelcast.sources.tables import read_table
+
+    rows = read_table(spark, sf, "lineitem").select(
+        F.floor(F.col("l_quantity") / 2).cast("double").alias("quantity"), F.round(F.col("l_discount") * 100).alias("discount"),
+        F.round(F.col("l_tax") * 100).alias("tax"), F.col("l_extendedprice").cast("double").alias("label"))
+    ready = VectorAssembler(inputCols=list(_SHAPE), outputCol="features").transform(rows)
+    one = T.make_estimator("gbt", {"n_estimators": 1, "max_depth": 2, "learning_rate": 0.1, "subsample": 1.0})
+    return ready, one.fit(ready)
+
+
+@register("tree_depth2", ids=("E10", "E11", "E13"), sql=f"""{_TREE_SQL}
+SELECT round(avg(label), 2) AS prediction, count(*) AS n FROM rows2 GROUP BY node""")
+def q_tree_depth2(spark, sf):
+    """The boosting estimator's first tree, two levels deep, over all lineitem rows: its leaves."""
+    ready, model = _shape_tree(spark, sf)
+    return model.transform(ready).groupBy(rnd("prediction", 2).alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("tree_depth2_importances", ids=("E14", "T2"), sql=f"""{_TREE_SQL},
+g AS (SELECT f, gain FROM best1 UNION ALL SELECT f, gain FROM best2)
+SELECT feature, round(coalesce(sum(gain), 0) / (SELECT sum(gain) FROM g), 6) AS importance
+FROM (SELECT unnest([{', '.join(f"'{f}'" for f in _SHAPE)}]) AS feature) x LEFT JOIN g ON f = feature GROUP BY feature""")
+def q_tree_depth2_importances(spark, sf):
+    _, model = _shape_tree(spark, sf)
+    return T.importances(spark, model, list(_SHAPE)).select("feature", rnd("importance", 6).alias("importance"))
