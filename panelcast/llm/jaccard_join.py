@@ -182,31 +182,29 @@ def _read(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _named(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id, node, n_shingles`` of every row."""
+def _named(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``doc_id, node, n_shingles, keys`` of every row; the packed tile keys come once per set and task (a set may
+    come again when the task's memory of sets is full)."""
     def make():
+        new = _once()
+
         def of_slice(cols):
             sets = [shingle_set(t, shingle) for t in cols["text"]]
-            return {"doc_id": cols["doc_id"], "node": [node_of(s) for s in sets], "n_shingles": [len(s) for s in sets]}
+            nodes = [node_of(s) for s in sets]
+            return {"doc_id": cols["doc_id"], "node": nodes, "n_shingles": [len(s) for s in sets],
+                    "keys": [keys_of(s, percent).tobytes() if new(n) else None for s, n in zip(sets, nodes)]}
         return of_slice
 
-    return map_slices(_read(docs), make, "doc_id long, node long, n_shingles long")
+    return map_slices(_read(docs), make, "doc_id long, node long, n_shingles long, keys binary")
 
 
-def _keyed(docs: DataFrame, shingle: int, percent: int, among: Filter | None = None) -> DataFrame:
-    """``key, node``: the tile keys (that ``among`` may hold), once per set and task (a set may come
-    again when the task's memory of sets is full)."""
+def _keyed(named: DataFrame, among: Filter | None = None) -> DataFrame:
+    """``key, node``: the tile keys (that ``among`` may hold)."""
     def make():
-        new = _once()
-
         def of_slice(cols):
             keys, nodes = [], []
-            for t in cols["text"]:
-                s = shingle_set(t, shingle)
-                node = node_of(s)
-                if not new(node):
-                    continue
-                k = keys_of(s, percent)
+            for node, packed in zip(cols["node"], cols["keys"]):
+                k = np.frombuffer(packed, "<i8")
                 if among is not None:
                     k = k[among.may_hold(k)]
                 keys.append(k)
@@ -214,7 +212,7 @@ def _keyed(docs: DataFrame, shingle: int, percent: int, among: Filter | None = N
             return {"key": np.concatenate(keys), "node": np.concatenate(nodes)} if keys else None
         return of_slice
 
-    return map_slices(_read(docs).select("text"), make, "key long, node long")
+    return map_slices(named.where("length(keys) > 0").select("node", "keys"), make, "key long, node long")
 
 
 def _sets(docs: DataFrame, shingle: int, among: Filter) -> DataFrame:
@@ -377,11 +375,11 @@ def jaccard_components(docs: DataFrame, *, shingle: int = 4, percent: int = 85)
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     if not 1 <= percent <= 100 or shingle < 1:
         raise ValueError("percent must lie in 1 to 100, shingle must be positive")
-    named = written(_named(docs, shingle), "jaccard-nodes")
+    named = written(_named(docs, shingle, percent), "jaccard-nodes")
     # A key's least and greatest node are gathered in the map tasks, so a key that many sets share sends one row a task.
-    hubs = written(_keyed(docs, shingle, percent).groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+    hubs = written(_keyed(named).groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"))
                    .where("hub < last").select("key", "hub"), "jaccard-hubs")
-    shared = written(_keyed(docs, shingle, percent, Filter(hubs, "key")).join(hubs, "key").distinct(), "jaccard-shared")
+    shared = written(_keyed(named, Filter(hubs, "key")).join(hubs, "key").distinct(), "jaccard-shared")
     wanted = shared.select("node").distinct()
     sets = written(_sets(docs, shingle, Filter(wanted, "node")).join(wanted, "node", "left_semi").dropDuplicates(["node"]), "jaccard-sets")
     roots = components(_links(shared, sets, percent))
