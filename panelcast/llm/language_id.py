@@ -9,10 +9,14 @@ and the languages' prior are summed; the score is the posterior probability of t
 
 Training counts words and n-grams per language over labelled documents: all of
 a language with up to ``max_rows`` of them, else about as many chosen by a hash of id and text
-(documented bound). The tables hold about the ``known_words`` words and ``known_grams``
-n-grams most frequent in each language, with their counts in every language, so no language pushes out
+(documented bound). The tables hold every word and n-gram that some language has ``least`` times or more,
+with its counts in every language: one rule at every size, and no language pushes out
 another's; the model grows with the number of languages only. The prior counts all documents. Scoring reads every whole text.
 
+A slice's new words are scored together: their characters are one array, each place looks
+up its n-grams as 64-bit codes in sorted tables, longest first, and the evidence is summed per word.
+A worker keeps the evidence of the words it has met (bounded).
+
 Edge cases: a NULL text or one without a letter is ``'und'`` with score 0, as
 is every text when nothing was learned. A NULL language does not train. Ties go
 to the alphabetically first language. Repeated rows are scored each. Only
@@ -35,7 +39,7 @@ from panelcast.llm.common import SLICE, map_arrow, map_slices, written
 
 MAX_GRAM = 4
 LETTERS = re.compile(r"[^\W\d_]+")
-CACHE_LIMIT = 200_000
+CACHE_LIMIT = 600_000
 #: A count that every language has of every entry.
 SMOOTH = 0.5
 #: Letters of a word that n-grams are made of; longer runs of letters are cut into such parts.
@@ -64,32 +68,70 @@ class Model:
         self.langs, self.prior = langs, np.array(prior)
         self.known, self.gram = known, gram
         self.base, self.first, self.at, self.gain = base, first, at, gain
+        self.tables = {}
+        for n in range(1, MAX_GRAM + 1):
+            spelled = [g for g in gram if len(g) == n]
+            codes = _codes(np.frombuffer("".join(spelled).encode("utf-32-le"), "<u4"), n)[n - 1::n]
+            order = np.argsort(codes, kind="stable")
+            self.tables[n] = (codes[order], np.array([gram[g] for g in spelled], dtype=np.int64)[order])
 
     def flat(self) -> tuple:
         return self.langs, self.prior, self.known, self.gram, self.base, self.first, self.at, self.gain
 
-    def evidence(self, word: str) -> np.ndarray:
-        """Known word, else mean over its places of the longest known n-gram ending there."""
-        e = self.known.get(word)
-        if e is not None:
-            out, own = self.base[0].copy(), slice(self.first[e], self.first[e + 1])
-            out[self.at[own]] += self.gain[own]
+    def _gained(self, entries: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+        """(owners, languages): the gains of all entries added up per owner."""
+        size = self.first[entries + 1] - self.first[entries]
+        own = np.arange(size.sum()) + np.repeat(self.first[entries] - np.cumsum(size) + size, size)
+        place = np.repeat(owner, size) * len(self.langs) + self.at[own]
+        return np.bincount(place, weights=self.gain[own], minlength=owners * len(self.langs)).reshape(owners, -1)
+
+    def evidence(self, new: list[str]) -> np.ndarray:
+        """(words, languages): a known word's log frequency, else the mean over a word's places of the longest
+        known n-gram ending there."""
+        out = np.zeros((len(new), len(self.langs)))
+        entry = np.array([self.known.get(w, -1) for w in new], dtype=np.int64)
+        known = np.flatnonzero(entry >= 0)
+        if len(known):
+            out[known] = self.base[0] + self._gained(entry[known], np.arange(len(known)), len(known))
+        rest = np.flatnonzero(entry < 0)
+        if not len(rest):
             return out
-        found, sizes = [], []
-        for at in range(0, len(word), LONGEST_WORD):
-            marked = f"^{word[at:at + LONGEST_WORD]}$"
-            for end in range(2, len(marked) + 1):
-                for n in range(min(MAX_GRAM, end), 0, -1):
-                    g = self.gram.get(marked[end - n:end])
-                    if g is not None:
-                        found.append(g)
-                        sizes.append(n)
-                        break
-        out = np.zeros(len(self.langs))
-        if found:
-            own = np.concatenate([np.arange(self.first[g], self.first[g + 1]) for g in found])
-            out = self.base[sizes].sum(axis=0) + np.bincount(self.at[own], weights=self.gain[own], minlength=len(out))
-        return out / max(1, len(found))
+        parts = [(k, f"^{new[w][at:at + LONGEST_WORD]}$") for k, w in enumerate(rest) for at in range(0, len(new[w]), LONGEST_WORD)]
+        length = np.array([len(p) for _, p in parts])
+        chars = np.frombuffer("".join(p for _, p in parts).encode("utf-32-le"), "<u4")
+        owner = np.repeat([k for k, _ in parts], length)
+        inside = np.arange(len(chars)) - np.repeat(np.cumsum(length) - length, length)
+        left = np.flatnonzero(inside > 0)
+        sums, places = np.zeros((len(rest), len(self.langs))), np.zeros(len(rest))
+        for n in range(MAX_GRAM, 0, -1):
+            codes, entries = self.tables[n]
+            if not len(codes) or not len(left):
+                continue
+            fits = left[inside[left] >= n - 1]
+            code = _codes(chars, n)[fits]
+            at = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+            hit = codes[at] == code
+            mine = owner[fits[hit]]
+            count = np.bincount(mine, minlength=len(rest))
+            sums += count[:, None] * self.base[n] + self._gained(entries[at[hit]], mine, len(rest))
+            places += count
+            open_ = np.ones(len(chars), dtype=bool)
+            open_[fits[hit]] = False
+            left = left[open_[left]]
+        out[rest] = sums / np.maximum(places, 1)[:, None]
+        return out
+
+
+def _codes(chars: np.ndarray, n: int) -> np.ndarray:
+    """At each place the code of the ``n`` characters ending there (meaningless for the first n - 1 places).
+
+    Up to three characters are spelled out in 21 bits each; a fourth is mixed in by multiplication."""
+    c = chars.astype("<u8")
+    out = c.copy()
+    for back in range(1, n):
+        shifted = np.concatenate([np.zeros(back, dtype="<u8"), c[:-back]]) if back < len(c) else np.zeros(len(c), dtype="<u8")
+        out += shifted << np.uint64(21 * back) if back < 3 else shifted * np.uint64(0x9E3779B97F4A7C15)
+    return out
 
 
 class Evidence(dict):
@@ -98,22 +140,27 @@ class Evidence(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.rows = np.zeros((CACHE_LIMIT * 2, len(model.langs)))
+        self.rows = np.zeros((1 << 16, len(model.langs)))
 
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        if at == len(self.rows):
+    def learn(self, new: list[str]) -> None:
+        end = len(self) + len(new)
+        while end > len(self.rows):
             self.rows = np.concatenate((self.rows, np.zeros_like(self.rows)))
-        self.rows[at] = self.model.evidence(word)
-        self[word] = at
-        return at
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        ws = words(text)
-        if not ws or not self.model.langs:
-            return "und", 0.0
+        for at in range(0, len(new), SLICE * SLICE):
+            some = new[at:at + SLICE * SLICE]
+            self.rows[len(self):len(self) + len(some)] = self.model.evidence(some)
+            self.update(zip(some, range(len(self), len(self) + len(some))))
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        each = [words(t) for t in texts]
+        if not self.model.langs:
+            return [("und", 0.0)] * len(texts)
         if len(self) > CACHE_LIMIT:
             self.clear()
+        self.learn(list(dict.fromkeys(w for ws in each for w in ws if w not in self)))
+        return [self._best(ws) if ws else ("und", 0.0) for ws in each]
+
+    def _best(self, ws: list[str]) -> tuple[str, float]:
         at = np.fromiter(map(self.__getitem__, ws), dtype=np.int64, count=len(ws))
         total = self.rows[at].sum(axis=0) + self.model.prior
         best = int(total.argmax())
@@ -131,7 +178,7 @@ def loaded(token: str, shared) -> Evidence:
     return _loaded[token]
 
 
-def train(docs: DataFrame, *, max_rows: int = 20_000, known_words: int = 60_000, known_grams: int = 120_000) -> Model:
+def train(docs: DataFrame, *, max_rows: int = 20_000, least: int = 3) -> Model:
     """Learns from ``text`` and non-NULL ``lang`` of ``docs``."""
     source = docs.where("lang is not null and text is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
@@ -175,17 +222,17 @@ def train(docs: DataFrame, *, max_rows: int = 20_000, known_words: int = 60_000,
                       .groupBy("lang", "word").agg(F.sum("n").alias("n")), "language-grams")
     total = sum(documents.values())
     prior = [float(np.log(documents[x] / total)) for x in langs]
-    known, *own = _table(counted, langs, known_words)
-    gram, *more = _table(spelled, langs, known_grams, by_size=True)
+    known, *own = _table(counted, langs, least)
+    gram, *more = _table(spelled, langs, least, by_size=True)
     base = np.concatenate((own[0][:1], more[0][1:]))
     first, at, gain = (np.concatenate(x) for x in zip(own[1:], more[1:]))
     return Model(langs, prior, {w: k for k, w in enumerate(known)}, {g: k + len(known) for k, g in enumerate(gram)},
                  base, np.concatenate(([0], np.cumsum(first))), at, gain)
 
 
-def _table(counted: DataFrame, langs: list[str], most: int, *, by_size: bool = False) -> tuple:
-    """(entries, base, languages per entry, their places, gains) of about the ``most`` most frequent entries of each
-    language; n-grams count among those of their length."""
+def _table(counted: DataFrame, langs: list[str], least: int, *, by_size: bool = False) -> tuple:
+    """(entries, base, languages per entry, their places, gains) of the entries that a language has ``least`` times
+    or more; n-grams count among those of their length."""
     kind = F.length("word") if by_size else F.lit(0)
     place = {x: k for k, x in enumerate(langs)}
     sums, kinds = np.zeros((MAX_GRAM + 1, len(langs))), np.zeros(MAX_GRAM + 1)
@@ -193,17 +240,8 @@ def _table(counted: DataFrame, langs: list[str], most: int, *, by_size: bool = F
         sums[r.kind, place[r.lang]] = r.n
         kinds[r.kind] += r.d
     base = np.log(SMOOTH) - np.log(np.maximum(sums + SMOOTH * kinds[:, None], SMOOTH))
-    # as many rows as a language has different counts, at most about the root of its words
-    left, cuts = dict.fromkeys(langs, most), {}
-    for r in counted.groupBy("lang", "n").agg(F.count("*").alias("d")).orderBy(F.desc("n")).collect():
-        if left[r.lang] > 0:
-            cuts[r.lang] = (r.lang, r.n, PARTS if r.d <= left[r.lang] else left[r.lang] * PARTS // r.d)
-            left[r.lang] -= r.d
-    cut = counted.sparkSession.createDataFrame(list(cuts.values()), "lang string, cut long, share long")
-    kept = (F.col("n") > F.col("cut")) | (F.col("n") == F.col("cut")) & (F.pmod(F.xxhash64("word"), F.lit(PARTS)) < F.col("share"))
-    found = (counted.join(F.broadcast(cut), "lang").groupBy("word")
-             .agg(F.max(kept).alias("kept"), F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("by"))
-             .where("kept").select("word", "by").toArrow())
+    found = (counted.groupBy("word").agg(F.max("n").alias("most"), F.sort_array(F.collect_list(F.struct("lang", "n"))).alias("by"))
+             .where(F.col("most") >= least).select("word", "by").toArrow())
     by = found["by"].combine_chunks()
     each = by.flatten()
     at = np.array([place[x] for x in each.field("lang").to_pylist()], dtype=np.int64)
@@ -220,7 +258,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         own = loaded(token, shared)
 
         def of_slice(cols):
-            found = [own.predict(t) for t in cols["text"]]
+            found = own.predict(cols["text"])
             return {"doc_id": cols["doc_id"], "lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
 
         return of_slice

@@ -67,11 +67,11 @@ def languages(spark, n):
 
 def test_language_held_out_accuracy_and_backoff(spark):
     docs = languages(spark, 500)
-    model = L.train(docs.where("doc_id % 4 <> 2"), known_words=200)
+    model = L.train(docs.where("doc_id % 4 <> 2"))
     got = L.predict(docs, model).join(docs.select("doc_id", "lang"), "doc_id").where("doc_id % 4 = 2 and lang is not null").collect()
     assert np.mean([r.lang_pred == r.lang for r in got]) > 0.97
     e = L.Evidence(model)
-    assert e.predict("straßen gärten häuser")[0] == "de"  # unknown words, by their n-grams
+    assert e.predict(["straßen gärten häuser"])[0][0] == "de"  # unknown words, by their n-grams
     assert "straßen" not in model.known
 
 
@@ -81,14 +81,13 @@ def test_language_awkward_rows(spark):
     assert len(got) == len(X.rows())
     by = {r[1]: None for r in X.rows()}
     e = L.Evidence(model)
-    for text in by:
-        lang, score = e.predict(text)
+    for text, (lang, score) in zip(by, e.predict(list(by))):
         assert (lang == "und") == (text is None or not any(c.isalpha() for c in text)) and 0 <= score <= 1
     assert L.train(X.empty(spark)).langs == []
     assert {r.lang_pred for r in L.predict(X.documents(spark), L.train(X.empty(spark))).collect()} == {"und"}
     assert L.predict(X.empty(spark), model).count() == 0
     digits = L.train(spark.createDataFrame([(1, "12 34", "en", "s", 5)], X.SCHEMA))
-    assert digits.langs == ["en"] and L.Evidence(digits).predict("word") == ("en", 1.0)
+    assert digits.langs == ["en"] and L.Evidence(digits).predict(["word"]) == [("en", 1.0)]
 
 
 def test_language_bounds_hold_per_language(spark):
@@ -96,14 +95,64 @@ def test_language_bounds_hold_per_language(spark):
     rng = random.Random(8)
     rows = [(None, X.prose(rng, 12), "en", "s", 0) for _ in range(1500)] + [(None, X.prose(rng, 30, X.DE), "de", "s", 0) for _ in range(6)]
     docs = spark.createDataFrame(rows, X.SCHEMA)
-    model = L.train(docs, max_rows=100, known_words=15, known_grams=60)
+    model = L.train(docs, max_rows=100)
     assert model.langs == ["de", "en"]
     assert np.allclose(np.exp(model.prior), [6 / 1506, 1500 / 1506])
     seen = L.SMOOTH / np.exp(model.base[0])  # words, and SMOOTH for each distinct one
     assert 6 * 30 < seen[0] and 12 * 50 < seen[1] < 12 * 300
     for lang, other in ((X.DE, X.EN), (X.EN, X.DE)):
         assert len(set(model.known) & set(lang) - set(other)) >= 5
-    assert L.Evidence(model).predict("straße abend nicht")[0] == "de"
+    assert L.Evidence(model).predict(["straße abend nicht"])[0][0] == "de"
+
+
+def plain_scores(train, texts, least):
+    """Posterior of the best language by the module's rules, word by word, from plain counts."""
+    langs = sorted({x for _, x in train})
+    word, gram = {x: Counter() for x in langs}, {x: Counter() for x in langs}
+    for text, x in train:
+        word[x].update(L.words(text))
+    for x in langs:
+        for w, n in word[x].items():
+            for at in range(0, len(w), L.LONGEST_WORD):
+                for size in range(1, L.MAX_GRAM + 1):
+                    for g in L.grams(w[at:at + L.LONGEST_WORD], size):
+                        gram[x][g] += n
+    known = {w for c in word.values() for w, n in c.items() if n >= least}
+    spelled = {g for c in gram.values() for g, n in c.items() if n >= least}
+
+    def log(c, size, entry):
+        mine = [(e, n) for x in langs for e, n in c[x].items() if size == 0 or len(e) == size]
+        out = []
+        for x in langs:
+            total = sum(n for e, n in c[x].items() if size == 0 or len(e) == size)
+            out.append(math.log((c[x][entry] + L.SMOOTH) / (total + L.SMOOTH * len(mine))))
+        return out
+
+    found = []
+    for text in texts:
+        total = [math.log(sum(y == x for _, y in train) / len(train)) for x in langs]
+        ws = L.words(text)
+        for w in ws:
+            rows = [log(word, 0, w)] if w in known else []
+            for at in range(0, len(w), L.LONGEST_WORD) if not rows else ():
+                marked = f"^{w[at:at + L.LONGEST_WORD]}$"
+                for end in range(2, len(marked) + 1):
+                    size = next((n for n in range(min(L.MAX_GRAM, end), 0, -1) if marked[end - n:end] in spelled), None)
+                    rows += [log(gram, size, marked[end - size:end])] if size else []
+            total = [t + sum(r[k] for r in rows) / max(1, len(rows)) for k, t in enumerate(total)]
+        best = max(range(len(langs)), key=lambda k: (total[k], -k))
+        found.append((langs[best], 1 / sum(math.exp(t - total[best]) for t in total)) if ws else ("und", 0.0))
+    return found
+
+
+def test_language_scores_are_those_of_a_plain_scorer(spark):
+    docs = languages(spark, 40)
+    train = [(r.text, r.lang) for r in docs.where("lang is not null").collect()]
+    texts = ["the straße", "unbekanntes wort", "x" * 150 + " river", "日本 naïve", "12", None, "", *[t for t, _ in train[:6]]]
+    got = L.Evidence(L.train(docs)).predict(texts)
+    want = plain_scores(train, texts, 3)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert np.allclose([g[1] for g in got], [w[1] for w in want], atol=1e-9)
 
 
 def lower(text):
