@@ -2,7 +2,7 @@
 
 1. Every text gets a 64-bit fingerprint of its word shingles (XXH64, seed 42;
    a bit is set if it is set in over half the hashes).
-2. Equal fingerprints are one node, named by their smallest ``doc_id``.
+2. Equal fingerprints are one node, named by the fingerprint itself.
 3. Fingerprints within ``radius`` bits agree on at least ``blocks - radius``
    of ``blocks`` bit blocks, so every link shares one of the
    C(blocks, radius) keys made of the other blocks' bits. Only keys with two
@@ -19,9 +19,9 @@
 
 Edge cases: a NULL or empty text has fingerprint zero and is linked like any
 other. A text of fewer words than a shingle is one shingle. Rows with a NULL
-``doc_id`` take part with their fingerprint but can name no component: theirs
-is NULL when no other member has an id. Repeated rows are kept. An empty table
-gives an empty result.
+``doc_id`` take part with their fingerprint, and bridge like any other, but can name no component: theirs
+is NULL when no other member has an id. Rows of one ``doc_id`` with different texts
+are different nodes. Repeated rows are kept. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -65,16 +65,21 @@ def fingerprint(hashes: list[int]) -> int:
 
 
 def fingerprints(docs: DataFrame, *, shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` for every row of ``docs``."""
+    """``doc_id, text_hash, fp`` for every row of ``docs``."""
     def make():
         def of_slice(cols):
-            return {"doc_id": cols["doc_id"], "fp": [
+            return {"doc_id": cols["doc_id"], "text_hash": cols["text_hash"], "fp": [
                 fingerprint(shingle_hashes(t.encode().translate(LOWER_AZ).split(), shingle)) if t else 0
                 for t in cols["text"]]}
         return of_slice
 
-    return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")),
-                      make, "doc_id long, fp long")
+    return map_slices(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                  _text_hash().alias("text_hash")), make, "doc_id long, text_hash long, fp long")
+
+
+def _text_hash():
+    """Tells the texts of one ``doc_id`` apart."""
+    return F.xxhash64(F.col("text").cast("string"))
 
 
 def links_within(fps: np.ndarray, radius: int) -> np.ndarray:
@@ -200,22 +205,31 @@ def candidate_links(nodes: DataFrame, *, radius: int = 2, blocks: int = 4) -> Da
 
 def near_duplicates(docs: DataFrame, *, shingle: int = 3, radius: int = 2, blocks: int = 4) -> DataFrame:
     """``doc_id, fp, component_id`` for every row of ``docs``."""
+    return _placed(docs, shingle, radius, blocks).select("doc_id", "fp", "component_id")
+
+
+def _placed(docs: DataFrame, shingle: int, radius: int, blocks: int) -> DataFrame:
+    """``doc_id, text_hash, fp, root, component_id``: the root is a fingerprint."""
     fps = written(fingerprints(docs, shingle=shingle), "fingerprints")
-    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "fingerprint-nodes")
-    edges = candidate_links(nodes.where("node is not null"), radius=radius, blocks=blocks)
-    roots = components(edges)
-    named = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
-
-
-def keep_one(docs: DataFrame, *, shingle: int = 3, radius: int = 2) -> DataFrame:
-    """One row of every component: that of its smallest ``doc_id`` (of rows
-    that share it, one). Rows with a NULL ``doc_id`` stay: they cannot be told apart."""
-    found = near_duplicates(docs, shingle=shingle, radius=radius)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
+    nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-nodes")
+    roots = components(candidate_links(nodes.select(F.col("fp").alias("node"), "fp"), radius=radius, blocks=blocks))
+    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "root", "component_id")
+    return fps.join(named, "fp")
+
+
+def keep_one(docs: DataFrame, *, shingle: int = 3, radius: int = 2, blocks: int = 4) -> DataFrame:
+    """One row of every component: that of its smallest ``doc_id``; if several texts of the component share that
+    id, the one with the smallest hash, and of equal rows one. Texts of one id in different components all stay.
+    Rows with a NULL ``doc_id`` stay: they cannot be told apart."""
+    placed = _placed(docs, shingle, radius, blocks)
+    first = (placed.where("doc_id is not null").groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
+             .select(F.col("f.doc_id").alias("__first"), F.col("f.text_hash").alias("__hash")).distinct())
     known = docs.where("doc_id is not null")
-    repeated = known.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__many"))
-    kept = known.join(first, F.col("doc_id") == F.col("__first"), "left_semi")
-    single = kept.join(repeated, F.col("doc_id") == F.col("__many"), "left_anti")
-    once = kept.join(repeated, F.col("doc_id") == F.col("__many"), "left_semi").dropDuplicates(["doc_id"])
+    mine = (F.col("doc_id") == F.col("__first")) & (_text_hash() == F.col("__hash"))
+    kept = known.join(first, mine, "left_semi")
+    repeated = (known.groupBy("doc_id", _text_hash().alias("__hash")).count().where("count > 1")
+                .select(F.col("doc_id").alias("__first"), "__hash"))
+    single = kept.join(repeated, mine, "left_anti")
+    once = kept.join(repeated, mine, "left_semi").withColumn("__hash", _text_hash()).dropDuplicates(["doc_id", "__hash"]).drop("__hash")
     return single.unionByName(once).unionByName(docs.where("doc_id is null"))

@@ -85,3 +85,21 @@ def test_keep_one_and_empty(spark):
     first = {r.component_id for r in S.near_duplicates(X.documents(spark)).collect()}
     assert sorted(k for k in kept if k is not None) == sorted(first) and kept.count(None) == 1
     assert S.near_duplicates(X.empty(spark)).count() == 0 and S.keep_one(X.empty(spark)).count() == 0
+
+
+def test_one_id_with_several_texts_and_rows_without_id(spark, monkeypatch):
+    """Ids name rows, fingerprints name nodes: (1, 0) and (2, 1) are linked although id 1 has another text too; a
+    fingerprint that only a row without id has bridges two others."""
+    rows = [(1, 11, 0), (1, 12, -1), (2, 13, 1), (3, 14, -2), (None, 15, 0b111 << 20), (8, 16, 0b1 << 20), (9, 17, 0b11111 << 20)]
+    monkeypatch.setattr(S, "fingerprints", lambda docs, shingle: spark.createDataFrame(rows, "doc_id long, text_hash long, fp long"))
+    got = {(r.doc_id, r.fp): r.component_id for r in S.near_duplicates(None).collect()}
+    # 0 - 1, -1 - -2, and 0b1 << 20 within one bit of 0, two bits of 0b111 << 20, which is two bits from 0b11111 << 20
+    assert got == {(1, 0): 1, (2, 1): 1, (8, 1 << 20): 1, (None, 7 << 20): 1, (9, 31 << 20): 1, (1, -1): 1, (3, -2): 1}
+
+
+def test_two_texts_of_one_id_both_stay(spark):
+    a, b = (X.prose(random.Random(k), 60) for k in (1, 2))
+    rows = [(1, a), (1, b), (2, a), (3, b + " more"), (1, a), (None, a)]
+    kept = S.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept if r.doc_id is not None and r.doc_id != 3)) == sorted([(1, a), (1, b)])
+    assert [r.text for r in kept if r.doc_id is None] == [a]
