@@ -28,8 +28,9 @@ from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -349,11 +350,13 @@ def train(docs: DataFrame, *, sample_docs: int = 4000, shards: int = 4, epochs:
 def all_spans(text: str | None, model: Model) -> tuple[list, list]:
     """(base spans, base and model spans), each by start and then kind."""
     base = base_spans(text)
+    starts = [x for _, x, _ in base]  # base spans come by start
+    furthest = list(accumulate((y for _, _, y in base), max))
     added = []
     for region in regions(text):
-        lo, hi = region[0][0], region[-1][1]
         for kind, a, b in model.decode(text, region):
-            if not any(a < y and x < b for _, x, y in base if x < hi and y > lo):
+            before = bisect_left(starts, b)  # spans that start before b; one of them overlaps if any ends after a
+            if not before or furthest[before - 1] <= a:
                 added.append((kind, a, b))
     return base, sorted(base + added, key=lambda s: (s[1], KINDS.index(s[0]), s[2])) if added else base
 
