@@ -14,9 +14,11 @@ from panelcast.llm.simhash_dedup import keep_one
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    measured = written(docs.select("doc_id", quality_rules.stratum_of(F.col("lang")).alias("stratum"),
-                                   quality_rules.metrics(F.col("text")).alias("m")), "metrics")
-    cutoffs = written(quality_rules.calibrate(measured, spark.read.parquet(f"{sf_dir}/labels.parquet")), "cutoffs")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labelled = docs.join(labels.where("quality is not null").select("doc_id"), "doc_id", "left_semi")  # calibration reads no others
+    measured = written(labelled.select("doc_id", quality_rules.stratum_of(F.col("lang")).alias("stratum"),
+                                       quality_rules.metrics(F.col("text")).alias("m")), "metrics")
+    cutoffs = written(quality_rules.calibrate(measured, labels), "cutoffs")
     return quality_rules.keep(docs, cutoffs)
 
 
