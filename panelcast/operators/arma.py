@@ -306,3 +306,87 @@ def backtest_predictions(rel, keys: Sequence[str], y: str, n_folds: int = 5, hor
     j = test.join(fc, G + ["step"])
     return j.select([(k, k) for k in keys] + [("model", f"'{model}'"), ("fold_idx", "CAST(fold_idx AS INT)"),
                                                ("period", order), ("y_true", "y_true"), ("y_pred", "y_pred")])
+
+
+# --- third step of Hannan & Rissanen -----------------------------------------------------------
+
+def _recursion(max_p: int, max_q: int, phi: str, theta: str, c: str) -> str:
+    """Spark text: the innovation of ``x`` after state ``s`` (``w, e``: last values, newest first)."""
+    terms = [f"{phi}[{i}] * s.w[{i}]" for i in range(max_p)] + [f"{theta}[{j}] * s.e[{j}]" for j in range(max_q)]
+    return f"x - {c}" + "".join(f" - {t}" for t in terms)
+
+
+def _push(new: str, old: str, most: int) -> str:
+    return f"slice(concat(array({new}), {old}), 1, {most})"
+
+
+def refine_text(max_p: int = 3, max_q: int = 2) -> dict[str, str]:
+    """Spark texts over ``_r_w`` (the differenced series in order), ``_r_phi, _r_theta, c, p, q``.
+
+    ``normal``: the normal equations of the innovations on their derivatives by the parameters. These are
+    the series and the innovations filtered by the moving-average part (eta, xi, kappa for the
+    constant), so one fold over the series carries filters and sums together.
+    ``css``: squared innovations summed, given ``phi, theta, c`` as names of columns."""
+    m, n = max(max_p, max_q, 1), max_p + max_q + 2
+
+    def filtered(new: str, name: str) -> str:
+        return new + "".join(f" - _r_theta[{j}] * s.{name}[{j}]" for j in range(max_q))
+
+    e = _recursion(max_p, max_q, "_r_phi", "_r_theta", "c")
+    first = f"named_struct('e', {e}, 'eta', {filtered('x', 'eta')}, 'kap', {filtered('1D', 'kap')})"
+    second = f"named_struct('f', f, 'xi', {filtered('f.e', 'xi')}, 'r', array({', '.join([f's.eta[{i}]' for i in range(max_p)] + [f's.xi[{j}]' for j in range(max_q)] + ['f.kap', 'f.e'])}))"
+    zeros = f"array_repeat(0D, {m})"
+    start = f"named_struct('t', 0, 'w', {zeros}, 'e', {zeros}, 'eta', {zeros}, 'xi', {zeros}, 'kap', {zeros}, 'a', array_repeat(0D, {n * n}))"
+    moved = ", ".join([f"'t', s.t + 1, 'w', {_push('x', 's.w', m)}, 'e', {_push('g.f.e', 's.e', m)}", f"'eta', {_push('g.f.eta', 's.eta', m)}",
+                       f"'xi', {_push('g.xi', 's.xi', m)}", f"'kap', {_push('g.f.kap', 's.kap', m)}"])
+    sums = f"CASE WHEN s.t < {m} THEN s.a ELSE transform(s.a, (v, i) -> v + g.r[i div {n}] * g.r[i % {n}]) END"
+    step = (f"transform(transform(array({first}), f -> {second}), g -> named_struct({moved}, 'a', {sums}))[0]")
+    normal = f"aggregate(_r_w, {start}, (s, x) -> {step}, s -> s.a)"
+
+    def css(phi: str, theta: str, c: str) -> str:
+        own = _recursion(max_p, max_q, phi, theta, c)
+        return (f"aggregate(_r_w, named_struct('t', 0, 'w', {zeros}, 'e', {zeros}, 'q', 0D), (s, x) -> transform(array({own}), u -> "
+                f"named_struct('t', s.t + 1, 'w', {_push('x', 's.w', m)}, 'e', {_push('u', 's.e', m)}, "
+                f"'q', s.q + CASE WHEN s.t < {m} THEN 0D ELSE u * u END))[0])")
+
+    return {"normal": normal, "css_before": css("_r_phi", "_r_theta", "c"), "css_after": css("_r_phi2", "_r_theta2", "_r_c2")}
+
+
+def refine(fit, rel, G: Sequence[str], y: str, max_p: int = 3, max_q: int = 2, order: str = "period"):
+    """Third Hannan-Rissanen step on a ``hannan_rissanen`` result: one Gauss-Newton step on the
+    squared innovations, which takes away the bias of the two-step estimates.
+
+    ``rel`` is the relation the fit came from. A step that does not lower the sum of squared innovations, or is not
+    finite, is not taken (``refined`` false). Adds ``refined``; ``sigma2`` and the last innovations follow the
+    new coefficients. Spark only; a series is one array here, so its length is bounded by a row."""
+    from pyspark.sql import functions as F
+
+    from panelcast.functions.dual import SparkRel
+    from panelcast.functions.linalg import swept
+
+    k, n = max_p + max_q + 1, max_p + max_q + 2
+    text = refine_text(max_p, max_q)
+    w = win(G, order)
+    series = _keep(rel, [*G, order, y]).join(fit.select([(g, g) for g in G] + [("d", "d")]), list(G))
+    series = series.stages([[("_h_w", f"CASE WHEN d = 1 THEN {y} - lag({y}, 1) {w} ELSE {y} END")]]).filter("_h_w IS NOT NULL")
+    arrays = series.df.groupBy(*G).agg(F.expr(f"transform(array_sort(collect_list(struct({order} AS t, CAST(_h_w AS DOUBLE) AS w))), z -> z.w)").alias("_r_w"))
+    out = SparkRel(fit.df.join(arrays, list(G)))
+    out = out.stages([[("_r_phi", f"array({', '.join(f'phi{i + 1}' for i in range(max_p))})"),
+                       ("_r_theta", f"array({', '.join(f'theta{j + 1}' for j in range(max_q))})")]])
+    # parameters that the order does not have are no regressors
+    on = [f"p > {i}" for i in range(max_p)] + [f"q > {j}" for j in range(max_q)] + ["d = 0", "TRUE"]
+    on = f"array({', '.join(on)})"
+    out = out.stages([[("_r_a", text["normal"])],
+                      [("_r_a", f"transform(_r_a, (v, i) -> CASE WHEN {on}[i div {n}] AND {on}[i % {n}] THEN v ELSE 0D END)")],
+                      [("_r_s", swept("_r_a", k, n))],
+                      [("_r_phi2", f"transform(_r_phi, (v, i) -> v + _r_s[i * {n} + {k}])"),
+                       ("_r_theta2", f"transform(_r_theta, (v, i) -> v + _r_s[(i + {max_p}) * {n} + {k}])"),
+                       ("_r_c2", f"c + _r_s[{(k - 1) * n + k}]")],
+                      [("_r_old", text["css_before"]), ("_r_new", text["css_after"])],
+                      [("refined", "coalesce(_r_new.q < _r_old.q AND NOT isnan(_r_new.q), false)")]])
+    better = [(f"phi{i + 1}", f"CASE WHEN refined THEN _r_phi2[{i}] ELSE phi{i + 1} END") for i in range(max_p)]
+    better += [(f"theta{j + 1}", f"CASE WHEN refined THEN _r_theta2[{j}] ELSE theta{j + 1} END") for j in range(max_q)]
+    better += [(f"e_t{j}", f"CASE WHEN refined THEN _r_new.e[{j}] ELSE e_t{j} END") for j in range(max_q)]
+    better += [("c", "CASE WHEN refined THEN _r_c2 ELSE c END"),
+               ("sigma2", f"CASE WHEN refined THEN _r_new.q / (_r_new.t - {max(max_p, max_q, 1)}) ELSE sigma2 END")]
+    return out.replace([x for x in out.df.columns if x.startswith("_r_")], better)

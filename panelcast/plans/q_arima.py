@@ -57,3 +57,12 @@ def _fc_out(rel):
 @register("arima_forecast", ids=("E8", "E9", "F3"), sql=_fc_out(SqlRel(sql_features_d())).sql)
 def q_arima_forecast(spark, sf):
     return _fc_out(SparkRel(features_d(spark, sf))).df
+
+
+@register("arima_refined", ids=("E7", "E8"))
+def q_arima_refined(spark, sf):
+    """The fit after the third Hannan-Rissanen step (a recursion over each series: no SQL twin)."""
+    base = _base(SparkRel(features_d(spark, sf)))
+    fit = arma.refine(arima_fit(SparkRel(features_d(spark, sf))), base, KD, TARGET_D)
+    return fit.select([(k, k) for k in KD] + [(c, c) for c in ("p", "d", "q", "refined")]
+                      + [(c, f"round({c}, {DP - 2})") for c in ("sigma2", "phi1", "phi2", "phi3", "theta1", "theta2", "c")]).df

@@ -91,3 +91,53 @@ def test_forecast_band_widens(series):
     widths = [r.hi - r.lo for r in rows]
     assert all(b >= a - 1e-12 for a, b in zip(widths, widths[1:]))
     assert rows[0].period == dt.date(2010, 1, 1)
+
+
+def simulated(rng, n, phi, theta, c):
+    e = rng.normal(size=n + 200)
+    w = np.zeros(n + 200)
+    for t in range(2, n + 200):
+        w[t] = c + phi * w[t - 1] + e[t] + theta * e[t - 1]
+    return w[200:]
+
+
+def np_step(w, phi, theta, c, p, q, m):
+    """One Gauss-Newton step on the squared innovations, by numpy."""
+    n = len(w)
+    e, eta, xi, kap = (np.zeros(n + m) for _ in range(4))
+    x = np.concatenate([np.zeros(m), w])
+    for t in range(m, n + m):
+        e[t] = x[t] - c - sum(phi[i] * x[t - 1 - i] for i in range(p)) - sum(theta[j] * e[t - 1 - j] for j in range(q))
+        eta[t] = x[t] - sum(theta[j] * eta[t - 1 - j] for j in range(q))
+        xi[t] = e[t] - sum(theta[j] * xi[t - 1 - j] for j in range(q))
+        kap[t] = 1 - sum(theta[j] * kap[t - 1 - j] for j in range(q))
+    rows = range(2 * m, n + m)
+    X = np.array([[eta[t - 1 - i] for i in range(p)] + [xi[t - 1 - j] for j in range(q)] + [kap[t]] for t in rows])
+    return np.linalg.lstsq(X, e[2 * m:], rcond=None)[0]
+
+
+def test_third_step_is_gauss_newton_and_lowers_the_error(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(11)
+    truth = {f"s{k}": (0.3, 0.8) for k in range(24)}  # a strong moving average, where the long autoregression is too short
+    series = {k: simulated(rng, 300, *v, 1.0) for k, v in truth.items()}
+    df = spark.createDataFrame([(k, i, float(v)) for k, w in series.items() for i, v in enumerate(w)], "k string, period int, y double")
+    rel = SparkRel(df)
+    level = SparkRel(df.select("k").distinct().withColumn("d", F.lit(0)))
+    two = arma.hannan_rissanen(rel, ["k"], "y", level, max_p=1, max_q=1, long_ar=4)
+    before = {r.k: r for r in two.df.collect()}
+    after = {r.k: r for r in arma.refine(two, rel, ["k"], "y", 1, 1).df.collect()}
+    assert set(after) == set(series) and sum(r.refined for r in after.values()) >= 20
+    for k, r in after.items():
+        b = before[k]
+        if r.refined:
+            delta = np_step(series[k], [b.phi1], [b.theta1], b.c, b.p, b.q, 1)
+            want = [b.phi1, b.theta1, b.c]
+            for place, x in enumerate([0] * b.p + [1] * b.q + [2]):
+                want[x] += delta[place]
+            assert [r.phi1, r.theta1, r.c] == pytest.approx(want, rel=1e-6, abs=1e-8)
+    both = [k for k in truth if before[k].p == 1 and before[k].q == 1]
+    error = lambda rows, name, true: np.mean([(rows[k][name] - true) ** 2 for k in both])
+    assert len(both) >= 15
+    assert error(after, "phi1", 0.3) < error(before, "phi1", 0.3) and error(after, "theta1", 0.8) < error(before, "theta1", 0.8)
