@@ -42,6 +42,8 @@ from pyspark.sql import functions as F
 from panelcast.llm.common import LOWER_AZ, map_arrow, scratch_path, written
 
 CHUNK_TOKENS = 2_000_000
+#: Places of a chunk whose emissions are looked up at once.
+BLOCK = 1 << 15
 END = b""  # no word is empty
 LN10 = float(np.log(10.0))
 
@@ -240,43 +242,64 @@ def by_position(classes: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, n
     return order, out, first
 
 
-def forward(model: Hmm, classes: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray | None]:
+def blocks(first: np.ndarray) -> list[tuple[int, int]]:
+    """Runs of positions of about ``BLOCK`` places: at the far end of long documents a position has few places, and
+    what can be done for many positions at once is."""
+    out, t = [], 0
+    while t < len(first) - 1:
+        end = max(t + 1, int(np.searchsorted(first, first[t] + BLOCK, "right")) - 1)
+        out.append((t, end))
+        t = end
+    return out
+
+
+def forward(model: Hmm, classes: np.ndarray, first: np.ndarray, keep: bool) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
     """(natural log likelihood by rank, scaled forward vectors, scales) over ``by_position`` classes."""
     emit = np.ascontiguousarray(model.emit.T)
-    docs = int(first[1])
-    total = np.zeros(docs)
-    kept = np.empty((len(classes), emit.shape[1]), dtype=np.float32) if keep else None
-    scales = np.empty(len(classes), dtype=np.float32) if keep else None
-    alpha = None
-    for t in range(len(first) - 1):
-        a, b = int(first[t]), int(first[t + 1])
-        alpha = np.repeat(model.start[None, :], docs, axis=0) if alpha is None else alpha[:b - a] @ model.moves
-        alpha *= emit[classes[a:b]]
-        scale = alpha.sum(axis=1)
-        alpha /= scale[:, None]
-        total[:b - a] += np.log(scale)
+    moves, ones = model.moves, np.ones(emit.shape[1], dtype=emit.dtype)
+    kept = np.empty((len(classes), emit.shape[1]), dtype=emit.dtype) if keep else None
+    scales = np.empty(len(classes), dtype=emit.dtype)
+    bounds, alpha = first.tolist(), None
+    for t0, t1 in blocks(first):
+        start, end = bounds[t0], bounds[t1]
+        block = np.take(emit, classes[start:end], axis=0)
+        for t in range(t0, t1):
+            a, b = bounds[t] - start, bounds[t + 1] - start
+            now = block[a:b]
+            now *= model.start if alpha is None else alpha[:b - a] @ moves
+            scale = now @ ones
+            now /= scale[:, None]
+            scales[a + start:b + start] = scale
+            alpha = now
         if keep:
-            kept[a:b], scales[a:b] = alpha, scale
-    return total, kept, scales
+            kept[start:end] = block
+    rank = np.arange(len(classes)) - np.repeat(first[:-1], np.diff(first))
+    return np.bincount(rank, weights=np.log(scales, dtype=float), minlength=bounds[1]), kept, scales
 
 
 def expected(model: Hmm, classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, float]:
     """Flat expected counts (start, moves, emissions) of the documents, and their log likelihood."""
     states = len(model.start)
-    emit = np.ascontiguousarray(model.emit.T)
+    emit, back = np.ascontiguousarray(model.emit.T), np.ascontiguousarray(model.moves.T)
     total, alpha, scales = forward(model, classes, first, True)
     moved = np.zeros((states, states))
-    after = None
-    for t in range(len(first) - 2, -1, -1):
-        a, b = int(first[t]), int(first[t + 1])
-        beta = np.ones((b - a, states), dtype=emit.dtype)
-        if after is not None:
-            beta[:len(after)] = after @ model.moves.T
-            moved += alpha[a:a + len(after)].T @ after
-        after = emit[classes[a:b]] * beta / scales[a:b, None]
-        alpha[a:b] *= beta
+    bounds, after = first.tolist(), None
+    for t0, t1 in reversed(blocks(first)):
+        start, end = bounds[t0], bounds[t1]
+        block = np.take(emit, classes[start:end], axis=0)
+        block /= scales[start:end, None]
+        for t in range(t1 - 1, t0 - 1, -1):
+            a, b = bounds[t], bounds[t + 1]
+            now = block[a - start:b - start]
+            if after is not None:  # documents that end here have nothing after
+                on = alpha[a:a + len(after)]
+                moved += on.T @ after
+                beta = after @ back
+                now[:len(after)] *= beta
+                on *= beta
+            after = now
     seen = np.stack([np.bincount(classes, weights=alpha[:, s], minlength=emit.shape[0]) for s in range(states)])
-    start = alpha[:int(first[1])].sum(axis=0, dtype=float)
+    start = alpha[:bounds[1]].sum(axis=0, dtype=float)
     return np.concatenate((start, (moved * model.moves).ravel(), seen.ravel())), float(total.sum())
 
 
