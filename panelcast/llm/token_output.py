@@ -49,13 +49,21 @@ FOOTER_SIZE = struct.calcsize(FOOTER)
 FOOTER_MAGIC = b"SEEKTOK1"
 ENTRY = np.dtype([("flag", "u1"), ("doc_id", "<i8"), ("offset", "<u8"), ("packed", "<u4"), ("ids", "<u4"), ("crc", "<u4")])
 ROW_BYTES = 1 << 20
+#: Text of a file, about.
+FILE_BYTES = 1 << 28
 LEVEL = 3
 
 
 def write_token_files(docs: DataFrame, path: str, *, tokenizer: str, cut: str | None, end_id: int) -> None:
-    """Encodes every text, appends ``end_id`` and writes the files under ``path``."""
-    ranged = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-              .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+    """Encodes every text, appends ``end_id`` and writes the files under ``path``.
+
+    The texts are measured first: where the session's shuffle partitions would give files of more than about
+    ``FILE_BYTES`` of text, there are more ranges, so a file stays readable as one row whatever the corpus."""
+    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    needed = -(-(read.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // FILE_BYTES)
+    usual = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = read.repartitionByRange(needed, "doc_id") if needed > usual else read.repartitionByRange("doc_id")
+    ranged = ranged.sortWithinPartitions("doc_id", "text")
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, cut)

@@ -1,4 +1,5 @@
 import io
+import random
 import zlib
 
 import numpy as np
@@ -81,6 +82,21 @@ def test_only_requested_documents(spark, tmp_path):
     assert sorted(r.doc_id for r in token_output.read_token_files(spark, path, [1, 5, 10**6]).collect()) == [1, 1, 5]
 
 
+def test_files_stay_within_a_bound(spark, tmp_path, monkeypatch):
+    """Ten times the text gives more files, not larger ones; ids and places stay the same."""
+    monkeypatch.setattr(token_output, "FILE_BYTES", 20_000)
+    rows = [(k, X.prose(random.Random(k), 150)) for k in range(400)]
+    path = str(tmp_path / "out")
+    token_output.write_token_files(spark.createDataFrame(rows, "doc_id long, text string"), path, tokenizer=WORD, cut="space_free", end_id=1)
+    sizes = [f.stat().st_size for f in (tmp_path / "out").glob("part-*") if f.stat().st_size]
+    assert len(sizes) > 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 20_000
+    back = {r.doc_id: (r.start, r.n_tokens) for r in token_output.read_back(spark, path).collect()}
+    at = 0
+    for k in range(400):
+        assert back[k][0] == at
+        at += back[k][1]
+
+
 def test_empty_table(spark, tmp_path):
     path = str(tmp_path / "out")
     token_output.write_token_files(X.empty(spark), path, tokenizer=WORD, cut="space_free", end_id=1)
