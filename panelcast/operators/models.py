@@ -1,17 +1,14 @@
-"""The forecaster extension point over DataFrames.
+"""OLS as a fitted object over DataFrames.
 
-A model is anything with ``name``, ``fit(df) -> fitted`` and
-``predict(df, fitted) -> DataFrame`` working on a panel; the backtest and
-the pipeline only rely on that. ``OlsModel`` is the reference's OLS as
-such an object: the fitted state is a one-row-per-series coefficient
-table, and prediction is a keyed join plus a sum of products.
+``OlsModel`` has ``name``, ``fit(df) -> fitted`` and ``predict(df, fitted)``: the fitted
+state is a one-row-per-series coefficient table, and prediction is a keyed
+join plus a sum of products. What a run needs of any model (backtest, fit, forecast) is
+``plans.forecasters.Forecaster``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import Protocol
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -20,14 +17,6 @@ from panelcast.functions.dual import SparkRel
 from panelcast.operators import ols
 
 
-class PanelModel(Protocol):
-    name: str
-
-    def fit(self, df: DataFrame) -> DataFrame: ...
-
-    def predict(self, df: DataFrame, fitted: DataFrame) -> DataFrame: ...
-
-
 class OlsModel:
     """OLS per series with Newey-West errors; predictions NULL when any
     regressor is missing."""

@@ -10,7 +10,7 @@ from panelcast.operators import arma, ols
 from panelcast.operators.features import build_features
 from panelcast.plans import panels as P
 from panelcast.plans.catalog import register
-from panelcast.plans.featuresets import feature_columns, sql_features
+from panelcast.plans.featuresets import ADF_LAGS, feature_columns, sql_features
 from panelcast.plans.sqlbits import filled_sql, rnd
 
 DP = 6
@@ -50,7 +50,7 @@ def _e_preds(rel):
     fc = feature_columns(FE["level_col"], FE["target"], FE["exog"], FE["max_lag"], FE["windows"])
     o = ols.backtest_predictions(rel, KE, FE["target"], XE, 3, 3, complete_cols=fc, model="OLS")
     a = arma.backtest_predictions(rel, KE, FE["target"], 3, 3, complete_cols=fc, model="ARIMA", max_p=2,
-                                  max_q=1, adf_lags=2, long_ar=3)
+                                  max_q=1, adf_lags=ADF_LAGS, long_ar=3)
     return _round_preds(o.union_all([a]), KE)
 
 
@@ -66,7 +66,7 @@ def q_panel_e_backtest(spark, sf):
 
 # ---- many series: one per supplier --------------------------------------------------
 KS = P.PANEL_KEYS["S"]
-FS = dict(level_col="v", target="v_yoy", exog=[], max_lag=2, windows=[3])
+FS = dict(level_col="v", target="v_yoy", exog=[], max_lag=6, windows=[3, 6, 12])
 XS_S = ["v_yoy_lag_1", "v_yoy_lag_2"]
 
 
@@ -78,12 +78,13 @@ FROM (SELECT {k}, min(period) AS lo, max(period) AS hi FROM ({src}) a GROUP BY {
 
 def _s_preds(rel):
     fc = feature_columns(FS["level_col"], FS["target"], [], FS["max_lag"], FS["windows"])
-    return _round_preds(ols.backtest_predictions(rel, KS, FS["target"], XS_S, 3, 6, complete_cols=fc, model="OLS"), KS)
+    o = ols.backtest_predictions(rel, KS, FS["target"], XS_S, 3, 6, complete_cols=fc, model="OLS")
+    return _round_preds(o.union_all([arma.backtest_predictions(rel, KS, FS["target"], 3, 6, complete_cols=fc, adf_lags=ADF_LAGS)]), KS)
 
 
 @register("many_series_backtest", ids=("B2", "E1", "J7"), sql=_s_preds(SqlRel(sql_features(_grid_sql(P.SQL_S, KS, "v"), KS, **FS))).sql)
 def q_many_series(spark, sf):
-    """OLS backtest of one series per supplier, on the regular calendar."""
+    """OLS and ARIMA backtest of one series per supplier, on the regular calendar."""
     from panelcast.operators.calendar import fill_spine
     return _s_preds(SparkRel(build_features(fill_spine(P.panel_s(spark, sf), KS), KS, **FS))).df
 

@@ -310,7 +310,7 @@ def q_run_daily(spark, sf):
 
 #: Size of the registered run with every model (an argument; the default is the reference's 20 trials x 3 splits).
 ALL_MODELS = dict(models=["OLS", "ARIMA", "GradientBoosting", "sequence", "naive"], n_folds=2, n_trials=2, cv_splits=2,
-                  search_space={"n_estimators": [20], "max_depth": [2, 3]}, sequence_rounds=50)
+                  search_space={"n_estimators": [10], "max_depth": [2, 3]}, sequence_rounds=25)
 
 
 @register("run_all_models", ids=("B3", "B4", "B5", "E10", "E16", "T6"))
