@@ -138,7 +138,9 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
     # step 1: long autoregression -> innovation estimates e_t
     lx = [f"_h_wl{i}" for i in range(1, m + 1)]
     r1 = prepare(rel, G, "_h_w", lx).share()
-    long_fit = ols.solve(r1.filter(f"{P}ok").group(list(G), sum_exprs(m)), m)
+    # a long autoregression on fewer rows is nearly saturated: its innovations would be rounding noise
+    sums = r1.filter(f"{P}ok").group(list(G), sum_exprs(m)).filter(f"{P}n >= {2 * (m + 1)}")
+    long_fit = ols.solve(sums, m)
     r1 = r1.join(_keep(long_fit, list(G) + ols.solution_columns(m)), G, "left")
     fit1 = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(m))
     r1 = r1.stages([[("_h_e", f"CASE WHEN {P}ok THEN {P}ty - ({P}alpha + {fit1}) END")]])

@@ -56,10 +56,10 @@ def test_pipeline_end_to_end(spark):
     from panelcast.plans.q_report import run_panel_d
     from tests.conftest import SF_SMALL
     out = run_panel_d(spark, SF_SMALL)
-    fc = out["forecast"].collect()
+    fc = out.table("forecast").collect()
     keys = {(r.l_returnflag, r.l_linestatus) for r in fc}
     assert all(sum(1 for r in fc if (r.l_returnflag, r.l_linestatus) == k) == 12 for k in keys)
-    md = out["markdown"].collect()
+    md = out.table("markdown").collect()
     assert len(md) == len(keys) and all("## 7. Reproducibility" in r.markdown for r in md)
-    ev = out["evidence"].collect()[0]
+    ev = out.table("evidence").collect()[0]
     assert 0 <= ev.durbin_watson <= 4 and ev.best_rmse > 0 and len(ev.forecast_values) == 12
