@@ -76,17 +76,30 @@ def _grid_sql(src: str, keys, col: str) -> str:
 FROM (SELECT {k}, min(period) AS lo, max(period) AS hi FROM ({src}) a GROUP BY {k}) b) g LEFT JOIN ({src}) s USING ({k}, period)"""
 
 
-def _s_preds(rel):
+def _s_preds(rel, with_arima=False):
     fc = feature_columns(FS["level_col"], FS["target"], [], FS["max_lag"], FS["windows"])
     o = ols.backtest_predictions(rel, KS, FS["target"], XS_S, 3, 6, complete_cols=fc, model="OLS")
-    return _round_preds(o.union_all([arma.backtest_predictions(rel, KS, FS["target"], 3, 6, complete_cols=fc, adf_lags=ADF_LAGS)]), KS)
+    if with_arima:
+        o = o.union_all([arma.backtest_predictions(rel, KS, FS["target"], 3, 6, complete_cols=fc, adf_lags=ADF_LAGS)])
+    return _round_preds(o, KS)
 
 
 @register("many_series_backtest", ids=("B2", "E1", "J7"), sql=_s_preds(SqlRel(sql_features(_grid_sql(P.SQL_S, KS, "v"), KS, **FS))).sql)
 def q_many_series(spark, sf):
-    """OLS and ARIMA backtest of one series per supplier, on the regular calendar."""
+    """OLS backtest of one series per supplier, on the regular calendar."""
+    return _s_preds(SparkRel(_s_features(spark, sf))).df
+
+
+def _s_features(spark, sf):
     from panelcast.operators.calendar import fill_spine
-    return _s_preds(SparkRel(build_features(fill_spine(P.panel_s(spark, sf), KS), KS, **FS))).df
+    return build_features(fill_spine(P.panel_s(spark, sf), KS), KS, **FS)
+
+
+@register("many_series_arima", ids=("B2", "E6", "E7", "J7"),
+          sql=_s_preds(SqlRel(sql_features(_grid_sql(P.SQL_S, KS, "v"), KS, **FS)), True).sql)
+def q_many_series_arima(spark, sf):
+    """OLS and ARIMA backtest of the same series."""
+    return _s_preds(SparkRel(_s_features(spark, sf)), True).df
 
 
 # ---- one very long series: windows run segment by segment --------------------------
