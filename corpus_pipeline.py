@@ -15,7 +15,8 @@ from panelcast.llm.simhash_dedup import keep_one
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    labelled = docs.join(labels.where("quality is not null").select("doc_id"), "doc_id", "left_semi")  # calibration reads no others
+    # calibration reads no others; labels grow with the documents, so the join is a shuffle at every size
+    labelled = docs.join(labels.where("quality is not null").select("doc_id").hint("merge"), "doc_id", "left_semi")
     measured = written(labelled.select("doc_id", quality_rules.stratum_of(F.col("lang")).alias("stratum"),
                                        quality_rules.metrics(F.col("text")).alias("m")), "metrics")
     cutoffs = written(quality_rules.calibrate(measured, labels), "cutoffs")
