@@ -10,7 +10,7 @@ the same rolling-origin positions as for the linear models.
   reference's search space (or the caller's), scored by mean squared error on expanding
   time-series splits *inside* the training window (per-series positions;
   ``CrossValidator.foldCol`` is not used because it would train on later
-  data), then the best is refit on the whole window. Trials and splits run side by side.
+  data), then the best is refit on the whole window. Folds, trials and splits run side by side.
 * Scoring: missing features are forward-filled within the series, then 0.
 """
 
@@ -118,16 +118,33 @@ def _ready(rows: DataFrame, train: DataFrame, keys, feature_cols: Sequence[str],
     return va.transform(with_series_level(rows, train, keys, "label")).select("features", "label", *kept)
 
 
-def _search(rows: DataFrame, keys, feature_cols: Sequence[str], variant: str, trials: list[dict], cv_splits: int, seed: int,
-            parallelism: int, period_col: str = PERIOD) -> dict:
-    """Best trial by mean MSE over expanding splits of the training rows.
+X = "_x"  # the features of a row as one vector
+
+
+def _assembled(rows: DataFrame, feature_cols: Sequence[str], *kept: str) -> DataFrame:
+    """``kept``, the label and the features as one vector: plans over the rows stay narrow, however many features there are."""
+    va = VectorAssembler(inputCols=list(feature_cols), outputCol=X, handleInvalid="keep")
+    return va.transform(rows).select(*dict.fromkeys([*kept, "label", X]))
+
+
+def _at_once(rows: DataFrame, parallelism: int) -> int:
+    """Fits side by side: ``parallelism``, more where the rows lie in so few partitions that fits leave cores idle."""
+    return max(parallelism, rows.sparkSession.sparkContext.defaultParallelism // max(1, rows.rdd.getNumPartitions()))
+
+
+def _splits(rows: DataFrame, keys, feature_cols: Sequence[str], cv_splits: int, period_col: str = PERIOD) -> list[DataFrame]:
+    """Vectors of the expanding splits of the training rows, ``_test`` marking the scored ones.
 
     Split i of ``cv_splits`` (per series, by complete-row position ``r`` of
     ``m`` rows, test size ``m // (cv_splits + 1)``) trains on
     ``r < m - (cv_splits - i) * size`` and tests the next ``size`` rows; the series
-    level is that of the split's own training rows. A split's vectors are made once and
-    shared by all trials; trials x splits fits run side by side, ``parallelism`` at a time."""
+    level is that of the split's own training rows.
+
+    The vectors are checkpointed, not cached: a checkpoint has the partitions that adaptive execution
+    finds fit for the data's size, a cached table one per shuffle partition, and each level of each
+    tree starts two tasks per partition, however few rows it has."""
     k = _keys(keys)
+    ensure_checkpoint_dir(rows.sparkSession)
     whole = Window.partitionBy(*k) if k else Window.partitionBy()
     t = rows.withColumns({"_r": F.row_number().over(series_window(k, period_col)) - 1, "_m": F.count(F.lit(1)).over(whole)})
     t = t.withColumn("_sz", F.floor(F.col("_m") / (cv_splits + 1)))
@@ -135,27 +152,38 @@ def _search(rows: DataFrame, keys, feature_cols: Sequence[str], variant: str, tr
     for i in range(cv_splits):
         edge = F.col("_m") - F.lit(cv_splits - i) * F.col("_sz")
         part = t.filter(F.col("_r") < edge + F.col("_sz")).withColumn("_test", F.col("_r") >= edge)
-        splits.append(_ready(part, part.filter(~F.col("_test")), k, feature_cols, "_test").persist())
+        splits.append(_ready(part, part.filter(~F.col("_test")), k, feature_cols, "_test").checkpoint())
+    return splits
 
+
+def _scoring(splits: list[DataFrame], variant: str, trials: list[dict], seed: int) -> list:
+    """One job per trial and split, trial by trial: the split's mean squared error (None without scored rows)."""
     def score(params: dict, split: DataFrame) -> float | None:
         model = make_estimator(variant, params, seed).fit(split.filter(~F.col("_test")))
         return model.transform(split.filter("_test")).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
 
-    try:
-        jobs = [lambda p=p, x=x: score(p, x) for p in trials for x in splits]
-        scores = side_by_side(rows.sparkSession, jobs, parallelism)
-    finally:
-        for x in splits:
-            x.unpersist()
-    best, best_mse = trials[0], float("inf")
+    return [lambda p=p, x=x: score(p, x) for p in trials for x in splits]
+
+
+def _best(trials: list[dict], scores: list[float | None]) -> dict:
+    """The trial with the least mean score; ``scores`` in the order of ``_scoring``."""
+    best, best_mse, per_trial = trials[0], float("inf"), len(scores) // len(trials)
     for n, params in enumerate(trials):
-        mses = [m for m in scores[n * cv_splits:(n + 1) * cv_splits] if m is not None]
+        mses = [m for m in scores[n * per_trial:(n + 1) * per_trial] if m is not None]
         mean = sum(mses) / len(mses) if mses else float("inf")
         if mean < best_mse:  # strict: the earlier trial wins ties
             best, best_mse = params, mean
     return best
 
 
+def _search(rows: DataFrame, keys, feature_cols: Sequence[str], variant: str, trials: list[dict], cv_splits: int, seed: int,
+            parallelism: int, period_col: str = PERIOD) -> dict:
+    """Best trial by mean MSE over expanding splits of the training rows. A split's vectors are made once and
+    shared by all trials; trials x splits fits run side by side, ``parallelism`` at a time."""
+    splits = _splits(rows, keys, feature_cols, cv_splits, period_col)
+    return _best(trials, side_by_side(rows.sparkSession, _scoring(splits, variant, trials, seed), parallelism))
+
+
 def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[str], n_folds: int = 5,
                       horizon: int = 6, variant: str = "gbt", n_trials: int = 20, cv_splits: int = 3,
                       seed: int = 42, min_train: int = 10, model_name: str = "GradientBoosting",
@@ -170,22 +198,28 @@ def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[s
     K = int(n_folds)
     rows = positioned(df, k, target, feature_cols, K, horizon, period_col)
     rows = rows.withColumn("label", F.col(target).cast("double")).filter(F.col("ok"))
-    rows = rows.select(*dict.fromkeys([*k, period_col, "seg", "label", *feature_cols]))
     ensure_checkpoint_dir(df.sparkSession)
-    rows = rows.checkpoint()  # read by every fit
-    trials = sample_trials(variant, n_trials, seed, space)
-    params, preds = trials[0], []
-    for f in range(K):
+    rows = _assembled(rows, feature_cols, *k, period_col, "seg").checkpoint()  # read by every fit
+    spark, trials, parallelism = df.sparkSession, sample_trials(variant, n_trials, seed, space), _at_once(rows, parallelism)
+
+    def prepared(f: int) -> tuple[DataFrame, list]:
         train = rows.filter(F.col("seg") < f)
         cnt = train.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_train).select(*k)
         train = train.join(cnt, on=k, how="left_semi")
-        params = _search(train, k, feature_cols, variant, trials, cv_splits, seed, parallelism, period_col) if len(trials) > 1 else trials[0]
+        splits = _splits(train, k, [X], cv_splits, period_col) if len(trials) > 1 else []
         upto = rows.filter(F.col("seg") <= f).join(cnt, on=k, how="left_semi")
-        both = _ready(upto, train, k, feature_cols, *k, period_col, "seg")
-        model = make_estimator(variant, params, seed).fit(both.filter(F.col("seg") < f))
-        preds.append(model.transform(both.filter(F.col("seg") == f)).select(
+        return _ready(upto, train, k, [X], *k, period_col, "seg"), _scoring(splits, variant, trials, seed)
+
+    # no fold needs another's fits: all folds' splits, then all searched fits, then all last fits
+    both, jobs = zip(*side_by_side(spark, [lambda f=f: prepared(f) for f in range(K)], parallelism))
+    scores = iter(side_by_side(spark, [job for fold in jobs for job in fold], parallelism))
+    found = [_best(trials, [next(scores) for _ in fold]) for fold in jobs]
+    models = side_by_side(spark, [lambda f=f: make_estimator(variant, found[f], seed).fit(both[f].filter(F.col("seg") < f))
+                                  for f in range(K)], parallelism)
+    params, preds = found[-1], [
+        models[f].transform(both[f].filter(F.col("seg") == f)).select(
             *k, F.lit(model_name).alias("model"), F.lit(f).alias("fold_idx"), period_col, F.col("label").alias("y_true"),
-            F.col("prediction").alias("y_pred")))
+            F.col("prediction").alias("y_pred")) for f in range(K)]
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)
@@ -205,8 +239,8 @@ def search(df: DataFrame, keys, target: str, feature_cols: Sequence[str], varian
     if len(trials) == 1:
         return trials[0]
     ensure_checkpoint_dir(df.sparkSession)
-    rows = _labelled(df, keys, target, feature_cols, period_col).checkpoint()
-    return _search(rows, keys, feature_cols, variant, trials, cv_splits, seed, parallelism, period_col)
+    rows = _assembled(_labelled(df, keys, target, feature_cols, period_col), feature_cols, *_keys(keys), period_col).checkpoint()
+    return _search(rows, keys, [X], variant, trials, cv_splits, seed, _at_once(rows, parallelism), period_col)
 
 
 def fit_full(df: DataFrame, keys, target: str, feature_cols: Sequence[str], params: Mapping,
