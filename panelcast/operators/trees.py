@@ -246,8 +246,10 @@ def search(df: DataFrame, keys, target: str, feature_cols: Sequence[str], varian
 def fit_full(df: DataFrame, keys, target: str, feature_cols: Sequence[str], params: Mapping,
              variant: str = "gbt", seed: int = 42):
     """Fit on every complete row (final model). Returns the fitted model; its
-    features are ``feature_cols`` and the series' level."""
-    rows = _labelled(df, keys, target, feature_cols)
+    features are ``feature_cols`` and the series' level. ``df`` is read once: Spark ML passes over
+    its input several times, and the level is an aggregate of the same rows."""
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = _labelled(df, keys, target, feature_cols).checkpoint()
     return make_estimator(variant, params, seed).fit(_ready(rows, rows, keys, feature_cols))
 
 

@@ -10,6 +10,7 @@ from panelcast.operators import trees as T
 from panelcast.plans.catalog import register
 from panelcast.plans.featuresets import KD, TARGET_D, feature_columns_d, features_d, sql_features_d
 from panelcast.plans.sqlbits import rnd
+from panelcast.session import ensure_checkpoint_dir
 
 KEYS_SQL = ", ".join(KD)
 L = 3
@@ -76,8 +77,10 @@ def _tree_preds(spark, sf, variant, name):
 
 
 def _winner(spark, sf):
-    """The search's winner on all rows, fitted on them."""
-    feats, cols = features_d(spark, sf), feature_columns_d()
+    """The search's winner on all rows, fitted on them. The feature table is a few rows of a scan of all
+    lineitem rows and read many times, so it is made once."""
+    ensure_checkpoint_dir(spark)
+    feats, cols = features_d(spark, sf).checkpoint(), feature_columns_d()
     params = T.search(feats, KD, TARGET_D, cols, **SEARCH)
     return feats, cols, T.fit_full(feats, KD, TARGET_D, cols, params)
 
@@ -119,8 +122,6 @@ def q_tree_recursive_forecast(spark, sf):
     """The searched GBT rolled forward 12 months per series (target lags
     refreshed from the prediction buffer, other features held)."""
     from panelcast.operators.forecast import recursive_model_forecast
-    from panelcast.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
     feats, cols, model = _winner(spark, sf)
     state = T.forecast_state(feats, KD, TARGET_D, cols, 6)
     f = recursive_model_forecast(state, KD, TARGET_D, [*cols, T.SERIES_LEVEL], model, 12)
