@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.linalg import Stage, div  # noqa: F401  (div: for the operators)
+from panelcast.functions.linalg import Stage, div, sweeper, swept, swept_path  # noqa: F401  (div: for the operators)
 
 
 
@@ -102,6 +102,17 @@ class SparkRel:
         grouped = self.df.groupBy(*keys).agg(F.expr(f"named_struct({fields})").alias("_g"))
         return SparkRel(grouped.select(*keys, "_g.*"))
 
+    def swept(self, a: str, out: str, pivots: int, n: int, kept: Sequence[int] = ()) -> "SparkRel":
+        """The packed systems ``a`` give way to ``out``: swept, batch by batch; with ``kept``, those places after each
+        pivot in one array. A system with nulls takes the expression, which carries them along."""
+        text = swept(a, pivots, n)
+        if kept:
+            names = {f"k{i}": at for i, at in enumerate(kept)}
+            text = f"flatten(transform({swept_path(a, pivots, n, names)}, z -> array({', '.join(f'z.{x}' for x in names)})))"
+        raw = f"{out}_batch"
+        df = self.df.withColumn(raw, sweeper(pivots, n, tuple(kept))(a))
+        return SparkRel(df).replace([a, raw], [(out, f"CASE WHEN exists({a}, v -> v IS NULL) THEN {text} ELSE {raw} END")])
+
     def explode(self, name: str, array_expr: str) -> "SparkRel":
         return SparkRel(self.df.withColumn(name, F.explode(F.expr(array_expr))))
 

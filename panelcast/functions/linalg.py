@@ -7,7 +7,8 @@ dozen) is solved once per row, no Python. Two independent forms:
   of (k + 1)^2 entries; ``swept`` pivots on one regressor after the other
   (the sweep operator). After the pivots 0 .. m the array holds the solution,
   the residual sum of squares and the inverse of the model with those
-  regressors, so one pass gives all nested models (``swept_path``).
+  regressors, so one pass gives all nested models (``swept_path``). Where there are many systems
+  (a grid of orders per series and fold), ``sweeper`` does the same steps for a batch of rows at once.
 * DuckDB (the oracle): an unrolled Cholesky factorisation ``C = L L'``, one
   column of L per projection, over named columns.
 
@@ -19,6 +20,11 @@ reduced system, instead of amplifying rounding noise.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cache
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import functions as F
 
 Stage = list[tuple[str, str]]
 
@@ -67,6 +73,38 @@ def swept_path(a: str, pivots: int, n: int, kept: dict[str, int]) -> str:
             f"concat(s.found, array(named_struct({fields})))))[0], s -> s.found)")
 
 
+def sweep_batch(a: np.ndarray, pivots: int, kept: Sequence[int] = ()) -> np.ndarray:
+    """``swept`` for many systems at once (``a``: rows x n x n, without nulls), with the same
+    arithmetic in the same order; with ``kept``, those places after each pivot, pivot by pivot (``swept_path``)."""
+    m, n, _ = a.shape
+    diagonal, path = np.abs(np.einsum("bii->bi", a)), []
+    with np.errstate(all="ignore"):
+        for p in range(pivots):
+            row, col, least = a[:, p, :].copy(), a[:, :, p].copy(), PIVOT_TOL * diagonal[:, p]
+            d = row[:, p]
+            used = (d > least) | (np.isnan(d) & ~np.isnan(least))  # in SQL, NaN is above every number
+            by = d[:, None]
+            new = a - col[:, :, None] * row[:, None, :] / d[:, None, None]
+            new[:, p, :], new[:, :, p], new[:, p, p] = row / by, col / by, -1.0 / d
+            gone = a[~used]
+            gone[:, p, :] = gone[:, :, p] = 0.0
+            new[~used] = gone
+            a = new
+            path.append(a.reshape(m, n * n)[:, list(kept)])
+    return np.concatenate(path, axis=1) if kept else a.reshape(m, n * n)
+
+
+@cache
+def sweeper(pivots: int, n: int, kept: tuple[int, ...] = ()):
+    """``sweep_batch`` as a column function over packed systems."""
+    def run(packed: pd.Series) -> pd.Series:
+        if packed.empty:
+            return pd.Series([], dtype=object)
+        return pd.Series(list(sweep_batch(np.stack(packed.to_list()).astype(float).reshape(-1, n, n), pivots, kept)))
+
+    return F.pandas_udf(run, "array<double>")
+
+
 def cholesky_solve_stages(C: Callable[[int, int], str], rhs: Callable[[int], str], k: int, p: str,
                           out: Callable[[int], str], dialect: str,
                           inv_out: Callable[[int, int], str] | None = None,

@@ -30,7 +30,6 @@ import math
 from collections.abc import Sequence
 
 from panelcast.functions.dual import div, win
-from panelcast.functions.linalg import swept_path
 from panelcast.operators import ols
 from panelcast.operators.ols import P, prepare, sum_exprs
 
@@ -94,11 +93,10 @@ def adf(rel, G: Sequence[str], y: str, max_lag: int | None = None, order: str =
     if d == "spark":
         # the lag models are nested: one pass over the packed system gives all of them
         rel = ols.packed_system(rel, k)
-        path = swept_path(f"{P}A", k, k + 1, {"b0": k, "ci": 0, "ssr": (k + 1) ** 2 - 1})
-        rel = rel.select([(c, c) for c in [*G, n, "_a_bound"]] + [("_a_path", path)])
+        rel = _keep(rel, [*G, n, "_a_bound", f"{P}A"]).swept(f"{P}A", "_a_path", k, k + 1, kept=(k, 0, (k + 1) ** 2 - 1))
         rel = rel.explode("adf_lag", f"sequence(0, least(_a_bound, {K}))")
-        rel = rel.replace(["_a_path"], [(f"{P}b0", "_a_path[adf_lag].b0"), (f"{P}Ci0_0", "-_a_path[adf_lag].ci"),
-                                        (f"{P}ssr", "greatest(_a_path[adf_lag].ssr, 0D)")])
+        rel = rel.replace(["_a_path"], [(f"{P}b0", "_a_path[3 * adf_lag]"), (f"{P}Ci0_0", "-_a_path[3 * adf_lag + 1]"),
+                                        (f"{P}ssr", "greatest(_a_path[3 * adf_lag + 2], 0D)")])
     else:
         rel = rel.explode("adf_lag", rel.int_range(0, K)).filter("adf_lag <= _a_bound")
         rel = ols.solve(rel, k, active=["TRUE"] + [f"adf_lag >= {i}" for i in range(1, K + 1)], inverse=True)
@@ -140,7 +138,7 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
     r1 = prepare(rel, G, "_h_w", lx).share()
     # a long autoregression on fewer rows is nearly saturated: its innovations would be rounding noise
     sums = r1.filter(f"{P}ok").group(list(G), sum_exprs(m)).filter(f"{P}n >= {2 * (m + 1)}")
-    long_fit = ols.solve(sums, m)
+    long_fit = ols.solve(sums, m, batched=True)
     r1 = r1.join(_keep(long_fit, list(G) + ols.solution_columns(m)), G, "left")
     fit1 = " + ".join(f"{P}b{j} * ({P}t{j} - {P}tb{j})" for j in range(m))
     r1 = r1.stages([[("_h_e", f"CASE WHEN {P}ok THEN {P}ty - ({P}alpha + {fit1}) END")]])
@@ -163,7 +161,7 @@ def hannan_rissanen(rel, G: Sequence[str], y: str, d_rel, max_p: int = 3, max_q:
                    ("q", _case_index("_h_idx", [o[1] for o in orders]))]])
     active = [f"p >= {i}" for i in range(1, max_p + 1)] + [f"q >= {j}" for j in range(1, max_q + 1)]
     icpt = "d = 0"
-    g = ols.solve(g, k, active=active, intercept=icpt)
+    g = ols.solve(g, k, active=active, intercept=icpt, batched=True)
     n = f"{P}n"
     npar = "(p + q + CASE WHEN d = 0 THEN 1 ELSE 0 END + 1)"
     g = g.stages([[("sigma2", div(f"{P}ssr", n, dl))],

@@ -113,19 +113,22 @@ def packed_system(rel, k: int, active: Sequence[str] | None = None, intercept: b
                               *[(f"{P}tb{j}", m) for j, m in enumerate(means)], (f"{P}alpha", alpha)])
 
 
-def solve(rel, k: int, active: Sequence[str] | None = None, intercept: bool | str = True, inverse: bool = False):
+def solve(rel, k: int, active: Sequence[str] | None = None, intercept: bool | str = True, inverse: bool = False,
+          batched: bool = False):
     """Sums -> coefficients ``_ob{j}``, means ``_otb{j}`` and intercept ``_oalpha`` of
     ``ty = alpha + sum b_j (t_j - tbar_j)``, the residual sum of squares ``_ossr`` and, with
     ``inverse``, ``_oCi{i}_{j}`` (i <= j); ``_on, _oSy, _oQyy`` and other columns stay.
 
     ``active[j]`` (SQL boolean) switches regressor j off: ``b_j = 0`` and the others
     solve the reduced system exactly -- many models from one set of
-    sums. ``intercept=False`` uses the uncentred moments."""
+    sums. ``intercept=False`` uses the uncentred moments. ``batched`` (Spark): many
+    systems, solved a batch of rows at once."""
     if rel.dialect != "spark":
         rel = rel.stages(_staged_solve(k, rel.dialect, active, intercept, inverse))
         return rel.stages(_staged_ssr(k, rel.dialect, intercept)).drop(_scratch(k))
     n = k + 1
-    rel = packed_system(rel, k, active, intercept).replace([f"{P}A"], [(f"{P}W", swept(f"{P}A", k, n))])
+    rel = packed_system(rel, k, active, intercept)
+    rel = rel.swept(f"{P}A", f"{P}W", k, n) if batched else rel.replace([f"{P}A"], [(f"{P}W", swept(f"{P}A", k, n))])
     found = [(f"{P}b{j}", f"{P}W[{j * n + k}]") for j in range(k)] + [(f"{P}ssr", f"greatest({P}W[{n * n - 1}], 0D)")]
     if inverse:
         found += [(f"{P}Ci{i}_{j}", f"-{P}W[{i * n + j}]") for i in range(k) for j in range(i, k)]
