@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from functools import cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 Stage = list[tuple[str, str]]
@@ -97,12 +97,12 @@ def sweep_batch(a: np.ndarray, pivots: int, kept: Sequence[int] = ()) -> np.ndar
 @cache
 def sweeper(pivots: int, n: int, kept: tuple[int, ...] = ()):
     """``sweep_batch`` as a column function over packed systems."""
-    def run(packed: pd.Series) -> pd.Series:
-        if packed.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(sweep_batch(np.stack(packed.to_list()).astype(float).reshape(-1, n, n), pivots, kept)))
+    def run(packed: pa.Array) -> pa.Array:
+        systems = packed.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, n, n)
+        out = sweep_batch(systems, pivots, kept)  # as Arrow, not pandas, which would take NaN for null
+        return pa.ListArray.from_arrays(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1], pa.array(out.ravel(), from_pandas=False))
 
-    return F.pandas_udf(run, "array<double>")
+    return F.arrow_udf(run, "array<double>")
 
 
 def cholesky_solve_stages(C: Callable[[int, int], str], rhs: Callable[[int], str], k: int, p: str,
