@@ -10,7 +10,8 @@ the same rolling-origin positions as for the linear models.
   reference's search space (or the caller's), scored by mean squared error on expanding
   time-series splits *inside* the training window (per-series positions;
   ``CrossValidator.foldCol`` is not used because it would train on later
-  data), then the best is refit on the whole window. Folds, trials and splits run side by side.
+  data), then the best is refit on the whole window. Folds, trials and splits run side by side:
+  boosted fits of few rows as one task each (``operators/boosting.py``: the same trees), others as Spark ML's jobs.
 * Scoring: missing features are forward-filled within the series, then 0.
 """
 
@@ -18,12 +19,17 @@ from __future__ import annotations
 
 import random
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelcast.operators.boosting import MOST_ROWS, boosted
 from panelcast.operators.calendar import PERIOD, _keys, series_window
 from panelcast.operators.parallel import side_by_side
 from panelcast.session import ensure_checkpoint_dir
@@ -156,17 +162,67 @@ def _splits(rows: DataFrame, keys, feature_cols: Sequence[str], cv_splits: int,
     return splits
 
 
-def _scoring(splits: list[DataFrame], variant: str, trials: list[dict], seed: int) -> list:
-    """One job per trial and split, trial by trial: the split's mean squared error (None without scored rows)."""
+def _few(rows: DataFrame, variant: str) -> bool:
+    """Whether a fit of these rows is one task: boosting, and no more rows than Spark ML takes its bins from."""
+    return variant == "gbt" and 0 < rows.count() <= MOST_ROWS
+
+
+def _numbers(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and test marks of a fit's rows; the training rows must be finite, as for Spark ML."""
+    x = table.column(X).combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+    y, test = table.column("label").to_numpy(), table.column("_test").to_numpy()
+    if not (np.isfinite(x[~test]).all() and np.isfinite(y[~test]).all()):
+        raise ValueError("training features and labels must be finite")
+    return x, y, test
+
+
+def _task_fit(table: pa.Table, params: Mapping, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Predictions and labels of the test rows, and their marks. The training rows are put in an order of their own
+    values, so that the draws do not depend on partitions."""
+    x, y, test = _numbers(table)
+    order = np.lexsort((y[~test], *x[~test].T))
+    return boosted(x[~test][order], y[~test][order], x[test], params, seed), y[test], test
+
+
+def _as_arrays(vectors: DataFrame, *kept) -> DataFrame:
+    return vectors.select(*kept, "label", "_test", vector_to_array("features").alias(X))
+
+
+def _task_scores(searches: list[list[DataFrame]], trials: list[dict], seed: int) -> list[list[float | None]]:
+    """``_scores`` as one job: a task per fit."""
+    rows = reduce(DataFrame.unionByName, [_as_arrays(x, F.lit(s).alias("_search"), F.lit(i).alias("_split"))
+                                          for s, splits in enumerate(searches) for i, x in enumerate(splits)])
+    fit = ["_search", "_trial", "_split"]
+
+    def score(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        got, y, _ = _task_fit(table, trials[key[1].as_py()], seed)
+        mse = float(np.mean((got - y) ** 2)) if len(y) else None
+        return pa.table({**{c: [v.as_py()] for c, v in zip(fit, key)}, "mse": pa.array([mse], pa.float64())},
+                        pa.schema([*((c, pa.int32()) for c in fit), ("mse", pa.float64())]))
+
+    fits = sum(map(len, searches)) * len(trials)
+    each = rows.withColumn("_trial", F.explode(F.sequence(F.lit(0), F.lit(len(trials) - 1)))).repartition(fits, *fit)
+    found = {tuple(r[:3]): r[3] for r in each.groupBy(*fit).applyInArrow(score, "_search int, _trial int, _split int, mse double").collect()}
+    return [[found[s, t, i] for t in range(len(trials)) for i in range(len(splits))] for s, splits in enumerate(searches)]
+
+
+def _scores(spark, searches: list[list[DataFrame]], variant: str, trials: list[dict], seed: int, few: bool,
+            parallelism: int) -> list[list[float | None]]:
+    """Per search, trial by trial, the mean squared error of each split (None without scored rows). A trial and split is
+    one fit: a task where the rows are ``few``, else Spark ML's jobs, ``parallelism`` fits at a time."""
+    if few:
+        return _task_scores(searches, trials, seed)
+
     def score(params: dict, split: DataFrame) -> float | None:
         model = make_estimator(variant, params, seed).fit(split.filter(~F.col("_test")))
         return model.transform(split.filter("_test")).agg(F.avg((F.col("prediction") - F.col("label")) ** 2)).first()[0]
 
-    return [lambda p=p, x=x: score(p, x) for p in trials for x in splits]
+    scores = iter(side_by_side(spark, [lambda p=p, x=x: score(p, x) for splits in searches for p in trials for x in splits], parallelism))
+    return [[next(scores) for _ in trials for _ in splits] for splits in searches]
 
 
 def _best(trials: list[dict], scores: list[float | None]) -> dict:
-    """The trial with the least mean score; ``scores`` in the order of ``_scoring``."""
+    """The trial with the least mean score; ``scores`` in the order of ``_scores``."""
     best, best_mse, per_trial = trials[0], float("inf"), len(scores) // len(trials)
     for n, params in enumerate(trials):
         mses = [m for m in scores[n * per_trial:(n + 1) * per_trial] if m is not None]
@@ -179,9 +235,24 @@ def _best(trials: list[dict], scores: list[float | None]) -> dict:
 def _search(rows: DataFrame, keys, feature_cols: Sequence[str], variant: str, trials: list[dict], cv_splits: int, seed: int,
             parallelism: int, period_col: str = PERIOD) -> dict:
     """Best trial by mean MSE over expanding splits of the training rows. A split's vectors are made once and
-    shared by all trials; trials x splits fits run side by side, ``parallelism`` at a time."""
+    shared by all trials; trials x splits fits run side by side (``_scores``)."""
     splits = _splits(rows, keys, feature_cols, cv_splits, period_col)
-    return _best(trials, side_by_side(rows.sparkSession, _scoring(splits, variant, trials, seed), parallelism))
+    return _best(trials, _scores(rows.sparkSession, [splits], variant, trials, seed, _few(rows, variant), parallelism)[0])
+
+
+def _task_predictions(folds: list[DataFrame], keys, params: list[dict], seed: int, period_col: str) -> DataFrame:
+    """Keys, ``fold_idx``, period, ``label`` and ``prediction`` of each fold's test rows, a task per fold."""
+    k = _keys(keys)
+    rows = reduce(DataFrame.unionByName, [_as_arrays(x.withColumn("_test", F.col("seg") == f), *k, period_col, F.lit(f).alias("fold_idx"))
+                                          for f, x in enumerate(folds)])
+    kept = [*k, "fold_idx", period_col, "label"]
+
+    def predicted(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        got, _, test = _task_fit(table, params[key[0].as_py()], seed)
+        return table.filter(pa.array(test)).select(kept).append_column("prediction", pa.array(got, pa.float64()))
+
+    schema = rows.select(*kept, F.lit(0.0).alias("prediction")).schema
+    return rows.repartition(len(folds), "fold_idx").groupBy("fold_idx").applyInArrow(predicted, schema).checkpoint()  # fitted once
 
 
 def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[str], n_folds: int = 5,
@@ -201,29 +272,32 @@ def fit_predict_folds(df: DataFrame, keys, target: str, feature_cols: Sequence[s
     ensure_checkpoint_dir(df.sparkSession)
     rows = _assembled(rows, feature_cols, *k, period_col, "seg").checkpoint()  # read by every fit
     spark, trials, parallelism = df.sparkSession, sample_trials(variant, n_trials, seed, space), _at_once(rows, parallelism)
+    few = _few(rows, variant)
 
-    def prepared(f: int) -> tuple[DataFrame, list]:
+    def prepared(f: int) -> tuple[DataFrame, list[DataFrame]]:
         train = rows.filter(F.col("seg") < f)
         cnt = train.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_train).select(*k)
         train = train.join(cnt, on=k, how="left_semi")
+        if few and train.isEmpty():  # Spark ML raises too
+            raise ValueError(f"fold {f} has no training rows")
         splits = _splits(train, k, [X], cv_splits, period_col) if len(trials) > 1 else []
         upto = rows.filter(F.col("seg") <= f).join(cnt, on=k, how="left_semi")
-        return _ready(upto, train, k, [X], *k, period_col, "seg"), _scoring(splits, variant, trials, seed)
+        return _ready(upto, train, k, [X], *k, period_col, "seg"), splits
 
     # no fold needs another's fits: all folds' splits, then all searched fits, then all last fits
-    both, jobs = zip(*side_by_side(spark, [lambda f=f: prepared(f) for f in range(K)], parallelism))
-    scores = iter(side_by_side(spark, [job for fold in jobs for job in fold], parallelism))
-    found = [_best(trials, [next(scores) for _ in fold]) for fold in jobs]
-    models = side_by_side(spark, [lambda f=f: make_estimator(variant, found[f], seed).fit(both[f].filter(F.col("seg") < f))
-                                  for f in range(K)], parallelism)
-    params, preds = found[-1], [
-        models[f].transform(both[f].filter(F.col("seg") == f)).select(
-            *k, F.lit(model_name).alias("model"), F.lit(f).alias("fold_idx"), period_col, F.col("label").alias("y_true"),
-            F.col("prediction").alias("y_pred")) for f in range(K)]
-    out = preds[0]
-    for p in preds[1:]:
-        out = out.unionByName(p)
-    return out, params
+    both, searches = zip(*side_by_side(spark, [lambda f=f: prepared(f) for f in range(K)], parallelism))
+    found = [trials[0]] * K
+    if len(trials) > 1:
+        found = [_best(trials, scores) for scores in _scores(spark, list(searches), variant, trials, seed, few, parallelism)]
+    if few:
+        out = _task_predictions(list(both), k, found, seed, period_col)
+    else:
+        models = side_by_side(spark, [lambda f=f: make_estimator(variant, found[f], seed).fit(both[f].filter(F.col("seg") < f))
+                                      for f in range(K)], parallelism)
+        out = reduce(DataFrame.unionByName, [models[f].transform(both[f].filter(F.col("seg") == f)).withColumn("fold_idx", F.lit(f))
+                                             for f in range(K)])
+    return out.select(*k, F.lit(model_name).alias("model"), "fold_idx", period_col, F.col("label").alias("y_true"),
+                      F.col("prediction").alias("y_pred")), found[-1]
 
 
 def _labelled(df: DataFrame, keys, target: str, feature_cols: Sequence[str], *kept: str) -> DataFrame:
