@@ -167,25 +167,23 @@ def _few(rows: DataFrame, variant: str) -> bool:
     return variant == "gbt" and 0 < rows.count() <= MOST_ROWS
 
 
-def _numbers(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels and test marks of a fit's rows; the training rows must be finite, as for Spark ML."""
-    x = table.column(X).combine_chunks().flatten().to_numpy().reshape(len(table), -1)
-    y, test = table.column("label").to_numpy(), table.column("_test").to_numpy()
-    if not (np.isfinite(x[~test]).all() and np.isfinite(y[~test]).all()):
-        raise ValueError("training features and labels must be finite")
-    return x, y, test
+ROW = "_row"  # partition (upper bits) and place of a row
 
 
 def _task_fit(table: pa.Table, params: Mapping, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Predictions and labels of the test rows, and their marks. The training rows are put in an order of their own
-    values, so that the draws do not depend on partitions."""
-    x, y, test = _numbers(table)
-    order = np.lexsort((y[~test], *x[~test].T))
-    return boosted(x[~test][order], y[~test][order], x[test], params, seed), y[test], test
+    """Predictions, labels and places in the table of the test rows. The training rows must be finite, as for Spark ML, and
+    come in their order there."""
+    order = np.argsort(table.column(ROW).to_numpy())
+    x = table.column(X).combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+    y, test, row = [table.column(c).to_numpy() for c in ("label", "_test", ROW)]
+    train, test = order[~test[order]], order[test[order]]
+    if not (np.isfinite(x[train]).all() and np.isfinite(y[train]).all()):
+        raise ValueError("training features and labels must be finite")
+    return boosted(x[train], y[train], x[test], params, seed, row[train] >> 33), y[test], test
 
 
 def _as_arrays(vectors: DataFrame, *kept) -> DataFrame:
-    return vectors.select(*kept, "label", "_test", vector_to_array("features").alias(X))
+    return vectors.select(*kept, "label", "_test", vector_to_array("features").alias(X), F.monotonically_increasing_id().alias(ROW))
 
 
 def _task_scores(searches: list[list[DataFrame]], trials: list[dict], seed: int) -> list[list[float | None]]:
@@ -249,7 +247,7 @@ def _task_predictions(folds: list[DataFrame], keys, params: list[dict], seed: in
 
     def predicted(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         got, _, test = _task_fit(table, params[key[0].as_py()], seed)
-        return table.filter(pa.array(test)).select(kept).append_column("prediction", pa.array(got, pa.float64()))
+        return table.take(test).select(kept).append_column("prediction", pa.array(got, pa.float64()))
 
     schema = rows.select(*kept, F.lit(0.0).alias("prediction")).schema
     return rows.repartition(len(folds), "fold_idx").groupBy("fold_idx").applyInArrow(predicted, schema).checkpoint()  # fitted once
