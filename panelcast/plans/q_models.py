@@ -17,10 +17,10 @@ L = 3
 DP = 6
 W_SQL = f"PARTITION BY {KEYS_SQL} ORDER BY period"
 
-# Size of the registered searches, an argument of the operator; stated in the results. The boosting backtest's is the
-# reference's (100 to 500 trees). The others' is smaller.
+# Size of the registered searches, an argument of the operator; stated in the backtests' results. Boosting's is the
+# reference's (100 to 500 trees), the forest's is smaller.
 SEARCH = dict(n_trials=20, cv_splits=3, space=T.GBT_SPACE)
-SMALL_SEARCH = dict(n_trials=2, cv_splits=2, space={"n_estimators": [10, 20]})
+RF_SEARCH = dict(n_trials=2, cv_splits=2, space={"n_estimators": [10, 20]})
 SEQUENCE_ROUNDS = 20
 
 
@@ -82,7 +82,7 @@ def _winner(spark, sf):
     lineitem rows and read many times, so it is made once."""
     ensure_checkpoint_dir(spark)
     feats, cols = features_d(spark, sf).checkpoint(), feature_columns_d()
-    params = T.search(feats, KD, TARGET_D, cols, **SMALL_SEARCH)
+    params = T.search(feats, KD, TARGET_D, cols, **SEARCH)
     return feats, cols, T.fit_full(feats, KD, TARGET_D, cols, params)
 
 
@@ -93,7 +93,7 @@ def q_gbt_backtest(spark, sf):
 
 @register("rf_backtest", ids=("E11", "E12", "B2"))
 def q_rf_backtest(spark, sf):
-    return _tree_preds(spark, sf, "rf", "RandomForest", SMALL_SEARCH)
+    return _tree_preds(spark, sf, "rf", "RandomForest", RF_SEARCH)
 
 
 @register("tree_importances", ids=("E14", "T2"))
